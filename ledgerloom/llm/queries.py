@@ -4,25 +4,65 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, grammar_store, packing
+from . import chat, decontaminate, grammar_store, packing, progressive_jpeg, sanitise, style_tree, toxicity, warc
 from .common import table
 
 
+def op1_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return toxicity.score(documents, toxicity.train(documents, table(spark, sf_dir, "labels")))
+
+
+def op2_prefix_target_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["conv_id", "turn", "role", "text"]
+    whole = table(spark, sf_dir, "conversations").select(columns).unionByName(chat.probe(spark))
+    return chat.digest(chat.examples(whole))
+
+
+def op3_disclosure_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitise.report(table(spark, sf_dir, "documents"))
+
+
 def op4_lexical_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.sequences(table(spark, sf_dir, "documents"), ids=False).drop("ids")
 
 
+def op6_progressive_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return progressive_jpeg.digest(progressive_jpeg.text_media(table(spark, sf_dir, "documents")))
+
+
 def op7_prefix_filtered_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.linked(warc.derivatives(warc.responses(table(spark, sf_dir, "pages"))))
+
+
+def op9_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return style_tree.main_text(table(spark, sf_dir, "pages"))
+
+
 def op10_repair_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grammar_store.read(grammar_store.write(table(spark, sf_dir, "documents")))
 
 
+QUERIES = (
+    op1_string_kernel_toxicity,
+    op2_prefix_target_chat,
+    op3_disclosure_sanitisation,
+    op4_lexical_retrieval_packing,
+    op6_progressive_jpeg,
+    op7_prefix_filtered_decontamination,
+    op8_warc_derivatives,
+    op9_site_style_tree,
+    op10_repair_token_store,
+)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op4_lexical_retrieval_packing, op7_prefix_filtered_decontamination, op10_repair_token_store)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_prefix_target_chat": chat.DIGEST_SQL}
