@@ -35,3 +35,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def let(value: Column, body) -> Column:
     """body(value) with value computed once per row, however often body's lambdas use it."""
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """df, stored, with a broadcast hint where it has at most so many rows (of a bounded width); else joins shuffle."""
+    kept = stored(df, "small")
+    return F.broadcast(kept) if kept.limit(rows + 1).count() <= rows else kept

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, grammar_store, packing, progressive_jpeg, sanitise, style_tree, toxicity, warc
+from . import chat, decontaminate, grammar_store, near_copies, packing, progressive_jpeg, sanitise, style_tree, toxicity, warc
 from .common import table
 
 
@@ -27,6 +27,10 @@ def op4_lexical_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame
     return packing.sequences(table(spark, sf_dir, "documents"), ids=False).drop("ids")
 
 
+def op5_minhash_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies.near_copies(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 def op6_progressive_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return progressive_jpeg.digest(progressive_jpeg.text_media(table(spark, sf_dir, "documents")))
 
@@ -52,6 +56,7 @@ QUERIES = (
     op2_prefix_target_chat,
     op3_disclosure_sanitisation,
     op4_lexical_retrieval_packing,
+    op5_minhash_near_copies,
     op6_progressive_jpeg,
     op7_prefix_filtered_decontamination,
     op8_warc_derivatives,
