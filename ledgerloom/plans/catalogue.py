@@ -2,10 +2,349 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from ledgerloom.functions import labels, numbers, periods
+from ledgerloom.operators import locate, merge, reconcile, registry, sheets, words
+from ledgerloom.plans import fixtures
+from ledgerloom.sources import markup_tables
+from ledgerloom.sources.star import STATEMENTS_SQL, statements, table, values
+
+YEARS = [str(y) for y in range(2005, 2013)]
+_QUERIES: dict = {}
+_SQL: dict[str, str] = {}
+
+
+def _query(sql: str | None = None):
+    def add(f):
+        _QUERIES[f.__name__] = f
+        if sql is not None:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
 
 def queries() -> dict:
-    return {}
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_SQL)
+
+
+# --- DuckDB pieces that several queries use; a macro for each scalar rule
+
+
+def _amount_sql(c: str) -> str:
+    """numbers.amount in DuckDB."""
+    text = f"trim(translate({c}, '¥￦₩', ''))"
+    mark = r"(US\$|HK\$|KRW|USD|\$|￦|₩|¥)"
+    token = rf"trim(regexp_replace(regexp_replace(trim(regexp_replace(regexp_replace({text}, '^{mark}\s*', '', 'i'), '\s*{mark}$', '', 'i')), '^W ', ''), ' W$', ''))"
+    bare = f"try_cast(replace(regexp_replace({token}, '[()]', '', 'g'), ',', '') as decimal(28,8))"
+    return rf"""case when not regexp_matches({text}, '^[0-9]{{4}}$') and {text} not in ('-', '–', '')
+      and regexp_matches({token}, '^(\(?-?([0-9]+|[0-9]{{1,3}}(,[0-9]{{3}})+)(\.[0-9]+)?\)?|-)$')
+      then case when {token} like '(%' and {token} like '%)' then -{bare} else {bare} end end"""
+
+
+def _key_sql(c: str) -> str:
+    return rf"trim(regexp_replace(regexp_replace(replace(lower({c}), '&', 'and'), '\([^)]*\)', '', 'g'), '[^a-z0-9]+', ' ', 'g'))"
+
+
+_FACTS_SQL = f"""with {STATEMENTS_SQL},
+keyed as (select *, {_key_sql("label")} as base from statements),
+facts as (
+  select *, base || '#' || row_number() over (partition by company, workbook, sheet, period, base order by label) as key,
+    ({_amount_sql("raw_text")})::decimal(28,8) as value from keyed where base <> ''),
+merged as (select company, sheet, key, period, arg_max_null(value, workbook) as value, max(workbook) as workbook from facts group by all),
+named as (select company, sheet, key, arg_max(label, workbook) as label from facts group by all)"""
+
+# --- statements from the star schema
+
+
+@_query(_FACTS_SQL + " select company, sheet, label, key, " + ", ".join(f"max(value) filter (period = '{y}')::decimal(28,8) as y{y}" for y in YEARS) + " from merged join named using (company, sheet, key) group by company, sheet, label, key")
+def merged_statement_annual(spark, sf_dir) -> DataFrame:
+    """One wide multi-year statement per company and sheet, merged from annual reports: the flagship."""
+    return merge.wide(merge.merged(merge.facts(statements(spark, sf_dir))), YEARS)
+
+
+@_query(_FACTS_SQL + " select company, sheet, key, period, value::decimal(28,8) as value, workbook, label from merged join named using (company, sheet, key)")
+def last_writer_wins_nulls(spark, sf_dir) -> DataFrame:
+    """The same in long form: a later report's blank erases an earlier amount."""
+    return merge.merged(merge.facts(statements(spark, sf_dir))).select("company", "sheet", "key", "period", F.col("value").cast("decimal(28,8)").alias("value"), "workbook", "label")
+
+
+@_query(f"with {STATEMENTS_SQL} select company, 'Q' || quarter || ' ' || year as period, year * 10 + quarter as sort_key, sum(v)::decimal(28,4) as value from sales group by company, year, quarter")
+def merged_statement_quarterly(spark, sf_dir) -> DataFrame:
+    """Quarter columns in order, from header text that is parsed back to periods."""
+    from ledgerloom.sources.star import sales
+
+    by_quarter = sales(spark, sf_dir, quarterly=True).withColumn("v", F.abs("v"))
+    header = by_quarter.withColumn("p", periods.parse(F.concat(F.lit("Q"), "quarter", F.lit(" "), "year")))
+    return header.groupBy("company", F.col("p.label").alias("period"), (F.col("p.year") * 10 + F.col("p.quarter")).alias("sort_key")).agg(F.sum("v").cast("decimal(28,4)").alias("value"))
+
+
+@_query(f"with {STATEMENTS_SQL} select company, workbook, max(period::int) as latest, row_number() over (partition by company order by max(period::int), workbook) as position from statements group by company, workbook")
+def latest_period_order(spark, sf_dir) -> DataFrame:
+    """Reports in the order in which they are merged: by their latest period."""
+    p = periods.parse(F.col("period"))
+    latest = statements(spark, sf_dir).groupBy("company", "workbook").agg(F.max(periods.sort_key(p)).alias("latest"))
+    return latest.select("company", "workbook", F.col("latest.year").alias("latest"), F.row_number().over(W.partitionBy("company").orderBy("latest", "workbook")).alias("position"))
+
+
+@_query(f"with {STATEMENTS_SQL} select company, sheet, period, count(distinct workbook) as n_workbooks, min(workbook) as first_seen from statements group by all")
+def union_periods(spark, sf_dir) -> DataFrame:
+    """The union of period columns over reports."""
+    return statements(spark, sf_dir).groupBy("company", "sheet", "period").agg(F.count_distinct("workbook").alias("n_workbooks"), F.min("workbook").alias("first_seen"))
+
+
+@_query(_FACTS_SQL + """, items as (select distinct company, sheet, key from merged), spans as (select distinct company, sheet, period from merged)
+ select i.company, i.sheet, i.key, s.period, m.value::decimal(28,8) as value from items i join spans s using (company, sheet) left join merged m using (company, sheet, key, period)""")
+def densify_rows(spark, sf_dir) -> DataFrame:
+    """Every item of a statement with every period of it, null where no report has an amount."""
+    m = merge.merged(merge.facts(statements(spark, sf_dir)))
+    by = ["company", "sheet"]
+    every = m.select(*by, "key").distinct().join(m.select(*by, "period").distinct(), by)
+    return every.join(m.select(*by, "key", "period", "value"), [*by, "key", "period"], "left").select(*by, "key", "period", F.col("value").cast("decimal(28,8)").alias("value"))
+
+
+@_query()
+def fuzzy_label_match(spark, sf_dir) -> DataFrame:
+    """Part names against edited ones: nearest label, similarity 0.96 or more."""
+    names = table(spark, sf_dir, "part").select(F.lit(1).alias("g"), labels.item_key(F.concat("p_type", F.lit(" "), "p_name", F.lit(" receivable from related parties"))).alias("key")).distinct()
+    return merge.fuzzy_matches(names, names.select("g", F.concat("key", F.lit("s")).alias("key")), ["g"]).drop("g")
+
+
+# --- amounts, units, labels
+
+
+@_query(f"select raw_text, ({_amount_sql('raw_text')})::decimal(28,8) as value from {fixtures.AMOUNTS}")
+def parse_amounts(spark, sf_dir) -> DataFrame:
+    """Cell texts to amounts."""
+    return values(spark, fixtures.AMOUNTS).withColumn("value", numbers.amount(F.col("raw_text")))
+
+
+@_query(f"select l_orderkey, l_linenumber, ({_amount_sql('raw')})::decimal(28,8) as value from (select l_orderkey, l_linenumber, 'US$ (' || format('{{:,}}', cast(round(l_extendedprice::decimal(18,4), 0) as bigint)) || ')' as raw from lineitem)")
+def parse_line_amounts(spark, sf_dir) -> DataFrame:
+    """The same over all order lines, printed as negative dollar amounts."""
+    whole = F.format_number(F.round(F.col("l_extendedprice").cast("decimal(18,4)"), 0), 0)
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", numbers.amount(F.concat(F.lit("US$ ("), whole, F.lit(")"))).alias("value"))
+
+
+_SCALE_SQL = "case " + " ".join(rf"when regexp_matches(h, '{p.replace(chr(39), chr(39) * 2)}') then {s}" for p, s in numbers.SCALES) + " else 1 end"
+
+
+@_query(rf"select id, ({_SCALE_SQL})::decimal(11,6) as scale from (select id, regexp_replace(lower(header), '\s+', ' ', 'g') as h from {fixtures.HEADERS})")
+def unit_scale_detect(spark, sf_dir) -> DataFrame:
+    """The scale to millions that header texts ask for."""
+    return values(spark, fixtures.HEADERS).select("id", numbers.scale_of(F.col("header")).alias("scale"))
+
+
+@_query(rf"""select id, regexp_replace(regexp_replace(regexp_replace(header, '\bin\s+(thousands?|billions?)\b', 'in millions', 'gi'),
+ '\b(expressed|amounts?)\s+in\s+((?:korean\s+)?won|krw|(?:u\.s\.\s+)?dollars?|usd)\b', '\1 in millions of \2', 'gi'), '\$000\b', '$m', 'gi') as header from {fixtures.HEADERS}""")
+def unit_text_rewrite(spark, sf_dir) -> DataFrame:
+    """Header texts with their units rewritten to millions."""
+    return values(spark, fixtures.HEADERS).select("id", numbers.in_millions(F.col("header")).alias("header"))
+
+
+@_query(rf"""select label, regexp_matches(lower(trim(label)), '{numbers.PER_SHARE}') as not_monetary, regexp_matches(trim(label), '{labels.NOTE_CELL}') as is_note,
+ {_key_sql("label")} as item_key, regexp_replace(regexp_replace(trim(lower(label)), '\s+', ' ', 'g'), '[–—]', '-', 'g') as checked from {fixtures.LABELS}""")
+def label_predicates(spark, sf_dir) -> DataFrame:
+    """Labels with the predicates and normal forms that other operators use."""
+    c = F.col("label")
+    return values(spark, fixtures.LABELS).select(c, numbers.not_monetary(c).alias("not_monetary"), labels.is_note(c).alias("is_note"), labels.item_key(c).alias("item_key"), labels.checked_label(c).alias("checked"))
+
+
+@_query(f"select p_partkey, {_key_sql('p_name || ' + chr(39) + ' & ' + chr(39) + ' || p_type || ' + chr(39) + ' (net)' + chr(39))} as item_key from part")
+def normalize_labels(spark, sf_dir) -> DataFrame:
+    """Decorated part names as merge keys."""
+    return table(spark, sf_dir, "part").select("p_partkey", labels.item_key(F.concat("p_name", F.lit(" & "), "p_type", F.lit(" (net)"))).alias("item_key"))
+
+
+@_query(r"""select p_partkey, substr(regexp_replace(regexp_replace(p_name || '/' || p_type, '[^\p{L}\p{N}_-]', '_', 'g'), '^_+|_+$', '', 'g'), 1, 80) as safe_name,
+ case when p_partkey % 900 + 1 > 702 then chr((65 + ((p_partkey % 900 + 1 - 27) // 676 - 1) % 26)::int) else '' end || case when p_partkey % 900 + 1 > 26 then chr((65 + ((p_partkey % 900) // 26 - 1) % 26)::int) else '' end
+ || chr((65 + (p_partkey % 900) % 26)::int) as letters from part""")
+def safe_names(spark, sf_dir) -> DataFrame:
+    """File names, and spreadsheet column letters."""
+    n = (F.col("p_partkey") % 900 + 1).cast("int")
+    return table(spark, sf_dir, "part").select("p_partkey", labels.safe_name(F.concat("p_name", F.lit("/"), "p_type")).alias("safe_name"), labels.column_letters(n).alias("letters"))
+
+
+# --- periods
+
+
+@_query()
+def parse_periods(spark, sf_dir) -> DataFrame:
+    """Header texts to periods."""
+    return values(spark, fixtures.PERIODS).select("raw_text", periods.parse(F.col("raw_text")).alias("p")).select("raw_text", "p.*")
+
+
+@_query("""select o_orderkey, case o_orderkey % 4 when 0 then 'Q' || quarter(o_orderdate) || ' ' || y when 1 then 'Q' || quarter(o_orderdate) || ' ' || y when 2 then y::varchar
+ else '9-Month Q' || quarter(o_orderdate) || ' ' || y end as label, y as year, case when o_orderkey % 4 = 2 then 0 else quarter(o_orderdate) end::int as quarter
+ from (select *, (year(o_orderdate) + 10)::int as y from orders)""")
+def parse_order_periods(spark, sf_dir) -> DataFrame:
+    """Order dates printed in four header styles and parsed back."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", (F.year("o_orderdate") + 10).cast("string").alias("y"), F.quarter("o_orderdate").cast("string").alias("q"))
+    style = F.col("o_orderkey") % 4
+    text = (
+        F.when(style == 0, F.concat(F.lit("Q"), "q", F.lit(" "), "y"))
+        .when(style == 1, F.concat(F.lit("FY"), F.substring("y", 3, 2), F.lit(" "), "q", F.lit("Q")))
+        .when(style == 2, F.concat(F.lit("31 December "), "y"))
+        .otherwise(F.concat(F.lit("9-month Q"), "q", F.lit(" "), "y"))
+    )
+    return o.select("o_orderkey", periods.parse(text).alias("p")).select("o_orderkey", "p.label", "p.year", "p.quarter")
+
+
+# --- sheets
+
+
+@_query()
+def sheet_to_facts(spark, sf_dir) -> DataFrame:
+    """Statement sheets to facts."""
+    return sheets.facts(values(spark, fixtures.SHEETS))
+
+
+@_query()
+def entity_period_labels(spark, sf_dir) -> DataFrame:
+    """Header periods, with entity names where labels would be equal."""
+    cells = values(spark, fixtures.SHEETS)
+    return sheets.with_entities(cells, sheets.header_cells(cells)).select("doc_id", "row_idx", "col_idx", "label")
+
+
+@_query("""select l_orderkey, l_linenumber, l_returnflag || '#' || row_number() over (partition by l_orderkey, l_returnflag order by l_linenumber, l_partkey, l_suppkey, l_extendedprice) as key from lineitem""")
+def occurrence_keys(spark, sf_dir) -> DataFrame:
+    """Repeated labels of an order, numbered in order."""
+    nth = F.row_number().over(W.partitionBy("l_orderkey", "l_returnflag").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.concat("l_returnflag", F.lit("#"), nth).alias("key"))
+
+
+# --- reconciliation
+
+
+@_query()
+def recon_issues(spark, sf_dir) -> DataFrame:
+    """Identities that fail on fixture statements."""
+    return reconcile.issues(values(spark, fixtures.STATEMENTS))
+
+
+@_query()
+def failed_cells(spark, sf_dir) -> DataFrame:
+    """The cells that take part in failures."""
+    return reconcile.failed_cells(values(spark, fixtures.STATEMENTS))
+
+
+@_query("""select o_orderkey, o_totalprice::decimal(18,2) as reported, t.calculated, (o_totalprice::decimal(18,2) - t.calculated)::decimal(20,2) as difference
+ from orders join (select l_orderkey, sum(l_extendedprice::decimal(18,2))::decimal(18,2) as calculated from lineitem group by 1) t on o_orderkey = l_orderkey
+ where abs(o_totalprice::decimal(18,2) - t.calculated) > 1""")
+def recon_order_totals(spark, sf_dir) -> DataFrame:
+    """Orders whose total is not the sum of their lines, within a tolerance of 1."""
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("decimal(18,2)").alias("calculated"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").alias("reported"))
+    both = orders.join(lines, "o_orderkey").withColumn("difference", (F.col("reported") - F.col("calculated")).cast("decimal(20,2)"))
+    return both.where(F.abs("difference") > 1)
+
+
+# --- pages
+
+
+@_query()
+def locate_candidates(spark, sf_dir) -> DataFrame:
+    """Statement candidates of fixture documents."""
+    return locate.candidates(values(spark, fixtures.PAGES))
+
+
+@_query(r"""select doc_id, array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(x, '[ \t]+', ' ', 'g'))), lambda x: x <> '')[1:8], ' ') as head from documents""")
+def page_head_lines(spark, sf_dir) -> DataFrame:
+    """The first eight lines of each document that are not blank."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(labels.head(F.col("text"), 8), " ").alias("head"))
+
+
+@_query("""with e as (select *, case when ts - lag(ts) over w <= interval 1 hour and lag(event_type) over w = event_type then 0 else 1 end as fresh from events window w as (partition by user_id order by ts, event_id)),
+ i as (select *, sum(fresh) over (partition by user_id order by ts, event_id) as island from e)
+ select user_id, island::bigint as island, any_value(event_type) as event_type, count(*) as n, min(event_id) as first_id, sum(value::decimal(18,6))::decimal(28,6) as total from i group by user_id, island""")
+def event_islands(spark, sf_dir) -> DataFrame:
+    """Adjacent merges over events: runs of one type with gaps of at most an hour."""
+    order = W.partitionBy("user_id").orderBy("ts", "event_id")
+    near = (F.col("ts") - F.lag("ts").over(order) <= F.expr("interval '1' hour")) & (F.lag("event_type").over(order) == F.col("event_type"))
+    marked = table(spark, sf_dir, "events").withColumn("fresh", F.when(near, 0).otherwise(1)).withColumn("island", F.sum("fresh").over(order))
+    return marked.groupBy("user_id", "island").agg(F.min("event_type").alias("event_type"), F.count("*").alias("n"), F.min("event_id").alias("first_id"), F.sum(F.col("value").cast("decimal(18,6)")).cast("decimal(28,6)").alias("total"))
+
+
+@_query()
+def words_to_cells(spark, sf_dir) -> DataFrame:
+    """Page words to lines, anchors and cells."""
+    found = values(spark, fixtures.WORDS).select("doc_id", "page_number", *[F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1")], "text")
+    return words.to_cells(words.to_lines(found), words.anchors(found))
+
+
+@_query()
+def cluster_anchors(spark, sf_dir) -> DataFrame:
+    """Column anchors of pages."""
+    return words.anchors(values(spark, fixtures.WORDS).select("doc_id", "page_number", *[F.col(c).cast("double").alias(c) for c in ("x0", "x1")]))
+
+
+# --- tables in texts
+
+
+@_query()
+def html_tables(spark, sf_dir) -> DataFrame:
+    """Cells of HTML tables, spans laid out."""
+    return markup_tables.html_tables(values(spark, fixtures.HTML))
+
+
+@_query()
+def markdown_tables(spark, sf_dir) -> DataFrame:
+    """Cells of markdown tables."""
+    return markup_tables.markdown_tables(values(spark, fixtures.MARKDOWN))
+
+
+@_query()
+def json_tables(spark, sf_dir) -> DataFrame:
+    """Cells of JSON table documents."""
+    return markup_tables.json_tables(values(spark, fixtures.JSON))
+
+
+# --- the registry
+
+
+def _reports(spark, sf_dir) -> DataFrame:
+    name = F.concat(F.lit("report-"), "doc_id", F.lit(".pdf"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("company"), name.alias("file_name"), F.concat("source", F.lit("/"), name).alias("source_path"), F.sha2(F.col("text").cast("binary"), 256).alias("sha256"))
+
+
+_REPORTS_SQL = "reports as (select doc_id, source as company, 'report-' || doc_id || '.pdf' as file_name, source || '/report-' || doc_id || '.pdf' as source_path, sha256(text) as sha256 from documents)"
+
+
+@_query(f"with {_REPORTS_SQL} select * from reports where sha256 not in (select sha256 from reports where doc_id % 3 = 0)")
+def unprocessed_reports(spark, sf_dir) -> DataFrame:
+    """Reports whose content no processed report has (a third of them has been processed)."""
+    r = _reports(spark, sf_dir)
+    return registry.unprocessed(r, r.where("doc_id % 3 = 0")).select(*r.columns)
+
+
+@_query(f"with {_REPORTS_SQL}, names as (select 'report-' || (c_custkey * 5) || '.pdf' as name from customer union all select 'src1/report-' || c_custkey || '.pdf' from customer) select * from reports where file_name in (select name from names) or source_path in (select name from names)")
+def explicit_reports(spark, sf_dir) -> DataFrame:
+    """Reports that are named by path or file, processed or not."""
+    c = table(spark, sf_dir, "customer")
+    names = c.select(F.concat(F.lit("report-"), (F.col("c_custkey") * 5).cast("string"), F.lit(".pdf")).alias("name")).unionByName(c.select(F.concat(F.lit("src1/report-"), F.col("c_custkey").cast("string"), F.lit(".pdf")).alias("name")))
+    return registry.chosen(_reports(spark, sf_dir), names)
+
+
+_NEW_SQL = "fresh as (select doc_id, company, file_name, source_path, case when doc_id % 2 = 0 then sha256 else sha256(sha256) end as sha256 from reports where doc_id % 5 = 0)"
+
+
+@_query(f"""with {_REPORTS_SQL}, {_NEW_SQL} select * from reports r where source_path not in (select source_path from fresh) and sha256 not in (select sha256 from fresh) union all select * from fresh""")
+def registry_upsert(spark, sf_dir) -> DataFrame:
+    """New records replace those of the same path or content."""
+    r = _reports(spark, sf_dir)
+    new = r.where("doc_id % 5 = 0").withColumn("sha256", F.when(F.col("doc_id") % 2 == 0, F.col("sha256")).otherwise(F.sha2(F.col("sha256").cast("binary"), 256)))
+    return registry.upsert(r, new)
 
 
-def oracle_sql() -> dict:
-    return {}
+@_query(f"with {_REPORTS_SQL}, done as (select company, count(*) as n from reports where doc_id % 3 = 0 group by 1), r as (select company, count(*) as n from reports group by 1) select company, r.n as n_reports, coalesce(done.n, 0) as n_processed, greatest(r.n - coalesce(done.n, 0), 0) as n_pending from r left join done using (company)")
+def company_dashboard(spark, sf_dir) -> DataFrame:
+    """Reports, records and pending reports by company."""
+    r = _reports(spark, sf_dir)
+    return registry.dashboard(r, r.where("doc_id % 3 = 0"))
