@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.functions import labels, numbers
 
@@ -37,7 +38,7 @@ def wide(merged_cells: DataFrame, periods: list[str], prefix: str = "y") -> Data
     return out.select("company", "sheet", "label", "key", *[F.col(p).cast("decimal(28,8)").alias(f"{prefix}{p}") for p in periods])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     """Matching-blocks similarity of two texts, left first."""
     return pd.Series([SequenceMatcher(None, a, b).ratio() for a, b in zip(left, right)])
