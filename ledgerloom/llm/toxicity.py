@@ -29,8 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ORDER, DECAY, COVER, TOP, RIDGE, MOST = 3, 0.7, 0.75, 1, 0.1, 1.2
-LANDMARKS, SAMPLE, LONGEST = 64, 3000, 40
+ORDER, DECAY, COVER, TOP, RIDGE, MOST = 4, 0.5, 0.75, 2, 0.05, 1.2
+LANDMARKS, SAMPLE, LONGEST = 96, 3000, 40
 FOLDS = 5
 _SPACED = re.compile(r"(?:(?<=\s)|^)\S(?:\s\S){2,}(?=\s|$)")
 #: Every unit is written between these, so that its ends count as characters.
@@ -216,7 +216,7 @@ def _choose(positive: Counter, negative: Counter, n_pos: int, n_neg: int, most:
     return telling + clean
 
 
-def fit(labelled: Iterable[tuple[str, int]], landmarks: int = LANDMARKS, c: float = 3.0, rounds_of_witnesses: int = 4) -> Model | None:
+def fit(labelled: Iterable[tuple[str, int]], landmarks: int = LANDMARKS, c: float = 10.0, rounds_of_witnesses: int = 4) -> Model | None:
     """The model of (text, label) rows, or None where they don't tell toxic from clean."""
     bags = [(units(t), int(y)) for t, y in labelled]
     n_pos, n_neg = sum(y for _, y in bags), sum(1 - y for _, y in bags)
