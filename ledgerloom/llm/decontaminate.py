@@ -188,3 +188,23 @@ def keep_clean(documents: DataFrame, benchmark: DataFrame, size: int = SIZE, blo
         return documents.mapInArrow(scan, documents.schema)
     bad = contamination(documents, benchmark, size, block_words).where("contaminated").select("doc_id").distinct()
     return documents.join(bad, documents["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
+
+
+#: contamination(documents, benchmark) by looking up every window of every document.
+SQL = r"""
+with d as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w from documents),
+b as (
+  select coalesce(item_id::varchar, '') as item, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w from benchmark),
+bw as (
+  select item, least(len(w), 13) as l, unnest(list_transform(range(1, greatest(len(w) - 11, 2)), lambda k: array_to_string(w[k:k + 12], ' '))) as t from b where len(w) > 0),
+dw as (
+  select doc_id, l, unnest(range(1, len(w) - l + 2)) as k, unnest(list_transform(range(1, len(w) - l + 2), lambda k: array_to_string(w[k:k + l - 1], ' '))) as t
+  from d, (select distinct l from bw) where len(w) >= l),
+h as (select distinct doc_id, k, l, item from dw join bw using (l, t)),
+p as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(k, k + l)) as p from h) group by 1),
+f as (select doc_id, count(distinct item) as n_items, string_agg(distinct item, ',' order by item) as items from h group by 1)
+select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(items, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from d left join p using (doc_id) left join f using (doc_id)
+"""

@@ -315,3 +315,21 @@ def keep_first(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     kept = near_copies(documents, size, percent).where("kept").select("doc_id").distinct()
     joined = documents.join(kept, documents["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
     return joined.dropDuplicates(["doc_id", "text"])
+
+
+#: near_copies(documents, 3, 85) by brute force: every pair that shares a shingle, then all that each document reaches.
+SQL = r"""
+with recursive w as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+s as (
+  select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end) as s from w),
+n as (select doc_id, len(s)::bigint as n from s),
+x as (select doc_id, unnest(s) as k from s),
+c as (select a.doc_id as a, b.doc_id as b, count(*) as i from x a join x b on a.k = b.k and a.doc_id < b.doc_id group by all),
+l as (select a, b from c join n p on p.doc_id = a join n q on q.doc_id = b where 100 * i >= 85 * (p.n + q.n - i)),
+e as (select a, b from l union select b, a from l),
+r as (select doc_id, doc_id as reached from n union select r.doc_id, e.b from r join e on r.reached = e.a)
+select n.doc_id, n.n as n_shingles, m.component_id, n.doc_id = m.component_id as kept
+from n join (select doc_id, min(reached) as component_id from r group by 1) m on n.doc_id = m.doc_id
+"""

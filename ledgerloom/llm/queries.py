@@ -70,4 +70,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_prefix_target_chat": chat.DIGEST_SQL}
+    return {"op2_prefix_target_chat": chat.DIGEST_SQL, "op5_minhash_near_copies": near_copies.SQL, "op7_prefix_filtered_decontamination": decontaminate.SQL}
