@@ -91,11 +91,11 @@ def blocks(page: str | None) -> Iterator[Block]:
             continue
         tag = m[2].lower()
         if m[1]:
-            if any(x.tag == tag for x in stack):
-                if tag in BLOCK:
+            k = max((k for k, x in enumerate(stack) if x.tag == tag), default=0)
+            if k:
+                if tag in BLOCK or stack[-1].noise != stack[k - 1].noise:
                     yield from flush()
-                while stack.pop().tag != tag:
-                    pass
+                del stack[k:]
             elif tag == "br":
                 parts.append(" ")
             continue

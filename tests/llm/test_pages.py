@@ -24,6 +24,7 @@ def test_broken_pages():
     assert main("plain text") == ["plain text"] and main("a < b &lt; c") == ["a < b < c"]
     assert main("<p>x</div></span>y") == ["x", "y"] or main("<p>x</div></span>y") == ["xy"]
     assert main("<article>" * 2000 + "deep" + "</article>" * 1000) == ["deep"]
+    assert main("<p>a <button>b</button> c <span class='ad'>d</span>e") == ["a", "c", "e"]
     assert main('<p title="a>b">q</p><script>never closed') == ["q"]
 
 
