@@ -33,8 +33,8 @@ def page(body):
 
 
 def test_style_tree(spark):
-    rows = [(k, f"http://h.example/{k}", page(f"<div class=promo><p>Join us</p><p>Now</p></div><div class=text><p>Story {k} is new</p>{'<p>more</p>' * (k % 4)}<p>Line {k * 7}</p></div>")) for k in range(20)]
-    rows += [(100, "http://h.example/x", page("<nav>n</nav><article><p>Join us</p></article>")), (101, None, None), (102, "", ""), (103, "http://few.example/", page("<div class=promo><p>Join us</p></div>")), (0, rows[0][1], rows[0][2])]
+    rows = [(k, f"http://h.example/{k}", page(f"<div class=teaser><p>Join us</p><p>Now</p></div><div class=text><p>Story {k} is new</p>{'<p>more</p>' * (k % 4)}<p>Line {k * 7}</p></div>")) for k in range(20)]
+    rows += [(100, "http://h.example/x", page("<nav>n</nav><article><p>Join us</p></article>")), (101, None, None), (102, "", ""), (103, "http://few.example/", page("<div class=teaser><p>Join us</p></div>")), (0, rows[0][1], rows[0][2])]
     df = spark.createDataFrame(rows, SCHEMA).withColumn("host", F.lit("clash")).withColumn("low", F.lit(0))
     got = {r["page_id"]: r["text"] for r in style_tree.main_text(df).collect()}
     assert style_tree.main_text(df).count() == len(rows)
