@@ -46,7 +46,7 @@ class _Words(dict):
     """Hashes of words, up to a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
+        if len(self) > 150_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h

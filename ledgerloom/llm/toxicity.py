@@ -1,12 +1,12 @@
 """Toxicity by a subsequence string-kernel SVM on Nystrom landmarks.
 
-A text is a bag of units: its lowered tokens, and runs of single characters joined ("i d i o t").  The gap-weighted
-subsequence kernel of order ``ORDER`` compares a unit with the landmarks; every skipped character costs a factor
-``DECAY``, so insults stay close to their landmark when characters are inserted or spaced out.  With landmark
-kernel matrix K and kernel vector k(u), features are K^-1/2 k(u), and a linear SVM (squared hinge) decides.  Labels
-are per text, so training is multiple-instance: of a toxic text the unit that decides highest counts (with variants of
-it that have characters inserted), of a clean text all.  A text's score is a logistic function of its TOP highest
-decisions.
+A text is a bag of units: its lowered tokens, and runs of single characters joined ("i d i o t", "i-d-i-o-t").  The
+gap-weighted subsequence kernel of order ``ORDER`` compares a unit with the landmarks; every skipped character costs a
+factor ``DECAY``, so insults stay close to their landmark when characters are inserted.  With landmark kernel matrix K
+and kernel vector k(u), features are K^-1/2 k(u), and a linear SVM (squared hinge) decides.  Labels are per text, so
+training is multiple-instance: of a toxic text count the units that toxic texts have far more often than chance
+explains (by G squared), with variants that have characters inserted, and in texts without such a unit the one that
+decides highest; of a clean text all.  A text's score is a logistic function of its ``TOP`` highest decisions.
 
 A landmark whose longest common subsequence with the unit covers less than ``COVER`` of it counts as kernel 0, in
 training as in scoring; the test is bit-parallel, and spares most words the kernel.
@@ -19,6 +19,7 @@ equal texts get equal scores; several labels for a doc_id count separately; othe
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections import Counter
 from collections.abc import Iterable
@@ -29,12 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ORDER, DECAY, COVER, TOP, RIDGE, MOST = 4, 0.5, 0.75, 2, 0.05, 1.2
+ORDER, DECAY, COVER, TOP, RIDGE, MOST = 4, 0.5, 0.75, 1, 0.05, 1.2
 LANDMARKS, SAMPLE, LONGEST = 96, 3000, 40
+EVIDENCE, C, WEIGHT, CLEAN = 16.0, 30.0, 1000.0, 60.0
 FOLDS = 5
 _SPACED = re.compile(r"(?:(?<=\s)|^)\S(?:\s\S){2,}(?=\s|$)")
 #: Every unit is written between these, so that its ends count as characters.
 START, STOP = "\x02", "\x03"
+_SIGNS = re.compile(r"\w(?:[^\w\s]+\w){2,}")
 _EDGE = ".,;:!?\"'()[]"
 
 
@@ -43,10 +46,14 @@ def units(text: str | None) -> set[str]:
     if not text:
         return set()
     low = text.lower()
-    out = {w.strip(_EDGE) for w in low.split()}
+    out = {w if w.isalpha() else w.strip(_EDGE) for w in set(low.split())}
     for m in _SPACED.finditer(low):
         out.add("".join(m[0].split()))
-    for w in [w for w in out if len(w) > LONGEST]:
+    for w in [w for w in out if len(w) > LONGEST or not w.isalnum()]:
+        if _SIGNS.fullmatch(w):
+            out.add("".join(c for c in w if c.isalnum()))
+        if len(w) <= LONGEST:
+            continue
         out.discard(w)
         out.update(w[i : i + LONGEST] for i in range(0, len(w) - LONGEST // 2, LONGEST // 2))
     out.discard("")
@@ -101,24 +108,31 @@ def subsequence_kernel(a: list[str], b: list[str], pairs: tuple[np.ndarray, np.n
     return out
 
 
-def common_subsequence(a: list[str], b: list[str]) -> np.ndarray:
+def common_subsequence(a: list[str], b: list[str], at_once: int = 512) -> np.ndarray:
     """Length of the longest common subsequence of every a with every b (of at most 63 characters), bit-parallel."""
-    x, _ = _padded(a, -1)
-    alphabet, codes = np.unique(x, return_inverse=True)
-    codes = codes.reshape(x.shape)
-    masks = np.zeros((len(alphabet), len(b)), np.uint64)
-    place = {c: k for k, c in enumerate(alphabet.tolist())}
+    kind = np.uint32 if max(map(len, b), default=0) < 32 else np.uint64
+    alphabet = {c: k + 1 for k, c in enumerate(sorted({ord(c) for t in b for c in t[:63]}))}
+    masks = np.zeros((len(alphabet) + 1, len(b)), kind)
     for j, t in enumerate(b):
-        for k, ch in enumerate(t[:63]):
-            if ord(ch) in place:
-                masks[place[ord(ch)], j] |= np.uint64(1 << k)
-    full = np.array([(1 << min(63, len(t))) - 1 for t in b], np.uint64)
-    v = np.tile(full, (len(a), 1))
-    for s in range(x.shape[1]):
-        m = masks[codes[:, s]]
-        u = v & m
-        v = ((v + u) | (v - u)) & full
-    return np.bitwise_count(full[None] & ~v).astype(np.int64)
+        for k, c in enumerate(t[:63]):
+            masks[alphabet[ord(c)], j] |= kind(1 << k)
+    known, place = np.array([0, *alphabet]), np.array([0, *alphabet.values()])
+    full = np.array([(1 << min(63, len(t))) - 1 for t in b], kind)
+    out = np.zeros((len(a), len(b)), np.int64)
+    for i in range(0, len(a), at_once):
+        x, _ = _padded(a[i : i + at_once], -1)
+        slot = np.minimum(np.searchsorted(known, x), len(known) - 1)
+        codes = np.where(known[slot] == x, place[slot], 0)
+        v = np.tile(full, (len(x), 1))
+        m, t = np.empty_like(v), np.empty_like(v)
+        for s in range(x.shape[1]):
+            np.take(masks, codes[:, s], axis=0, out=m)
+            np.bitwise_and(v, m, out=m)
+            np.add(v, m, out=t)
+            np.subtract(v, m, out=v)
+            np.bitwise_or(v, t, out=v)
+        out[i : i + at_once] = np.bitwise_count(full & ~v)
+    return out
 
 
 def _near(texts: list[str], landmarks: list[str]) -> np.ndarray:
@@ -162,7 +176,7 @@ class Model:
 
 
 def _top(decisions: list[float], floor: float) -> list[float]:
-    best = sorted((min(max(x, floor), MOST) for x in decisions), reverse=True)[:TOP]
+    best = [min(max(x, floor), MOST) for x in heapq.nlargest(TOP, decisions)]
     return best + [floor] * (TOP - len(best))
 
 
@@ -192,42 +206,59 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float, rounds: int
 
 
 def _logistic(d: np.ndarray, y: np.ndarray, rounds: int = 50) -> np.ndarray:
-    """Platt scaling of a text's TOP decisions, with his smoothed targets; the last weight is the offset."""
+    """Platt scaling of a text's TOP decisions, with his smoothed targets; no weight is negative; the last is the offset."""
     t = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / (len(y) - y.sum() + 2))
-    x = np.hstack((d, np.ones((len(d), 1))))
-    w = np.zeros(x.shape[1])
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        w = w + np.linalg.solve((x * (p * (1 - p) + 1e-6)[:, None]).T @ x + 1e-2 * np.eye(len(w)), x.T @ (t - p) - 1e-2 * w)
-    return w
+    use = np.ones(d.shape[1], bool)
+    while True:
+        x = np.hstack((d[:, use], np.ones((len(d), 1))))
+        w = np.zeros(x.shape[1])
+        for _ in range(rounds):
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            w = w + np.linalg.solve((x * (p * (1 - p) + 1e-6)[:, None]).T @ x + 1e-2 * np.eye(len(w)), x.T @ (t - p) - 1e-2 * w)
+        if (w[:-1] >= 0).all() or not use.any():
+            break
+        use[np.flatnonzero(use)[np.argmin(w[:-1])]] = False
+    out = np.zeros(d.shape[1] + 1)
+    out[:-1][use], out[-1] = w[:-1], w[-1]
+    return out
+
+
+def _evidence(k: np.ndarray, n: np.ndarray, n_pos: int, n_neg: int) -> np.ndarray:
+    """Log-likelihood ratio (G squared) of a unit being in k toxic and n clean texts, against one rate for both."""
+    share = (k + n) / (n_pos + n_neg)
+    part = lambda x, size: np.where(x > 0, x * np.log(np.maximum(x, 1e-9) / (size * share)), 0.0)
+    return 2 * (part(k, n_pos) + part(n, n_neg) + part(n_pos - k, n_pos * (1 - share) / share) + part(n_neg - n, n_neg * (1 - share) / share))
 
 
-def _choose(positive: Counter, negative: Counter, n_pos: int, n_neg: int, most: int) -> list[str]:
-    """Landmarks: units that toxic texts have far more often, and then the clean units most like those."""
-    support = max(3, n_pos // 200)
-    lift = {u: np.log((k + 0.5) / n_pos) - np.log((negative[u] + 0.5) / n_neg) for u, k in positive.items() if k >= support and len(u) >= ORDER + 2}
-    telling = sorted((u for u, x in lift.items() if x > np.log(8)), key=lambda u: (-lift[u] * np.sqrt(positive[u]), u))[: most * 3 // 4]
+def _choose(positive: Counter, negative: Counter, n_pos: int, n_neg: int, most: int) -> tuple[list[str], list[str]]:
+    """Units that toxic texts have far more often than chance explains, and the clean units most like those."""
+    seen = sorted(u for u, k in positive.items() if k >= 3 and len(u) >= ORDER + 2)
+    k, n = (np.array([c[u] for u in seen], float) for c in (positive, negative))
+    evidence = _evidence(k, n, n_pos, n_neg)
+    good = np.flatnonzero((evidence >= EVIDENCE) & ((k + 0.5) / n_pos > 4 * (n + 0.5) / n_neg))
+    telling = [seen[i] for i in good[np.argsort(-evidence[good], kind="stable")][: most * 3 // 4].tolist()]
     if not telling:
-        return []
-    clean = sorted((u for u, k in negative.items() if k >= 2 and ORDER + 2 <= len(u) <= 63 and u not in lift), key=lambda u: (-negative[u], u))[:5000]
+        return [], []
+    clean = sorted((u for u, c in negative.items() if c >= 2 and ORDER + 2 <= len(u) <= 63 and positive[u] * n_neg <= 2 * c * n_pos), key=lambda u: (-negative[u], u))[:5000]
     if clean:
         close = common_subsequence(clean, telling) / np.array([len(t) for t in telling])
         clean = [clean[k] for k in np.argsort(-close.max(1), kind="stable")[: most - len(telling)].tolist()]
-    return telling + clean
+    return telling, clean
 
 
-def fit(labelled: Iterable[tuple[str, int]], landmarks: int = LANDMARKS, c: float = 10.0, rounds_of_witnesses: int = 4) -> Model | None:
-    """The model of (text, label) rows, or None where they don't tell toxic from clean."""
-    bags = [(units(t), int(y)) for t, y in labelled]
+def fit(labelled: Iterable[tuple[str, int]], landmarks: int = LANDMARKS, c: float = C, rounds: int = 2) -> Model | None:
+    """The model of (text, label) rows, or None where they don't tell toxic from clean.  Copies of a text count once."""
+    bags = [(units(t), int(y)) for t, y in sorted({(t or "", y) for t, y in labelled})]
     n_pos, n_neg = sum(y for _, y in bags), sum(1 - y for _, y in bags)
     if not n_pos or not n_neg:
         return None
     positive, negative = Counter(), Counter()
     for bag, y in bags:
         (positive if y else negative).update(bag)
-    chosen = _choose(positive, negative, n_pos, n_neg, landmarks)
-    if not chosen:
+    telling, close = _choose(positive, negative, n_pos, n_neg, landmarks)
+    if not telling:
         return None
+    chosen = telling + close
     values, vectors = np.linalg.eigh(subsequence_kernel(chosen, chosen))
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, RIDGE))) @ vectors.T
     every = sorted(set(positive) | set(negative))
@@ -236,23 +267,23 @@ def fit(labelled: Iterable[tuple[str, int]], landmarks: int = LANDMARKS, c: floa
     number = {u: k for k, u in enumerate(near)}
     inside = [[number[u] for u in bag if u in number] for bag, _ in bags]
     clean = np.array([negative[u] for u in near], float)
-    toxic = np.array([positive[u] for u in near], float)
-    decision = np.log((toxic + 0.5) / n_pos) - np.log((clean + 0.5) / n_neg)
-    told = [k for k, (found, (_, y)) in enumerate(zip(inside, bags)) if y and found]
-    held, w = np.flatnonzero(clean), None
-    for _ in range(rounds_of_witnesses):
-        witness = Counter(max(inside[k], key=lambda r: (decision[r], -r)) for k in told)
-        if w is None:  # toxic texts without any unit that tells are no examples of toxic units
-            witness = Counter({r: n for r, n in witness.items() if decision[r] > np.log(4)})
-        if not witness:
-            return None
+    sure = {number[u] for u in telling}
+    held, decision, w = np.flatnonzero(clean), None, None
+    for _ in range(rounds):
+        witness = Counter()
+        for found, (_, y) in zip(inside, bags):
+            if y:
+                own = [r for r in found if r in sure]
+                if not own and found and decision is not None:  # the unit that decides highest, if it does
+                    own = [r for r in [max(found, key=lambda r: (decision[r], -r))] if decision[r] > 0]
+                witness.update(own)
         seen = sorted(witness)
-        altered = [v for r in seen if len(near[r]) >= 6 and witness[r] >= 2 for v in variants(near[r])]
+        altered = [v for r in seen if len(near[r]) >= 6 and r in sure for v in variants(near[r])]
         got, more = _features(altered, chosen)
         own = np.array([witness[r] for r in seen], float)
-        sets = (x[seen], own / own.sum()), (more @ root, np.full(len(got), 0.5 / max(1, len(got)))), (x[held], np.log1p(clean[held]) / np.log1p(clean[held]).sum())
+        sets = (x[seen], own / own.sum()), (more @ root, np.full(len(got), 0.5 / max(1, len(got)))), (x[held], CLEAN * np.log1p(clean[held]) / np.log1p(clean[held]).sum())
         y = np.concatenate((np.ones(len(seen) + len(got)), -np.ones(len(held))))
-        w = _svm(np.concatenate([f for f, _ in sets]), y, np.concatenate([v for _, v in sets]) * len(y), c)
+        w = _svm(np.concatenate([f for f, _ in sets]), y, np.concatenate([v for _, v in sets]) * WEIGHT, c)
         decision = x @ w[:-1] + w[-1]
     floor = float(w[-1])
     top = np.array([_top([decision[r] for r in found], floor) for found in inside])
@@ -274,7 +305,7 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
 class Scorer:
     """Scores texts with one model, remembering the decisions of units."""
 
-    def __init__(self, model: Model | None, most: int = 500_000):
+    def __init__(self, model: Model | None, most: int = 250_000):
         self.model, self.known, self.most = model, {}, most
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
