@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import labels, numbers, periods
-from ledgerloom.operators import locate, merge, reconcile, registry, sheets, words
+from ledgerloom.operators import locate, merge, reconcile, registry, reports, sheets, words
 from ledgerloom.plans import fixtures
 from ledgerloom.sources import markup_tables
 from ledgerloom.sources.star import STATEMENTS_SQL, statements, table, values
@@ -348,3 +348,70 @@ def company_dashboard(spark, sf_dir) -> DataFrame:
     """Reports, records and pending reports by company."""
     r = _reports(spark, sf_dir)
     return registry.dashboard(r, r.where("doc_id % 3 = 0"))
+
+
+# --- per-report outputs
+
+_NAMES = "case statement_type when 'balance_sheet' then 'Balance Sheet' when 'income_statement' then 'Income Statement' when 'cash_flow' then 'Cash Flow Statement' else statement_type end"
+
+
+@_query(rf"""select doc_id, position, statement_type, substr(regexp_replace({_NAMES} || case when count(*) over w > 1 then ' ' || lpad(row_number() over (w order by position)::varchar, 2, '0') else '' end, '[\[\]:*?/\\]', '_', 'g'), 1, 31) as sheet
+ from {fixtures.RESULTS} window w as (partition by doc_id, statement_type)""")
+def sheet_names(spark, sf_dir) -> DataFrame:
+    """Sheet names of a report's results."""
+    return reports.sheet_names(values(spark, fixtures.RESULTS)).select("doc_id", "position", "statement_type", "sheet")
+
+
+@_query(f"""select c.doc_id, c.statement_type, page_start || '-' || page_end as pages, title, coalesce(string_agg(message, '; ' order by seq), '') as warnings
+ from {fixtures.RESULTS.replace(" AS t(", " AS c(")} left join {fixtures.WARNINGS.replace(" AS t(", " AS w(")} on c.doc_id = w.doc_id and c.statement_type = w.statement_type group by all""")
+def lineage_record(spark, sf_dir) -> DataFrame:
+    """The extraction record of each result."""
+    return reports.lineage(values(spark, fixtures.RESULTS), values(spark, fixtures.WARNINGS))
+
+
+@_query()
+def report_metadata(spark, sf_dir) -> DataFrame:
+    """Report type, dates, currency and unit from a report's first pages."""
+    return reports.metadata(values(spark, fixtures.REPORT_PAGES))
+
+
+@_query(r"""select path, case when regexp_matches(path, '(^|/)companies/[^/]+') then regexp_extract(path, '(?:^|/)companies/([^/]+)', 1) else regexp_replace(regexp_extract(path, '([^/]*)$', 1), '(.)\.[^.]*$', '\1') end as company from """ + fixtures.PATHS)
+def company_from_path(spark, sf_dir) -> DataFrame:
+    """Companies from paths."""
+    return values(spark, fixtures.PATHS).select("path", reports.company_of(F.col("path")).alias("company"))
+
+
+@_query()
+def keyword_config(spark, sf_dir) -> DataFrame:
+    """Locator keywords from configuration files, current or legacy."""
+    return reports.keywords(reports.configurations(values(spark, fixtures.CONFIGS)))
+
+
+@_query()
+def comprehensive_income_fold(spark, sf_dir) -> DataFrame:
+    """Comprehensive income folded into income statements."""
+    return reports.fold_comprehensive(values(spark, fixtures.RESULTS))
+
+
+@_query()
+def heading_tests(spark, sf_dir) -> DataFrame:
+    """Which lines are headings of their own."""
+    return values(spark, fixtures.LINES).withColumn("heading", labels.stands_alone(F.col("line"), F.lit("Consolidated income statements")))
+
+
+@_query(_FACTS_SQL + """, shown as (select company, sheet, label, key, max(value) filter (period = '2008') as a, max(value) filter (period = '2009') as b from merged join named using (company, sheet, key) group by all)
+ select company, sheet, label, key, a is null and b is null as is_section, regexp_matches(lower(trim(label)), '^(total |net |gross profit|operating profit|profit for|profit before|cash and cash equivalents at end)') as is_total from shown""")
+def master_sheet_layout(spark, sf_dir) -> DataFrame:
+    """Row classes of merged sheets as they are laid out."""
+    laid = merge.wide(merge.merged(merge.facts(statements(spark, sf_dir))), ["2008", "2009"])
+    rows = laid.select("company", "sheet", "label", "key", F.array(*[F.coalesce(F.col(f"y{y}").cast("string"), F.lit("")) for y in (2008, 2009)]).alias("cells"))
+    return reports.row_classes(rows).drop("cells")
+
+
+@_query("""with s as (select doc_id, source, n_chars from documents), m as (select *, max(n_chars) over (partition by source order by doc_id rows between unbounded preceding and 1 preceding) as before from s)
+ select source, count(*) as n_runs from m where before is null or n_chars > before group by source""")
+def running_records(spark, sf_dir) -> DataFrame:
+    """Gaps and islands over documents: how often each source has a new longest document."""
+    order = W.partitionBy("source").orderBy("doc_id").rowsBetween(W.unboundedPreceding, -1)
+    marked = table(spark, sf_dir, "documents").withColumn("before", F.max("n_chars").over(order))
+    return marked.where("before IS NULL OR n_chars > before").groupBy("source").agg(F.count("*").alias("n_runs"))
