@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
-from .tokens import END_ID, default_path, encoder
+from .tokens import END_ID, default_path, encoder, rows
 
 FIRST = 1 << 16
 BLOCK_TOKENS = 1 << 18
@@ -36,6 +36,13 @@ ROUNDS, PER_ROUND, LEAST = 6, 512, 8
 _MAGIC = b"RPB1"
 
 
+_PLACES = 18
+
+
+def _place(code: np.ndarray) -> np.ndarray:
+    return ((code.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _PLACES)).view(np.int64)
+
+
 def compress(ids: np.ndarray, last: np.ndarray, rounds: int = ROUNDS, per_round: int = PER_ROUND, least: int = LEAST):
     """(rules, symbols, last): rules[k] is the pair that nonterminal FIRST + k stands for.
 
@@ -57,9 +64,12 @@ def compress(ids: np.ndarray, last: np.ndarray, rounds: int = ROUNDS, per_round:
             break
         if len(often) > per_round:
             often = often[np.lexsort((pairs[often], -counts[often]))[:per_round]]
-        chosen = np.sort(pairs[often])
-        slot = np.searchsorted(chosen, code)
-        slot[slot == len(chosen)] = 0
+        # pairs are found by a hash table; of pairs that share a place, one waits for the next round
+        places, first = np.unique(_place(pairs[often]), return_index=True)
+        chosen = pairs[often][first]
+        table = np.zeros(1 << _PLACES, np.int32)
+        table[places] = np.arange(len(chosen))
+        slot = table[_place(code)]
         at = np.flatnonzero(chosen[slot] == code)
         # of matches that overlap (neighbours in the sequence), every second one from the left is replaced
         fresh = np.concatenate(([True], np.diff(at) > 1))
@@ -180,14 +190,13 @@ def write(documents: DataFrame, path: str | None = None, block_tokens: int = BLO
         def out():
             return pd.DataFrame([(number, block, start, len(ids), size, write_block(ids, buffers))], columns=["shard", "block", "shard_start", "n_docs", "n_tokens", "data"])
 
-        for batch in batches:
-            for doc_id, buffer in zip(batch.column("doc_id").to_pylist(), tokens.encode(batch.column("text").to_pylist())):
-                ids.append(doc_id)
-                buffers.append(buffer + end)
-                size += len(buffer) // 4 + 1
-                if size >= block_tokens:
-                    yield _arrow(out())
-                    start, block, size, ids, buffers = start + size, block + 1, 0, [], []
+        for doc_id, buffer in rows(batches, tokens):
+            ids.append(doc_id)
+            buffers.append(buffer + end)
+            size += len(buffer) // 4 + 1
+            if size >= block_tokens:
+                yield _arrow(out())
+                start, block, size, ids, buffers = start + size, block + 1, 0, [], []
         if ids:
             yield _arrow(out())
 

@@ -1,49 +1,98 @@
 """Encoding with a public tokenizer file, a cache of words in front of it.
 
-The tokenizer drops white space before it splits, so the pieces between white space are encoded independently
-of each other; each distinct piece goes through the library once per worker.  Texts with the strings of special
-tokens, or with control characters on which Python and the tokenizer disagree about white space, go through the
-library whole.
+The tokenizer drops white space before it splits, so the pieces between white space are encoded independently of each
+other, and each distinct one goes through the library once, as long as it is remembered.  Words of Latin-1 letters
+and ASCII signs are lowered and split here, by the file's own pattern, and go to the library's model piece by piece,
+which spares them the normaliser's bookkeeping; other words go through the whole tokenizer.  Texts with the strings of
+special tokens, or with control characters on which Python and the tokenizer disagree about white space, go through
+the library whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
-
-import numpy as np
+import sys
+from array import array
 
 END_ID = 2
-_WHOLE = re.compile("<\\||[\x1c-\x1f]")
+_WHOLE = ("<|", "\x1c", "\x1d", "\x1e", "\x1f")
+# The tokenizer's pattern, on the characters that _SIMPLE allows (all composed, and lowered one by one).
+_SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letters by which a byte-level vocabulary writes the UTF-8 bytes of each Latin-1 character."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    rest = [b for b in range(256) if b not in plain]
+    letter = {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(rest)}
+    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(256)}
+
+
+def _packed(ids: list[int]) -> bytes:
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
+class _Words(dict):
+    """Words and pieces with their ids as bytes; a miss is looked up in the older generation, then encoded."""
+
+    def __init__(self, library, most: int):
+        super().__init__()
+        self.library, self.most, self.old, self.letters = library, most, {}, _byte_letters()
+        self._tokenize = library.model.tokenize
+
+    def _piece(self, piece: str) -> bytes:
+        mapped = piece if piece.isascii() else piece.translate(self.letters)
+        return _packed([t.id for t in self._tokenize(mapped)])
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            if _SIMPLE.fullmatch(word):
+                pieces = _PIECE.findall(word.lower())
+                ids = self._piece(pieces[0]) if len(pieces) == 1 else b"".join([self[p] if p != word else self._piece(p) for p in pieces])
+            else:
+                ids = _packed(self.library.encode(word, add_special_tokens=False).ids)
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
 
 
 class Encoder:
-    """Texts to ids, as little-endian unsigned 32-bit buffers."""
+    """Texts to ids, as little-endian unsigned 32-bit buffers.
+
+    Words live in two generations of at most ``most_words`` each: a full younger one becomes the older one, from which
+    words that are seen again return.
+    """
 
-    def __init__(self, path: str, most_words: int = 400_000):
+    def __init__(self, path: str, most_words: int = 700_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(path)
-        self._cache: dict[str, bytes] = {}
-        self._most = most_words
+        self._words = _Words(self._library, most_words)
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self._library.encode_batch_fast(texts, add_special_tokens=False)]
+    def _whole(self, text: str) -> bytes:
+        return _packed(self._library.encode(text, add_special_tokens=False).ids)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; a null text counts as empty."""
-        texts = [t or "" for t in texts]
-        whole = [bool(_WHOLE.search(t)) for t in texts]
-        split = [[] if w else t.split() for t, w in zip(texts, whole)]
-        cache = self._cache
-        new = list({x for words in split for x in words if x not in cache})
-        if len(cache) + len(new) > self._most:
-            cache.clear()
-            new = list({x for words in split for x in words})
-        cache.update(zip(new, self._encode(new)))
-        get = cache.__getitem__
-        return [self._encode([t])[0] if w else b"".join(map(get, words)) for t, w, words in zip(texts, whole, split)]
+        get = self._words.__getitem__
+        return [b"" if not t else self._whole(t) if any(x in t for x in _WHOLE) else b"".join(map(get, t.split())) for t in texts]
+
+
+def rows(batches, tokens: Encoder, at_once: int = 256):
+    """(doc_id, ids) of each row of Arrow batches with doc_id and text, decoding a few rows at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, at_once):
+            part = batch.slice(at, at_once)
+            yield from zip(part.column("doc_id").to_pylist(), tokens.encode(part.column("text").to_pylist()))
 
 
 _encoders: dict[str, Encoder] = {}
