@@ -21,10 +21,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import END_ID, default_path, encoder
+from .tokens import END_ID, default_path, encoder, rows
 
 WINDOW = 4096
-SHARD_TOKENS = 1_500_000
+SHARD_TOKENS = 500_000
 QUERY_TERMS = 16
 K1, B = 1.2, 0.75
 
@@ -129,21 +129,20 @@ def sequences(documents: DataFrame, path: str | None = None, window: int = WINDO
             nonlocal sequence
             docs = [np.frombuffer(b, "<u4") for b in buffers]
             pieces = pack(docs, window)
-            rows = []
+            placed = []
             for k, start, n, s, offset in pieces:
                 data = buffers[k][4 * start : 4 * (start + n)]
-                rows.append((block[k], start, n, zlib.crc32(data), len(docs[k]), sequence + s, offset, data if ids else None))
+                placed.append((block[k], start, n, zlib.crc32(data), len(docs[k]), sequence + s, offset, data if ids else None))
             sequence += pieces[-1][3] + 1
-            return pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]).astype({"doc_id": "Int64"})
-
-        for batch in batches:
-            for doc_id, buffer in zip(batch.column("doc_id").to_pylist(), tokens.encode(batch.column("text").to_pylist())):
-                block.append(doc_id)
-                buffers.append(buffer + end)
-                size += len(buffer) // 4 + 1
-                if size >= shard_tokens:
-                    yield _arrow(out())
-                    block, buffers, size = [], [], 0
+            return pd.DataFrame(placed, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]).astype({"doc_id": "Int64"})
+
+        for doc_id, buffer in rows(batches, tokens):
+            block.append(doc_id)
+            buffers.append(buffer + end)
+            size += len(buffer) // 4 + 1
+            if size >= shard_tokens:
+                yield _arrow(out())
+                block, buffers, size = [], [], 0
         if block:
             yield _arrow(out())
 
