@@ -71,7 +71,7 @@ class Encoder:
     words that are seen again return.
     """
 
-    def __init__(self, path: str, most_words: int = 700_000):
+    def __init__(self, path: str, most_words: int = 450_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
