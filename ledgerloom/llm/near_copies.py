@@ -9,8 +9,8 @@
    the threshold or above are verified on the full shingle sets, unless verified links connect them already.
 4. Components of verified links are the groups of near-duplicates.
 
-A pair at the threshold is missed by the bands with probability (1 - t**ROWS)**BANDS (3e-6 at 0.85), and by the margin
-with about 1e-8; neither depends on the size of groups: no bucket, cluster or group is capped or sampled.
+A pair at the threshold is missed by the bands with probability (1 - t**ROWS)**BANDS (5e-7 at 0.8, 1e-10 at 0.85), and by the
+margin with about 3e-7; neither depends on the size of groups: no bucket, cluster or group is capped or sampled.
 
 Texts without words have empty sets and are linked with nothing; null and empty texts count as such; texts with fewer
 words than a shingle are one shingle; repeated rows are one class; rows with a null doc_id take part by their class
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import small, stored
 from .components import Forest, components
 
-BANDS, ROWS, BITS, MARGIN, SEED = 40, 8, 2, 0.13, 20240131
+BANDS, ROWS, BITS, MARGIN, SEED = 48, 6, 2, 0.14, 20240131
 BLOCK = 512
 BROADCAST_ROWS = 200_000
 LANES = 64 // BITS
