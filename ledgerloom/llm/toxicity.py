@@ -297,9 +297,15 @@ def held_out(doc_id):
 
 def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
     """The model of a bounded sample of labelled training rows, up to half of it of either label."""
-    labelled = documents.select("doc_id", "text").join(labels.select("doc_id", "toxic").where("toxic in (0, 1)"), "doc_id").where(~held_out(F.col("doc_id")))
-    parts = [labelled.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(sample // 2) for y in (1, 0)]
-    return fit([(r["text"], r["toxic"]) for p in parts for r in p.select("text", "toxic").toLocalIterator()])
+    known = labels.select("doc_id", "toxic").where("toxic in (0, 1)").where(~held_out(F.col("doc_id"))).join(documents.select("doc_id").distinct(), "doc_id", "left_semi")
+    rows = []
+    for label in (1, 0):
+        # the ids are chosen first: only the texts of at most sample / 2 of them leave the scan, and as many come here
+        order = [F.xxhash64("doc_id"), "doc_id"]
+        ids = F.broadcast(known.where(F.col("toxic") == label).select("doc_id").distinct().orderBy(*order).limit(sample // 2))
+        texts = documents.select("doc_id", "text").join(ids, "doc_id", "left_semi").orderBy(*order, F.xxhash64("text")).limit(sample // 2)
+        rows += [(r["text"], label) for r in texts.select("text").toLocalIterator()]
+    return fit(rows)
 
 
 class Scorer:
