@@ -314,9 +314,13 @@ class Scorer:
     def __init__(self, model: Model | None, most: int = 250_000):
         self.model, self.known, self.most = model, {}, most
 
-    def scores(self, texts: list[str | None]) -> np.ndarray:
+    def scores(self, texts: list[str | None], at_once: int = 256) -> np.ndarray:
+        """A score for each text; the units of at_once texts are held at a time."""
         if self.model is None:
             return np.zeros(len(texts))
+        return np.concatenate([self._some(texts[k : k + at_once]) for k in range(0, len(texts), at_once)] or [np.zeros(0)])
+
+    def _some(self, texts: list[str | None]) -> np.ndarray:
         bags = [units(t) for t in texts]
         if len(self.known) > self.most:
             self.known.clear()
