@@ -1,7 +1,8 @@
 """MinHash near-duplicates with b-bit signatures.
 
 1. Each text becomes a set of shingles (64-bit hashes), ``BANDS * ROWS`` minima, and from these a key per band and a
-   signature of the minima's low ``BITS`` bits.  Texts with equal sets are one class, represented by the smallest id.
+   signature of the minima's low ``BITS`` bits.  Texts with equal sets are one class with a number of its own; steps 2
+   to 4 know classes by that number only, so null and repeated ids are as good as any.
 2. Classes that share a band key are candidates.  Each is first compared with its bucket's smallest member, by the
    collision-corrected estimate from counting equal bits of the packed signatures; buckets in which some comparison
    fails are compared in full, in blocks, and give a spanning forest of the pairs with a sufficient estimate.
@@ -14,7 +15,8 @@ margin with about 3e-7; neither depends on the size of groups: no bucket, cluste
 
 Texts without words have empty sets and are linked with nothing; null and empty texts count as such; texts with fewer
 words than a shingle are one shingle; repeated rows are one class; rows with a null doc_id take part by their class
-and get its component; an empty table gives no rows; other columns are not read.
+and get its component, which is the smallest doc_id of a group, or null where no row of the group has one; texts that
+repeat a doc_id are told apart by their hash; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -282,29 +284,44 @@ def links(documents: DataFrame, classes: DataFrame, size: int, percent: int) ->
     """Verified links between classes; their components are those of all links."""
     clusters = stored(components(candidates(classes, percent / 100 - MARGIN)).withColumnRenamed("root", "cluster"), "clusters")
     members = clusters.groupBy("cluster").agg(F.count("*").alias("n"))
-    wanted = small(clusters.join(classes.select(F.col("id").alias("node"), "copy", "signature"), "node"), BROADCAST_ROWS)
+    wanted = small(clusters.join(classes.select(F.col("id").alias("node"), "first", "signature"), "node"), BROADCAST_ROWS)
     texts = documents.select("doc_id", "text", F.xxhash64("text").alias("copy"))
-    rows = texts.join(wanted.withColumnRenamed("node", "doc_id"), ["doc_id", "copy"]).dropDuplicates(["doc_id"])
-    units = _units(rows.select(F.col("doc_id").alias("id"), "cluster", "signature", "text"), "cluster", members)
+    same = texts["doc_id"].eqNullSafe(wanted["first.doc_id"]) & (texts["copy"] == wanted["first.copy"])
+    rows = texts.join(wanted, same).select(F.col("node").alias("id"), "cluster", "signature", "text").dropDuplicates(["id"])
+    units = _units(rows, "cluster", members)
     work = _by_unit(_cluster_links(size, percent), ["id", "side", "signature", "text"])
     return units.repartition("unit").sortWithinPartitions("unit", "id").select("unit", "id", "side", "signature", "text").mapInArrow(work, "a long, b long")
 
 
-def near_copies(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept per document, for shingles of size words and a similarity of percent / 100."""
+def _first() -> Column:
+    """The smallest doc_id with its text's hash; null ids come last."""
+    return F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "copy"))
+
+
+def judged(documents: DataFrame, size: int, percent: int) -> DataFrame:
+    """doc_id, copy, n_shingles, component_id and kept per document; kept holds for one doc_id and copy of each group."""
     every = stored(signed(documents, size), "signed")
     full = every.where("n_shingles > 0")
     # equal sets have equal bands and signatures, so any member's will do
-    classes = full.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("id"), F.count("*").alias("members"), F.min_by("copy", "doc_id").alias("copy"), F.first("bands").alias("bands"), F.first("signature").alias("signature"))
-    classes = stored(classes, "classes")
-    roots = components(links(documents, classes.where("id IS NOT NULL"), size, percent))
-    rooted = classes.select("set_a", "set_b", "n_shingles", "id", "members").join(roots, F.col("id") == F.col("node"), "left")
+    classes = full.groupBy("set_a", "set_b", "n_shingles").agg(_first().alias("first"), F.count("*").alias("members"), F.first("bands").alias("bands"), F.first("signature").alias("signature"))
+    # the numbers hold from here on, as classes are read from what is stored
+    classes = stored(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+    roots = stored(components(links(documents, classes, size, percent)), "roots")
+    rooted = classes.select("set_a", "set_b", "n_shingles", "id", "members", "first").join(roots, F.col("id") == F.col("node"), "left")
     # what is alone in its class and group needs no row here
-    grouped = rooted.where("members > 1 OR root <> id").select("set_a", "set_b", "n_shingles", F.coalesce("root", "id").alias("component"))
-    grouped = stored(grouped, "grouped")
-    out = every.select("doc_id", "n_shingles", "set_a", "set_b").join(grouped, ["set_a", "set_b", "n_shingles"], "left")
-    component = F.coalesce("component", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    grouped = stored(rooted.where("members > 1 OR root IS NOT NULL").withColumn("root", F.coalesce("root", "id")), "grouped")
+    groups = grouped.groupBy("root").agg(F.min("first").alias("first"))
+    grouped = grouped.select("set_a", "set_b", "n_shingles", "root").join(groups, "root").drop("root")
+    out = every.select("doc_id", "copy", "n_shingles", "set_a", "set_b").join(stored(grouped, "groups"), ["set_a", "set_b", "n_shingles"], "left")
+    alone = F.col("first").isNull()
+    component = F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id"))
+    kept = alone | (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("copy") == F.col("first.copy")))
+    return out.select("doc_id", "copy", "n_shingles", component.alias("component_id"), kept.alias("kept"))
+
+
+def near_copies(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept per document, for shingles of size words and a similarity of percent / 100."""
+    return judged(documents, size, percent).drop("copy")
 
 
 def keep_first(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -312,9 +329,9 @@ def keep_first(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
     Of rows that repeat a doc_id and its text, one stays.
     """
-    kept = near_copies(documents, size, percent).where("kept").select("doc_id").distinct()
-    joined = documents.join(kept, documents["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
-    return joined.dropDuplicates(["doc_id", "text"])
+    kept = judged(documents, size, percent).where("kept").select("doc_id", "copy").distinct()
+    same = documents["doc_id"].eqNullSafe(kept["doc_id"]) & (F.xxhash64(documents["text"]) == kept["copy"])
+    return documents.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"])
 
 
 #: near_copies(documents, 3, 85) by brute force: every pair that shares a shingle, then all that each document reaches.

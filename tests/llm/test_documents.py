@@ -166,6 +166,19 @@ def test_near_copies(spark):
     assert near_copies.near_copies(frame(spark, [])).count() == 0
 
 
+def test_near_copies_of_null_and_repeated_ids(spark):
+    base = [f"v{x}" for x in range(100)]
+    near = lambda k: " ".join([*base[:-1], f"u{k}"])
+    other = " ".join(f"w{x}" for x in range(100))
+    # without ids, two near copies; one without an id of 3; 7 repeats with two texts, one of them near 3
+    rows = [(None, other), (None, other + " end"), (None, near(1)), (3, near(2)), (7, near(3)), (7, "a text of its own here"), (8, "A text of its own here"), (None, None)]
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in near_copies.near_copies(frame(spark, rows), 3, 85).collect()), key=str)
+    assert got == sorted(near_brute(rows, 3, 85), key=str)
+    kept = [(r["doc_id"], r["text"]) for r in near_copies.keep_first(frame(spark, rows), 3, 85).collect()]
+    assert len(kept) == 4 and {(3, near(2)), (7, "a text of its own here"), (None, None)} < set(kept)
+    assert sum(t in (other, other + " end") for _, t in kept) == 1
+
+
 def test_large_buckets_are_dealt_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(near_copies, "BLOCK", 4)
     base = [f"v{x}" for x in range(60)]
