@@ -6,7 +6,9 @@ words, its rarest word is a sufficient prefix.  Documents are joined with the wi
 and length bounds fix where the window would have to start and end, and the words there are compared exactly.
 
 The benchmark side is broadcast in blocks of at most ``block_words`` window words (a bound of a few MB each),
-however large it is; documents are never shuffled while one block is enough.
+however large it is; documents are never shuffled while one block is enough.  With more blocks, one is held at a time;
+what it hits is written out by the text's digest, and verdicts come back to the rows by that, so that a row is judged
+by its own text either way.
 
 Null or empty texts have no words and no hits; a document shorter than a window has none either; items without
 words are ignored; equal items are all named; repeated rows are answered row by row; columns other than those
@@ -18,6 +20,7 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -25,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 SIZE = 13
 BLOCK_WORDS = 4_000_000
 
@@ -111,13 +116,10 @@ def contamination(documents: DataFrame, benchmark: DataFrame, size: int = SIZE,
 
     A document is contaminated if at least a twentieth of its words are hit (and at least one).
     """
-    spark = documents.sparkSession
-    indexes = []
-    for block in _blocks(benchmark, size, block_words):
-        frequency = _frequencies(documents, frozenset(w for k in block for w in k))
-        indexes.append(spark.sparkContext.broadcast(_index(block, frequency)))
-    if len(indexes) <= 1:
-        index = indexes[0] if indexes else spark.sparkContext.broadcast({})
+    blocks = _blocks(benchmark, size, block_words)
+    block, more = next(blocks, {}), next(blocks, None)
+    if more is None:
+        index = _shared(documents, block)
 
         def scan(batches):
             for pdf in batches:
@@ -130,39 +132,67 @@ def contamination(documents: DataFrame, benchmark: DataFrame, size: int = SIZE,
 
         return documents.select("doc_id", "text").mapInPandas(scan, RESULT)
 
-    numbered = documents.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
+    def clean(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "_digest": pdf["_digest"], "n_words": [len(words(t)) for t in pdf["text"]]})
+
+    rows = documents.select("doc_id", "text", _text_digest().alias("_digest")).mapInPandas(clean, "doc_id long, _digest string, n_words long")
+    hits = _verdicts(documents, chain([block, more], blocks)).select("_digest", "n_hit", "n_items", "items_sha256", "contaminated")
+    none = {"n_hit": F.lit(0).cast("long"), "n_items": F.lit(0).cast("long"), "items_sha256": F.lit(_digest([])), "contaminated": F.lit(False)}
+    return rows.join(hits, "_digest", "left").select("doc_id", "n_words", *[F.coalesce(c, d).alias(c) for c, d in none.items()])
+
 
-    def part(index, first: bool):
+def _text_digest():
+    """A key of the text alone; rows with equal texts have equal verdicts."""
+    return F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+
+
+def _shared(documents: DataFrame, block: dict):
+    """The index of a block, broadcast."""
+    frequency = _frequencies(documents, frozenset(w for k in block for w in k))
+    return documents.sparkSession.sparkContext.broadcast(_index(block, frequency))
+
+
+def _verdicts(documents: DataFrame, blocks) -> DataFrame:
+    """_digest and the columns of a verdict for each distinct text that some block hits; one block is held at a time."""
+    numbered = documents.select("text", _text_digest().alias("_digest"))
+
+    def hits(index) -> DataFrame:
         def scan(batches):
             for pdf in batches:
                 rows = []
-                for row, doc_id, text in zip(pdf["row"], pdf["doc_id"], pdf["text"]):
+                for digest, text in zip(pdf["_digest"], pdf["text"]):
                     doc = words(text)
                     marks, found = _hits(doc, index.value)
-                    if first or found:
-                        rows.append((row, doc_id, len(doc), np.packbits(np.frombuffer(marks, np.uint8)).tobytes() if found else b"", sorted(found)))
-                yield pd.DataFrame(rows, columns=["row", "doc_id", "n_words", "marks", "items"]).astype({"doc_id": "Int64"})
-
-        return numbered.mapInPandas(scan, "row long, doc_id long, n_words long, marks binary, items array<string>")
-
-    parts = [part(x, k == 0) for k, x in enumerate(indexes)]
+                    if found:
+                        rows.append((digest, len(doc), np.packbits(np.frombuffer(marks, np.uint8)).tobytes(), sorted(found)))
+                yield pd.DataFrame(rows, columns=["_digest", "n_words", "marks", "items"])
+
+        found = numbered.mapInPandas(scan, "_digest string, n_words long, marks binary, items array<string>")
+        # copies of a text have the same hits
+        return found.dropDuplicates(["_digest"])
+
+    parts = []
+    for block in blocks:
+        index = _shared(documents, block)
+        parts.append(stored(hits(index), "hits"))
+        index.destroy()
     union = parts[0]
     for p in parts[1:]:
         union = union.unionByName(p)
-    merged = union.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.collect_list("marks").alias("marks"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+    merged = union.groupBy("_digest").agg(F.first("n_words").alias("n_words"), F.collect_list("marks").alias("marks"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
 
     def finish(batches):
         for pdf in batches:
             rows = []
-            for doc_id, n, marks, items in zip(pdf["doc_id"], pdf["n_words"], pdf["marks"], pdf["items"]):
+            for n, marks, items in zip(pdf["n_words"], pdf["marks"], pdf["items"]):
                 total = np.zeros(-(-n // 8), np.uint8)
                 for m in marks:
-                    if m:
-                        total |= np.frombuffer(m, np.uint8)
-                rows.append(_result(doc_id, n, int(np.unpackbits(total).sum()), list(items)))
-            yield _frame(rows)
+                    total |= np.frombuffer(m, np.uint8)
+                rows.append(_result(None, n, int(np.unpackbits(total).sum()), list(items)))
+            yield _frame(rows).drop(columns="doc_id").assign(_digest=pdf["_digest"].to_numpy())
 
-    return merged.mapInPandas(finish, RESULT)
+    return merged.mapInPandas(finish, RESULT.removeprefix("doc_id long, ") + ", _digest string")
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
@@ -171,11 +201,10 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
 
 def keep_clean(documents: DataFrame, benchmark: DataFrame, size: int = SIZE, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The documents without those that are contaminated; columns and repeated rows as before."""
-    spark = documents.sparkSession
     blocks = _blocks(benchmark, size, block_words)
     block, more = next(blocks, {}), next(blocks, None)
     if more is None:
-        index = spark.sparkContext.broadcast(_index(block, _frequencies(documents, frozenset(w for k in block for w in k))))
+        index = _shared(documents, block)
 
         def scan(batches):
             for batch in batches:
@@ -186,8 +215,8 @@ def keep_clean(documents: DataFrame, benchmark: DataFrame, size: int = SIZE, blo
                 yield batch.filter(pa.array(keep, pa.bool_()))
 
         return documents.mapInArrow(scan, documents.schema)
-    bad = contamination(documents, benchmark, size, block_words).where("contaminated").select("doc_id").distinct()
-    return documents.join(bad, documents["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
+    bad = _verdicts(documents, chain([block, more], blocks)).where("contaminated").select("_digest")
+    return documents.join(bad, F.sha2(F.coalesce(documents["text"], F.lit("")).cast("binary"), 256) == bad["_digest"], "left_anti")
 
 
 #: contamination(documents, benchmark) by looking up every window of every document.

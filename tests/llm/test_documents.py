@@ -130,6 +130,17 @@ def test_decontamination(spark, block_words):
     assert decontaminate.contamination(frame(spark), items.limit(0)).where("contaminated").count() == 0
 
 
+@pytest.mark.parametrize("block_words", [decontaminate.BLOCK_WORDS, 20])
+def test_decontamination_judges_each_row_by_its_text(spark, block_words):
+    bad = " ".join(f"w{k}" for k in range(3, 18))
+    docs = [(1, bad), (1, "clean words of the same id"), (None, bad), (None, "clean words without an id"), (2, bad), (2, bad), (3, None)]
+    items = spark.createDataFrame(ITEMS, "item_id string, text string")
+    kept = decontaminate.keep_clean(frame(spark, docs), items, block_words=block_words)
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in kept.collect()) == [("1", "clean words of the same id"), ("3", "None"), ("None", "clean words without an id")]
+    got = [tuple(r) for r in decontaminate.contamination(frame(spark, docs), items, block_words=block_words).collect()]
+    assert sorted(got, key=str) == windows_brute(docs, ITEMS)
+
+
 def near_brute(rows, size, percent):
     sets = []
     for _, t in rows:
