@@ -6,8 +6,10 @@ c(t, e) counts term t in contexts of entity e, n(t) counts t anywhere, n(e) coun
 
     PMI(t; e) = log2(c(t, e) * N / (n(t) * n(e)))   and   IC(e) = log2(N / n(e)),
 
-t discloses e where PMI(t; e) >= disclosure * IC(e), given at least ``support`` co-occurrences.  Disclosing terms
-are generalised to a class label, or removed where t practically implies e (c / n(t) >= ``certain``), wherever they
+t discloses e where PMI(t; e) >= disclosure * IC(e), given that chance does not explain c(t, e): were t's n(t)
+occurrences dealt at random, each would fall in a context of e with probability q = (words in contexts of e) / N, and
+the Chernoff bound exp(-n(t) * KL(c / n(t) || q)) has to be below ``chance`` over the number of pairs that are judged.
+One co-occurrence is no evidence, so there are ``support`` = 2 at least.  Disclosing terms are generalised to a class label, or removed where t practically implies e (c / n(t) >= ``certain``), wherever they
 occur, next to the entity or not.
 
 A null text counts as empty; very long texts are taken whole (span positions come from two-level prefix sums, so
@@ -37,7 +39,7 @@ _HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9]?)"
 _IP = rf"^{_PART}(?:\.{_PART}){{3}}$"
 
-WORDS, REACH, SUPPORT, DISCLOSURE, CERTAIN = 5, 120, 5, 0.96, 0.95
+WORDS, REACH, SUPPORT, CHANCE, DISCLOSURE, CERTAIN = 5, 120, 2, 0.01, 0.96, 0.95
 BROADCAST_ROWS = 100_000
 _NOT_WORD = r"[^\p{L}\p{N}]+"
 SPANS = "array<struct<start:int,kind:int,end:int,value:string>>"
@@ -118,11 +120,15 @@ def _entity(s: Column) -> Column:
 
 def _context(text: Column, s: Column, words: int, reach: int) -> Column:
     """The nearest words on both sides of a span; words that the reach cuts are left out."""
-    at = F.greatest(s["start"] - reach, F.lit(0))
+    # one character beyond the reach tells whether the outermost piece is a whole word; only then is there one to leave out
+    at = F.greatest(s["start"] - reach - 1, F.lit(0))
+    some = lambda a: F.filter(a, lambda w: w != "")
     before = F.split(F.lower(F.substr(text, at + 1, s["start"] - at)), _NOT_WORD, -1)
-    after = F.split(F.lower(F.substr(text, s["end"] + 1, F.lit(reach))), _NOT_WORD, -1)
-    before = let(F.slice(before, 2, F.size(before)), lambda b: F.slice(b, F.greatest(F.size(b) - words + 1, F.lit(1)), F.lit(words)))
-    after = let(F.slice(after, 1, F.size(after) - 1), lambda a: F.slice(a, F.lit(1), F.lit(words + 1)))
+    after = F.split(F.lower(F.substr(text, s["end"] + 1, F.lit(reach + 1))), _NOT_WORD, -1)
+    before = let(before, lambda b: some(F.when(s["start"] > reach, F.slice(b, F.lit(2), F.size(b))).otherwise(b)))
+    after = let(after, lambda a: some(F.when(F.length(text) > s["end"] + reach, F.slice(a, F.lit(1), F.size(a) - 1)).otherwise(a)))
+    before = let(before, lambda b: F.slice(b, F.greatest(F.size(b) - words + 1, F.lit(1)), F.lit(words)))
+    after = F.slice(after, F.lit(1), F.lit(words))
     return F.filter(F.array_distinct(F.concat(before, after)), lambda w: (F.length(w) >= 3) & ~w.rlike("^[0-9]+$"))
 
 
@@ -132,15 +138,16 @@ def with_spans(documents: DataFrame) -> DataFrame:
 
 
 def disclosing_terms(
-    documents: DataFrame, words: int = WORDS, reach: int = REACH, support: int = SUPPORT, disclosure: float = DISCLOSURE, certain: float = CERTAIN
+    documents: DataFrame, words: int = WORDS, reach: int = REACH, support: int = SUPPORT, chance: float = CHANCE, disclosure: float = DISCLOSURE, certain: float = CERTAIN
 ) -> DataFrame:
     """term, kind (of the entity it gives away most surely) and certain, from counts over all documents."""
     marked = with_spans(documents.select("text")).where(F.size("_base") > 0)
     spans = marked.select("_text", F.explode("_base").alias("s")).select(_entity(F.col("s")).alias("entity"), F.col("s.kind").alias("kind"), _context(F.col("_text"), F.col("s"), words, reach).alias("terms"))
     spans = stored(spans, "contexts")
-    entities = spans.groupBy("entity").agg(F.count("*").alias("n_e"))
-    pairs = spans.select("entity", "kind", F.explode("terms").alias("term")).groupBy("entity", "kind", "term").agg(F.count("*").alias("c")).where(F.col("c") >= support)
-    pairs = stored(pairs.join(entities, "entity"), "cooccurrence")
+    entities = spans.groupBy("entity").agg(F.count("*").alias("n_e"), F.sum(F.size("terms")).alias("slots"))
+    every = stored(spans.select("entity", "kind", F.explode("terms").alias("term")).groupBy("entity", "kind", "term").agg(F.count("*").alias("c")), "pairs")
+    tests = max(every.count(), 1)
+    pairs = stored(every.where(F.col("c") >= support).join(entities, "entity"), "cooccurrence")
     candidates = pairs.select("term").distinct()
     tokens = documents.select(F.explode(F.split(F.lower("text"), _NOT_WORD)).alias("term")).where(F.col("term") != "")
     seen = tokens.join(small(candidates), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
@@ -148,7 +155,10 @@ def disclosing_terms(
     scored = pairs.join(seen, "term").withColumn("n", F.lit(total).cast("double"))
     sure = F.least(F.col("c") / F.col("n_t"), F.lit(1.0))
     ic = F.log2(F.col("n") / F.col("n_e"))
-    shown = scored.where(ic + F.log2(sure) >= disclosure * ic)
+    q = F.least(F.col("slots") / F.col("n"), F.lit(1.0))
+    part = lambda x, y: F.when(x <= 0, 0.0).when(y <= 0, float("inf")).otherwise(x * F.log(x / y))
+    unlikely = F.when(sure > q, F.col("n_t") * (part(sure, q) + part(1 - sure, 1 - q))).otherwise(0.0)
+    shown = scored.where((ic + F.log2(sure) >= disclosure * ic) & (unlikely >= F.log(F.lit(tests / chance))))
     best = shown.groupBy("term").agg(F.max(F.struct(sure.alias("p"), -F.col("kind"))).alias("b"))
     return best.select("term", (-F.col("b").getField("col2")).alias("kind"), (F.col("b.p") >= certain).alias("certain"))
 

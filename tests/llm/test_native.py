@@ -99,5 +99,22 @@ def test_disclosing_terms_go_everywhere(spark):
     assert sanitise.sanitise(df).columns == df.columns
 
 
+def test_context_reaches_the_ends_of_a_text(spark):
+    cases = [("Zebulon: zed@corp.example", "zebulon"), ("+1 415 555 0100 Zebulon", "zebulon"), ("one two three four fives, zed@corp.example", "one two three four fives"), ("cut" * 40 + " whole " + "x" * 106 + " a@b.co", "whole " + "x" * 106), ("a@b.co " + "x" * 112 + " edges cut", "x" * 112 + " edges")]
+    df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(cases)], "doc_id long, text string")
+    marked = sanitise.with_spans(df).select("doc_id", sanitise._context(F.col("_text"), F.element_at("_base", 1), 5, 120).alias("terms"))
+    got = {r["doc_id"]: r["terms"] for r in marked.collect()}
+    for k, (text, want) in enumerate(cases):
+        assert got[k] == want.split(), text
+
+
+def test_terms_of_rare_entities(spark):
+    rows = ["Zebulon: zed@corp.example", "zed@corp.example Zebulon", "once@corp.example Onceonly", "nothing but Zebulon"] + [f"plain words number{k} of the day go on and on" for k in range(400)]
+    rows += ["the day a1@b.example", "the day a1@b.example"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    terms = {r["term"] for r in sanitise.disclosing_terms(df, disclosure=0.9).collect()}
+    assert terms == {"zebulon"}
+
+
 def test_sanitise_empty_table(spark):
     assert sanitise.report(spark.createDataFrame([], "doc_id long, text string")).count() == 0
