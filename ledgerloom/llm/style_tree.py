@@ -7,8 +7,11 @@ importance is the entropy, to base m, of the sequences of blocks that it shows b
 are low are removed from each page of the host.  Pages with the same blocks count once, so that copies of an article
 do not make it look like a template, and hosts with fewer than ``least_pages`` distinct pages keep all branches.
 
-Elements that are noise by name or attribute (menus, forms, adverts, ..., see markup) go on every page; a page with an
-article or main element keeps only what is inside it, which the tree never removes.  Null html counts as empty and
+All pages of a host go into its tree, article and main branches included, and branches are removed there as anywhere.
+Element names are a prior and a fallback: elements that are noise by name or attribute (menus, forms, adverts, ..., see
+markup) go on every page; on a page with an article or main element, a block outside it stays only where the tree finds
+its path's texts to differ nearly always (content importance of 1 - ``threshold`` or more); a page that would lose all
+its blocks keeps those of its article or main element.  Null html counts as empty and
 gives an empty text; a null url makes pages of the host ''; repeated rows are answered row by row; an empty table
 gives no rows; other columns are not read.
 """
@@ -20,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import small, stored
 from .markup import blocks
 
 LEAST_PAGES, THRESHOLD = 8, 0.15
@@ -32,19 +35,21 @@ def host(url):
 
 
 def _candidates(found) -> list:
-    """The blocks that the tree decides about: those outside article and main, on pages that have neither."""
+    """The blocks that the tree decides about, each with whether it lies outside the article or main element of its page."""
     kept = [b for b in found if not b.noise]
-    return [] if any(b.content for b in kept) else kept
+    named = any(b.content for b in kept)
+    return [(b, named and not b.content) for b in kept]
 
 
 def nodes(pages: DataFrame) -> DataFrame:
-    """host, page (hash of its blocks), path, text (hash), chars and shows (hash of the path's blocks) per open block."""
+    """host, page (hash of its blocks), path, value (hash of a text, or of the blocks below a path), chars, outside and style."""
 
     def work(batches):
         for pdf in batches:
             rows = []
             for h, page in zip(pdf["host"], pdf["html"]):
-                open_blocks = _candidates(blocks(page))
+                judged = _candidates(blocks(page))
+                open_blocks = [b for b, _ in judged]
                 sign = xxhash.xxh3_64_intdigest("\n".join(f"{b.path}\t{b.text}" for b in open_blocks)) - (1 << 63)
                 below: dict[str, list[str]] = {}
                 for b in open_blocks:
@@ -53,46 +58,50 @@ def nodes(pages: DataFrame) -> DataFrame:
                         below.setdefault(at, []).append(b.path[len(at) :])
                         at = at.rpartition("/")[0]
                 shown = {p: xxhash.xxh3_64_intdigest("\n".join(x)) - (1 << 63) for p, x in below.items()}
-                for b in open_blocks:
-                    rows.append((h, sign, b.path, xxhash.xxh3_64_intdigest(b.text) - (1 << 63), len(b.text), False))
-                rows += [(h, sign, p, s, 0, True) for p, s in shown.items()]
-            yield pd.DataFrame(rows, columns=["host", "page", "path", "value", "chars", "style"])
+                for b, outside in judged:
+                    rows.append((h, sign, b.path, xxhash.xxh3_64_intdigest(b.text) - (1 << 63), len(b.text), outside, False))
+                rows += [(h, sign, p, s, 0, False, True) for p, s in shown.items()]
+            yield pd.DataFrame(rows, columns=["host", "page", "path", "value", "chars", "outside", "style"])
 
-    return pages.select(host(F.col("url")).alias("host"), "html").mapInPandas(work, "host string, page long, path string, value long, chars long, style boolean")
+    return pages.select(host(F.col("url")).alias("host"), "html").mapInPandas(work, "host string, page long, path string, value long, chars long, outside boolean, style boolean")
 
 
 def low_branches(pages: DataFrame, least_pages: int = LEAST_PAGES, threshold: float = THRESHOLD) -> DataFrame:
-    """host and path of the branches to remove."""
+    """host, path and low: the branches to remove, and (not low) the paths outside article and main whose texts differ."""
+    # one row for each page and value of a path, so that rows count pages
     seen = stored(nodes(pages).distinct(), "nodes")
-    counted = seen.groupBy("host", "path", "style", "value").agg(F.count_distinct("page").alias("k"), F.max("chars").alias("chars"))
-    sizes = seen.where("style").groupBy("host", "path").agg(F.count_distinct("page").alias("m"))
-    sizes = sizes.where(F.col("m") >= least_pages)
+    counted = stored(seen.groupBy("host", "path", "style", "value").agg(F.count("*").alias("k"), F.max("chars").alias("chars"), F.max("outside").alias("outside")), "counted")
+    sizes = counted.where("style").groupBy("host", "path").agg(F.sum("k").alias("m"))
+    sizes = small(sizes.where(F.col("m") >= least_pages), BROADCAST_ROWS)
     share = F.col("k") / F.col("m")
     style = counted.where("style").join(sizes, ["host", "path"]).groupBy("host", "path").agg(F.sum(-share * F.log(share) / F.log("m")).alias("style"))
     # a leaf counts for each branch that it is in; m is the branch's
     up = F.transform(F.sequence(F.lit(2), F.size(F.split("path", "/"))), lambda i: F.array_join(F.slice(F.split("path", "/"), 1, i), "/"))
-    leaves = counted.where("NOT style").select("host", F.explode(up).alias("path"), "k", "chars").join(sizes, ["host", "path"])
+    leaves = counted.where("NOT style AND path <> ''").select("host", F.col("path").alias("leaf"), F.explode(up).alias("path"), "k", "chars", "outside").join(sizes, ["host", "path"])
     one = F.greatest(1 - F.log("k") / F.log("m"), F.lit(0.0))
-    content = leaves.groupBy("host", "path").agg((F.sum(one * F.col("k") * F.col("chars")) / F.sum(F.col("k") * F.col("chars"))).alias("content"))
-    return content.join(style, ["host", "path"]).where((F.col("content") < threshold) & (F.col("style") < threshold)).select("host", "path")
+    outside = F.max(F.col("outside") & (F.col("leaf") == F.col("path"))).alias("outside")
+    content = leaves.groupBy("host", "path").agg((F.sum(one * F.col("k") * F.col("chars")) / F.sum(F.col("k") * F.col("chars"))).alias("content"), outside)
+    low = (F.col("content") < threshold) & (F.col("style") < threshold)
+    varied = F.col("outside") & (F.col("content") >= 1 - threshold)
+    return content.join(style, ["host", "path"]).where(low | varied).select("host", "path", low.alias("low"))
 
 
 def main_text(pages: DataFrame, **options) -> DataFrame:
     """page_id, url, text and n_chars per page."""
-    low = stored(low_branches(pages, **options).groupBy("host").agg(F.collect_list("path").alias("low")), "branches")
+    lists = [F.collect_list(F.when(F.col("low") == flag, F.col("path"))).alias(name) for flag, name in ((True, "low"), (False, "varied"))]
+    low = stored(low_branches(pages, **options).groupBy("host").agg(*lists), "branches")
     few = low.count() <= BROADCAST_ROWS
     joined = pages.select("page_id", "url", "html", host(F.col("url")).alias("host")).join(F.broadcast(low) if few else low, "host", "left")
 
     def work(batches):
         for pdf in batches:
             texts = []
-            for page, paths in zip(pdf["html"], pdf["low"]):
+            for page, low, varied in zip(pdf["html"], pdf["low"], pdf["varied"]):
                 found = list(blocks(page))
-                kept = _candidates(found)
-                if paths is not None and len(paths):
-                    gone = tuple(p + "/" for p in paths)
-                    kept = [b for b in kept if not (b.path + "/").startswith(gone)]
+                gone = tuple(p + "/" for p in low) if low is not None else ()
+                differ = set(varied) if varied is not None else set()
+                kept = [b for b, outside in _candidates(found) if not (b.path + "/").startswith(gone) and (not outside or b.path in differ)]
                 texts.append("\n".join(b.text for b in kept or [b for b in found if b.content and not b.noise]))
             yield pd.DataFrame({"page_id": pdf["page_id"].astype("Int64"), "url": pdf["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
-    return joined.select("page_id", "url", "html", "low").mapInPandas(work, "page_id long, url string, text string, n_chars long")
+    return joined.select("page_id", "url", "html", "low", "varied").mapInPandas(work, "page_id long, url string, text string, n_chars long")

@@ -43,6 +43,18 @@ def test_style_tree(spark):
     assert style_tree.main_text(df.limit(0)).count() == 0
 
 
+def test_style_tree_decides_inside_and_outside_articles(spark):
+    story = lambda k: f"<div class=text><p>Story {k} is new</p>{'<p>more</p>' * (k % 4)}<p>Line {k * 7}</p></div>"
+    bodies = [f"<div class=top>Same on all pages</div><div class=lead>Summary {k * 3}</div><article><div class=teaser><p>Join us</p></div>{story(k)}</article>" for k in range(20)]
+    rows = [(k, f"http://h.example/{k}", page(b)) for k, b in enumerate(bodies)]
+    rows += [(50, "http://few.example/", page(bodies[0]))] + [(60 + k, f"http://same.example/{k}", page(f"<article>Terms of use</article><nav>{k}</nav>")) for k in range(20)]
+    got = {r["page_id"]: r["text"].split("\n") for r in style_tree.main_text(spark.createDataFrame(rows, SCHEMA)).collect()}
+    # the tree removes what repeats inside the article, and finds what differs outside it
+    assert got[3] == ["Summary 9", "Story 3 is new", "more", "more", "more", "Line 21"]
+    # names decide where a host has too few pages
+    assert got[50] == ["Join us", "Story 0 is new", "Line 0"] and got[60] == ["Terms of use"]
+
+
 def test_warc(spark):
     rows = [(1, "http://a.example/x y\r\nz", "<title>T</title><p>é &amp; ü</p><a href='/l'>l</a>"), (2, None, None), (3, "", ""), (1, "http://a.example/x y\r\nz", "<title>T</title><p>é &amp; ü</p><a href='/l'>l</a>"), (None, "u", "<p>" + "x" * 100_000)]
     df = spark.createDataFrame(rows, SCHEMA).withColumn("record", F.lit(0))
