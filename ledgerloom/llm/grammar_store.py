@@ -1,19 +1,21 @@
-"""Token ids in Re-Pair compressed blocks, in ascending doc_id order.
+"""Token ids in Re-Pair compressed shards, in ascending doc_id order.
 
-Documents are range-partitioned by doc_id (ties by text); each partition is a shard, cut into blocks of about
-``block_tokens`` ids.  In a block, the most frequent adjacent pairs are replaced by new nonterminals, round after
-round (``per_round`` pairs a round, at most ``rounds`` rounds, pairs seen ``least`` times or more); no pair spans
-two documents.  A block is one binary value:
+Documents are range-partitioned by doc_id (ties by text), and each partition is cut into shards of about
+``shard_tokens`` ids, whole documents each.  In a shard, frequent adjacent pairs are replaced by new nonterminals, round
+after round, until no pair is left that occurs ``least`` times; no pair spans two documents.  A round replaces all pairs
+that occur so often, instead of one pair at a time, so that it is a few numpy passes.  A shard is one binary value:
 
-    magic "RPB1", then six little-endian u32: documents, symbols, rules, and the bytes of ids in the doc table (8),
-    the first nonterminal, 0
+    magic "RPB2", then seven little-endian u32: documents, symbols, rules, the first nonterminal (the largest id + 1),
+    and the bits of a symbol, of an expansion length and of an id, then u64 bytes of what follows the doc table
     i64 doc_id and u8 "is null" per document; u32 first symbol and u32 first token per document (and the ends)
-    u32 pair left, u32 pair right, u32 expansion length per rule; u32 per symbol
+    the rules' left symbols, their right symbols, their expansion lengths, and all symbols, each packed to its bits
 
-so one document is decoded by expanding only its own symbols (``decode_document``).
+so one document is decoded by expanding its own symbols (``document``), and any stretch of its ids by skipping symbols
+by their expansion lengths (``ids``).
 
 A null text counts as empty; every document gets the end id, so an empty text has one id; equal rows are stored
-row by row; null ids come first; an empty table gives no blocks; other columns are not read.
+row by row; null ids come first; a text longer than a shard is a shard of its own; an empty table gives no shards; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -22,102 +24,126 @@ import struct
 import zlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
-from .tokens import END_ID, default_path, encoder, rows
+from .tokens import cuts, default_path, encoder, gather
+from .tokens import documents as encoded
 
-FIRST = 1 << 16
-BLOCK_TOKENS = 1 << 18
-ROUNDS, PER_ROUND, LEAST = 6, 512, 8
-_MAGIC = b"RPB1"
+SHARD_TOKENS = 1 << 19
+LEAST = 12
+_MAGIC = b"RPB2"
+_END = np.uint32(1 << 31)
 
 
-_PLACES = 18
+def _frequent(seq: np.ndarray, heavy: np.ndarray, place: np.ndarray, places: int, least: int):
+    """Positions of pairs that occur least times or more, the number of each one's pair, and where each pair is first met.
 
-
-def _place(code: np.ndarray) -> np.ndarray:
-    return ((code.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _PLACES)).view(np.int64)
-
-
-def compress(ids: np.ndarray, last: np.ndarray, rounds: int = ROUNDS, per_round: int = PER_ROUND, least: int = LEAST):
-    """(rules, symbols, last): rules[k] is the pair that nonterminal FIRST + k stands for.
-
-    last marks the final id of each document; a pair never starts there.
+    While many positions are left, pairs are told apart by their place in a hash table; of pairs that share a place, the
+    others wait for a later round.  Few positions are sorted, which leaves out none.
     """
-    seq, last, rules = ids.astype(np.int64), last.copy(), [np.zeros((0, 2), np.int64)]
-    following = FIRST
-    for _ in range(rounds):
-        if len(seq) < 2:
+    for exact in (False, True) if len(heavy) * 8 > len(seq) else (True,):
+        if exact:
+            _, where, group = np.unique((seq[heavy].astype(np.uint64) << np.uint64(32)) | seq[heavy + 1], return_index=True, return_inverse=True)
+            where, at, groups = heavy[where], heavy, len(where)
+        else:
+            where, groups = np.zeros(places, np.int64), places
+            where[place[heavy]] = heavy
+            other = where[place[heavy]]
+            at = heavy[(seq[other] == seq[heavy]) & (seq[other + 1] == seq[heavy + 1])]
+            group = place[at]
+        often = np.flatnonzero(np.bincount(group, minlength=groups) >= least)
+        if len(often):
             break
-        code = (seq[:-1] << 32) | seq[1:]
-        code[last[:-1]] = -1
-        ordered = np.sort(code)
-        starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-        counts = np.diff(np.append(starts, len(ordered)))
-        pairs = ordered[starts]
-        often = np.flatnonzero((counts >= least) & (pairs >= 0))
-        if not len(often):
+    number = np.full(groups, -1, np.int64)
+    number[often] = np.arange(len(often))
+    number = number[group]
+    return at[number >= 0], number[number >= 0], where[often]
+
+
+def compress(ids: np.ndarray, ends: np.ndarray, least: int = LEAST):
+    """(first, rules, symbols, starts): rules[k] is the pair that nonterminal first + k stands for; starts has the first
+    symbol of each document, and the end.  ends has the position of each document's last id, where no pair starts."""
+    first, seq, rules, following = int(ids.max(initial=0)) + 1, ids.astype(np.uint32), [np.zeros((0, 2), np.uint32)], 0
+    seq[ends] |= _END
+    bits = min(max(len(seq).bit_length() - 2, 10), 22)
+    hashed, place = np.empty(len(seq), np.uint32), np.empty(len(seq), np.int64)
+    while len(seq) > 1:
+        # a hash of each pair, in place; the multiplier differs from round to round
+        h, p = hashed[: len(seq) - 1], place[: len(seq) - 1]
+        np.multiply(seq[:-1], np.uint32(0x9E3779B1), out=h)
+        np.add(h, seq[1:], out=h)
+        np.multiply(h, np.uint32((0x85EBCA6B + (len(rules) << 9)) & 0xFFFFFFFF), out=h)
+        np.right_shift(h, np.uint32(32 - bits), out=h)
+        p[:] = h
+        heavy = np.flatnonzero((np.bincount(p, minlength=1 << bits) >= least)[p])
+        heavy = heavy[seq[heavy] < _END]
+        at, number, where = _frequent(seq, heavy, p, 1 << bits, least)
+        if not len(at):
             break
-        if len(often) > per_round:
-            often = often[np.lexsort((pairs[often], -counts[often]))[:per_round]]
-        # pairs are found by a hash table; of pairs that share a place, one waits for the next round
-        places, first = np.unique(_place(pairs[often]), return_index=True)
-        chosen = pairs[often][first]
-        table = np.zeros(1 << _PLACES, np.int32)
-        table[places] = np.arange(len(chosen))
-        slot = table[_place(code)]
-        at = np.flatnonzero(chosen[slot] == code)
         # of matches that overlap (neighbours in the sequence), every second one from the left is replaced
-        fresh = np.concatenate(([True], np.diff(at) > 1))
-        run = np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))
-        at = at[(np.arange(len(at)) - run) % 2 == 0]
-        seq[at] = following + slot[at]
-        last[at] = last[at + 1]
+        k = np.arange(len(at))
+        even = (k - np.maximum.accumulate(np.where(np.diff(at, prepend=-2) > 1, k, 0))) % 2 == 0
+        at, number = at[even], number[even]
+        rules.append(np.stack((seq[where], seq[where + 1] & ~_END), 1))
+        seq[at] = (first + following + number).astype(np.uint32) | (seq[at + 1] & _END)
+        following += len(where)
+        if first + following >= _END:
+            raise ValueError("ids and nonterminals have to stay below 2 ** 31")
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
-        seq, last = seq[keep], last[keep]
-        rules.append(np.stack((chosen >> 32, chosen & 0xFFFFFFFF), 1))
-        following += len(chosen)
-    return np.concatenate(rules), seq, last
-
-
-def _lengths(rules: np.ndarray) -> np.ndarray:
-    """Expansion length of each rule; a rule refers to earlier rules only."""
-    out = np.ones(len(rules), np.int64)
-    for k, (a, b) in enumerate(rules.tolist()):
-        out[k] = (out[a - FIRST] if a >= FIRST else 1) + (out[b - FIRST] if b >= FIRST else 1)
-    return out
-
-
-def write_block(doc_ids: list, buffers: list[bytes], **options) -> bytes:
-    """One block of documents, each a buffer of little-endian u32 ids that has its end id already."""
-    lengths = np.array([len(b) // 4 for b in buffers], np.int64)
-    ends = np.cumsum(lengths)
-    ids = np.frombuffer(b"".join(buffers), "<u4")
-    last = np.zeros(len(ids), bool)
-    last[ends - 1] = True
-    rules, symbols, last = compress(ids, last, **options)
-    first = np.concatenate(([0], np.flatnonzero(last) + 1))
+        seq = seq[keep]
+    return first, np.concatenate(rules), seq & ~_END, np.append(0, np.flatnonzero(seq >= _END) + 1)
+
+
+def pack(values: np.ndarray, bits: int) -> bytes:
+    """Values in so many bits each, lowest bit first."""
+    return np.packbits(np.unpackbits(values.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :bits], bitorder="little").tobytes()
+
+
+def unpack(data: bytes, bits: int, n: int) -> np.ndarray:
+    out = np.zeros((n, 32), np.uint8)
+    out[:, :bits] = np.unpackbits(np.frombuffer(data, np.uint8), count=n * bits, bitorder="little").reshape(n, bits)
+    return np.packbits(out, axis=1, bitorder="little").view("<u4").ravel()
+
+
+def _expand(first: int, rules: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All symbols' expansions end to end, where each begins, and their lengths; level by level, as rules refer to earlier ones."""
+    symbols, owner = rules.astype(np.int64).ravel(), np.repeat(np.arange(len(rules)), 2)
+    while (rule := symbols >= first).any():
+        size = 1 + rule
+        at = cuts(size)[:-1]
+        out, owner = np.repeat(symbols, size), np.repeat(owner, size)
+        out[at[rule]], out[at[rule] + 1] = rules[symbols[rule] - first, 0], rules[symbols[rule] - first, 1]
+        symbols = out
+    lengths = np.concatenate((np.ones(first, np.int64), np.bincount(owner, minlength=len(rules))))
+    return np.concatenate((np.arange(first), symbols)).astype("<u4"), cuts(lengths)[:-1], lengths
+
+
+def write_shard(doc_ids: list, ids: np.ndarray, counts: np.ndarray, **options) -> bytes:
+    """One shard of documents, their ids end to end, end ids included."""
+    ends = cuts(counts)
+    first, rules, symbols, starts = compress(ids, ends[1:] - 1, **options)
+    lengths = _expand(first, rules)[2][first:]
+    bits, length_bits = max(1, (first + len(rules) - 1).bit_length()), max(1, int(lengths.max(initial=0)).bit_length())
     null = np.array([i is None for i in doc_ids], np.uint8)
-    head = struct.pack("<6I", len(doc_ids), len(symbols), len(rules), 8, FIRST, 0)
-    return b"".join(
-        (_MAGIC, head, np.array([i or 0 for i in doc_ids], "<i8").tobytes(), null.tobytes(), first.astype("<u4").tobytes(), np.append(0, ends).astype("<u4").tobytes())
-        + (rules[:, 0].astype("<u4").tobytes(), rules[:, 1].astype("<u4").tobytes(), _lengths(rules).astype("<u4").tobytes(), symbols.astype("<u4").tobytes())
-    )
+    packed = pack(rules[:, 0], bits), pack(rules[:, 1], bits), pack(lengths, length_bits), pack(symbols, bits)
+    head = struct.pack("<7IQ", len(doc_ids), len(symbols), len(rules), first, bits, length_bits, max(1, (first - 1).bit_length()), sum(map(len, packed)))
+    table = np.array([i or 0 for i in doc_ids], "<i8"), null, starts.astype("<u4"), ends.astype("<u4")
+    return b"".join((_MAGIC, head, *[t.tobytes() for t in table], *packed))
 
 
-class Block:
-    """A block read back."""
+class Shard:
+    """A shard read back."""
 
     def __init__(self, data: bytes):
         if data[:4] != _MAGIC:
-            raise ValueError("not a block of this format")
-        docs, symbols, rules, *_ = struct.unpack_from("<6I", data, 4)
-        at = 28
+            raise ValueError("not a shard of this format")
+        docs, symbols, rules, self.first, bits, length_bits, _, self.packed_bytes = struct.unpack_from("<7IQ", data, 4)
+        at = 40
 
         def take(kind: str, n: int) -> np.ndarray:
             nonlocal at
@@ -125,115 +151,106 @@ class Block:
             at += out.nbytes
             return out
 
+        def bits_of(n: int, width: int) -> np.ndarray:
+            return unpack(take("u1", -(-n * width // 8)).tobytes(), width, n)
+
         ids, null = take("<i8", docs), take("u1", docs)
-        self.doc_ids = [None if z else int(i) for i, z in zip(ids, null)]
-        self.first_symbol, self.first_token = take("<u4", docs + 1), take("<u4", docs + 1)
-        left, right, self.expanded = take("<u4", rules), take("<u4", rules), take("<u4", rules).astype(np.int64)
-        self.symbols = take("<u4", symbols)
-        self.rules = list(zip(left.tolist(), right.tolist()))
-
-    def _pool(self) -> tuple[np.ndarray, np.ndarray]:
-        """All rules' expansions end to end, and where each begins."""
-        starts = np.append(0, np.cumsum(self.expanded))
-        pool = np.zeros(int(starts[-1]), "<u4")
-        for k, (a, b) in enumerate(self.rules):
-            at = starts[k]
-            for x in (a, b):
-                if x >= FIRST:
-                    n, s = self.expanded[x - FIRST], starts[x - FIRST]
-                    pool[at : at + n] = pool[s : s + n]
-                    at += n
-                else:
-                    pool[at] = x
-                    at += 1
-        return pool, starts
-
-    def decode_all(self) -> np.ndarray:
+        self.doc_ids = [None if z else i for i, z in zip(ids.tolist(), null.tolist())]
+        self.first_symbol, self.first_token = take("<u4", docs + 1).astype(np.int64), take("<u4", docs + 1).astype(np.int64)
+        self.rules = np.stack((bits_of(rules, bits), bits_of(rules, bits)), 1)
+        self.expanded = bits_of(rules, length_bits).astype(np.int64)
+        self.symbols = bits_of(symbols, bits).astype(np.int64)
+
+    def all_ids(self) -> np.ndarray:
         """The ids of all documents, end to end."""
-        symbols, (pool, starts) = self.symbols.astype(np.int64), self._pool()
-        rule = symbols >= FIRST
-        lengths, where = np.ones(len(symbols), np.int64), np.zeros(len(symbols), np.int64)
-        lengths[rule], where[rule] = self.expanded[symbols[rule] - FIRST], starts[symbols[rule] - FIRST]
-        begin = np.cumsum(lengths) - lengths
-        out = np.zeros(int(lengths.sum()), "<u4")
-        out[begin[~rule]] = symbols[~rule]
-        n = lengths[rule]
-        within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        out[np.repeat(begin[rule], n) + within] = pool[np.repeat(where[rule], n) + within]
-        return out
-
-    def decode_document(self, k: int) -> np.ndarray:
+        pool, starts, lengths = _expand(self.first, self.rules)
+        return gather(pool, starts[self.symbols], lengths[self.symbols])
+
+    def document(self, k: int) -> np.ndarray:
         """The ids of the k-th document alone."""
-        out, stack = [], self.symbols[self.first_symbol[k] : self.first_symbol[k + 1]].tolist()[::-1]
-        while stack:
+        return self.ids(k, 0, int(self.first_token[k + 1] - self.first_token[k]))
+
+    def ids(self, k: int, start: int, stop: int) -> np.ndarray:
+        """The ids from start to stop of the k-th document; symbols and rules outside are skipped by their lengths."""
+        symbols = self.symbols[self.first_symbol[k] : self.first_symbol[k + 1]]
+        rule = symbols >= self.first
+        lengths = np.ones(len(symbols), np.int64)
+        lengths[rule] = self.expanded[symbols[rule] - self.first]
+        ends = np.cumsum(lengths)
+        low, high = int(np.searchsorted(ends, start, "right")), int(np.searchsorted(ends, stop, "left")) + 1
+        at, out = int(ends[low - 1]) if low else 0, []
+        stack = symbols[low:high].tolist()[::-1]
+        while stack and at < stop:
             x = stack.pop()
-            if x >= FIRST:
-                stack += self.rules[x - FIRST][::-1]
+            size = int(self.expanded[x - self.first]) if x >= self.first else 1
+            if at + size <= start:
+                at += size
+            elif x >= self.first:
+                stack += self.rules[x - self.first].tolist()[::-1]
             else:
                 out.append(x)
+                at += 1
         return np.array(out, "<u4")
 
 
-BLOCKS = "shard int, block int, shard_start long, n_docs long, n_tokens long, data binary"
+SHARDS = "range int, shard int, range_start long, n_docs long, n_tokens long, data binary"
 
 
-def write(documents: DataFrame, path: str | None = None, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """The blocks of all documents, one row each, stored in the shared folder; shards ascend in doc_id."""
+def write(documents: DataFrame, path: str | None = None, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+    """The shards of all documents, one row each, stored in the shared folder; ranges ascend in doc_id."""
     path = path or default_path()
     key = F.xxhash64("text")
 
-    def shard(batches):
-        tokens, number = encoder(path), TaskContext.get().partitionId()
-        end = np.array([END_ID], "<u4").tobytes()
-        ids, buffers, size, start, block = [], [], 0, 0, 0
+    def work(batches):
+        number, shard, before = TaskContext.get().partitionId(), 0, 0
+        held, size = [], 0
 
         def out():
-            return pd.DataFrame([(number, block, start, len(ids), size, write_block(ids, buffers))], columns=["shard", "block", "shard_start", "n_docs", "n_tokens", "data"])
-
-        for doc_id, buffer in rows(batches, tokens):
-            ids.append(doc_id)
-            buffers.append(buffer + end)
-            size += len(buffer) // 4 + 1
-            if size >= block_tokens:
-                yield _arrow(out())
-                start, block, size, ids, buffers = start + size, block + 1, 0, [], []
-        if ids:
-            yield _arrow(out())
+            nonlocal held, size, shard, before
+            ids, counts = np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held])
+            data = write_shard([i for h in held for i in h[0]], ids, counts)
+            row = pa.RecordBatch.from_pydict({k.split()[0]: [v] for k, v in zip(SHARDS.split(", "), (number, shard, before, len(counts), size, data))}, pa.schema(_FIELDS))
+            held, size, shard, before = [], 0, shard + 1, before + size
+            return row
+
+        for doc_ids, ids, counts in encoded(batches, encoder(path)):
+            ends = cuts(counts)
+            at = 0
+            while at < len(counts):
+                # whole documents until the shard is full
+                to = min(len(counts), int(np.searchsorted(ends, ends[at] + shard_tokens - size, "left")))
+                held.append((doc_ids[at:to], ids[ends[at] : ends[to]], counts[at:to]))
+                size, at = size + int(ends[to] - ends[at]), to
+                if size >= shard_tokens:
+                    yield out()
+        if held:
+            yield out()
 
     # the sampling job that finds the ranges runs on the scan alone, as encoding comes after the exchange
     ranged = documents.select("doc_id", "text").repartitionByRange(F.col("doc_id").asc_nulls_first(), key)
-    return stored(ranged.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), key).mapInArrow(shard, BLOCKS), "grammar")
-
+    return stored(ranged.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), key).mapInArrow(work, SHARDS), "grammar")
 
-def _arrow(pdf: pd.DataFrame):
-    import pyarrow as pa
 
-    kinds = {"shard": pa.int32(), "block": pa.int32(), "data": pa.binary()}
-    return pa.RecordBatch.from_pandas(pdf, pa.schema([(c, kinds.get(c, pa.int64())) for c in pdf.columns]), preserve_index=False)
+_FIELDS = [("range", pa.int32()), ("shard", pa.int32()), ("range_start", pa.int64()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("data", pa.binary())]
 
 
-def read(blocks: DataFrame) -> DataFrame:
-    """Per document: doc_id, start (ids of all documents before it), n_tokens and ids_crc32, from the stored blocks."""
+def read(shards: DataFrame) -> DataFrame:
+    """Per document: doc_id, start (ids of all documents before it), n_tokens and ids_crc32, from the stored shards."""
     from pyspark.sql import Window as W
 
-    # one row per shard, of which there are as many as shuffle partitions
-    totals = blocks.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
-    before = W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
-    starts = totals.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    placed = blocks.join(F.broadcast(starts), "shard").select((F.col("before") + F.col("shard_start")).alias("at"), "data")
+    # one row per range, of which there are as many as shuffle partitions
+    totals = shards.groupBy("range").agg(F.sum("n_tokens").alias("n"))
+    before = W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    starts = totals.select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    placed = shards.join(F.broadcast(starts), "range").select((F.col("before") + F.col("range_start")).alias("at"), "data")
 
     def decode(batches):
-        for pdf in batches:
-            for at, data in zip(pdf["at"], pdf["data"]):
-                block = Block(data)
-                ids, bounds = block.decode_all().tobytes(), block.first_token.tolist()
-                yield pd.DataFrame(
-                    {
-                        "doc_id": pd.array(block.doc_ids, "Int64"),
-                        "start": [at + b for b in bounds[:-1]],
-                        "n_tokens": [b - a for a, b in zip(bounds, bounds[1:])],
-                        "ids_crc32": [zlib.crc32(ids[4 * a : 4 * b]) for a, b in zip(bounds, bounds[1:])],
-                    }
-                )
-
-    return placed.mapInPandas(decode, "doc_id long, start long, n_tokens long, ids_crc32 long")
+        for batch in batches:
+            for at, data in zip(batch.column("at").to_pylist(), batch.column("data")):
+                shard = Shard(data.as_buffer().to_pybytes())
+                ids, bounds = shard.all_ids().data.cast("B"), shard.first_token
+                crc = [zlib.crc32(ids[4 * a : 4 * b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+                columns = [pa.array(shard.doc_ids, pa.int64()), pa.array(at + bounds[:-1]), pa.array(np.diff(bounds)), pa.array(crc, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "ids_crc32"])
+
+    return placed.mapInArrow(decode, "doc_id long, start long, n_tokens long, ids_crc32 long")

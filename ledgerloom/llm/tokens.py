@@ -1,24 +1,33 @@
-"""Encoding with a public tokenizer file, a cache of words in front of it.
-
-The tokenizer drops white space before it splits, so the pieces between white space are encoded independently of each
-other, and each distinct one goes through the library once, as long as it is remembered.  Words of Latin-1 letters
-and ASCII signs are lowered and split here, by the file's own pattern, and go to the library's model piece by piece,
-which spares them the normaliser's bookkeeping; other words go through the whole tokenizer.  Texts with the strings of
-special tokens, or with control characters on which Python and the tokenizer disagree about white space, go through
-the library whole.
+"""Encoding with a public tokenizer file, whole Arrow columns at a time.
+
+A file whose normaliser and pre-tokenizer are the ones below drops white space before it splits, so the words between
+white space are encoded independently of each other.  Arrow splits a column into words and numbers the distinct ones;
+each of those is looked up among the words of former columns, and the ids of all words are laid out by numpy.  New
+words of Latin-1 letters and ASCII signs are lowered and split here, by the file's own pattern, and their pieces go to
+the library's model, which spares them the normaliser's bookkeeping; other words go through the whole
+tokenizer.  Texts with the strings of special tokens, or with control characters on which Arrow and the tokenizer
+disagree about white space, go through the library whole, and so does every text where the file is of another kind.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
-import sys
 from array import array
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 END_ID = 2
-_WHOLE = ("<|", "\x1c", "\x1d", "\x1e", "\x1f")
-# The tokenizer's pattern, on the characters that _SIMPLE allows (all composed, and lowered one by one).
-_SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+_WHOLE = "<\\||[\x1c-\x1f]"
+# The tokenizer's steps before its model, and its pattern on the characters that _SIMPLE allows (all
+# composed, and lowered one by one).
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿ]*")
 _PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
 
@@ -30,69 +39,124 @@ def _byte_letters() -> dict[int, str]:
     return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(256)}
 
 
-def _packed(ids: list[int]) -> bytes:
-    out = array("I", ids)
-    if sys.byteorder == "big":
-        out.byteswap()
-    return out.tobytes()
+def _splits_words(path: str) -> bool:
+    """Whether the file has the steps for which words can be encoded apart."""
+    with open(path, encoding="utf-8") as f:
+        steps = json.load(f)
+    pre = (steps.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    return (
+        (steps.get("normalizer") or {}).get("normalizers") == _NORMALIZERS
+        and len(pre) == 2
+        and pre[0].get("pattern") == {"Regex": _SPLIT}
+        and (pre[0].get("behavior"), pre[0].get("invert")) == ("Removed", True)
+        and (pre[1].get("type"), pre[1].get("add_prefix_space"), pre[1].get("use_regex")) == ("ByteLevel", False, False)
+        and all(t["content"].startswith("<|") for t in steps.get("added_tokens", []))
+        and steps["model"]["type"] == "BPE"
+    )
 
 
-class _Words(dict):
-    """Words and pieces with their ids as bytes; a miss is looked up in the older generation, then encoded."""
+def cuts(lengths: np.ndarray) -> np.ndarray:
+    """Where runs of these lengths begin when laid end to end, and where the last one ends."""
+    return np.concatenate(([0], np.cumsum(lengths)))
 
-    def __init__(self, library, most: int):
-        super().__init__()
-        self.library, self.most, self.old, self.letters = library, most, {}, _byte_letters()
-        self._tokenize = library.model.tokenize
 
-    def _piece(self, piece: str) -> bytes:
-        mapped = piece if piece.isascii() else piece.translate(self.letters)
-        return _packed([t.id for t in self._tokenize(mapped)])
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.old.get(word)
-        if ids is None:
-            if _SIMPLE.fullmatch(word):
-                pieces = _PIECE.findall(word.lower())
-                ids = self._piece(pieces[0]) if len(pieces) == 1 else b"".join([self[p] if p != word else self._piece(p) for p in pieces])
-            else:
-                ids = _packed(self.library.encode(word, add_special_tokens=False).ids)
-        if len(self) >= self.most:
-            self.old = dict(self)
-            self.clear()
-        self[word] = ids
-        return ids
+def gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The runs of values that begin at starts, end to end."""
+    at = cuts(lengths)
+    return values[np.repeat(starts - at[:-1], lengths) + np.arange(at[-1])]
 
 
 class Encoder:
-    """Texts to ids, as little-endian unsigned 32-bit buffers.
+    """Texts to ids.  Words live in two generations of at most ``most_words`` each: a full younger one becomes the older
+    one, from which words that are seen again return."""
 
-    Words live in two generations of at most ``most_words`` each: a full younger one becomes the older one, from which
-    words that are seen again return.
-    """
-
-    def __init__(self, path: str, most_words: int = 450_000):
+    def __init__(self, path: str, most_words: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(path)
-        self._words = _Words(self._library, most_words)
-
-    def _whole(self, text: str) -> bytes:
-        return _packed(self._library.encode(text, add_special_tokens=False).ids)
+        self._by_word, self._most, self._letters = _splits_words(path), most_words, _byte_letters()
+        self._young: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
+        self._tokenize = self._library.model.tokenize
+
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self._library.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def _ids(self, word: str) -> bytes:
+        """The ids of a word that no generation knows, from those of its pieces."""
+        if not _SIMPLE.fullmatch(word):
+            return self._whole(word).tobytes()
+        parts = _PIECE.findall(word.lower())
+        if len(parts) == 1:
+            return self._piece(parts[0])
+        known = self._young
+        out = []
+        for p in parts:
+            ids = known.get(p)
+            if ids is None:
+                ids = known[p] = self._old.get(p) or self._piece(p)
+            out.append(ids)
+        return b"".join(out)
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text; a null text counts as empty."""
-        get = self._words.__getitem__
-        return [b"" if not t else self._whole(t) if any(x in t for x in _WHOLE) else b"".join(map(get, t.split())) for t in texts]
-
-
-def rows(batches, tokens: Encoder, at_once: int = 256):
-    """(doc_id, ids) of each row of Arrow batches with doc_id and text, decoding a few rows at a time."""
+    def _piece(self, piece: str) -> bytes:
+        return array("I", [t.id for t in self._tokenize(piece if piece.isascii() else piece.translate(self._letters))]).tobytes()
+
+    def _looked_up(self, words: list[str]) -> list[bytes]:
+        if len(self._young) > self._most:
+            self._young, self._old = {}, self._young
+        young, old, out = self._young, self._old, []
+        for w in words:
+            ids = young.get(w)
+            if ids is None:
+                ids = old.get(w)
+                young[w] = ids = self._ids(w) if ids is None else ids
+            out.append(ids)
+        return out
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, end to end, and the number of each text's; a null text counts as empty."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        whole = np.flatnonzero(pc.match_substring_regex(texts, _WHOLE).to_numpy(zero_copy_only=False)) if self._by_word else np.arange(len(texts))
+        apart = {k: self._whole(texts[k].as_py()) for k in whole.tolist()}
+        if len(whole):
+            mask = np.zeros(len(texts), bool)
+            mask[whole] = True
+            texts = pc.if_else(pa.array(mask), "", texts)
+        lists = pc.utf8_split_whitespace(texts)
+        words = lists.flatten().dictionary_encode()
+        codes = words.indices.to_numpy(zero_copy_only=False)
+        ids = self._looked_up(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        lengths = sizes[codes]
+        offsets = np.asarray(lists.offsets) - lists.offsets[0].as_py()
+        flat = gather(np.frombuffer(b"".join(ids), "<u4"), cuts(sizes)[:-1][codes], lengths)
+        counts = np.diff(cuts(lengths)[offsets])
+        if apart:
+            ends = cuts(counts)
+            runs = [apart.get(k, flat[ends[k] : ends[k + 1]]) for k in range(len(counts))]
+            flat, counts = np.concatenate(runs), np.array([len(r) for r in runs])
+        return flat, counts
+
+
+def documents(batches: Iterator[pa.RecordBatch], tokens: Encoder, at_once: int = 1 << 22) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+    """(doc_ids, ids of all of them end to end, their numbers of ids), each with its end id, from Arrow batches with
+    doc_id and text, about at_once bytes of text at a time (one text at least)."""
     for batch in batches:
-        for at in range(0, batch.num_rows, at_once):
-            part = batch.slice(at, at_once)
-            yield from zip(part.column("doc_id").to_pylist(), tokens.encode(part.column("text").to_pylist()))
+        text = batch.column("text").cast(pa.large_string())
+        size, at = cuts(pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False)), 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(size, size[at] + at_once, "right")) - 1)
+            ids, counts = tokens.encode(text.slice(at, to - at))
+            yield batch.column("doc_id").slice(at, to - at).to_pylist(), np.insert(ids, cuts(counts)[1:], np.uint32(END_ID)), counts + 1
+            at = to
+
+
+def rows(batches, tokens: Encoder):
+    """(doc_id, ids as bytes, without the end id) of each row."""
+    for doc_ids, ids, counts in documents(batches, tokens):
+        at = cuts(counts)
+        yield from ((i, ids[a : b - 1].tobytes()) for i, a, b in zip(doc_ids, at[:-1], at[1:]))
 
 
 _encoders: dict[str, Encoder] = {}

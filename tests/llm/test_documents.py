@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -20,10 +21,11 @@ def frame(spark, rows=EDGES):
     return spark.createDataFrame(rows, SCHEMA).withColumn("row", F.lit(1)).withColumn("unit", F.lit("clash")).withColumn("bands", F.lit(2))
 
 
-def ids_of(text):
-    from tokenizers import Tokenizer
+LIBRARY = tokens.encoder(tokens.default_path())._library
+
 
-    return Tokenizer.from_file(tokens.default_path()).encode(text or "", add_special_tokens=False).ids + [tokens.END_ID]
+def ids_of(text):
+    return LIBRARY.encode(text or "", add_special_tokens=False).ids + [tokens.END_ID]
 
 
 def crc(ids):
@@ -41,19 +43,63 @@ def test_token_store(spark):
     assert grammar_store.read(grammar_store.write(frame(spark, []))).count() == 0
 
 
-@settings(max_examples=40, deadline=None)
-@given(st.lists(st.lists(st.integers(0, 5), max_size=60), min_size=1, max_size=12))
-def test_grammar_round_trip(docs):
-    block = grammar_store.Block(grammar_store.write_block(list(range(len(docs))), [np.array(d + [2], "<u4").tobytes() for d in docs], least=2))
-    assert block.decode_all().tolist() == [x for d in docs for x in d + [2]]
+def laid(docs):
+    return np.array([x for d in docs for x in d], "<u4"), np.array([len(d) for d in docs])
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 5), max_size=60), min_size=1, max_size=12), st.integers(2, 5), st.data())
+def test_grammar_round_trip(docs, least, data):
+    docs = [d + [2] for d in docs]
+    shard = grammar_store.Shard(grammar_store.write_shard(list(range(len(docs))), *laid(docs), least=least))
+    assert shard.all_ids().tolist() == [x for d in docs for x in d]
     for k, d in enumerate(docs):
-        assert block.decode_document(k).tolist() == d + [2]
+        start, stop = sorted((data.draw(st.integers(0, len(d))), data.draw(st.integers(0, len(d)))))
+        assert shard.document(k).tolist() == d
+        assert shard.ids(k, start, stop).tolist() == d[start:stop]
+    # no pair is left that occurs often, copies of one symbol in a row aside, and none spans two documents
+    pairs = Counter()
+    for a, b in zip(shard.first_symbol, shard.first_symbol[1:]):
+        pairs.update((x, y) for x, y in zip(shard.symbols[a : b - 2].tolist(), shard.symbols[a + 1 : b - 1].tolist()) if x != y)
+    assert all(n < least for n in pairs.values())
 
 
-def test_grammar_compresses():
-    docs = [np.array([7, 8, 9, 10] * 200 + [2], "<u4").tobytes()] * 20
-    block = grammar_store.Block(grammar_store.write_block(list(range(20)), docs))
-    assert len(block.symbols) < 20 * 200 and len(block.rules) > 0
+def test_grammar_saves_space():
+    rng = np.random.default_rng(5)
+    words = [rng.integers(0, 49_408, rng.integers(1, 6)).tolist() for _ in range(4000)]
+    docs = [[x for w in rng.zipf(1.3, 800) % 4000 for x in words[w]] + [2] for _ in range(60)]
+    data = grammar_store.write_shard(list(range(60)), *laid(docs))
+    assert len(data) < 0.8 * 2 * sum(map(len, docs))  # of plain 16-bit ids
+    copies = grammar_store.write_shard(list(range(60)), *laid([docs[0]] * 60))
+    assert len(copies) < 0.12 * 2 * 60 * len(docs[0])
+
+
+def test_grammar_takes_large_ids():
+    docs = [[70_000, 1 << 30, 70_000, 1 << 30, 2]] * 30
+    assert grammar_store.Shard(grammar_store.write_shard(list(range(30)), *laid(docs))).document(7).tolist() == docs[0]
+    with pytest.raises(ValueError):
+        grammar_store.write_shard([0], *laid([[(1 << 31) - 1, 5] * 40]), least=2)
+
+
+def test_encoder_is_the_tokenizer():
+    rng = np.random.default_rng(2)
+    letters = list("abzABZ09 '.,-sStTmM\t\n\x85\xa0\u3000\x1cßÄÖÜäöüéÉñ×÷İıſŒœΣς漢字e\u0301<|>_$²½🙂\u200d\u180e\xad")
+    texts = ["".join(rng.choice(letters, rng.integers(0, 30))) for _ in range(3000)] + ["<|endoftext|>a", "", None, "a" * 5000]
+    for most in (50, 400_000):
+        ids, counts = tokens.Encoder(tokens.default_path(), most).encode(pa.array(texts))
+        at = tokens.cuts(counts)
+        assert all(LIBRARY.encode(t or "", add_special_tokens=False).ids == ids[a:b].tolist() for t, a, b in zip(texts, at, at[1:]))
+
+
+def test_encoder_takes_other_files():
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["Two  words, Here", "", "a\n\n b <|endoftext|>"]
+    encoder = tokens.Encoder(path)
+    ids, counts = encoder.encode(pa.array(texts))
+    assert not encoder._by_word
+    assert ids.tolist() == [i for t in texts for i in encoder._library.encode(t, add_special_tokens=False).ids] and len(counts) == 3
 
 
 def test_packing(spark):
