@@ -1,11 +1,14 @@
 """Lexical retrieval packing: sequences filled with a seed document and its BM25 neighbours.
 
-Documents are range-partitioned by a lexical signature (the smallest word hash of the whole text), then by text and
-id, so that similar documents tend to meet, a hot group is split, and any number of copies spreads over partitions.
-A partition is cut into shards of at most ``shard_tokens`` ids.  Each shard gets an inverted BM25 index over token
-ids; a seed (the rest of a cut document, else the next unused one) retrieves its unused neighbours, best first, which
-fill the window; the one that no longer fits is cut and its rest seeds the next window.  What is left of a shard
-is laid out in sequences whose lengths are powers of two, which need no padding.
+Documents are encoded once and stored; with the ids' counts over all documents, each gets a lexical signature: the
+``MINIMA`` smallest of its ids under a weighted min-hash, in which rare ids are likelier to be smallest, so that two
+documents share a place of it about as often as they share weight.  Documents are range-partitioned by the signature,
+then by a hash of their ids and by doc_id, so that documents alike tend to meet, a hot first minimum is split by the
+next ones, and any number of copies spreads over partitions.  A partition is cut into shards of about ``shard_tokens``
+ids.  Each shard gets an inverted BM25 index over token ids; a seed (the rest of a cut document, else the next unused
+one) retrieves its unused neighbours by all its terms, best first, which fill the window; the one that no longer fits is
+cut and its rest seeds the next window.  What is left of a shard is laid out in sequences whose lengths are powers of
+two, which need no padding.
 
 A null text counts as empty; every document ends in the end id, so an empty one has one id; long documents span
 windows; repeated rows are packed row by row; an empty table gives no pieces; other columns are not read.
@@ -16,62 +19,63 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import END_ID, default_path, encoder, rows
+from .common import stored
+from .tokens import cuts, default_path, encoder, gather
+from .tokens import documents as encoded
 
 WINDOW = 4096
-SHARD_TOKENS = 500_000
-QUERY_TERMS = 16
+SHARD_TOKENS = 750_000
+MINIMA = 4
 K1, B = 1.2, 0.75
+SUMS = 32
 
 
 class Index:
-    """An inverted BM25 index over the token ids of one shard's documents."""
-
-    def __init__(self, docs: list[np.ndarray], query_terms: int = QUERY_TERMS):
-        n = len(docs)
-        lengths = np.array([len(d) for d in docs], np.int64)
-        pairs = np.concatenate([d.astype(np.int64) for d in docs]) * n + np.repeat(np.arange(n), lengths)
-        pairs, tf = np.unique(pairs, return_counts=True)
-        term, self.doc = np.divmod(pairs, n)
-        starts = np.flatnonzero(np.concatenate(([True], term[1:] != term[:-1])))
-        self.starts = np.append(starts, len(term))
-        df = np.diff(self.starts)
-        slot = np.repeat(np.arange(len(starts)), df)
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        self.weight = idf[slot] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[self.doc] / lengths.mean()))
-        order = np.lexsort((slot, -idf[slot], self.doc))
-        order = order[df[slot[order]] > 1]
-        self.terms, self.first, self.n = slot[order], np.searchsorted(self.doc[order], np.arange(n + 1)), n
-        self.most = query_terms
+    """An inverted BM25 index over the token ids of one shard's documents, whose ids lie end to end."""
+
+    def __init__(self, ids: np.ndarray, counts: np.ndarray):
+        n = self.n = len(counts)
+        pairs, tf = np.unique(ids.astype(np.int64) * n + np.repeat(np.arange(n), counts), return_counts=True)
+        term, doc = np.divmod(pairs, n)
+        slot = np.cumsum(np.diff(term, prepend=term[:1]) > 0)
+        self.df = np.bincount(slot)
+        self.doc, self.starts = doc.astype(np.int32), cuts(self.df)[:-1]
+        idf = np.log1p((n - self.df + 0.5) / (self.df + 0.5))
+        self.weight = idf[slot] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * counts[doc] / counts.mean()))
+        # a document's terms that others have as well
+        order = np.argsort(doc, kind="stable")
+        order = order[self.df[slot[order]] > 1]
+        self.terms, self.first = slot[order], np.searchsorted(doc[order], np.arange(n + 1))
+
+    def scores(self, seed: int) -> np.ndarray:
+        """BM25 of every document for the seed's terms."""
+        terms = self.terms[self.first[seed] : self.first[seed + 1]]
+        starts, sizes = self.starts[terms], self.df[terms]
+        return np.bincount(gather(self.doc, starts, sizes), gather(self.weight, starts, sizes), self.n)
 
     def neighbours(self, seed: int, used: np.ndarray) -> np.ndarray:
-        """Unused documents that share one of the seed's rarest terms, best first (ties: in order)."""
-        terms = self.terms[self.first[seed] : self.first[seed + 1]][: self.most]
-        if not len(terms):
-            return terms
-        spans = [slice(self.starts[t], self.starts[t + 1]) for t in terms]
-        found = np.concatenate([self.doc[s] for s in spans])
-        scores = np.bincount(found, np.concatenate([self.weight[s] for s in spans]), self.n)
+        """Unused documents that share a term with the seed, best first (ties: in order)."""
+        scores = self.scores(seed)
         scores[used] = 0
         found = np.flatnonzero(scores)
         return found[np.argsort(-scores[found], kind="stable")]
 
 
-def pack(docs: list[np.ndarray], window: int = WINDOW) -> list[tuple[int, int, int, int, int]]:
+def pack(ids: np.ndarray, counts: np.ndarray, window: int = WINDOW) -> list[tuple[int, int, int, int, int]]:
     """Pieces (document, start, length, sequence, offset) of one shard; every id is in exactly one piece."""
-    index, used, lengths = Index(docs), np.zeros(len(docs), bool), [len(d) for d in docs]
+    index, used, lengths = Index(ids, counts), np.zeros(len(counts), bool), counts.tolist()
     order, unused = [], 0
     fill, rest = 0, None  # ids in the open window, the document that was cut
     while True:
         if rest is None:
-            while unused < len(docs) and used[unused]:
+            while unused < len(lengths) and used[unused]:
                 unused += 1
-            if unused == len(docs):
+            if unused == len(lengths):
                 break
             seed = unused
             used[seed] = True
@@ -93,65 +97,136 @@ def pack(docs: list[np.ndarray], window: int = WINDOW) -> list[tuple[int, int, i
                 break
     # the documents, in the order in which they fill windows, lie end to end; windows and the tail cut that line
     total = sum(lengths)
-    cuts = list(range(window, total + 1, window))
+    ends = list(range(window, total + 1, window))
     left, at = total % window, total - total % window
     while left:
         step = 1 << (left.bit_length() - 1)
         at, left = at + step, left - step
-        cuts.append(at)
+        ends.append(at)
     pieces, sequence, opened, at = [], 0, 0, 0
     for k in order:
         start = 0
         while start < lengths[k]:
-            n = min(lengths[k] - start, cuts[sequence] - at)
+            n = min(lengths[k] - start, ends[sequence] - at)
             pieces.append((k, start, n, sequence, at - opened))
             start, at = start + n, at + n
-            if at == cuts[sequence]:
+            if at == ends[sequence]:
                 sequence, opened = sequence + 1, at
     return pieces
 
 
+def tokenised(documents: DataFrame, path: str) -> DataFrame:
+    """doc_id and ids (little-endian u32) of each document, end id included, and one row with counts (u64 by id) of each task."""
+
+    def work(batches):
+        seen = np.zeros(0, np.int64)
+        for doc_ids, ids, counts in encoded(batches, encoder(path)):
+            size = int(ids.max()) + 1
+            if size > len(seen):
+                seen = np.append(seen, np.zeros(size - len(seen), np.int64))
+            seen += np.bincount(ids, minlength=len(seen))
+            yield _rows(doc_ids, ids, counts)
+        yield pa.RecordBatch.from_pydict({"doc_id": [None], "ids": [None], "counts": [seen.astype("<u8").tobytes()]}, _TOKENISED)
+
+    return stored(documents.select("doc_id", "text").mapInArrow(work, "doc_id long, ids binary, counts binary"), "tokenised")
+
+
+_TOKENISED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("counts", pa.binary())])
+
+
+def _rows(doc_ids: list, ids: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    ends = pa.array((4 * cuts(counts)).astype(np.int32))
+    binary = pa.Array.from_buffers(pa.binary(), len(counts), [None, ends.buffers()[1], pa.py_buffer(np.ascontiguousarray(ids, "<u4"))])
+    return pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), binary, pa.nulls(len(counts), pa.binary())], schema=_TOKENISED)
+
+
+def _read(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of a binary column, end to end, and their numbers."""
+    column = column.cast(pa.large_binary())
+    at = np.frombuffer(column.buffers()[1], "<i8", len(column) + 1, 8 * column.offset)
+    return np.frombuffer(column.buffers()[2], "<u4", (at[-1] - at[0]) // 4, int(at[0])), np.diff(at) // 4
+
+
+def _totals(rows: DataFrame) -> np.ndarray:
+    """How often each id occurs in all documents: sums of tasks' counts in SUMS groups, whose sums come here."""
+
+    def add(batches):
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            for data in batch.column("counts"):
+                one = np.frombuffer(data.as_buffer(), "<u8").astype(np.int64)
+                total = np.pad(total, (0, max(0, len(one) - len(total))))
+                total[: len(one)] += one
+        yield pa.RecordBatch.from_pydict({"counts": [total.astype("<u8").tobytes()]})
+
+    out = np.zeros(1, np.int64)
+    for row in rows.where("counts IS NOT NULL").select("counts").repartition(SUMS).mapInArrow(add, "counts binary").collect():
+        one = np.frombuffer(row["counts"], "<u8").astype(np.int64)
+        out = np.pad(out, (0, max(0, len(one) - len(out))))
+        out[: len(one)] += one
+    return out
+
+
+def order(totals: np.ndarray) -> np.ndarray:
+    """The key of each id in the weighted min-hash: an exponential variate over the squared log rarity, smallest first."""
+    x = (np.arange(len(totals), dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    uniform = ((x ^ (x >> np.uint64(32))) >> np.uint64(11)).astype(float) / 2**53
+    rarity = np.log((totals.sum() + 1) / np.maximum(totals, 1))
+    return (-np.log(np.maximum(uniform, 2.0**-53)) / np.maximum(rarity, 1e-6) ** 2).astype(np.float32)
+
+
+def signatures(ids: np.ndarray, counts: np.ndarray, keys: np.ndarray, n: int = MINIMA) -> list[np.ndarray]:
+    """The n smallest distinct keys of each document, one array for each place; every document has an id at least."""
+    out, here, starts = [], keys[ids], cuts(counts)[:-1]
+    for _ in range(n):
+        out.append(np.minimum.reduceat(here, starts))
+        here = np.where(here > np.repeat(out[-1], counts), here, np.float32(np.inf))
+    return out
+
+
 RESULT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
+_RESULT = pa.schema([(c.split()[0], pa.binary() if c.endswith("binary") else pa.int64()) for c in RESULT.split(", ")])
 
 
 def sequences(documents: DataFrame, path: str | None = None, window: int = WINDOW, shard_tokens: int = SHARD_TOKENS, ids: bool = True) -> DataFrame:
     """The pieces of all documents with their place; ids holds a piece's ids (little-endian u32) unless switched off."""
     path = path or default_path()
-    words = F.split(F.lower(F.coalesce("text", F.lit(""))), "\\s+")
-    key = [F.array_min(F.transform(words, lambda w: F.xxhash64(w))).alias("signature"), F.xxhash64("text").alias("copy")]
-    end = np.array([END_ID], "<u4").tobytes()
+    rows = tokenised(documents, path)
+    keys = documents.sparkSession.sparkContext.broadcast(order(_totals(rows)))
+    key = [f"key{k}" for k in range(MINIMA)]
+
+    def sign(batches):
+        for batch in batches:
+            found = signatures(*_read(batch.column("ids")), keys.value) if batch.num_rows else [np.zeros(0, np.float32)] * MINIMA
+            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, found)], names=["doc_id", "ids", *key])
 
     def work(batches):
-        tokens, number, block, buffers, size = encoder(path), TaskContext.get().partitionId(), [], [], 0
-        sequence = number << 32
+        held, size, sequence = [], 0, TaskContext.get().partitionId() << 32
 
         def out():
-            nonlocal sequence
-            docs = [np.frombuffer(b, "<u4") for b in buffers]
-            pieces = pack(docs, window)
-            placed = []
-            for k, start, n, s, offset in pieces:
-                data = buffers[k][4 * start : 4 * (start + n)]
-                placed.append((block[k], start, n, zlib.crc32(data), len(docs[k]), sequence + s, offset, data if ids else None))
+            nonlocal held, size, sequence
+            doc_ids, flat, counts = [i for h in held for i in h[0]], np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held])
+            pieces, at = pack(flat, counts, window), cuts(counts).tolist()
+            data = [flat[at[k] + start : at[k] + start + n].astype("<u4").tobytes() for k, start, n, _, _ in pieces]
+            placed = [(doc_ids[k], start, n, zlib.crc32(d), int(counts[k]), sequence + s, offset, d if ids else None) for (k, start, n, s, offset), d in zip(pieces, data)]
             sequence += pieces[-1][3] + 1
-            return pd.DataFrame(placed, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]).astype({"doc_id": "Int64"})
-
-        for doc_id, buffer in rows(batches, tokens):
-            block.append(doc_id)
-            buffers.append(buffer + end)
-            size += len(buffer) // 4 + 1
-            if size >= shard_tokens:
-                yield _arrow(out())
-                block, buffers, size = [], [], 0
-        if block:
-            yield _arrow(out())
-
-    keyed = documents.select("doc_id", "text", *key)
-    order = ["signature", "copy", F.col("doc_id").asc_nulls_first()]
-    return keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text").mapInArrow(work, RESULT)
-
-
-def _arrow(pdf: pd.DataFrame):
-    import pyarrow as pa
-
-    return pa.RecordBatch.from_pandas(pdf, pa.schema([(c, pa.binary() if c == "ids" else pa.int64()) for c in pdf.columns]), preserve_index=False)
+            held, size = [], 0
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*placed), _RESULT)], schema=_RESULT)
+
+        for batch in batches:
+            doc_ids, (flat, counts) = batch.column("doc_id").to_pylist(), _read(batch.column("ids"))
+            ends, at = cuts(counts), 0
+            while at < len(counts):
+                # whole documents until the shard is full
+                to = min(len(counts), int(np.searchsorted(ends, ends[at] + shard_tokens - size, "left")))
+                held.append((doc_ids[at:to], flat[ends[at] : ends[to]].copy(), counts[at:to]))
+                size, at = size + int(ends[to] - ends[at]), to
+                if size >= shard_tokens:
+                    yield out()
+        if held:
+            yield out()
+
+    signed = rows.where("counts IS NULL").select("doc_id", "ids").mapInArrow(sign, "doc_id long, ids binary, " + ", ".join(f"{k} float" for k in key))
+    by = [*key, F.xxhash64("ids"), F.col("doc_id").asc_nulls_first()]
+    return signed.repartitionByRange(*by).sortWithinPartitions(*by).select("doc_id", "ids").mapInArrow(work, RESULT)

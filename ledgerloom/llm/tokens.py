@@ -152,13 +152,6 @@ def documents(batches: Iterator[pa.RecordBatch], tokens: Encoder, at_once: int =
             at = to
 
 
-def rows(batches, tokens: Encoder):
-    """(doc_id, ids as bytes, without the end id) of each row."""
-    for doc_ids, ids, counts in documents(batches, tokens):
-        at = cuts(counts)
-        yield from ((i, ids[a : b - 1].tobytes()) for i, a, b in zip(doc_ids, at[:-1], at[1:]))
-
-
 _encoders: dict[str, Encoder] = {}
 
 

@@ -128,18 +128,39 @@ def test_packing(spark):
 def test_packing_brings_neighbours_together():
     rng = np.random.default_rng(1)
     topics = [rng.integers(0, 40_000, 30) for _ in range(20)]
-    docs = [rng.choice(topics[k % 20], 100).astype("<u4") for k in range(400)]
+    docs = [rng.choice(topics[k % 20], 100).tolist() for k in range(400)]
     together = Counter()
-    for k, _, _, sequence, _ in packing.pack(docs, 1000):
+    for k, _, _, sequence, _ in packing.pack(*laid(docs), 1000):
         together[sequence, k % 20] += 1
     assert max(together.values()) >= 8 and np.mean(list(together.values())) > 4
 
 
-def test_bm25_scores():
-    docs = [np.array(d) for d in ([1, 2, 3], [1, 2, 9], [4, 5], [1, 4, 7])]
-    index = packing.Index(docs)
-    assert index.neighbours(0, np.array([True, False, False, False])).tolist()[0] == 1
-    assert index.neighbours(2, np.array([False, False, True, False])).tolist() == [3]
+def test_bm25_is_that_of_all_terms():
+    rng = np.random.default_rng(3)
+    docs = [(rng.zipf(1.2, rng.integers(1, 300)) % 500).tolist() for _ in range(120)]
+    index, mean = packing.Index(*laid(docs)), np.mean([len(d) for d in docs])
+    df = Counter(t for d in docs for t in set(d))
+    for seed in range(0, 120, 7):
+        want = np.zeros(len(docs))
+        for k, d in enumerate(docs):
+            tf = Counter(d)
+            for t in set(docs[seed]) & set(d):
+                if df[t] > 1:
+                    want[k] += np.log1p((120 - df[t] + 0.5) / (df[t] + 0.5)) * tf[t] * 2.2 / (tf[t] + 1.2 * (0.25 + 0.75 * len(d) / mean))
+        assert np.allclose(index.scores(seed), want)
+        used = np.zeros(120, bool)
+        used[[seed, 5]] = True
+        assert index.neighbours(seed, used).tolist()[:20] == [k for k in np.argsort(-want, kind="stable").tolist() if not used[k] and want[k]][:20]
+
+
+def test_signatures_bring_copies_together():
+    rng = np.random.default_rng(4)
+    docs = [rng.integers(3, 20_000, 200).tolist() for _ in range(300)]
+    near = [d[:190] + rng.integers(3, 20_000, 10).tolist() for d in docs]
+    ids, counts = laid(docs + near + [[2]])
+    found = packing.signatures(ids, counts, packing.order(np.bincount(ids)))
+    assert np.mean(found[0][:300] == found[0][300:600]) > 0.8
+    assert all(len(f) == 601 for f in found) and np.isinf(found[1][600])
 
 
 ITEMS = [("1", " ".join(f"w{k}" for k in range(20))), ("2", "short item Text"), ("3", None), ("4", ""), (None, "short item text"), ("6", "the the the the the the the the the the the the the the")]
