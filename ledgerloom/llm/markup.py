@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -34,8 +35,13 @@ _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td"
 _HOLDS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}}
 
 
+#: Elements deeper than this share the path of their ancestor at this depth, so that paths stay short on broken pages.
+DEPTH = 64
+
+
 class Block(NamedTuple):
-    """path: the element names (with their first class) down to the block; content: in an article or main element."""
+    """path: the element names (with their first class) down to the block, to a depth of DEPTH; content: in an article or
+    main element."""
 
     path: str
     text: str
@@ -46,6 +52,7 @@ class Block(NamedTuple):
 class _Open(NamedTuple):
     tag: str
     path: str
+    depth: int
     hidden: bool
     noise: bool
     content: bool
@@ -69,8 +76,12 @@ def blocks(page: str | None) -> Iterator[Block]:
     """The text blocks of a page in order; hidden elements have none."""
     if not page:
         return
-    root = _Open("", "", False, False, False)
-    stack, parts, owner, at, n = [root], [], root, 0, len(page)
+    root = _Open("", "", 0, False, False, False)
+    stack, opened, parts, owner, at, n = [root], Counter(), [], root, 0, len(page)
+
+    def close(k: int):
+        opened.subtract(x.tag for x in stack[k:])
+        del stack[k:]
 
     def flush():
         text = " ".join(html.unescape("".join(parts)).split())
@@ -91,11 +102,11 @@ def blocks(page: str | None) -> Iterator[Block]:
             continue
         tag = m[2].lower()
         if m[1]:
-            k = max((k for k, x in enumerate(stack) if x.tag == tag), default=0)
-            if k:
+            if opened[tag] > 0:
+                k = next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag)
                 if tag in BLOCK or stack[-1].noise != stack[k - 1].noise:
                     yield from flush()
-                del stack[k:]
+                close(k)
             elif tag == "br":
                 parts.append(" ")
             continue
@@ -107,25 +118,27 @@ def blocks(page: str | None) -> Iterator[Block]:
         if tag in BLOCK or noise != top.noise and noise:
             yield from flush()
         if tag in BLOCK:
-            close = set(_ENDS.get(tag, ())) | ({"p"} if tag not in ("option", "optgroup") else set())
+            ends = set(_ENDS.get(tag, ())) | ({"p"} if tag not in ("option", "optgroup") else set())
             holds = _HOLDS.get(tag, frozenset())
             for k in range(len(stack) - 1, 0, -1):
                 t = stack[k].tag
-                if t in close:
-                    del stack[k:]
+                if t in ends:
+                    close(k)
                     break
-                if t in holds or t in BLOCK and t not in ("li", "dt", "dd", "p") and t not in close:
+                if t in holds or t in BLOCK and t not in ("li", "dt", "dd", "p") and t not in ends:
                     break
             top = stack[-1]
         if tag in VOID:
             continue
         label = f"{tag}.{name}" if name else tag
-        inner = _Open(tag, f"{top.path}/{label}" if tag in BLOCK or noise else top.path, top.hidden or tag in HIDDEN, top.noise or noise, top.content or tag in CONTENT)
+        step = (tag in BLOCK or noise) and top.depth < DEPTH
+        inner = _Open(tag, f"{top.path}/{label}" if step else top.path, top.depth + step, top.hidden or tag in HIDDEN, top.noise or noise, top.content or tag in CONTENT)
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             at = end.end() if end else n
             continue
         stack.append(inner)
+        opened[tag] += 1
     yield from flush()
 
 

@@ -12,7 +12,7 @@ Element names are a prior and a fallback: elements that are noise by name or att
 markup) go on every page; on a page with an article or main element, a block outside it stays only where the tree finds
 its path's texts to differ nearly always (content importance of 1 - ``threshold`` or more); a page that would lose all
 its blocks keeps those of its article or main element.  Null html counts as empty and
-gives an empty text; a null url makes pages of the host ''; repeated rows are answered row by row; an empty table
+gives an empty text; elements nested deeper than markup.DEPTH share a path; a null url makes pages of the host ''; repeated rows are answered row by row; an empty table
 gives no rows; other columns are not read.
 """
 
@@ -27,7 +27,7 @@ from .common import small, stored
 from .markup import blocks
 
 LEAST_PAGES, THRESHOLD = 8, 0.15
-BROADCAST_ROWS = 20_000
+BROADCAST_ROWS, BROADCAST_CHARS = 20_000, 16_000_000
 
 
 def host(url):
@@ -66,8 +66,9 @@ def nodes(pages: DataFrame) -> DataFrame:
     return pages.select(host(F.col("url")).alias("host"), "html").mapInPandas(work, "host string, page long, path string, value long, chars long, outside boolean, style boolean")
 
 
-def low_branches(pages: DataFrame, least_pages: int = LEAST_PAGES, threshold: float = THRESHOLD) -> DataFrame:
-    """host, path and low: the branches to remove, and (not low) the paths outside article and main whose texts differ."""
+def importance(pages: DataFrame, least_pages: int = LEAST_PAGES, threshold: float = THRESHOLD) -> DataFrame:
+    """host, path, content and style (both 0 to 1) of each branch, low (to be removed) and varied (outside article and
+    main, with texts that differ)."""
     # one row for each page and value of a path, so that rows count pages
     seen = stored(nodes(pages).distinct(), "nodes")
     counted = stored(seen.groupBy("host", "path", "style", "value").agg(F.count("*").alias("k"), F.max("chars").alias("chars"), F.max("outside").alias("outside")), "counted")
@@ -83,14 +84,16 @@ def low_branches(pages: DataFrame, least_pages: int = LEAST_PAGES, threshold: fl
     content = leaves.groupBy("host", "path").agg((F.sum(one * F.col("k") * F.col("chars")) / F.sum(F.col("k") * F.col("chars"))).alias("content"), outside)
     low = (F.col("content") < threshold) & (F.col("style") < threshold)
     varied = F.col("outside") & (F.col("content") >= 1 - threshold)
-    return content.join(style, ["host", "path"]).where(low | varied).select("host", "path", low.alias("low"))
+    return content.join(style, ["host", "path"]).select("host", "path", "content", "style", low.alias("low"), varied.alias("varied"))
 
 
 def main_text(pages: DataFrame, **options) -> DataFrame:
     """page_id, url, text and n_chars per page."""
-    lists = [F.collect_list(F.when(F.col("low") == flag, F.col("path"))).alias(name) for flag, name in ((True, "low"), (False, "varied"))]
-    low = stored(low_branches(pages, **options).groupBy("host").agg(*lists), "branches")
-    few = low.count() <= BROADCAST_ROWS
+    lists = [F.collect_list(F.when(F.col(name), F.col("path"))).alias(name) for name in ("low", "varied")]
+    low = stored(importance(pages, **options).where("low OR varied").groupBy("host").agg(*lists), "branches")
+    # a host's list is as long as its templates have branches; only lists of a known size in all are broadcast
+    size = low.select(F.aggregate(F.concat("low", "varied"), F.lit(0).cast("long"), lambda n, p: n + F.length(p)).alias("chars")).agg(F.count("*"), F.coalesce(F.sum("chars"), F.lit(0))).first()
+    few = size[0] <= BROADCAST_ROWS and size[1] <= BROADCAST_CHARS
     joined = pages.select("page_id", "url", "html", host(F.col("url")).alias("host")).join(F.broadcast(low) if few else low, "host", "left")
 
     def work(batches):

@@ -1,5 +1,10 @@
 """op8 and op9 on edge cases."""
 
+import math
+import random
+import re
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import markup, style_tree, warc
@@ -55,6 +60,46 @@ def test_style_tree_decides_inside_and_outside_articles(spark):
     assert got[50] == ["Join us", "Story 0 is new", "Line 0"] and got[60] == ["Terms of use"]
 
 
+def test_deep_and_stray_tags():
+    deep = list(markup.blocks("<div class=c>" * 40_000 + "x" + "</div>" * 20_000 + "</p>" * 40_000 + "<p>y"))
+    assert [b.text for b in deep] == ["x", "y"] and all(b.path.count("/") <= markup.DEPTH for b in deep)
+
+
+def brute_importance(rows, least):
+    """Content and style of each branch, from page to page in plain Python."""
+    hosts = {}
+    for _, url, body in rows:
+        found = tuple((b.path, b.text) for b in markup.blocks(body) if not b.noise)
+        hosts.setdefault(re.sub("^http://|/.*$", "", url), set()).add(found)
+    out = {}
+    for host, pages in hosts.items():
+        above = lambda p: ["/".join(p.split("/")[:k]) for k in range(2, p.count("/") + 2)]
+        for branch in {a for found in pages for p, _ in found for a in above(p)}:
+            under = [[(p, t) for p, t in found if (p + "/").startswith(branch + "/")] for found in pages]
+            shown = Counter(tuple(p for p, _ in u) for u in under if u)
+            m = sum(shown.values())
+            if m < least:
+                continue
+            style = -sum(k / m * math.log(k / m, m) for k in shown.values())
+            leaves = Counter((p, t) for u in under for p, t in set(u))
+            weight = {x: k * len(x[1]) for x, k in leaves.items()}
+            content = sum(max(0, 1 - math.log(k, m)) * weight[x] for x, k in leaves.items()) / sum(weight.values())
+            out[host, branch] = (content, style)
+    return out
+
+
+def test_importance_is_that_of_brute_force(spark):
+    rng = random.Random(9)
+    rows = []
+    for k in range(90):
+        parts = [f"<div class={rng.choice(['a', 'b', 'c'])}><p>{rng.choice(['same', 'text ' + str(rng.randrange(4)), 'own ' + str(k)])}</p>{'<ul><li>x<li>y</ul>' * rng.randrange(2)}</div>" for _ in range(rng.randrange(1, 5))]
+        rows.append((k, f"http://h{k % 4}.example/{k}", page("".join(parts) + rng.choice(["", "<article><p>art</p></article>"]))))
+    got = {(r["host"], r["path"]): (r["content"], r["style"]) for r in style_tree.importance(spark.createDataFrame(rows, SCHEMA), least_pages=3).collect()}
+    want = brute_importance(rows, 3)
+    assert set(got) == set(want) and len(got) > 20
+    assert all(abs(a - b) < 1e-9 for k in got for a, b in zip(got[k], want[k]))
+
+
 def test_warc(spark):
     rows = [(1, "http://a.example/x y\r\nz", "<title>T</title><p>é &amp; ü</p><a href='/l'>l</a>"), (2, None, None), (3, "", ""), (1, "http://a.example/x y\r\nz", "<title>T</title><p>é &amp; ü</p><a href='/l'>l</a>"), (None, "u", "<p>" + "x" * 100_000)]
     df = spark.createDataFrame(rows, SCHEMA).withColumn("record", F.lit(0))
