@@ -12,9 +12,9 @@ the Chernoff bound exp(-n(t) * KL(c / n(t) || q)) has to be below ``chance`` ove
 One co-occurrence is no evidence, so there are ``support`` = 2 at least.  Disclosing terms are generalised to a class label, or removed where t practically implies e (c / n(t) >= ``certain``), wherever they
 occur, next to the entity or not.
 
-A null text counts as empty; very long texts are taken whole (span positions come from two-level prefix sums, so
-work grows with length, not its square, for all practical lengths); equal rows get equal results, row by row; an
-empty table gives no rows; other columns are carried along untouched.
+A null text counts as empty; very long texts are taken whole (span positions come from two-level prefix sums, and
+stretches are cut from chunks, so work grows with length, not its square, for all practical lengths); equal rows get
+equal results, row by row; an empty table gives no rows; other columns, of any name, are carried along untouched.
 """
 
 from __future__ import annotations
@@ -69,9 +69,9 @@ def _checks(kind: str):
     return lambda s: _valid(kind, s["value"])
 
 
-def running_sums(values: Column, block: int = 64) -> Column:
-    """Inclusive running sums of an array<int> lambda variable or column, by sums of blocks and within blocks."""
-    total = lambda a: F.aggregate(a, F.lit(0), lambda x, y: x + y)
+def running(values: Column, step, zero: Column, block: int = 64) -> Column:
+    """Inclusive running totals of an array by an associative step, from totals of blocks and within blocks."""
+    total = lambda a: F.aggregate(a, zero, step)
     blocks = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / block).cast("int"))
     piece = lambda b: F.slice(values, b * block + 1, F.lit(block))
 
@@ -79,7 +79,7 @@ def running_sums(values: Column, block: int = 64) -> Column:
         def of(b: Column) -> Column:
             return let(
                 F.struct(piece(b).alias("v"), total(F.slice(sums, F.lit(1), b)).alias("before")),
-                lambda x: F.transform(x["v"], lambda _, i: x["before"] + total(F.slice(x["v"], F.lit(1), i + 1))),
+                lambda x: F.transform(x["v"], lambda _, i: step(x["before"], total(F.slice(x["v"], F.lit(1), i + 1)))),
             )
 
         return F.flatten(F.transform(blocks, of))
@@ -87,6 +87,25 @@ def running_sums(values: Column, block: int = 64) -> Column:
     return F.when(F.size(values) == 0, F.array().cast("array<int>")).otherwise(let(F.transform(blocks, lambda b: total(piece(b))), within))
 
 
+def running_sums(values: Column) -> Column:
+    return running(values, lambda a, b: a + b, F.lit(0))
+
+
+CHUNK = 4096
+
+
+def chunks(text: Column) -> Column:
+    """A text in chunks of CHUNK code points, from which stretches are cut without walking the whole text for each."""
+    return F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % CHUNK), F.lit(0))
+
+
+def stretch(parts: Column, start: Column, end: Column) -> Column:
+    """The code points from start to end (at most the text's) of a text in chunks."""
+    first = F.floor(start / CHUNK).cast("int")
+    last = F.floor(F.greatest(end - 1, start) / CHUNK).cast("int")
+    return F.substr(F.array_join(F.slice(parts, first + 1, last - first + 1), ""), start - first * CHUNK + 1, F.greatest(end - start, F.lit(0)))
+
+
 def _find(text: Column, pattern: Column, kind: int) -> Column:
     """All matches of pattern as SPANS, leftmost and not overlapping."""
 
@@ -118,31 +137,32 @@ def _entity(s: Column) -> Column:
     return F.xxhash64(s["kind"], value)
 
 
-def _context(text: Column, s: Column, words: int, reach: int) -> Column:
-    """The nearest words on both sides of a span; words that the reach cuts are left out."""
+def _context(parts: Column, length: Column, s: Column, words: int, reach: int) -> Column:
+    """The nearest words on both sides of a span of a text in chunks; words that the reach cuts are left out."""
     # one character beyond the reach tells whether the outermost piece is a whole word; only then is there one to leave out
     at = F.greatest(s["start"] - reach - 1, F.lit(0))
     some = lambda a: F.filter(a, lambda w: w != "")
-    before = F.split(F.lower(F.substr(text, at + 1, s["start"] - at)), _NOT_WORD, -1)
-    after = F.split(F.lower(F.substr(text, s["end"] + 1, F.lit(reach + 1))), _NOT_WORD, -1)
+    before = F.split(F.lower(stretch(parts, at, s["start"])), _NOT_WORD, -1)
+    after = F.split(F.lower(stretch(parts, s["end"], F.least(length, s["end"] + reach + 1))), _NOT_WORD, -1)
     before = let(before, lambda b: some(F.when(s["start"] > reach, F.slice(b, F.lit(2), F.size(b))).otherwise(b)))
-    after = let(after, lambda a: some(F.when(F.length(text) > s["end"] + reach, F.slice(a, F.lit(1), F.size(a) - 1)).otherwise(a)))
+    after = let(after, lambda a: some(F.when(length > s["end"] + reach, F.slice(a, F.lit(1), F.size(a) - 1)).otherwise(a)))
     before = let(before, lambda b: F.slice(b, F.greatest(F.size(b) - words + 1, F.lit(1)), F.lit(words)))
     after = F.slice(after, F.lit(1), F.lit(words))
     return F.filter(F.array_distinct(F.concat(before, after)), lambda w: (F.length(w) >= 3) & ~w.rlike("^[0-9]+$"))
 
 
-def with_spans(documents: DataFrame) -> DataFrame:
-    """documents with base (SPANS) beside its columns; column names of its own start with an underscore."""
-    return documents.withColumn("_text", F.coalesce("text", F.lit(""))).withColumn("_base", base_spans(F.col("_text")))
+def with_spans(documents: DataFrame, *others) -> DataFrame:
+    """row (all columns, under one name, so that none can clash), others, body (the text, null as empty) and base (SPANS)."""
+    return documents.select(F.struct("*").alias("row"), F.coalesce("text", F.lit("")).alias("body"), *others).withColumn("base", base_spans(F.col("body")))
 
 
 def disclosing_terms(
     documents: DataFrame, words: int = WORDS, reach: int = REACH, support: int = SUPPORT, chance: float = CHANCE, disclosure: float = DISCLOSURE, certain: float = CERTAIN
 ) -> DataFrame:
     """term, kind (of the entity it gives away most surely) and certain, from counts over all documents."""
-    marked = with_spans(documents.select("text")).where(F.size("_base") > 0)
-    spans = marked.select("_text", F.explode("_base").alias("s")).select(_entity(F.col("s")).alias("entity"), F.col("s.kind").alias("kind"), _context(F.col("_text"), F.col("s"), words, reach).alias("terms"))
+    marked = with_spans(documents.select("text")).where(F.size("base") > 0)
+    near = F.transform("base", lambda s: F.struct(_entity(s).alias("entity"), s["kind"].alias("kind"), _context(F.col("parts"), F.col("length"), s, words, reach).alias("terms")))
+    spans = marked.select("base", chunks(F.col("body")).alias("parts"), F.length("body").alias("length")).select(F.explode(near).alias("s")).select("s.*")
     spans = stored(spans, "contexts")
     entities = spans.groupBy("entity").agg(F.count("*").alias("n_e"), F.sum(F.size("terms")).alias("slots"))
     every = stored(spans.select("entity", "kind", F.explode("terms").alias("term")).groupBy("entity", "kind", "term").agg(F.count("*").alias("c")), "pairs")
@@ -170,20 +190,21 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def find(documents: DataFrame, **options) -> DataFrame:
-    """documents with _text, _spans (base and term spans in order) and _removed (terms to remove, others generalise).
+    """row (the document), body (its text, null as empty), base, spans (base and term spans in order) and removed (terms to
+    remove, others generalise).
 
     The terms of a document come by a join of its distinct words with the disclosing terms.
     """
     terms = small(disclosing_terms(documents, **options))
-    keyed = documents.withColumn("_copy", F.xxhash64("doc_id", "text"))
-    words = keyed.select("_copy", F.explode(F.array_distinct(F.split(F.lower("text"), _NOT_WORD))).alias("term"))
-    found = words.join(terms, "term").groupBy("_copy").agg(F.collect_set(F.struct("term", "certain")).alias("_terms"))
-    joined = with_spans(keyed.join(small(found), "_copy", "left"))
-    names = F.transform(F.sort_array("_terms"), lambda t: t["term"])
+    copy = F.xxhash64("doc_id", "text").alias("copy")
+    words = documents.select(copy, F.explode(F.array_distinct(F.split(F.lower("text"), _NOT_WORD))).alias("term"))
+    found = words.join(terms, "term").groupBy("copy").agg(F.collect_set(F.struct("term", "certain")).alias("terms"))
+    joined = with_spans(documents, copy).join(small(found), "copy", "left")
+    names = F.transform(F.sort_array("terms"), lambda t: t["term"])
     pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join(names, "|"), F.lit(r")(?![\p{L}\p{N}])"))
-    by_term = F.when(F.col("_terms").isNull(), F.array().cast(SPANS)).otherwise(_find(F.col("_text"), pattern, TERM))
-    removed = F.transform(F.filter(F.coalesce("_terms", F.array().cast("array<struct<term:string,certain:boolean>>")), lambda t: t["certain"]), lambda t: t["term"])
-    return joined.withColumn("_spans", F.array_sort(F.concat("_base", by_term))).withColumn("_removed", removed).drop("_copy", "_terms")
+    by_term = F.when(F.col("terms").isNull(), F.array().cast(SPANS)).otherwise(_find(F.col("body"), pattern, TERM))
+    removed = F.transform(F.filter(F.coalesce("terms", F.array().cast("array<struct<term:string,certain:boolean>>")), lambda t: t["certain"]), lambda t: t["term"])
+    return joined.select("row", "body", "base", F.array_sort(F.concat("base", by_term)).alias("spans"), removed.alias("removed"))
 
 
 def _listed(spans: Column) -> Column:
@@ -192,15 +213,16 @@ def _listed(spans: Column) -> Column:
 
 
 def report(documents: DataFrame, **options) -> DataFrame:
-    """doc_id, counts by kind, base_sha256, spans and n_term per document."""
+    """doc_id, counts by kind, base_sha256, spans, n_term and has_private (whether there is any span) per document."""
     found = find(documents.select("doc_id", "text"), **options)
-    count = lambda k: F.size(F.filter("_spans", lambda s: s["kind"] == k)).cast("long")
+    count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
     return found.select(
-        "doc_id",
+        F.col("row.doc_id").alias("doc_id"),
         *[count(k).alias(f"n_{kind}") for k, kind in enumerate(KINDS)],
-        F.sha2(_listed(F.col("_base")).cast("binary"), 256).alias("base_sha256"),
-        _listed(F.col("_spans")).alias("spans"),
+        F.sha2(_listed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        _listed(F.col("spans")).alias("spans"),
         count(TERM).alias("n_term"),
+        (F.size("spans") > 0).alias("has_private"),
     )
 
 
@@ -215,16 +237,19 @@ def sanitise(documents: DataFrame, **options) -> DataFrame:
     Overlapping spans become one stretch, labelled as its first span.
     """
     found = find(documents, **options)
-
-    def step(a: Column, s: Column) -> Column:
-        gap = F.substr(F.col("_text"), a["at"] + 1, F.greatest(s["start"] - a["at"], F.lit(0)))
-        more = F.when(s["start"] >= a["at"], F.concat(a["parts"], F.array(gap, _label(s, F.col("_removed"))))).otherwise(a["parts"])
-        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), more.alias("parts"))
-
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-    folded = F.aggregate("_spans", start, step, lambda a: F.concat(F.array_join(a["parts"], ""), F.substr(F.col("_text"), a["at"] + 1, F.length("_text"))))
-    text = F.when(F.size("_spans") == 0, F.col("text")).otherwise(folded)
+    # where the stretches before each span end; a span that starts inside one is part of it
+    upto = lambda x, i: F.when(i == 0, 0).otherwise(F.get(x["reach"], i - 1))
+
+    def written(x: Column) -> Column:
+        piece = lambda s, i: F.when(s["start"] >= upto(x, i), F.concat(stretch(x["parts"], upto(x, i), s["start"]), _label(s, F.col("removed")))).otherwise("")
+        tail = stretch(x["parts"], F.element_at(x["reach"], -1), F.length("body"))
+        return F.concat(F.array_join(F.transform("spans", piece), ""), tail)
+
+    ends = F.transform("spans", lambda s: s["end"])
+    reach = running(ends, lambda a, b: F.greatest(a, b), F.lit(0))
+    none = F.size("spans") == 0
+    text = F.when(none, F.col("row.text")).otherwise(let(F.struct(reach.alias("reach"), chunks(F.col("body")).alias("parts")), written))
     out = found.withColumn("text", text)
-    if "n_chars" in documents.columns:
-        out = out.withColumn("n_chars", F.when(F.size("_spans") == 0, F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return out.select(*documents.columns)
+    n_chars = F.when(none, F.col("row").getField("n_chars")).otherwise(F.length("text").cast("long")) if "n_chars" in documents.columns else None
+    named = {"text": F.col("text"), "n_chars": n_chars}
+    return out.select(*[named.get(c, F.col("row").getField(c)).alias(c) for c in documents.columns])

@@ -1,7 +1,10 @@
 """op2 and op3 on edge cases, against brute force and SQL."""
 
 import hashlib
+import math
+import random
 import re
+from collections import Counter
 
 import pytest
 from oracle import SF, rows, sql_rows
@@ -102,7 +105,7 @@ def test_disclosing_terms_go_everywhere(spark):
 def test_context_reaches_the_ends_of_a_text(spark):
     cases = [("Zebulon: zed@corp.example", "zebulon"), ("+1 415 555 0100 Zebulon", "zebulon"), ("one two three four fives, zed@corp.example", "one two three four fives"), ("cut" * 40 + " whole " + "x" * 106 + " a@b.co", "whole " + "x" * 106), ("a@b.co " + "x" * 112 + " edges cut", "x" * 112 + " edges")]
     df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(cases)], "doc_id long, text string")
-    marked = sanitise.with_spans(df).select("doc_id", sanitise._context(F.col("_text"), F.element_at("_base", 1), 5, 120).alias("terms"))
+    marked = sanitise.with_spans(df).select("row.doc_id", sanitise._context(sanitise.chunks(F.col("body")), F.length("body"), F.element_at("base", 1), 5, 120).alias("terms"))
     got = {r["doc_id"]: r["terms"] for r in marked.collect()}
     for k, (text, want) in enumerate(cases):
         assert got[k] == want.split(), text
@@ -116,5 +119,61 @@ def test_terms_of_rare_entities(spark):
     assert terms == {"zebulon"}
 
 
+def test_sanitised_texts_and_columns(spark):
+    long = "x" * 4090 + " a@b.co " + "é😀" * 3000 + " +1 415 555 0100 " + "bob@x.org 10.0.0.1 " * 400
+    texts = [*TEXTS, long]
+    names = ["row", "body", "base", "spans", "removed", "_text", "copy", "terms", "a.b"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").select("*", *[F.lit(f"kept {n}").alias(n) for n in names])
+    out = sanitise.sanitise(df)
+    assert out.columns == df.columns
+    for r in out.collect():
+        text, at, want = texts[r["doc_id"]], 0, ""
+        for kind, start, end in [(k, int(a), int(b)) for k, a, b in (s.split(":") for s in brute(text or "").split(",") if s)]:
+            if start >= at:
+                want += text[at:start] + f"[{kind.upper()}]"
+            at = max(at, end)
+        assert r["text"] == (None if text is None else want + text[at:])
+        assert all(r[n] == f"kept {n}" for n in names)
+
+
+def brute_terms(rows, chance, disclosure, support):
+    """The disclosing terms by the docstring's formulas, in plain Python."""
+    split = lambda t: [w for w in re.split(r"[^\w]+|_", t.lower()) if w]
+    count, contexts, total = Counter(w for t in rows for w in split(t)), {}, sum(len(re.split(r"(?:[^\w]|_)+", t)) for t in rows)
+    for t in rows:
+        for m in re.finditer(PLAIN["email"], t):
+            near = split(t[: m.start()])[-5:] + split(t[m.end() :])[:5]
+            contexts.setdefault(m[0].lower(), []).append({w for w in near if len(w) >= 3 and not w.isdigit()})
+    pairs = {(e, w): sum(w in c for c in found) for e, found in contexts.items() for w in set().union(*found)}
+    out = set()
+    for (e, w), c in pairs.items():
+        p, q = min(1, c / count[w]), sum(map(len, contexts[e])) / total
+        ic = math.log2(total / len(contexts[e]))
+        kl = count[w] * (p * math.log(p / q) + ((1 - p) * math.log((1 - p) / (1 - q)) if p < 1 else 0)) if p > q else 0
+        if c >= support and ic + math.log2(p) >= disclosure * ic and kl >= math.log(len(pairs) / chance):
+            out.add(w)
+    return out
+
+
+def test_terms_are_those_of_brute_force(spark):
+    rng = random.Random(7)
+    plain = [f"word{k}" for k in range(300)]
+    rows = []
+    for k in range(400):
+        words = rng.choices(plain, k=12)
+        if k % 3 == 0:
+            e = rng.randrange(12)
+            words[5] = f"user{e}@corp.example"
+            words[4], words[6] = rng.choice([f"Name{e}", "word1"]), rng.choice([f"Street{e % 5}", f"Desk{e}"])
+        elif k % 7 == 0:
+            words[3] = f"Desk{rng.randrange(12)}"
+        rows.append(" ".join(words))
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    for disclosure in (0.6, 0.8, 0.96):
+        got = {r["term"] for r in sanitise.disclosing_terms(df, disclosure=disclosure).collect()}
+        assert got == brute_terms(rows, sanitise.CHANCE, disclosure, sanitise.SUPPORT)
+    assert got
+
+
 def test_sanitise_empty_table(spark):
     assert sanitise.report(spark.createDataFrame([], "doc_id long, text string")).count() == 0
