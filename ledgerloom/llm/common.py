@@ -15,10 +15,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir); a temporary one only where it is unset."""
+    """The folder that driver and executors share (spark.checkpoint.dir); where it is unset, a temporary one in local mode,
+    and an error on a cluster, whose executors do not see the driver's folders."""
     conf = spark.sparkContext.getConf()
     at = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         at = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")

@@ -55,16 +55,15 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
-def components(links: DataFrame, rounds: int = 50) -> DataFrame:
-    """node and root (the smallest node reachable) for every node of links (a long, b long), written out each round.
+def components(links: DataFrame) -> DataFrame:
+    """node and root (the smallest node reachable) for every node of links (a long, b long), written out each round, until a round
+    changes nothing (after about the logarithm of the longest path).
 
     Only minima per node meet in groups, so that a node of any degree is pre-aggregated; links pass as rows.
     """
     edges = stored(links.select("a", "b").where("a <> b").mapInPandas(_forests, "a long, b long").distinct(), "edges")
     before = _state(edges)
-    for _ in range(rounds):
-        if not before[0]:
-            break
+    while before[0]:
         # edges point from the larger to the smaller end
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
