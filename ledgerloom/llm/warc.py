@@ -4,19 +4,30 @@ A record is one binary value in WARC/1.1 form.  Derived records keep the respons
 id (WARC-Refers-To, with its URI and date), and carry its HTTP headers and digests in the metadata block.  Record ids
 are derived from what they identify, so a task that runs again writes the same bytes.
 
+Records come from pages (``responses``) or from .warc and .warc.gz files (``read``), and go to .warc.gz files, a gzip
+member for each record (``write``).  Header names are matched in any case; bodies that were sent in chunks or compressed
+are decoded, and texts by the charset that the response names.
+
 Null html counts as an empty body, a null url as an empty target; line breaks and control characters in a target are
-percent-encoded; equal rows give equal records; records of other types pass no derivative; an empty table gives none.
+percent-encoded; equal rows give equal records; records of other types, of other versions than 1.0 and 1.1, or cut short
+have no derivatives and an index row of type "", never an error; a record without a digest has a null digest_holds; an
+empty table gives no records.
 """
 
 from __future__ import annotations
 
 import base64
+import codecs
+import gzip
 import hashlib
+import io
 import re
 import uuid
+import zlib
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .markup import visible
@@ -44,17 +55,89 @@ def record(headers: list[tuple[str, str]], block: bytes) -> bytes:
     return VERSION + lines + f"Content-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
 
 
-def parse(data: bytes) -> tuple[dict[str, str], bytes]:
-    """Headers and block of one record."""
-    head, _, rest = data.partition(b"\r\n\r\n")
-    version, *lines = head.split(b"\r\n")
-    if version + b"\r\n" != VERSION:
+class Headers(dict):
+    """Header fields by name, whatever the case of its letters."""
+
+    def __init__(self, lines: list[bytes]):
+        pairs = (line.decode("utf-8", "replace").partition(":") for line in lines)
+        super().__init__((k.strip().lower(), v.strip()) for k, _, v in pairs)
+
+    def __getitem__(self, name: str) -> str:
+        return super().__getitem__(name.lower())
+
+    def __contains__(self, name: str) -> bool:
+        return super().__contains__(name.lower())
+
+    def get(self, name: str, default=None):
+        return super().get(name.lower(), default)
+
+
+def _block(f, line: bytes) -> tuple[Headers, bytes]:
+    """Headers and block of the record whose first line has been read from f."""
+    if line.strip() not in (b"WARC/1.0", b"WARC/1.1"):
         raise ValueError("not a record of this version")
-    headers = dict(line.decode().split(": ", 1) if b": " in line else (line.decode().rstrip(":"), "") for line in lines)
-    n = int(headers["Content-Length"])
-    if rest[n:] != b"\r\n\r\n":
+    lines = []
+    while line := f.readline().rstrip(b"\r\n"):
+        if line[:1] in b" \t" and lines:  # a folded line
+            lines[-1] += b" " + line.strip()
+        else:
+            lines.append(line)
+    headers = Headers(lines)
+    n = int(headers.get("Content-Length", "-1"))
+    block = f.read(n) if n >= 0 else b""
+    if len(block) != n:
+        raise ValueError("the record does not end where it says")
+    return headers, block
+
+
+def parse(data: bytes) -> tuple[Headers, bytes]:
+    """Headers and block of one record."""
+    f = io.BytesIO(data)
+    headers, block = _block(f, f.readline())
+    if f.read().strip(b"\r\n"):
         raise ValueError("the record does not end where it says")
-    return headers, rest[:n]
+    return headers, block
+
+
+def _parsed(data: bytes) -> tuple[Headers, bytes] | None:
+    try:
+        return parse(data)
+    except ValueError:
+        return None
+
+
+def split(data: bytes):
+    """The records of a .warc or .warc.gz file; what cannot be read ends it."""
+    f = gzip.GzipFile(fileobj=io.BytesIO(data)) if data[:2] == b"\x1f\x8b" else io.BytesIO(data)
+    try:
+        while line := f.readline():
+            if line.strip():
+                headers, block = _block(f, line)
+                yield line.strip() + b"\r\n" + b"".join(f"{k}: {v}\r\n".encode() for k, v in headers.items()) + b"\r\n" + block + b"\r\n\r\n"
+    except (ValueError, EOFError, OSError, zlib.error):
+        return
+
+
+def body_of(http: Headers, body: bytes) -> str:
+    """The text of a response's body: chunks joined, decompressed, decoded; as far as it can be read."""
+    if "chunked" in http.get("Transfer-Encoding", "").lower():
+        parts, rest = [], body
+        while (m := re.match(rb"\s*([0-9a-fA-F]+)[^\r\n]*\r?\n", rest)) and int(m[1], 16):
+            parts.append(rest[m.end() : m.end() + int(m[1], 16)])
+            rest = rest[m.end() + int(m[1], 16) :]
+        body = b"".join(parts) or body
+    kind = http.get("Content-Encoding", "").lower()
+    for bits in {"gzip": (31,), "x-gzip": (31,), "deflate": (15, -15)}.get(kind, ()):
+        try:
+            body = zlib.decompressobj(bits).decompress(body)
+            break
+        except zlib.error:
+            continue
+    charset = re.search(r"charset=[\"']?([\w.:-]+)", http.get("Content-Type", ""), re.I)
+    try:
+        return body.decode(codecs.lookup(charset[1]).name if charset else "utf-8", "replace")
+    except (LookupError, ValueError):
+        return body.decode("utf-8", "replace")
 
 
 def response(page_id, url: str | None, page: str | None) -> bytes:
@@ -68,13 +151,13 @@ def response(page_id, url: str | None, page: str | None) -> bytes:
 
 def derive(data: bytes) -> list[bytes]:
     """The metadata and conversion records of a response; none of other records."""
-    headers, block = parse(data)
-    if headers.get("WARC-Type") != "response":
+    headers, block = _parsed(data) or (Headers([]), b"")
+    if headers.get("WARC-Type") != "response" or "WARC-Record-ID" not in headers:
         return []
     http, _, body = block.partition(b"\r\n\r\n")
-    page = body.decode("utf-8", "replace")
-    source = headers["WARC-Record-ID"]
-    link = [("WARC-Refers-To", source), ("WARC-Refers-To-Target-URI", headers["WARC-Target-URI"]), ("WARC-Refers-To-Date", headers["WARC-Date"])]
+    page = body_of(Headers(http.split(b"\r\n")[1:]), body)
+    source, uri, date = headers["WARC-Record-ID"], headers.get("WARC-Target-URI", ""), headers.get("WARC-Date", DATE)
+    link = [("WARC-Refers-To", source), ("WARC-Refers-To-Target-URI", uri), ("WARC-Refers-To-Date", date)]
     out, written = [], {}
     text = visible(page).encode()
     title = _TITLE.search(page)
@@ -86,7 +169,7 @@ def derive(data: bytes) -> list[bytes]:
         if kind == "metadata":
             data = "".join(f"{k}: {v}\r\n" for k, v in [*fields, ("conversion-record", written["conversion"])]).encode()
         written[kind] = _id(kind, source)
-        named = [("WARC-Type", kind), ("WARC-Record-ID", written[kind]), ("WARC-Date", headers["WARC-Date"]), ("WARC-Target-URI", headers["WARC-Target-URI"])]
+        named = [("WARC-Type", kind), ("WARC-Record-ID", written[kind]), ("WARC-Date", date), ("WARC-Target-URI", uri)]
         out.append(record([*named, *link, ("WARC-Block-Digest", sha1(data)), ("Content-Type", content)], data))
     return out
 
@@ -123,9 +206,10 @@ def index(records: DataFrame) -> DataFrame:
         for pdf in batches:
             rows = []
             for i, data in zip(pdf["page_id"], pdf["record"]):
-                headers, block = parse(data)
-                rows.append((i, *(headers.get(h, "") for h in FIELDS.values()), len(block), sha1(block) == headers["WARC-Block-Digest"], hashlib.sha256(data).hexdigest()))
-            yield pd.DataFrame(rows, columns=["page_id", *FIELDS, "n_bytes", "digest_holds", "record_sha256"]).astype({"page_id": "Int64"})
+                headers, block = _parsed(data) or (Headers([]), b"")
+                holds = sha1(block) == headers["WARC-Block-Digest"] if "WARC-Block-Digest" in headers else None
+                rows.append((i, *(headers.get(h, "") for h in FIELDS.values()), len(block), holds, hashlib.sha256(data).hexdigest()))
+            yield pd.DataFrame(rows, columns=["page_id", *FIELDS, "n_bytes", "digest_holds", "record_sha256"]).astype({"page_id": "Int64", "digest_holds": "boolean"})
 
     return records.select("page_id", "record").mapInPandas(work, "page_id long, " + ", ".join(f"{k} string" for k in FIELDS) + ", n_bytes long, digest_holds boolean, record_sha256 string")
 
@@ -133,3 +217,39 @@ def index(records: DataFrame) -> DataFrame:
 def linked(records: DataFrame) -> DataFrame:
     """The index of derived records."""
     return index(records).where(F.col("refers_to") != "")
+
+
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """page_id (null) and record of every record in the .warc and .warc.gz files under a path that Spark reads."""
+
+    def work(batches):
+        for pdf in batches:
+            for data in pdf["content"]:
+                for record in split(data):
+                    yield pd.DataFrame({"page_id": pd.array([None], "Int64"), "record": [record]})
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.warc*").load(path)
+    return files.select("content").mapInPandas(work, "page_id long, record binary")
+
+
+def write(records: DataFrame, uri: str) -> DataFrame:
+    """Writes records to part-NNNNN.warc.gz under a URI that pyarrow reaches, one file a partition and a gzip member a
+    record; returns name and n_records.  A file appears under its name when whole, so that a task may run again."""
+
+    def work(batches):
+        from pyarrow import fs
+
+        context = TaskContext.get()
+        system, at = fs.FileSystem.from_uri(uri)
+        system.create_dir(at)
+        name, n = f"part-{context.partitionId():05d}.warc.gz", 0
+        unfinished = f"{at}/_{name}.{context.taskAttemptId()}"
+        with system.open_output_stream(unfinished, compression=None) as f:
+            for pdf in batches:
+                for record in pdf["record"]:
+                    f.write(gzip.compress(record, mtime=0))
+                    n += 1
+        system.move(unfinished, f"{at}/{name}")
+        yield pd.DataFrame({"name": [name], "n_records": [n]})
+
+    return records.select("record").mapInPandas(work, "name string, n_records long")

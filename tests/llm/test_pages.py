@@ -1,5 +1,9 @@
 """op8 and op9 on edge cases."""
 
+import base64
+import email
+import gzip
+import hashlib
 import math
 import random
 import re
@@ -115,3 +119,38 @@ def test_warc(spark):
     assert metadata[0]["WARC-Refers-To"] == headers["WARC-Record-ID"] == conversion[0]["WARC-Refers-To"]
     assert f"source-WARC-Payload-Digest: {headers['WARC-Payload-Digest']}" in metadata[1].decode() and "outlink: /l" in metadata[1].decode()
     assert warc.derive(warc.derive(source)[0]) == [] and warc.linked(warc.derivatives(warc.responses(df.limit(0)))).count() == 0
+
+
+def test_odd_records():
+    body = "<p>größer</p>".encode("latin-1")
+    sent = b"HTTP/1.1 200 OK\r\ncontent-type: text/html; charset=ISO-8859-1\r\nContent-Encoding: gzip\r\nTransfer-Encoding: chunked\r\n\r\n"
+    packed = gzip.compress(body)
+    sent += b"%x\r\n" % 5 + packed[:5] + b"\r\n%x;x=y\r\n" % (len(packed) - 5) + packed[5:] + b"\r\n0\r\n\r\n"
+    record = b"WARC/1.0\r\nwarc-type: response\r\nWARC-RECORD-ID: <urn:x>\r\nX-Long: a\r\n b\r\nContent-Length: %d\r\n\r\n" % len(sent) + sent + b"\r\n\r\n"
+    conversion, metadata = map(warc.parse, warc.derive(record))
+    assert conversion[1].decode() == "größer" and metadata[0]["WARC-Refers-To"] == "<urn:x>"
+    for odd in (b"", b"WARC/9\r\n\r\n", b"junk", record[:-40], b"WARC/1.1\r\nContent-Length: x\r\n\r\n"):
+        assert warc.derive(odd) == []
+
+
+def test_warc_files(spark, tmp_path):
+    rows = [(k, f"http://a.example/{k}", f"<p>text {k}</p>" * (k % 3)) for k in range(40)] + [(40, None, None)]
+    derived = warc.derivatives(warc.responses(spark.createDataFrame(rows, SCHEMA).repartition(3))).persist()
+    written = warc.write(derived, f"file://{tmp_path}/out").collect()
+    assert sum(r["n_records"] for r in written) == 82
+    # an independent reader: members by gzip, headers as mail headers
+    seen = Counter()
+    for r in written:
+        data = gzip.decompress((tmp_path / "out" / r["name"]).read_bytes())
+        while data:
+            head, _, rest = data.partition(b"\r\n\r\n")
+            version, _, fields = head.partition(b"\r\n")
+            n = int(email.message_from_bytes(fields)["Content-Length"])
+            assert version == b"WARC/1.1" and rest[n : n + 4] == b"\r\n\r\n"
+            block = rest[:n]
+            assert email.message_from_bytes(fields)["WARC-Block-Digest"] == "sha1:" + base64.b32encode(hashlib.sha1(block).digest()).decode()
+            seen[email.message_from_bytes(fields)["WARC-Record-ID"]] += 1
+            data = rest[n + 4 :]
+    back = warc.index(warc.read(spark, f"file://{tmp_path}/out"))
+    assert Counter(r["record_id"] for r in back.collect()) == seen and back.where("NOT digest_holds").count() == 0
+    assert warc.index(spark.createDataFrame([(1, b"junk")], "page_id long, record binary")).first()["type"] == ""
