@@ -116,7 +116,8 @@ def pack(ids: np.ndarray, counts: np.ndarray, window: int = WINDOW) -> list[tupl
 
 
 def tokenised(documents: DataFrame, path: str) -> DataFrame:
-    """doc_id and ids (little-endian u32) of each document, end id included, and one row with counts (u64 by id) of each task."""
+    """doc_id and ids of each document (little-endian, of the encoder's ``kind``), end id included, and one row with counts
+    (u64 by id) of each task."""
 
     def work(batches):
         seen = np.zeros(0, np.int64)
@@ -125,7 +126,7 @@ def tokenised(documents: DataFrame, path: str) -> DataFrame:
             if size > len(seen):
                 seen = np.append(seen, np.zeros(size - len(seen), np.int64))
             seen += np.bincount(ids, minlength=len(seen))
-            yield _rows(doc_ids, ids, counts)
+            yield _rows(doc_ids, ids, counts, encoder(path).kind)
         yield pa.RecordBatch.from_pydict({"doc_id": [None], "ids": [None], "counts": [seen.astype("<u8").tobytes()]}, _TOKENISED)
 
     return stored(documents.select("doc_id", "text").mapInArrow(work, "doc_id long, ids binary, counts binary"), "tokenised")
@@ -134,17 +135,18 @@ def tokenised(documents: DataFrame, path: str) -> DataFrame:
 _TOKENISED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("counts", pa.binary())])
 
 
-def _rows(doc_ids: list, ids: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    ends = pa.array((4 * cuts(counts)).astype(np.int32))
-    binary = pa.Array.from_buffers(pa.binary(), len(counts), [None, ends.buffers()[1], pa.py_buffer(np.ascontiguousarray(ids, "<u4"))])
+def _rows(doc_ids: list, ids: np.ndarray, counts: np.ndarray, kind: str) -> pa.RecordBatch:
+    data = np.ascontiguousarray(ids, kind)
+    ends = pa.array((data.itemsize * cuts(counts)).astype(np.int32))
+    binary = pa.Array.from_buffers(pa.binary(), len(counts), [None, ends.buffers()[1], pa.py_buffer(data)])
     return pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), binary, pa.nulls(len(counts), pa.binary())], schema=_TOKENISED)
 
 
-def _read(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def _read(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
     """The ids of a binary column, end to end, and their numbers."""
-    column = column.cast(pa.large_binary())
+    column, width = column.cast(pa.large_binary()), np.dtype(kind).itemsize
     at = np.frombuffer(column.buffers()[1], "<i8", len(column) + 1, 8 * column.offset)
-    return np.frombuffer(column.buffers()[2], "<u4", (at[-1] - at[0]) // 4, int(at[0])), np.diff(at) // 4
+    return np.frombuffer(column.buffers()[2], kind, (at[-1] - at[0]) // width, int(at[0])).astype(np.uint32), np.diff(at) // width
 
 
 def _totals(rows: DataFrame) -> np.ndarray:
@@ -198,7 +200,7 @@ def sequences(documents: DataFrame, path: str | None = None, window: int = WINDO
 
     def sign(batches):
         for batch in batches:
-            found = signatures(*_read(batch.column("ids")), keys.value) if batch.num_rows else [np.zeros(0, np.float32)] * MINIMA
+            found = signatures(*_read(batch.column("ids"), encoder(path).kind), keys.value) if batch.num_rows else [np.zeros(0, np.float32)] * MINIMA
             yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, found)], names=["doc_id", "ids", *key])
 
     def work(batches):
@@ -215,7 +217,7 @@ def sequences(documents: DataFrame, path: str | None = None, window: int = WINDO
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*placed), _RESULT)], schema=_RESULT)
 
         for batch in batches:
-            doc_ids, (flat, counts) = batch.column("doc_id").to_pylist(), _read(batch.column("ids"))
+            doc_ids, (flat, counts) = batch.column("doc_id").to_pylist(), _read(batch.column("ids"), encoder(path).kind)
             ends, at = cuts(counts), 0
             while at < len(counts):
                 # whole documents until the shard is full

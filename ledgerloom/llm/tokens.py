@@ -79,12 +79,16 @@ class Encoder:
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
         self._tokenize = self._library.model.tokenize
+        #: the smallest kind of number that holds all ids
+        self.kind = "<u2" if self._library.get_vocab_size() <= 1 << 16 else "<u4"
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self._library.encode(text, add_special_tokens=False).ids, "<u4")
 
     def _ids(self, word: str) -> bytes:
         """The ids of a word that no generation knows, from those of its pieces."""
+        if word.isascii() and word.isalpha():
+            return self._piece(word.lower())
         if not _SIMPLE.fullmatch(word):
             return self._whole(word).tobytes()
         parts = _PIECE.findall(word.lower())
@@ -139,7 +143,7 @@ class Encoder:
         return flat, counts
 
 
-def documents(batches: Iterator[pa.RecordBatch], tokens: Encoder, at_once: int = 1 << 22) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+def documents(batches: Iterator[pa.RecordBatch], tokens: Encoder, at_once: int = 3 << 20) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
     """(doc_ids, ids of all of them end to end, their numbers of ids), each with its end id, from Arrow batches with
     doc_id and text, about at_once bytes of text at a time (one text at least)."""
     for batch in batches:
