@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import numbers
+
 # Predicates on labels and page heads.
 NOTE_CELL = r"^[0-9]+(\s*,\s*[0-9]+)*(\s*\([A-Za-z]\))?$"
 NOTES_HEAD = r"^notes to the (interim condensed )?consolidated financial statements"
@@ -15,7 +17,7 @@ REFERENCE_HEAD = (
 EQUITY_TITLE = r"\bconsolidated\s+statements?\s+of\s+changes\s+in\s+equity\b"
 SUPPLEMENT = (
     r"\b(appendix|appendices|supplementary|additional financial information|parent entity|company financial statements"
-    r"|statutory financial statements|trust financial statements)\b"
+    r"|statutory financial statements|trust financial statements)\b|附件|附录"
 )
 TITLES = {
     "balance_sheet": (r"\bconsolidated\s+statements?\s+of\s+financial\s+position\b", r"\bconsolidated\s+balance\s+sheets?\b"),
@@ -38,7 +40,7 @@ def item_key(label: Column) -> Column:
 
 def checked_label(label: Column) -> Column:
     """The form in which reconciliation compares labels."""
-    return F.regexp_replace(F.regexp_replace(F.trim(F.lower(label)), r"\s+", " "), "[–—]", "-")
+    return F.regexp_replace(numbers.squeeze(F.lower(label)), "[–—]", "-")
 
 
 def is_note(c: Column) -> Column:
@@ -123,8 +125,7 @@ def continues(text: Column, kind: Column) -> Column:
 
 def stands_alone(line: Column, title: Column) -> Column:
     """Whether a line is a heading with that title: alone, after interim or condensed, continued, or before a date."""
-    squeeze = lambda c: F.regexp_replace(F.lower(F.trim(c)), r"\s+", " ")
-    low, want = squeeze(line), squeeze(title)
+    low, want = numbers.squeeze(F.lower(line)), numbers.squeeze(F.lower(title))
     rest = F.when(low.startswith(want), F.substr(low, F.length(want) + 1)).otherwise(low)
     rest = F.regexp_replace(rest, "^[ :\\-–—]+|[ :\\-–—]+$", "")
     before = F.regexp_replace(F.regexp_replace(low, r"\s*,?\s*continued$", ""), r"^(interim\s+)?(condensed\s+)?", "")
@@ -145,3 +146,19 @@ def column_letters(n: Column) -> Column:
         F.when(n > 26, letter((two - 1) % 26)).otherwise(""),
         letter(m % 26),
     )
+
+
+def in_grey_band(score: Column) -> Column:
+    """Whether a similarity is neither a match nor a miss."""
+    return score.between(0.6, 0.9)
+
+
+def conflict_column(period: Column, report: Column) -> Column:
+    """The column for an amount of a report that contradicts an earlier one."""
+    return F.concat(period, F.lit(" Conflict - "), report)
+
+
+def argb(color: Column) -> Column:
+    """#RRGGBB (or RRGGBB) as an opaque ARGB colour, eight digits as they are, null for other lengths."""
+    bare = F.upper(F.regexp_replace(F.trim(color), "^#", ""))
+    return F.when(F.length(bare) == 6, F.concat(F.lit("FF"), bare)).when(F.length(bare) == 8, bare)

@@ -13,8 +13,12 @@ TOKEN = r"^(\(?-?([0-9]+|[0-9]{1,3}(,[0-9]{3})+)(\.[0-9]+)?\)?|-)$"
 TABLE_NUMBER = r"^(\(?-?\$?[0-9][0-9,]*(\.[0-9]+)?\)?|-)$"
 SHEET_NUMBER = r"^(\(?-?[0-9]+(\.[0-9]+)?\)?|-)$"
 STRICT = r"^-?[0-9]+(\.[0-9]+)?$"
-MARKS = r"(US\$|HK\$|KRW|USD|\$|￦|₩|¥)"
+MARKS = r"(US\$|HK\$|KRW|USD|\$|￦|₩|¥|鈧\?|锟\?|�)"
 GLYPHS = "¥￦₩"
+GLYPH_NUMBER = "^[¥￦]SPACE*[0-9]{1,2}$"
+#: White space as Python knows it, as a class of the characters themselves, which both regular expression engines read.
+SPACES = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACE = f"[{SPACES}]"
 PER_SHARE = r"(\bper share\b|\bearnings? per\b|\bnumber of shares?\b|\bweighted average\b)"
 _IN = r"\b(in|expressed in|amounts? in)[^.;:()]{0,80}\b"
 #: Unit rules in order of precedence; the first that a header matches gives its scale to millions.
@@ -28,16 +32,24 @@ SCALES = (
 )
 
 
+def strip(c: Column) -> Column:
+    """c without white space of any kind at either end."""
+    return F.trim(c, F.lit(SPACES))
+
+
+def squeeze(c: Column) -> Column:
+    """c stripped, with single blanks inside."""
+    return F.regexp_replace(strip(c), f"{SPACE}+", " ")
+
+
 def cell_text(c: Column) -> Column:
-    """A cell without currency glyphs and outer blanks."""
-    return F.trim(F.translate(c, GLYPHS, ""))
+    """A cell without currency glyphs and outer white space; a glyph before one or two digits alone is kept."""
+    return F.when(strip(c).rlike(GLYPH_NUMBER.replace("SPACE", SPACE)), strip(c)).otherwise(strip(F.translate(c, GLYPHS, "")))
 
 
 def number_text(c: Column) -> Column:
-    """A cell without a currency mark at either end."""
-    c = F.regexp_replace(F.trim(c), rf"(?i)^{MARKS}\s*", "")
-    c = F.trim(F.regexp_replace(c, rf"(?i)\s*{MARKS}$", ""))
-    return F.trim(F.regexp_replace(F.regexp_replace(c, "^W ", ""), " W$", ""))
+    """A cell without a currency mark, and then a W, at either end."""
+    return strip(F.regexp_extract(strip(c), rf"(?is)^(?:{MARKS}{SPACE}*)?(?-i:W )?(.*?)(?-i: W)?(?:{SPACE}*{MARKS})?$", 2))
 
 
 def _signed(text: Column, bare: Column) -> Column:
@@ -45,18 +57,28 @@ def _signed(text: Column, bare: Column) -> Column:
     return F.when(text.startswith("(") & text.endswith(")"), -value).otherwise(value)
 
 
+def _once(value: Column, body) -> Column:
+    """body(value) with value computed once per row."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def amount(c: Column, scale: Column | None = None) -> Column:
-    """The amount that a cell stands for, or null where it stays text (four bare digits, dashes, words).
+    """The amount that a cell stands for, or null where it stays text (four bare digits, dashes, words, a yen or won sign
+    before one or two digits).
 
     Parentheses on both sides negate, even an amount that is negative already.
     """
-    text = cell_text(c)
-    token = number_text(text)
-    value = _signed(token, F.replace(F.regexp_replace(token, r"[()]", ""), F.lit(","), F.lit("")))
-    if scale is not None:
-        value = (value * scale.cast(SCALE)).cast(AMOUNT)
-    keeps_text = text.rlike("^[0-9]{4}$") | text.isin("-", "–", "") | ~token.rlike(TOKEN)
-    return F.when(~keeps_text, value)
+
+    def read(token: Column) -> Column:
+        value = _signed(token, F.translate(token, "(),", ""))
+        return F.when(token.rlike(TOKEN), value)
+
+    def cell(text: Column) -> Column:
+        keeps_text = text.rlike("^[0-9]{4}$|" + GLYPH_NUMBER.replace("SPACE", SPACE))
+        return F.when(text.rlike("[0-9]") & ~keeps_text, _once(number_text(text), read))
+
+    value = _once(cell_text(c), cell)
+    return value if scale is None else (value * scale.cast(SCALE)).cast(AMOUNT)
 
 
 def checked_amount(c: Column) -> Column:
@@ -73,7 +95,7 @@ def lenient_number(c: Column) -> Column:
 
 def scale_of(header: Column) -> Column:
     """The factor to millions that a header's text asks for."""
-    text = F.regexp_replace(F.lower(header), r"\s+", " ")
+    text = F.regexp_replace(F.lower(header), f"{SPACE}+", " ")
     out = F.lit(None).cast(SCALE)
     for pattern, scale in reversed(SCALES):
         out = F.when(text.rlike(pattern), F.lit(scale).cast(SCALE)).otherwise(out)
@@ -93,8 +115,9 @@ def not_monetary(label: Column) -> Column:
 
 
 def is_amount_token(c: Column) -> Column:
-    token = number_text(c)
-    return token.isin("-", "–") | (token.rlike(TOKEN) & (token != "-"))
+    # most cells are words, which need no more than one look
+    amount = lambda token: token.isin("-", "–") | (token.rlike(TOKEN) & (token != "-"))
+    return F.when(c.rlike("[0-9–-]"), _once(number_text(c), amount)).otherwise(F.lit(False))
 
 
 def sheet_numeric(c: Column) -> Column:
@@ -109,5 +132,10 @@ def is_integral(v: Column) -> Column:
     return v == F.floor(v)
 
 
+def numeric_cells(cells: Column) -> Column:
+    """How many cells of an array are numbers as tables print them."""
+    return F.size(F.filter(cells, lambda c: (c != "") & table_numeric(c)))
+
+
 def within(a: Column, b: Column, tolerance: Column) -> Column:
     return F.abs(a - b) <= tolerance

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import numbers
+
 # Period forms, in order of precedence.
 QUARTER = r"(?i)\b(?:(\d{1,2})\s*-\s*months?\s+)?Q([1-4])\s*(20\d{2})\b"
 YEAR_QUARTER = r"(?i)\b(20\d{2})\s*Q([1-4])\b"
@@ -24,7 +26,7 @@ def _part(c: Column, pattern: str, group: int) -> Column:
 
 def duration_months(text: Column) -> Column:
     """The one length in months that a text names; 0 where it names none or several."""
-    low = F.lower(F.regexp_replace(text, r"\s+", " "))
+    low = F.lower(numbers.squeeze(text))
     named = [F.when(low.rlike(rf"\b{w}[-\s]months?\b"), F.lit(n)) for w, n in DURATIONS.items()]
     counted = F.transform(F.regexp_extract_all(low, F.lit(r"\b(3|6|9|12)[-\s]months?\b"), F.lit(1)), lambda x: x.cast("int"))
     found = F.array_distinct(F.concat(F.array_compact(F.array(*named)), counted))
@@ -48,7 +50,7 @@ def _annual(year: Column) -> Column:
 
 def parse(c: Column) -> Column:
     """struct(label, kind, year, quarter, months) of a header cell, or null."""
-    t = F.regexp_replace(F.trim(c), r"\s+", " ")
+    t = numbers.squeeze(c)
     spaced = F.regexp_replace(F.replace(t, F.lit("("), F.lit(" (")), r"\s+", " ")
     month, day = F.lower(F.regexp_extract(spaced, DATE, 1)), _part(spaced, DATE, 2)
     dated = F.when(month.startswith("mar") & (day == 31), 1).when(month.startswith("jun") & (day == 30), 2).when(month.startswith("sep") & (day == 30), 3)
@@ -64,7 +66,7 @@ def parse(c: Column) -> Column:
 
 def in_context(c: Column, context: Column) -> Column:
     """parse(c), where a bare year becomes the quarter that the header context names."""
-    p, low = parse(c), F.lower(F.regexp_replace(context, r"\s+", " "))
+    p, low = parse(c), F.lower(numbers.squeeze(context))
     quarter = F.lit(None).cast("int")
     for pattern, q in reversed(CONTEXT_QUARTERS):
         quarter = F.when(low.rlike(pattern), F.lit(q)).otherwise(quarter)

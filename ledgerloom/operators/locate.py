@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -23,6 +25,7 @@ def hits(pages: DataFrame, keywords: DataFrame | None = None) -> DataFrame:
     """The best statement of each page (doc_id, page_number, statement_type, title, score, reason), from a score of GATE up.
 
     pages: doc_id, page_number, text; keywords: statement_type, keyword (a configuration table of a few rows a company).
+    Where both have a company, a keyword counts for its company's pages only.
     A configured keyword beats titles, a title beats inference; ties go to the earlier type, pattern and line.
     """
     heads = _heads(pages)
@@ -38,11 +41,12 @@ def hits(pages: DataFrame, keywords: DataFrame | None = None) -> DataFrame:
     found = found.withColumn("configured", F.lit(False))
     if keywords is not None:
         low = lambda c: F.regexp_replace(F.lower(F.trim(c)), r"\s+", " ")
-        words = keywords.select("statement_type", F.col("keyword").alias("title"))
+        own = [c for c in ("company",) if c in keywords.columns and c in pages.columns]
+        words = keywords.select("statement_type", F.col("keyword").alias("title"), *[F.col(c).alias(f"of_{c}") for c in own])
         rank = F.array_position(F.array(*[F.lit(k) for k in labels.TYPES]), F.col("statement_type")).cast("int") * 10
-        with_words = heads.join(words, F.contains(low(F.col("line")), low(F.col("title")))).where(labels.stands_alone(F.col("line"), F.col("title")))
-        own = with_words.select("doc_id", "page_number", "statement_type", "title", rank.alias("rank"), "line_no", (CONFIGURED - penalty).alias("score"), F.concat(F.lit("company_locator_config"), F.when(F.col("notes"), ";notes_page_penalty").otherwise("")).alias("reason"), F.lit(True).alias("configured"))
-        found = found.unionByName(own)
+        with_words = heads.join(words, reduce(lambda a, c: a & (heads[c] == words[f"of_{c}"]), own, F.contains(low(F.col("line")), low(F.col("title"))))).where(labels.stands_alone(F.col("line"), F.col("title")))
+        configured = with_words.select("doc_id", "page_number", "statement_type", "title", rank.alias("rank"), "line_no", (CONFIGURED - penalty).alias("score"), F.concat(F.lit("company_locator_config"), F.when(F.col("notes"), ";notes_page_penalty").otherwise("")).alias("reason"), F.lit(True).alias("configured"))
+        found = found.unionByName(configured)
     kind = labels.inferred_type(F.col("text"))
     names = F.create_map(*[F.lit(x) for p in _INFERRED_TITLES.items() for x in p])
     plain = pages.where(~labels.not_a_target(F.col("text")) & ~labels.is_reference_page(F.col("text")) & ~labels.is_notes_page(F.col("text")))

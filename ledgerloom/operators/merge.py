@@ -1,4 +1,4 @@
-"""Merging reports: one row per item and period, the latest report wins, blanks included."""
+"""Merging reports in the order of their latest periods: one row per item, the latest report wins, blanks included."""
 
 from __future__ import annotations
 
@@ -10,51 +10,166 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.functions import labels, numbers
+from ledgerloom.functions import labels, numbers, periods
 
 THRESHOLD = 0.96
 
 
 def facts(statements: DataFrame) -> DataFrame:
-    """Report cells with their merge key (item#n, n counting repeats in a sheet) and amount."""
+    """Report cells with their merge key (item#n, n counting the rows of a sheet that repeat an item, in sheet order).
+
+    statements: company, workbook, sheet, row_idx, label, period, raw_text.
+    """
     keyed = statements.withColumn("base", labels.item_key(F.col("label"))).where("base <> ''")
-    nth = F.row_number().over(W.partitionBy("company", "workbook", "sheet", "period", "base").orderBy("label"))
-    return keyed.withColumn("key", F.concat("base", F.lit("#"), nth)).withColumn("value", numbers.amount(F.col("raw_text")))
+    nth = F.dense_rank().over(W.partitionBy("company", "workbook", "sheet", "base").orderBy("row_idx"))
+    return keyed.withColumn("key", F.concat("base", F.lit("#"), nth)).drop("base")
+
+
+def in_order(cells: DataFrame) -> DataFrame:
+    """cells with seq, the place of their report: reports go by their latest period, then by lower-case name."""
+    latest = F.max(periods.sort_key(periods.parse(F.col("period")))).over(W.partitionBy("company", "workbook"))
+    name = F.lower(F.col("workbook").cast("string"))
+    return cells.withColumn("latest", latest).withColumn("seq", F.dense_rank().over(W.partitionBy("company").orderBy("latest", name, "workbook"))).drop("latest")
+
+
+def similarity(left: str, right: str, least: float) -> float:
+    """The matching-blocks ratio of two texts, left first; 0 where its upper bounds are below least."""
+    matcher = SequenceMatcher(None, left, right)
+    return matcher.ratio() if matcher.real_quick_ratio() >= least and matcher.quick_ratio() >= least else 0.0
 
 
-def merged(cells: DataFrame, key: str = "key") -> DataFrame:
-    """The value of the latest report for each key and period, null values too, with the latest label.
+def _base(key: str) -> str:
+    return key.rsplit("#", 1)[0]
 
-    ``max_by`` keeps nulls and combines before the shuffle; nothing here needs a report's rows together.
+
+def resolve(sheets: list[list[str]], threshold: float = THRESHOLD) -> list[tuple[int, str, str, int]]:
+    """(report, key, master key, master row) of a statement's keys, report by report, each in sheet order.
+
+    A master row takes the row of an equal key, else the most similar one (ties: the first) that no master row before it
+    has taken; what is left goes to the end.  A row may be taken by likeness first and by its equal key after that.
+    """
+    master, out = [], []
+    for report, keys in enumerate(sheets):
+        place, taken = {k: i for i, k in enumerate(keys)}, set()
+        for row, key in enumerate(list(master)):
+            i = place.get(key)
+            if i is None:
+                scores = [(similarity(_base(key), _base(k), threshold), -i) for i, k in enumerate(keys) if i not in taken]
+                best = max(scores, default=(0.0, 0))
+                i = -best[1] if best[0] >= threshold else None
+            if i is not None:
+                taken.add(i)
+                out.append((report, keys[i], key, row))
+        for i, key in enumerate(keys):
+            if i not in taken:
+                out.append((report, key, key, len(master)))
+                master.append(key)
+    return out
+
+
+_CELLS = "company string, sheet string, workbook string, seq int, label string, period string, raw_text string, key string, position int"
+
+
+def with_rows(cells: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Ordered cells with the key and position of the master row that each belongs to.
+
+    One statement of one company (its labels and cells over all reports) is one group: it is what a person reads as one
+    table, and the order in which reports are folded into it matters.
     """
-    latest = cells.groupBy("company", "sheet", key, "period").agg(F.max_by("value", "workbook").alias("value"), F.max("workbook").alias("workbook"))
-    named = cells.groupBy("company", "sheet", key).agg(F.max_by("label", "workbook").alias("label"))
-    return latest.join(named, ["company", "sheet", key])
 
+    def statement(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = pdf[["seq", "row_idx", "key"]].drop_duplicates(["seq", "key"]).sort_values(["seq", "row_idx"], kind="stable")
+        reports = [(s, g["key"].tolist()) for s, g in rows.groupby("seq", sort=True)]
+        found = pd.DataFrame(resolve([k for _, k in reports], threshold), columns=["report", "key", "master", "position"])
+        found["seq"] = found["report"].map(dict(enumerate(s for s, _ in reports)))
+        placed = pdf.merge(found, on=["seq", "key"]).drop(columns="key").rename(columns={"master": "key"})
+        return placed[[c.split()[0] for c in _CELLS.split(", ")]]
 
-def wide(merged_cells: DataFrame, periods: list[str], prefix: str = "y") -> DataFrame:
-    """One row per item and a column per period, in the order given."""
-    out = merged_cells.groupBy("company", "sheet", "label", "key").pivot("period", periods).agg(F.first("value"))
-    return out.select("company", "sheet", "label", "key", *[F.col(p).cast("decimal(28,8)").alias(f"{prefix}{p}") for p in periods])
+    texts = cells.select("company", "sheet", F.col("workbook").cast("string").alias("workbook"), "seq", "row_idx", "label", "period", "raw_text", "key")
+    return texts.groupBy("company", "sheet").applyInPandas(statement, _CELLS)
+
+
+def merged(cells: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """company, sheet, key, position, label, period, value and workbook: of each master row and period, the value of the
+    latest report that has it, null values too; the label is the latest one of the row.
+
+    cells: facts().
+    """
+    by = ["company", "sheet", "key", "position"]
+    rows = with_rows(in_order(cells), threshold)
+    latest = rows.groupBy(*by, "period").agg(F.max_by(F.struct("raw_text", "workbook"), "seq").alias("last"), F.max(F.struct("seq", "label")).alias("named"))
+    label = F.max("named").over(W.partitionBy(*by))["label"]
+    return latest.select(*by, label.alias("label"), "period", numbers.amount(F.col("last.raw_text")).alias("value"), F.col("last.workbook").alias("workbook"))
+
+
+def ordered_periods(cells: DataFrame) -> DataFrame:
+    """company, sheet, period and place: annual periods first, then quarters, each in order; equal ones as their labels."""
+    p = periods.parse(F.col("period"))
+    seen = cells.select("company", "sheet", "period").distinct().select("*", F.coalesce((p["kind"] == "quarter").cast("int"), F.lit(2)).alias("kind"), periods.sort_key(p).alias("at"))
+    return seen.select("company", "sheet", "period", F.row_number().over(W.partitionBy("company", "sheet").orderBy("kind", "at", "period")).alias("place"))
+
+
+def with_places(merged_cells: DataFrame) -> DataFrame:
+    """merged cells with the place of their period among their statement's columns."""
+    return merged_cells.join(ordered_periods(merged_cells), ["company", "sheet", "period"])
+
+
+def densified(merged_cells: DataFrame) -> DataFrame:
+    """Every master row of a statement with every period of it; null where no report has an amount."""
+    by = ["company", "sheet"]
+    shown = merged_cells.groupBy(*by).agg(F.collect_set("period").alias("periods"))
+    rows = merged_cells.groupBy(*by, "key", "position", "label").agg(F.map_from_entries(F.collect_list(F.struct("period", "value"))).alias("found"))
+    every = rows.join(shown, by).select(*by, "key", "position", "label", "found", F.explode("periods").alias("period"))
+    return every.withColumn("value", F.try_element_at("found", F.col("period"))).drop("found")
+
+
+def wide(merged_cells: DataFrame, shown: list[str] | None = None, prefix: str = "y") -> DataFrame:
+    """One row per item and a column per period, in the order given, or annual ones and then quarters; a column name is
+    prefix and period.  Without a list, the distinct periods come to the driver, as column names must."""
+    if shown is None:
+        names = ordered_periods(merged_cells.select(F.lit("").alias("company"), F.lit("").alias("sheet"), "period"))
+        shown = [r["period"] for r in names.orderBy("place").collect()]
+    out = merged_cells.groupBy("company", "sheet", "position", "label", "key").pivot("period", shown).agg(F.first("value"))
+    return out.select("company", "sheet", "position", "label", "key", *[F.col(f"`{p}`").cast("decimal(28,8)").alias(f"{prefix}{p}") for p in shown])
 
 
 @F.pandas_udf(T.DoubleType())
-def ratio(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Matching-blocks similarity of two texts, left first."""
-    return pd.Series([SequenceMatcher(None, a, b).ratio() for a, b in zip(left, right)])
+def ratio(left: pd.Series, right: pd.Series, least: pd.Series) -> pd.Series:
+    """similarity() of columns."""
+    return pd.Series([similarity(a, b, t) for a, b, t in zip(left, right, least)])
+
+
+def _grams(c):
+    """The bigrams of a text, repeats numbered, so that equal ones count as often as they occur."""
+    every = F.transform(F.sequence(F.lit(1), F.length(c) - 1), lambda i: F.substr(c, i, F.lit(2)))
+    once = F.array_distinct(every)
+    return F.flatten(F.transform(once, lambda g: F.transform(F.sequence(F.lit(1), F.size(F.filter(every, lambda x: x == g))), lambda n: F.struct(g.alias("gram"), n.alias("n")))))
 
 
 def fuzzy_matches(left: DataFrame, right: DataFrame, by: list[str], threshold: float = THRESHOLD) -> DataFrame:
     """For each left key without an equal right one, the most similar right key, at least threshold (ties: first key).
 
-    Keys are the distinct keys of a statement.  Lengths meet in bands, so a key meets only keys of similar length.
+    Keys are the distinct keys of a statement, of any number.  A ratio of t or more leaves at most e = (a + b) * (1 - t)
+    characters of both unmatched, so that each key keeps all but 2 e of its bigrams; pairs have to share one of the 2 e + 1
+    rarest bigrams of either, which is a join on bigrams in the JVM.  Nor can their edit distance be above e, which the JVM
+    tells as well; only such pairs of fitting length get a ratio.
     """
-    alone = left.select(*by, "key").distinct().join(right.select(*by, "key").distinct(), [*by, "key"], "left_anti").withColumn("a", F.length("key"))
-    # 2 * shorter / (a + b) >= t bounds the longer one by shorter * (2 - t) / t
-    far = F.floor(F.col("a") * (2 - threshold) / threshold).cast("int")
-    near = F.ceil(F.col("a") * threshold / (2 - threshold)).cast("int")
-    banded = alone.withColumn("b", F.explode(F.sequence(near, far)))
-    others = right.select(*by, F.col("key").alias("other")).distinct().withColumn("b", F.length("other"))
-    pairs = banded.join(others, [*by, "b"]).withColumn("score", ratio("key", "other")).where(F.col("score") >= threshold)
-    best = pairs.groupBy(*by, "key").agg(F.max(F.struct("score")).alias("m"), F.collect_list(F.struct(-F.col("score"), "other")).alias("found"))
-    return best.select(*by, "key", F.array_min("found").getField("other").alias("other"), F.round(F.col("m.score"), 6).alias("score"))
+    alone = left.select(*by, "key").distinct().join(right.select(*by, "key").distinct(), [*by, "key"], "left_anti")
+    others = right.select(*by, F.col("key").alias("other")).distinct()
+
+    def prefixes(keys: DataFrame, name: str, seen: DataFrame) -> DataFrame:
+        n = F.length(name)
+        # the longest partner has n * (2 - t) / t characters
+        lost = F.floor((n + n * (2 - threshold) / threshold) * (1 - threshold) + 1e-9)
+        cut = keys.where(n > 1).withColumn("bigram", F.explode(_grams(F.col(name)))).join(seen, [*by, "bigram"], "left").withColumn("often", F.coalesce("often", F.lit(0)))
+        ranked = cut.withColumn("k", F.row_number().over(W.partitionBy(*by, name).orderBy("often", "bigram")))
+        return ranked.where(F.col("k") <= 2 * lost + 1).select(*by, name, "bigram", n.alias(f"n_{name}"))
+
+    seen = others.where(F.length("other") > 1).select(*by, F.explode(_grams(F.col("other"))).alias("bigram")).groupBy(*by, "bigram").agg(F.count("*").alias("often"))
+    pairs = prefixes(alone, "key", seen).join(prefixes(others, "other", seen), [*by, "bigram"])
+    fitting = 2 * F.least("n_key", "n_other") >= threshold * (F.col("n_key") + F.col("n_other")) - 1e-9
+    lost = F.floor((F.col("n_key") + F.col("n_other")) * (1 - threshold) + 1e-9).cast("int")
+    near = pairs.where(fitting).select(*by, "key", "other", lost.alias("lost")).distinct().where(F.levenshtein("key", "other") <= F.col("lost"))
+    scored = near.withColumn("score", ratio("key", "other", F.lit(threshold))).where(F.col("score") >= threshold)
+    best = scored.groupBy(*by, "key").agg(F.min(F.struct((-F.col("score")).alias("less"), "other")).alias("m"))
+    return best.select(*by, "key", F.col("m.other").alias("other"), F.round(-F.col("m.less"), 6).alias("score"))

@@ -90,26 +90,38 @@ def _failed(judged: DataFrame, tolerance: float) -> DataFrame:
     return judged.withColumn("difference", difference).where(F.abs(F.col("difference")) > F.lit(tolerance))
 
 
+def _sections(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(items, subtotals) of cash-flow sections, value cells with their rule: the line items between a section's header and
+    its subtotal, and the subtotal's cells."""
+    names = F.create_map(*[F.lit(x) for rule, name in SECTIONS.items() for x in (name, rule)])
+    flows = cells.where("statement_type = 'cash_flow'")
+    heads = flows.where("col_idx = 0").select("doc_id", "statement_type", "row_idx", labels.checked_label(F.coalesce("raw_text", F.lit(""))).alias("label"))
+    opening = F.regexp_extract("label", "^cash flows from (operating|investing|financing) activities$", 1)
+    closing = F.regexp_extract("label", _ACTIVITY.format("(operating|investing|financing)"), 2)
+    marked = heads.select("doc_id", "row_idx", opening.alias("opens"), closing.alias("closes"))
+    start = marked.where("opens <> ''").groupBy("doc_id", F.col("opens").alias("name")).agg(F.min("row_idx").alias("start"))
+    ends = marked.where("closes <> ''").select("doc_id", F.col("closes").alias("name"), F.col("row_idx").alias("end")).join(start, ["doc_id", "name"]).where("end > start")
+    bounds = ends.groupBy("doc_id", "name", "start").agg(F.min("end").alias("end"))
+    inside = labelled(flows).join(bounds, "doc_id").where("value IS NOT NULL").withColumn("rule", F.element_at(names, F.col("name")))
+    items = inside.where((F.col("row_idx") > F.col("start")) & (F.col("row_idx") < F.col("end")) & (F.col("label") != "") & ~F.col("label").rlike(_NOT_ITEMS))
+    return items, inside.where("row_idx = end")
+
+
 def sections(cells: DataFrame) -> DataFrame:
     """Cash-flow sections: the sum of the line items between a section's header and its subtotal, by column."""
-    rows = labelled(cells).where("statement_type = 'cash_flow'")
-    heads = cells.where("statement_type = 'cash_flow' AND col_idx = 0").select("doc_id", "statement_type", "row_idx", labels.checked_label(F.coalesce("raw_text", F.lit(""))).alias("label"))
-    out = None
-    for rule, name in SECTIONS.items():
-        start = heads.where(F.col("label") == f"cash flows from {name} activities").groupBy("doc_id").agg(F.min("row_idx").alias("start"))
-        end = heads.where(F.col("label").rlike(_ACTIVITY.format(name))).join(start, "doc_id").where("row_idx > start").groupBy("doc_id", "start").agg(F.min("row_idx").alias("end"))
-        inside = rows.join(end, "doc_id")
-        items = inside.where((F.col("row_idx") > F.col("start")) & (F.col("row_idx") < F.col("end")) & (F.col("label") != "") & ~F.col("label").rlike(_NOT_ITEMS) & F.col("value").isNotNull())
-        totals = items.groupBy("doc_id", "statement_type", "col_idx").agg(F.sum("value").cast(AMOUNT).alias("calculated"))
-        reported = inside.where("row_idx = end AND value IS NOT NULL").select("doc_id", "statement_type", "col_idx", F.col("value").cast(AMOUNT).alias("reported"))
-        one = reported.join(totals, ["doc_id", "statement_type", "col_idx"]).select("doc_id", "statement_type", "col_idx", F.lit(rule).alias("rule"), "reported", "calculated")
-        out = one if out is None else out.unionByName(one)
-    return out
+    items, subtotals = _sections(cells)
+    by = ["doc_id", "statement_type", "col_idx", "rule"]
+    totals = items.groupBy(*by).agg(F.sum("value").cast(AMOUNT).alias("calculated"))
+    return subtotals.select(*by, F.col("value").cast(AMOUNT).alias("reported")).join(totals, by).select(*by, "reported", "calculated")
 
 
 def failed_cells(cells: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
-    """The distinct cells (doc_id, statement_type, row_idx, col_idx) that take part in a failed sum of roles."""
+    """The distinct cells (doc_id, statement_type, row_idx, col_idx) that take part in a failed check: those of the roles
+    that are summed, and the line items and subtotals of sections."""
     rules = [(r, role) for r, (_, target, addends, optional) in SUMS.items() for role in (target, *addends, *optional)] + [("RC5", r) for r in ("gross", "revenue", "cost")]
     rule_of = F.create_map(*[F.lit(x) if isinstance(x, str) else x for role in {r for _, r in rules} for x in (role, F.array(*[F.lit(q) for q, r in rules if r == role]))])
-    taking = role_values(cells).withColumn("rule", F.explode(F.element_at(rule_of, F.col("role"))))
-    return taking.join(issues(cells, tolerance).select("doc_id", "statement_type", "col_idx", "rule"), ["doc_id", "statement_type", "col_idx", "rule"]).select("doc_id", "statement_type", "row_idx", "col_idx").distinct()
+    by = ["doc_id", "statement_type", "col_idx", "rule"]
+    taking = role_values(cells).withColumn("rule", F.explode(F.element_at(rule_of, F.col("role")))).select(*by, "row_idx")
+    items, subtotals = _sections(cells)
+    every = taking.unionByName(items.select(*by, "row_idx")).unionByName(subtotals.select(*by, "row_idx"))
+    return every.join(issues(cells, tolerance).select(*by), by).select("doc_id", "statement_type", "row_idx", "col_idx").distinct()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import labels, numbers, periods
 from ledgerloom.operators import locate, merge, reconcile, registry, reports, sheets, words
-from ledgerloom.plans import fixtures
+from ledgerloom.plans import fixtures, reconstruction
 from ledgerloom.sources import markup_tables
 from ledgerloom.sources.star import STATEMENTS_SQL, statements, table, values
 
@@ -28,25 +28,29 @@ def _query(sql: str | None = None):
 
 
 def queries() -> dict:
-    return dict(_QUERIES)
+    return _QUERIES | reconstruction.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return _SQL | reconstruction.SQL | {"coerced_cells": reconstruction._coerced_sql()}
 
 
 # --- DuckDB pieces that several queries use; a macro for each scalar rule
 
 
-def _amount_sql(c: str) -> str:
+def _strip_sql(c: str) -> str:
+    return f"regexp_replace({c}, '^{numbers.SPACE}+|{numbers.SPACE}+$', '', 'g')"
+
+
+def amount_sql(c: str) -> str:
     """numbers.amount in DuckDB."""
-    text = f"trim(translate({c}, '¥￦₩', ''))"
-    mark = r"(US\$|HK\$|KRW|USD|\$|￦|₩|¥)"
-    token = rf"trim(regexp_replace(regexp_replace(trim(regexp_replace(regexp_replace({text}, '^{mark}\s*', '', 'i'), '\s*{mark}$', '', 'i')), '^W ', ''), ' W$', ''))"
-    bare = f"try_cast(replace(regexp_replace({token}, '[()]', '', 'g'), ',', '') as decimal(28,8))"
-    return rf"""case when not regexp_matches({text}, '^[0-9]{{4}}$') and {text} not in ('-', '–', '')
+    text, mark, glyph = _strip_sql(f"translate({c}, '¥￦₩', '')"), numbers.MARKS, numbers.GLYPH_NUMBER.replace("SPACE", numbers.SPACE)
+    bare = _strip_sql(f"regexp_replace({_strip_sql(f"regexp_replace({text}, '^{mark}{numbers.SPACE}*', '', 'i')")}, '{numbers.SPACE}*{mark}$', '', 'i')")
+    token = _strip_sql(f"regexp_replace(regexp_replace({bare}, '^W ', ''), ' W$', '')")
+    value = f"try_cast(replace(regexp_replace({token}, '[()]', '', 'g'), ',', '') as decimal(28,8))"
+    return rf"""case when not regexp_matches({_strip_sql(c)}, '{glyph}') and not regexp_matches({text}, '^[0-9]{{4}}$') and {text} not in ('-', '–', '')
       and regexp_matches({token}, '^(\(?-?([0-9]+|[0-9]{{1,3}}(,[0-9]{{3}})+)(\.[0-9]+)?\)?|-)$')
-      then case when {token} like '(%' and {token} like '%)' then -{bare} else {bare} end end"""
+      then case when {token} like '(%' and {token} like '%)' then -{value} else {value} end end"""
 
 
 def _key_sql(c: str) -> str:
@@ -55,43 +59,53 @@ def _key_sql(c: str) -> str:
 
 _FACTS_SQL = f"""with {STATEMENTS_SQL},
 keyed as (select *, {_key_sql("label")} as base from statements),
+latest as (select company, workbook, max(period::int) as latest from statements group by all),
 facts as (
-  select *, base || '#' || row_number() over (partition by company, workbook, sheet, period, base order by label) as key,
-    ({_amount_sql("raw_text")})::decimal(28,8) as value from keyed where base <> ''),
-merged as (select company, sheet, key, period, arg_max_null(value, workbook) as value, max(workbook) as workbook from facts group by all),
-named as (select company, sheet, key, arg_max(label, workbook) as label from facts group by all)"""
+  select *, base || '#' || dense_rank() over (partition by company, workbook, sheet, base order by row_idx) as key, dense_rank() over (partition by company order by latest, workbook::varchar) as seq
+  from keyed join latest using (company, workbook) where base <> ''),
+placed as (select *, row_number() over (partition by company, sheet order by seq, row_idx) - 1 as position
+  from (select company, sheet, key, min(seq) as seq, arg_min(row_idx, seq) as row_idx from facts group by all)),
+merged as (select company, sheet, key, period, ({amount_sql("arg_max(raw_text, seq)")})::decimal(28,8) as value, max(workbook)::varchar as workbook from facts group by all),
+named as (select company, sheet, key, arg_max(label, seq) as label, any_value(position) as position from facts join (select company, sheet, key, position from placed) using (company, sheet, key) group by all)"""
 
 # --- statements from the star schema
 
 
-@_query(_FACTS_SQL + " select company, sheet, label, key, " + ", ".join(f"max(value) filter (period = '{y}')::decimal(28,8) as y{y}" for y in YEARS) + " from merged join named using (company, sheet, key) group by company, sheet, label, key")
+@_query(_FACTS_SQL + " select company, sheet, position, label, key, " + ", ".join(f"max(value) filter (period = '{y}')::decimal(28,8) as y{y}" for y in YEARS) + " from merged join named using (company, sheet, key) group by company, sheet, position, label, key")
 def merged_statement_annual(spark, sf_dir) -> DataFrame:
     """One wide multi-year statement per company and sheet, merged from annual reports: the flagship."""
     return merge.wide(merge.merged(merge.facts(statements(spark, sf_dir))), YEARS)
 
 
-@_query(_FACTS_SQL + " select company, sheet, key, period, value::decimal(28,8) as value, workbook, label from merged join named using (company, sheet, key)")
+@_query(_FACTS_SQL + " select company, sheet, key, position, period, value::decimal(28,8) as value, workbook, label from merged join named using (company, sheet, key)")
 def last_writer_wins_nulls(spark, sf_dir) -> DataFrame:
     """The same in long form: a later report's blank erases an earlier amount."""
-    return merge.merged(merge.facts(statements(spark, sf_dir))).select("company", "sheet", "key", "period", F.col("value").cast("decimal(28,8)").alias("value"), "workbook", "label")
+    return merge.merged(merge.facts(statements(spark, sf_dir))).select("company", "sheet", "key", "position", "period", F.col("value").cast("decimal(28,8)").alias("value"), "workbook", "label")
 
 
-@_query(f"with {STATEMENTS_SQL} select company, 'Q' || quarter || ' ' || year as period, year * 10 + quarter as sort_key, sum(v)::decimal(28,4) as value from sales group by company, year, quarter")
+@_query(f"""with {STATEMENTS_SQL}, q as (select company, sheet, item, year, quarter, case when l_returnflag = 'R' then -sum(v) else sum(v) end::decimal(28,4) as v
+  from (select *, case l_returnflag when 'A' then 'Balance Sheet' when 'N' then 'Income Statement' else 'Cash Flow Statement' end as sheet from sales) group by company, sheet, l_returnflag, item, year, quarter),
+ c as (select company, sheet, year, 'Q' || quarter || ' ' || year as period, item, v, quarter from q union all select company, sheet, year, year::varchar, item, sum(v), null from q group by all),
+ p as (select company, sheet, period, row_number() over (partition by company, sheet order by quarter is not null, year, quarter) as place from (select distinct company, sheet, period, year, quarter from c)),
+ shown as (select company, sheet, {_key_sql("item")} || '#1' as key, period, ({amount_sql("case when v < 0 then '(' || format('{:,}', cast(abs(round(v, 0)) as bigint)) || ')' else format('{:,}', cast(abs(round(v, 0)) as bigint)) end")})::decimal(28,8) as value from c)
+ select company, sheet, key, period, place, value from shown join p using (company, sheet, period)""")
 def merged_statement_quarterly(spark, sf_dir) -> DataFrame:
-    """Quarter columns in order, from header text that is parsed back to periods."""
-    from ledgerloom.sources.star import sales
+    """Reports with four quarters and their year, merged: annual columns in order, then quarters."""
+    from ledgerloom.sources.star import sales, shown
 
-    by_quarter = sales(spark, sf_dir, quarterly=True).withColumn("v", F.abs("v"))
-    header = by_quarter.withColumn("p", periods.parse(F.concat(F.lit("Q"), "quarter", F.lit(" "), "year")))
-    return header.groupBy("company", F.col("p.label").alias("period"), (F.col("p.year") * 10 + F.col("p.quarter")).alias("sort_key")).agg(F.sum("v").cast("decimal(28,4)").alias("value"))
+    quarters = sales(spark, sf_dir, quarterly=True)
+    columns = F.array(F.concat(F.lit("Q"), "quarter", F.lit(" "), "year"), F.col("year").cast("string"))
+    summed = quarters.withColumn("period", F.explode(columns)).groupBy("company", "sheet", "item", "year", "period").agg(F.sum("v").cast("decimal(28,4)").alias("v"))
+    cells = summed.select("company", F.col("year").alias("workbook"), "sheet", F.xxhash64("item").alias("row_idx"), F.col("item").alias("label"), "period", shown(F.col("v")).alias("raw_text"))
+    merged = merge.merged(merge.facts(cells))
+    return merge.with_places(merged).select("company", "sheet", "key", "period", "place", F.col("value").cast("decimal(28,8)").alias("value"))
 
 
 @_query(f"with {STATEMENTS_SQL} select company, workbook, max(period::int) as latest, row_number() over (partition by company order by max(period::int), workbook) as position from statements group by company, workbook")
 def latest_period_order(spark, sf_dir) -> DataFrame:
     """Reports in the order in which they are merged: by their latest period."""
-    p = periods.parse(F.col("period"))
-    latest = statements(spark, sf_dir).groupBy("company", "workbook").agg(F.max(periods.sort_key(p)).alias("latest"))
-    return latest.select("company", "workbook", F.col("latest.year").alias("latest"), F.row_number().over(W.partitionBy("company").orderBy("latest", "workbook")).alias("position"))
+    seen = merge.in_order(statements(spark, sf_dir)).select("company", "workbook", "seq", "period")
+    return seen.groupBy("company", "workbook", F.col("seq").alias("position")).agg(F.max(periods.sort_key(periods.parse(F.col("period")))).getField("year").alias("latest"))
 
 
 @_query(f"with {STATEMENTS_SQL} select company, sheet, period, count(distinct workbook) as n_workbooks, min(workbook) as first_seen from statements group by all")
@@ -104,10 +118,8 @@ def union_periods(spark, sf_dir) -> DataFrame:
  select i.company, i.sheet, i.key, s.period, m.value::decimal(28,8) as value from items i join spans s using (company, sheet) left join merged m using (company, sheet, key, period)""")
 def densify_rows(spark, sf_dir) -> DataFrame:
     """Every item of a statement with every period of it, null where no report has an amount."""
-    m = merge.merged(merge.facts(statements(spark, sf_dir)))
-    by = ["company", "sheet"]
-    every = m.select(*by, "key").distinct().join(m.select(*by, "period").distinct(), by)
-    return every.join(m.select(*by, "key", "period", "value"), [*by, "key", "period"], "left").select(*by, "key", "period", F.col("value").cast("decimal(28,8)").alias("value"))
+    dense = merge.densified(merge.merged(merge.facts(statements(spark, sf_dir))))
+    return dense.select("company", "sheet", "key", "period", F.col("value").cast("decimal(28,8)").alias("value"))
 
 
 @_query()
@@ -120,30 +132,34 @@ def fuzzy_label_match(spark, sf_dir) -> DataFrame:
 # --- amounts, units, labels
 
 
-@_query(f"select raw_text, ({_amount_sql('raw_text')})::decimal(28,8) as value from {fixtures.AMOUNTS}")
+@_query(f"select raw_text, ({amount_sql('raw_text')})::decimal(28,8) as value from {fixtures.AMOUNTS}")
 def parse_amounts(spark, sf_dir) -> DataFrame:
     """Cell texts to amounts."""
     return values(spark, fixtures.AMOUNTS).withColumn("value", numbers.amount(F.col("raw_text")))
 
 
-@_query(f"select l_orderkey, l_linenumber, ({_amount_sql('raw')})::decimal(28,8) as value from (select l_orderkey, l_linenumber, 'US$ (' || format('{{:,}}', cast(round(l_extendedprice::decimal(18,4), 0) as bigint)) || ')' as raw from lineitem)")
+@_query(f"select l_orderkey, l_linenumber, ({amount_sql('raw')})::decimal(28,8) as value from (select l_orderkey, l_linenumber, 'US$ (' || format('{{:,}}', cast(round(l_extendedprice::decimal(18,4), 0) as bigint)) || ')' as raw from lineitem)")
 def parse_line_amounts(spark, sf_dir) -> DataFrame:
     """The same over all order lines, printed as negative dollar amounts."""
     whole = F.format_number(F.round(F.col("l_extendedprice").cast("decimal(18,4)"), 0), 0)
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", numbers.amount(F.concat(F.lit("US$ ("), whole, F.lit(")"))).alias("value"))
 
 
-_SCALE_SQL = "case " + " ".join(rf"when regexp_matches(h, '{p.replace(chr(39), chr(39) * 2)}') then {s}" for p, s in numbers.SCALES) + " else 1 end"
+SCALE_SQL = "case " + " ".join(rf"when regexp_matches(h, '{p.replace(chr(39), chr(39) * 2)}') then {s}" for p, s in numbers.SCALES) + " else 1 end"
 
 
-@_query(rf"select id, ({_SCALE_SQL})::decimal(11,6) as scale from (select id, regexp_replace(lower(header), '\s+', ' ', 'g') as h from {fixtures.HEADERS})")
+@_query(rf"select id, ({SCALE_SQL})::decimal(11,6) as scale from (select id, regexp_replace(lower(header), '\s+', ' ', 'g') as h from {fixtures.HEADERS})")
 def unit_scale_detect(spark, sf_dir) -> DataFrame:
     """The scale to millions that header texts ask for."""
     return values(spark, fixtures.HEADERS).select("id", numbers.scale_of(F.col("header")).alias("scale"))
 
 
-@_query(rf"""select id, regexp_replace(regexp_replace(regexp_replace(header, '\bin\s+(thousands?|billions?)\b', 'in millions', 'gi'),
- '\b(expressed|amounts?)\s+in\s+((?:korean\s+)?won|krw|(?:u\.s\.\s+)?dollars?|usd)\b', '\1 in millions of \2', 'gi'), '\$000\b', '$m', 'gi') as header from {fixtures.HEADERS}""")
+def in_millions_sql(c: str) -> str:
+    return rf"""regexp_replace(regexp_replace(regexp_replace({c}, '\bin\s+(thousands?|billions?)\b', 'in millions', 'gi'),
+ '\b(expressed|amounts?)\s+in\s+((?:korean\s+)?won|krw|(?:u\.s\.\s+)?dollars?|usd)\b', '\1 in millions of \2', 'gi'), '\$000\b', '$m', 'gi')"""
+
+
+@_query(f"select id, {in_millions_sql('header')} as header from {fixtures.HEADERS}")
 def unit_text_rewrite(spark, sf_dir) -> DataFrame:
     """Header texts with their units rewritten to millions."""
     return values(spark, fixtures.HEADERS).select("id", numbers.in_millions(F.col("header")).alias("header"))
@@ -175,7 +191,27 @@ def safe_names(spark, sf_dir) -> DataFrame:
 # --- periods
 
 
-@_query()
+def _period_sql() -> str:
+    from ledgerloom.functions.periods import DATE, FISCAL, QUARTER, YEAR, YEAR_QUARTER
+
+    # RE2 takes its flag at the start of a pattern as Java does
+    part = lambda c, p, k: f"nullif(regexp_extract({c}, '{p}', {k}), '')::int"
+    lengths = {"three": 3, "six": 6, "nine": 9, "twelve": 12}
+    named = ", ".join(rf"case when regexp_matches(low, '\b{w}[-\s]months?\b') then {n} end" for w, n in lengths.items())
+    return rf"""with t as (select raw_text, regexp_replace({_strip_sql('raw_text')}, '{numbers.SPACE}+', ' ', 'g') as t from {fixtures.PERIODS}),
+s as (select *, regexp_replace(replace(t, '(', ' ('), '\s+', ' ', 'g') as s, lower(regexp_replace({_strip_sql("regexp_replace(replace(t, '(', ' ('), ' +', ' ', 'g')")}, '\s+', ' ', 'g')) as low from t),
+m as (select *, list_distinct(list_concat(list_filter([{named}], lambda x: x is not null), list_transform(regexp_extract_all(low, '\b(3|6|9|12)[-\s]months?\b', 1), lambda x: x::int))) as found,
+  lower(regexp_extract(s, '{DATE}', 1)) as month, {part('s', DATE, 2)} as day from s),
+d as (select *, case when len(found) = 1 then found[1] else 0 end as length, case when month like 'mar%' and day = 31 then 1 when month like 'jun%' and day = 30 then 2 when month like 'sep%' and day = 30 then 3 end as dated from m),
+p as (select raw_text, case when regexp_matches(t, '{QUARTER}') then 1 when regexp_matches(t, '{YEAR_QUARTER}') then 2 when regexp_matches(t, '{FISCAL}') then 3 when dated is not null then 4 when regexp_matches(t, '{YEAR}') then 5 end as form, * exclude (raw_text) from d),
+y as (select raw_text, form,
+  case form when 1 then {part('t', QUARTER, 3)} when 2 then {part('t', YEAR_QUARTER, 1)} when 3 then {part('t', FISCAL, 1)} + 2000 when 4 then {part('s', DATE, 3)} when 5 then {part('t', YEAR, 1)} end as year,
+  case form when 1 then {part('t', QUARTER, 2)} when 2 then {part('t', YEAR_QUARTER, 2)} when 3 then {part('t', FISCAL, 2)} when 4 then dated when 5 then 0 end as quarter,
+  case form when 1 then coalesce({part('t', QUARTER, 1)}, 0) when 4 then length when 2 then 0 when 3 then 0 when 5 then 0 end as months from p)
+select raw_text, case when form = 5 then year::varchar else case when months > 0 then months || '-Month ' else '' end || 'Q' || quarter || ' ' || year end as label, case form when 5 then 'annual' else case when form is not null then 'quarter' end end as kind, year, quarter, months from y"""
+
+
+@_query(_period_sql())
 def parse_periods(spark, sf_dir) -> DataFrame:
     """Header texts to periods."""
     return values(spark, fixtures.PERIODS).select("raw_text", periods.parse(F.col("raw_text")).alias("p")).select("raw_text", "p.*")
@@ -223,13 +259,48 @@ def occurrence_keys(spark, sf_dir) -> DataFrame:
 # --- reconciliation
 
 
-@_query()
+def _recon_sql() -> str:
+    """The identities of statements, from cells to issues, in DuckDB."""
+    r = reconcile
+    checked = lambda c: f"regexp_replace(regexp_replace(trim(lower(coalesce({c}, ''))), '\\s+', ' ', 'g'), '[–—]', '-', 'g')"
+    roles = " union all ".join(f"select '{s}' as statement_type, '{role}' as role, '{p}' as pattern" for s, many in r.ROLES.items() for role, p in many.items())
+    sums = " union all ".join(
+        f"select '{rule}' as rule, '{s}' as statement_type, '{role}' as role, {sign} as sign, {optional} as optional"
+        for rule, (s, target, addends, extra) in r.SUMS.items() for role, sign, optional in ((target, 0, False), *((a, 1, False) for a in addends), *((a, 1, True) for a in extra))
+    )
+    name = "(operating|investing|financing)"
+    return rf"""with cells as (select * from {fixtures.STATEMENTS}),
+labels as (select doc_id, statement_type, row_idx, {checked('raw_text')} as label from cells where col_idx = 0),
+bare as (select c.*, label, trim(raw_text) as t, trim(translate(regexp_replace(trim(raw_text), '^[()]+|[()]+$', '', 'g'), ',$₩W', '')) as bare from cells c join labels using (doc_id, statement_type, row_idx) where col_idx > 0),
+vals as (select doc_id, statement_type, row_idx, col_idx, label, case when regexp_matches(bare, '{numbers.STRICT}') then case when t like '(%' and t like '%)' then -1 else 1 end * bare::decimal(28,8) end as value from bare),
+roles as ({roles}),
+found as (select *, dense_rank() over (partition by doc_id, statement_type, role order by row_idx) as k from vals join roles using (statement_type) where regexp_matches(label, pattern)),
+taken as (select doc_id, statement_type, role, row_idx, col_idx, value from found where k = 1 and value is not null),
+sums as ({sums}),
+has as (select distinct doc_id, statement_type, role from taken),
+cols as (select distinct doc_id, statement_type, col_idx from taken),
+needed as (select c.*, rule, role, sign, value from cols c join sums s using (statement_type) left join has h using (doc_id, statement_type, role) left join taken t using (doc_id, statement_type, role, col_idx) where not optional or h.role is not null),
+added as (select rule, doc_id, statement_type, col_idx, max(value) filter (sign = 0) as reported, sum(value * sign) as calculated from needed group by all having count(*) = count(value)),
+margins as (select 'RC5' as rule, doc_id, statement_type, col_idx, max(value) filter (role = 'gross') as reported, max(value) filter (role = 'revenue') + case when max(value) filter (role = 'cost') < 0 then 1 else -1 end * max(value) filter (role = 'cost') as calculated
+  from taken where statement_type = 'income_statement' group by all),
+starts as (select doc_id, regexp_extract(label, '^cash flows from {name} activities$', 1) as name, min(row_idx) as start from labels where statement_type = 'cash_flow' group by all),
+ends as (select l.doc_id, s.name, start, min(row_idx) as stop from labels l join starts s on l.doc_id = s.doc_id and s.name <> '' and row_idx > start and regexp_matches(label, replace('{r._ACTIVITY}', '{{}}', s.name)) where statement_type = 'cash_flow' group by all),
+parts as (select v.*, case name when 'operating' then 'RC6' when 'investing' then 'RC7' else 'RC8' end as rule, row_idx = stop as is_total from vals v join ends e on v.doc_id = e.doc_id and v.statement_type = 'cash_flow' and row_idx > start and row_idx <= stop
+  where value is not null and (row_idx = stop or (label <> '' and not regexp_matches(label, '{r._NOT_ITEMS}')))),
+sections as (select rule, doc_id, statement_type, col_idx, max(value) filter (is_total) as reported, sum(value) filter (not is_total) as calculated from parts group by all),
+issues as (select rule, doc_id, statement_type, col_idx, reported::decimal(28,8) as reported, calculated::decimal(28,8) as calculated, (reported - calculated)::decimal(28,8) as difference
+  from (select * from added union all select * from margins union all select * from sections) where abs(reported - calculated) > {r.TOLERANCE})"""
+
+
+@_query(_recon_sql() + " select * from issues")
 def recon_issues(spark, sf_dir) -> DataFrame:
     """Identities that fail on fixture statements."""
     return reconcile.issues(values(spark, fixtures.STATEMENTS))
 
 
-@_query()
+@_query(_recon_sql() + """, rules as (select rule, role from sums union select 'RC5', unnest(['gross', 'revenue', 'cost'])),
+ taking as (select doc_id, statement_type, col_idx, rule, row_idx from taken join rules using (role) union all select doc_id, statement_type, col_idx, rule, row_idx from parts)
+ select distinct doc_id, statement_type, row_idx, col_idx from taking semi join issues using (doc_id, statement_type, col_idx, rule)""")
 def failed_cells(spark, sf_dir) -> DataFrame:
     """The cells that take part in failures."""
     return reconcile.failed_cells(values(spark, fixtures.STATEMENTS))
@@ -272,17 +343,33 @@ def event_islands(spark, sf_dir) -> DataFrame:
     return marked.groupBy("user_id", "island").agg(F.min("event_type").alias("event_type"), F.count("*").alias("n"), F.min("event_id").alias("first_id"), F.sum(F.col("value").cast("decimal(18,6)")).cast("decimal(28,6)").alias("total"))
 
 
-@_query()
+_WORDS_SQL = f"""with recursive w as (select doc_id, page_number, x0::double as x0, y0::double as y0, x1::double as x1, text from {fixtures.WORDS}),
+o as (select *, row_number() over (partition by doc_id, page_number order by round_even(y0 / {words.TOLERANCE}, 0), x0) as k from w),
+lines as (select *, 0 as line_no, y0 as total, 1 as n from o where k = 1
+  union all select o.*, l.line_no + (abs(o.y0 - total / n) > {words.TOLERANCE})::int, case when abs(o.y0 - total / n) > {words.TOLERANCE} then o.y0 else total + o.y0 end, case when abs(o.y0 - total / n) > {words.TOLERANCE} then 1 else n + 1 end
+  from lines l join o on o.doc_id = l.doc_id and o.page_number = l.page_number and o.k = l.k + 1),
+m as (select doc_id, page_number, (x0 + x1) / 2 as x, row_number() over (partition by doc_id, page_number order by (x0 + x1) / 2) as k from w),
+clusters as (select *, 0 as c, x as total, 1 as n from m where k = 1
+  union all select m.*, c + (abs(m.x - total / n) > {words.SPREAD})::int, case when abs(m.x - total / n) > {words.SPREAD} then m.x else total + m.x end, case when abs(m.x - total / n) > {words.SPREAD} then 1 else n + 1 end
+  from clusters l join m on m.doc_id = l.doc_id and m.page_number = l.page_number and m.k = l.k + 1),
+whole as (select doc_id, page_number, c, arg_max(total / n, n) as mean, max(n) as n from clusters group by all having max(n) >= {words.LEAST}),
+best as (select *, row_number() over (partition by doc_id, page_number order by n desc, mean) as k from whole),
+anchors as (select p.doc_id, p.page_number, coalesce(list(mean order by mean) filter (mean is not null), []) as anchors from (select distinct doc_id, page_number from w) p left join best b on b.doc_id = p.doc_id and b.page_number = p.page_number and b.k <= {words.MOST} group by all)"""
+
+
+@_query(_WORDS_SQL + f""", placed as (select doc_id, page_number, line_no, x0, text, (x0 + x1) / 2 as x, anchors as a from lines join anchors using (doc_id, page_number))
+ select doc_id, page_number, line_no, case when len(a) = 0 or x < a[1] - {words.BOUNDARY} then 0 else 1 + len(list_filter(range(1, len(a)), lambda i: x > (a[i] + a[i + 1]) / 2)) end as col_idx, string_agg(text, ' ' order by x0, text) as text from placed group by all""")
 def words_to_cells(spark, sf_dir) -> DataFrame:
     """Page words to lines, anchors and cells."""
     found = values(spark, fixtures.WORDS).select("doc_id", "page_number", *[F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1")], "text")
     return words.to_cells(words.to_lines(found), words.anchors(found))
 
 
-@_query()
+@_query(_WORDS_SQL + " select doc_id, page_number, array_to_string(list_transform(anchors, lambda x: printf('%.3f', x)), ' ') as anchors from anchors")
 def cluster_anchors(spark, sf_dir) -> DataFrame:
     """Column anchors of pages."""
-    return words.anchors(values(spark, fixtures.WORDS).select("doc_id", "page_number", *[F.col(c).cast("double").alias(c) for c in ("x0", "x1")]))
+    found = words.anchors(values(spark, fixtures.WORDS).select("doc_id", "page_number", *[F.col(c).cast("double").alias(c) for c in ("x0", "x1")]))
+    return found.select("doc_id", "page_number", F.array_join(F.transform("anchors", lambda x: F.format_string("%.3f", x)), " ").alias("anchors"))
 
 
 # --- tables in texts
@@ -294,7 +381,17 @@ def html_tables(spark, sf_dir) -> DataFrame:
     return markup_tables.html_tables(values(spark, fixtures.HTML))
 
 
-@_query()
+_MARKDOWN_SQL = rf"""with l as (select doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> '') as lines from {fixtures.MARKDOWN}),
+ e as (select doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as i from l),
+ p as (select *, line like '|%' and line like '%|' as piped from e),
+ f as (select doc_id, min(i) filter (piped) as first from p group by 1), g as (select p.*, first, min(case when not piped and i > first then i end) over (partition by doc_id) as stop from p join f using (doc_id)),
+ b as (select doc_id, i - first as k, list_transform(string_split(regexp_replace(line, '^\|+|\|+$', '', 'g'), '|'), lambda y: trim(y)) as cells, count(*) over (partition by doc_id) as n from g where i >= first and (stop is null or i < stop)),
+ c as (select *, k = 1 and len(list_filter(cells, lambda y: not regexp_matches(y, '^:?-{{3,}}:?$'))) = 0 as dashes from b where n >= 2),
+ r as (select doc_id, row_number() over (partition by doc_id order by k) - 1 as row_idx, cells from c where not dashes)
+ select doc_id, row_idx, unnest(cells) as text, generate_subscripts(cells, 1) - 1 as col_idx from r"""
+
+
+@_query(_MARKDOWN_SQL)
 def markdown_tables(spark, sf_dir) -> DataFrame:
     """Cells of markdown tables."""
     return markup_tables.markdown_tables(values(spark, fixtures.MARKDOWN))
@@ -369,7 +466,10 @@ def lineage_record(spark, sf_dir) -> DataFrame:
     return reports.lineage(values(spark, fixtures.RESULTS), values(spark, fixtures.WARNINGS))
 
 
-@_query()
+@_query(f"""with p as (select * from {fixtures.REPORT_PAGES}), t as (select doc_id, string_agg(text, chr(10) order by page_number) filter (page_number <= 40) as t, string_agg(text, chr(10) order by page_number) filter (page_number <= 12) as c,
+  count(*) as page_count, count(*) filter (has_embedded_text) as embedded_text_pages from p group by 1)
+ select doc_id, case when regexp_matches(c, '(?i)annual report') then 'annual' else 'quarterly/interim_or_unknown' end as report_type, regexp_extract(t, '{reports.PERIOD_END}', 1) as period_end, regexp_extract(t, '{reports.AS_AT}', 1) as as_at_date,
+ regexp_extract(t, '{reports.CURRENCY}', 1) as currency, regexp_extract(t, '{reports.UNIT}', 0) as unit, page_count, embedded_text_pages from t""")
 def report_metadata(spark, sf_dir) -> DataFrame:
     """Report type, dates, currency and unit from a report's first pages."""
     return reports.metadata(values(spark, fixtures.REPORT_PAGES))
@@ -381,19 +481,28 @@ def company_from_path(spark, sf_dir) -> DataFrame:
     return values(spark, fixtures.PATHS).select("path", reports.company_of(F.col("path")).alias("company"))
 
 
-@_query()
+@_query(f"""with c as (select company, case when current is not null and not json_valid(current) then '{{}}' when trim(current) like '{{%' then current when trim(legacy) like '{{%' then legacy else '{{}}' end as j from {fixtures.CONFIGS}),
+ k as (select company, unnest(json_keys(j, '$.statement_keywords')) as statement_type, j from c),
+ w as (select company, statement_type, unnest(from_json(json_extract(j, '$.statement_keywords.' || statement_type), '["VARCHAR"]')) as keyword from k)
+ select * from w where trim(keyword) <> ''""")
 def keyword_config(spark, sf_dir) -> DataFrame:
     """Locator keywords from configuration files, current or legacy."""
     return reports.keywords(reports.configurations(values(spark, fixtures.CONFIGS)))
 
 
-@_query()
+@_query(f"""with r as (select * from {fixtures.RESULTS}), m as (select *, contains(lower(title), 'comprehensive income') and statement_type = 'income_statement' and lag(statement_type) over w = 'income_statement'
+  and page_start <= max(page_end) over (partition by doc_id order by position rows between unbounded preceding and 1 preceding) + 2 as fold from r window w as (partition by doc_id order by position)),
+ g as (select *, sum(case when coalesce(fold, false) then 0 else 1 end) over (partition by doc_id order by position) as kept from m)
+ select doc_id, kept, arg_min(title, position) as title, min(page_start) as page_start, max(page_end) as page_end, count(*) as n from g group by doc_id, kept""")
 def comprehensive_income_fold(spark, sf_dir) -> DataFrame:
     """Comprehensive income folded into income statements."""
     return reports.fold_comprehensive(values(spark, fixtures.RESULTS))
 
 
-@_query()
+@_query(rf"""with l as (select id, line, regexp_replace(lower(trim(line)), '\s+', ' ', 'g') as low, 'consolidated income statements' as want from {fixtures.LINES}),
+ r as (select *, regexp_replace(case when starts_with(low, want) then substr(low, length(want) + 1) else low end, '^[ :\-–—]+|[ :\-–—]+$', '', 'g') as rest,
+   regexp_replace(regexp_replace(low, '\s*,?\s*continued$', ''), '^(interim\s+)?(condensed\s+)?', '') as before from l)
+ select id, line, low = want or before = want or rest = '' or regexp_matches(rest, '^(as at|as of|for the years? ended|for the periods? ended).+$') as heading from r""")
 def heading_tests(spark, sf_dir) -> DataFrame:
     """Which lines are headings of their own."""
     return values(spark, fixtures.LINES).withColumn("heading", labels.stands_alone(F.col("line"), F.lit("Consolidated income statements")))

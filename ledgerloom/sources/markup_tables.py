@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from html.parser import HTMLParser
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-GRID = T.ArrayType(T.StructType([T.StructField("table_idx", T.IntegerType()), T.StructField("row_idx", T.IntegerType()), T.StructField("col_idx", T.IntegerType()), T.StructField("text", T.StringType())]))
 
 
 class _Tables(HTMLParser):
@@ -60,17 +58,23 @@ def grid(rows: list) -> list[list[str]]:
     return [[placed.get((r, c), "") for c in range(width)] for r in range(len(rows))]
 
 
-@F.udf(GRID)
-def _html_cells(text):
+def _html_cells(text: str) -> list[tuple]:
     parser = _Tables()
-    parser.feed(text or "")
+    parser.feed(text)
     return [(t, r, c, x) for t, rows in enumerate(parser.tables) for r, row in enumerate(grid(rows)) for c, x in enumerate(row)]
 
 
 def html_tables(pages: DataFrame) -> DataFrame:
-    """doc_id and the cells of every table; only texts that hold a table reach Python."""
-    some = pages.where(F.lower("text").contains("<table"))
-    return some.select("doc_id", F.explode(_html_cells("text")).alias("c")).select("doc_id", "c.*")
+    """doc_id and the cells of every table; only texts that hold a table reach Python, in Arrow batches."""
+
+    def work(batches):
+        for pdf in batches:
+            rows = [(d, *cell) for d, t in zip(pdf["doc_id"], pdf["text"]) for cell in _html_cells(t)]
+            yield pd.DataFrame(rows, columns=["doc_id", "table_idx", "row_idx", "col_idx", "text"])
+
+    some = pages.where(F.lower("text").contains("<table")).select("doc_id", "text")
+    kind = some.schema["doc_id"].dataType.simpleString()
+    return some.mapInPandas(work, f"doc_id {kind}, table_idx int, row_idx int, col_idx int, text string")
 
 
 def table_blocks(text: Column) -> Column:
@@ -96,11 +100,43 @@ def markdown_tables(texts: DataFrame) -> DataFrame:
 DOCUMENT = "struct<sheets:array<struct<name:string,cells:array<struct<r:int,c:int,v:string>>>>>"
 
 
+def first_object(text: Column) -> Column:
+    """The JSON that a model's answer holds: its first fenced part or all of it, or of that the first {...} whose braces
+    balance; null where there is none."""
+    fence = r"(?is)```(?:json)?\s*(.*?)\s*```"
+    bare = F.when(text.rlike(fence), F.trim(F.regexp_extract(text, fence, 1))).otherwise(F.trim(text))
+    inner = F.substr(bare, F.instr(bare, F.lit("{")))
+    # the k-th closing brace balances where the pieces before it hold k opening ones
+    pieces = F.split(inner, "[}]", -1)
+    start = F.struct(F.lit(0).alias("opened"), F.lit(0).alias("k"), F.lit(0).alias("end"))
+
+    def step(a: Column, piece: Column) -> Column:
+        opened, k = a["opened"] + F.length(piece) - F.length(F.replace(piece, F.lit("{"), F.lit(""))), a["k"] + 1
+        return F.struct(opened.alias("opened"), k.alias("k"), F.when((a["end"] == 0) & (opened == k), k).otherwise(a["end"]).alias("end"))
+
+    end = F.aggregate(F.slice(pieces, F.lit(1), F.greatest(F.size(pieces) - 1, F.lit(0))), start, step)["end"]
+    cut = F.concat(F.array_join(F.slice(pieces, F.lit(1), end), "}"), F.lit("}"))
+    whole = F.try_parse_json(bare).isNotNull()
+    return F.when(whole, bare).when(F.contains(bare, F.lit("{")) & (end > 0) & F.try_parse_json(cut).isNotNull(), cut)
+
+
 def json_tables(texts: DataFrame) -> DataFrame:
-    """doc_id, sheet, r, c, v of table documents, with or without a code fence; cells below row or column 1 are dropped."""
-    bare = F.trim(F.regexp_replace(F.regexp_replace(F.trim("text"), r"(?s)^```[a-zA-Z]*\s*", ""), r"```$", ""))
-    inner = F.regexp_extract(bare, r"(?s)(\{.*\})", 1)
-    found = F.coalesce(F.from_json(bare, DOCUMENT)["sheets"], F.from_json(inner, DOCUMENT)["sheets"])
+    """doc_id, sheet, r, c, v of table documents in models' answers; cells below row or column 1 are dropped."""
+    found = F.from_json(first_object(F.col("text")), DOCUMENT)["sheets"]
     sheets = texts.select("doc_id", F.explode(found).alias("s"))
     cells = sheets.select("doc_id", F.col("s.name").alias("sheet"), F.explode("s.cells").alias("x")).select("doc_id", "sheet", "x.*")
     return cells.where("r > 0 AND c > 0")
+
+
+#: So much of a text that is no table goes into its one cell.
+RAW_CHARS = 32_000
+
+
+def answer_tables(texts: DataFrame) -> DataFrame:
+    """doc_id, sheet, r, c, v of models' answers: JSON if there is any, else a markdown table, else the text in one cell."""
+    kept = texts.withColumn("json", first_object(F.col("text")))
+    plain = kept.where("json IS NULL").select("doc_id", "text")
+    rows = markdown_tables(plain)
+    grid = rows.select("doc_id", F.lit("Sheet1").alias("sheet"), (F.col("row_idx") + 1).alias("r"), (F.col("col_idx") + 1).alias("c"), F.col("text").alias("v"))
+    raw = plain.join(rows.select("doc_id").distinct(), "doc_id", "left_anti").select("doc_id", F.lit("Sheet1").alias("sheet"), F.lit(1).alias("r"), F.lit(1).alias("c"), F.substr(F.trim("text"), F.lit(1), F.lit(RAW_CHARS)).alias("v"))
+    return json_tables(kept.where("json IS NOT NULL").select("doc_id", "text")).unionByName(grid).unionByName(raw)

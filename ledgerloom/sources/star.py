@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 SHEETS = {"A": "Balance Sheet", "N": "Income Statement", "R": "Cash Flow Statement"}
@@ -40,15 +41,16 @@ def statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Annual reports: the one of a year shows that year, and the year before restated by one percent.
 
     Odd years write the labels in another way; the comparative of item STANDARD is blank, as an erased amount.
+    Rows are in the order of their items, read backwards.
     """
-    base = sales(spark, sf_dir)
-    own = base.select("*", F.col("year").alias("workbook"))
-    before = base.select("company", "item", "year", (F.col("v") * F.lit("1.01").cast("decimal(3,2)")).cast("decimal(28,4)").alias("v"), "sheet", (F.col("year") + 1).alias("workbook"))
-    both = own.unionByName(before)
+    # each amount is shown twice, in its own year's report and in the next one
+    both = sales(spark, sf_dir).withColumn("later", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("workbook", F.col("year") + F.col("later"))
+    both = both.withColumn("v", F.when(F.col("later") == 1, (F.col("v") * F.lit("1.01").cast("decimal(3,2)")).cast("decimal(28,4)")).otherwise(F.col("v")))
+    both = both.withColumn("row_idx", F.dense_rank().over(W.partitionBy("company", "workbook", "sheet").orderBy(F.reverse("item"))))
     label = F.when(F.col("workbook") % 2 == 1, F.concat("item", F.lit(" & other (net)"))).otherwise(F.concat("item", F.lit(" and other")))
     blank = (F.col("year") < F.col("workbook")) & F.col("item").startswith("STANDARD")
     return both.select(
-        "company", "workbook", "sheet", label.alias("label"), F.col("year").cast("string").alias("period"), F.when(blank, F.lit("")).otherwise(shown(F.col("v"))).alias("raw_text")
+        "company", "workbook", "sheet", "row_idx", label.alias("label"), F.col("year").cast("string").alias("period"), F.when(blank, F.lit("")).otherwise(shown(F.col("v"))).alias("raw_text")
     )
 
 
@@ -66,7 +68,7 @@ both_years as (
   select *, year as workbook from base
   union all select company, sheet, item, year, cast(v * 1.01::decimal(3,2) as decimal(28,4)), year + 1 from base),
 statements as (
-  select company, workbook, sheet, item || case when workbook % 2 = 1 then ' & other (net)' else ' and other' end as label, year::varchar as period,
+  select company, workbook, sheet, dense_rank() over (partition by company, workbook, sheet order by reverse(item)) as row_idx, item || case when workbook % 2 = 1 then ' & other (net)' else ' and other' end as label, year::varchar as period,
     case when year < workbook and item like 'STANDARD%' then ''
       when v < 0 then '(' || format('{:,}', cast(abs(round(v, 0)) as bigint)) || ')' else format('{:,}', cast(abs(round(v, 0)) as bigint)) end as raw_text
   from both_years)"""
