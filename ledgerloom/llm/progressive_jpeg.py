@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 
 #: The zigzag scan order, as row-major positions.
 ZIGZAG = np.array(sorted(range(64), key=lambda p: (p // 8 + p % 8, (p % 8 if (p // 8 + p % 8) % 2 == 0 else p // 8))))
-BLOCKS_AT_ONCE = 8192
+BLOCKS_AT_ONCE = 2048
 LANES_AT_ONCE = 1 << 15
 BATCH_BYTES = 1 << 19
 
@@ -72,7 +72,7 @@ def _lookup(table: tuple[bytes, bytes]) -> np.ndarray:
 # --- writing
 
 
-_BIT_LENGTH = np.array([int(x).bit_length() for x in range(2049)], np.int64)
+_BIT_LENGTH = np.array([int(x).bit_length() for x in range(2049)], np.int32)
 
 
 def _bit_length(a: np.ndarray) -> np.ndarray:
@@ -100,14 +100,14 @@ def _ac_first(blocks: np.ndarray):
     a = blocks[:, 1:]
     v = np.sign(a) * (np.abs(a) >> 1)
     code, length = _codes(AC_TABLE)
-    at = np.arange(63)
+    at = np.arange(63, dtype=np.int32)
     nz = v != 0
     before = np.maximum.accumulate(np.where(nz, at, -1), axis=1)
-    previous = np.concatenate((np.full((len(v), 1), -1), before[:, :-1]), 1)
+    previous = np.concatenate((np.full((len(v), 1), -1, np.int32), before[:, :-1]), 1)
     run, size = at - previous - 1, _bit_length(np.abs(v))
     symbol = (run & 15) << 4 | size
     values, lengths = code[symbol] << size | _magnitude(v, size), length[symbol] + size
-    for k in range(3):
+    for k in range(int(run.max()) >> 4):
         more = run >> 4 > k
         values = np.where(more, code[0xF0] << lengths | values, values)
         lengths = np.where(more, lengths + length[0xF0], lengths)
@@ -120,10 +120,10 @@ def _ac_refine(blocks: np.ndarray):
     a = blocks[:, 1:]
     size = np.abs(a)
     history, fresh = size >> 1 != 0, size == 1
-    zero, at = size == 0, np.arange(63)
-    zeros = np.cumsum(zero, 1)
+    zero, at = size == 0, np.arange(63, dtype=np.int32)
+    zeros = np.cumsum(zero, 1, dtype=np.int32)
     base = np.maximum.accumulate(np.where(fresh, zeros, 0), axis=1)
-    since = zeros - np.concatenate((np.zeros((len(a), 1), np.int64), base[:, :-1]), 1)
+    since = zeros - np.concatenate((np.zeros((len(a), 1), np.int32), base[:, :-1]), 1)
     last = np.max(np.where(fresh, at, -1), axis=1, keepdims=True)
     event = fresh | (zero & (since > 0) & (since % 16 == 0) & (at < last))
     following = np.minimum.accumulate(np.where(event, at, 63)[:, ::-1], axis=1)[:, ::-1]
@@ -202,7 +202,7 @@ def encode_many(payloads: list[bytes]) -> list[bytes]:
         for at in range(0, len(rows), BLOCKS_AT_ONCE):
             some = rows[at : at + BLOCKS_AT_ONCE]
             files = owner[some]
-            coefficients = data[some].astype(np.int64) - 128
+            coefficients = data[some].astype(np.int32) - 128
             for s, (scan, *_) in enumerate(_SCANS):
                 coded = scan(coefficients)
                 for f, piece in zip(np.unique(files).tolist(), _segments(*coded, files)):
@@ -305,6 +305,8 @@ class _File:
             k = components[0]
             _, h, v, _ = self.parts[k]
             cols, rows = -(-(-(-self.width * h // self.h)) // 8), -(-(-(-self.height * v // self.v)) // 8)
+            if cols == self.grids[k][1]:
+                return np.arange(self.firsts[k], self.firsts[k] + rows * cols), 1
             return (self.firsts[k] + np.arange(rows)[:, None] * self.grids[k][1] + np.arange(cols)).ravel(), 1
         my, mx = np.divmod(np.arange(self.units[0] * self.units[1]), self.units[0])
         each = []
@@ -315,6 +317,12 @@ class _File:
                     each.append(self.firsts[k] + (my * v + y) * self.grids[k][1] + mx * h + x)
         return np.stack(each, 1).ravel(), len(each)
 
+    def slots(self, components: tuple[int, ...]) -> list[int]:
+        """The component (by its place in the scan) of each block of a unit."""
+        if len(components) == 1:
+            return [0]
+        return [place for place, c in enumerate(components) for _ in range(self.parts[c][1] * self.parts[c][2])]
+
 
 class _Bits:
     """Readers at many places of one byte array; codes and extra bits are looked at 32 bits at a time."""
@@ -432,20 +440,19 @@ def _run_scans(group: list[tuple[_File, int, tuple]], coef: np.ndarray, pick) ->
     starts = np.sort(np.concatenate((np.cumsum(sizes) - sizes, mark + 2)))
     begin = kept[starts] * 8
     bits = _Bits(raw[keep])
-    order, count, per = [], [], []
+    order, count = [], []
     for f, base, (components, _, restart, *_) in group:
         blocks, unit = f.order(components)
         each = restart * unit if restart else len(blocks)
         order.append(blocks + base)
         lanes = -(-len(blocks) // each)
         count += [each] * (lanes - 1) + [len(blocks) - each * (lanes - 1)]
-        per.append(np.tile([components.index(c) for c in components for _ in range(1 if len(components) == 1 else f.parts[c][1] * f.parts[c][2])], 1))
     order, count = np.concatenate(order), np.array(count)
     head = np.cumsum(count) - count
     if len(begin) != len(count):
         raise ValueError("restart intervals are missing")
     luts = [_lookup(t) if t else None for t in scan[4]]
-    slots = per[0]
+    slots = group[0][0].slots(group[0][2][0])
     for a in range(0, len(count), LANES_AT_ONCE):
         at, n, first = begin[a : a + LANES_AT_ONCE], count[a : a + LANES_AT_ONCE], head[a : a + LANES_AT_ONCE]
         state = np.zeros((len(luts), len(at)), np.int64)
@@ -465,14 +472,15 @@ def _run_scans(group: list[tuple[_File, int, tuple]], coef: np.ndarray, pick) ->
 
 
 _BASIS = np.array([[np.cos((2 * x + 1) * u * np.pi / 16) * (np.sqrt(0.125) if u == 0 else 0.5) for x in range(8)] for u in range(8)])
-_FIXED = np.rint(_BASIS * 2048).astype(np.int32)
+_FIXED = np.rint(_BASIS * 2048)
 
 
 def inverse_transform(coef: np.ndarray) -> np.ndarray:
     """Samples (0..255) of dequantised blocks in row-major order, in integer arithmetic."""
     n = len(coef)
-    rows = (coef.astype(np.int32).reshape(n * 8, 8) @ _FIXED + 128) >> 8
-    columns = rows.reshape(n, 8, 8).transpose(0, 2, 1).reshape(n * 8, 8) @ _FIXED
+    # sums stay below 2**53, so that products of doubles are exact
+    rows = np.floor((coef.reshape(n * 8, 8).astype(np.float64) @ _FIXED + 128) / 256)
+    columns = (rows.reshape(n, 8, 8).transpose(0, 2, 1).reshape(n * 8, 8) @ _FIXED).astype(np.int64)
     return np.clip(((columns + (1 << 13)) >> 14) + 128, 0, 255).astype(np.uint8).reshape(n, 8, 8).transpose(0, 2, 1)
 
 
@@ -489,14 +497,19 @@ def decode_many(files: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, bytes]
                 groups.setdefault((f.scans[k][0], f.scans[k][1], layout), []).append((f, base, f.scans[k]))
         for (_, scan, _), group in groups.items():
             _run_scans(group, coef, _lane_dc if scan[0] == 0 else _lane_ac_refine if scan[2] else _lane_ac_first)
+    quant = np.concatenate([np.broadcast_to(q, (r * c, 64)) for f in read for q, (r, c) in zip(f.quant, f.grids)]) if read else coef
+    samples = np.empty((len(coef), 8, 8), np.uint8)
+    for a in range(0, len(coef), BLOCKS_AT_ONCE):
+        spread = np.empty((len(coef[a : a + BLOCKS_AT_ONCE]), 64), np.int32)
+        spread[:, ZIGZAG] = coef[a : a + BLOCKS_AT_ONCE] * quant[a : a + BLOCKS_AT_ONCE]
+        samples[a : a + BLOCKS_AT_ONCE] = inverse_transform(spread)
     out = []
     for f, base in zip(read, bases.tolist()):
         own = coef[base : base + int(f.firsts[-1])]
         planes = []
         for k, (rows, cols) in enumerate(f.grids):
-            spread = np.zeros((rows * cols, 64), np.int32)
-            spread[:, ZIGZAG] = own[f.firsts[k] : f.firsts[k + 1]] * f.quant[k]
-            plane = inverse_transform(spread).reshape(rows, cols, 8, 8).transpose(0, 2, 1, 3).reshape(rows * 8, cols * 8)
+            blocks = samples[base + int(f.firsts[k]) : base + int(f.firsts[k + 1])]
+            plane = blocks.reshape(rows, cols, 8, 8).transpose(0, 2, 1, 3).reshape(rows * 8, cols * 8)
             _, h, v, _ = f.parts[k]
             planes.append(plane.repeat(f.v // v, 0).repeat(f.h // h, 1)[: f.height, : f.width].astype(np.int32))
         if len(planes) == 3:
