@@ -59,9 +59,11 @@ def components(links: DataFrame) -> DataFrame:
     """node and root (the smallest node reachable) for every node of links (a long, b long), written out each round, until a round
     changes nothing (after about the logarithm of the longest path).
 
-    Only minima per node meet in groups, so that a node of any degree is pre-aggregated; links pass as rows.
+    Only minima per node meet in groups, so that a node of any degree is pre-aggregated; links pass as rows.  They are written
+    first, so that Python that makes them and the Python here do not hold a worker each in the same task.
     """
-    edges = stored(links.select("a", "b").where("a <> b").mapInPandas(_forests, "a long, b long").distinct(), "edges")
+    links = stored(links.select("a", "b").where("a <> b"), "links")
+    edges = stored(links.mapInPandas(_forests, "a long, b long").distinct(), "edges")
     before = _state(edges)
     while before[0]:
         # edges point from the larger to the smaller end

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, stored
+from .common import held, small, stored
 from .components import Forest, components
 
 BANDS, ROWS, BITS, MARGIN, SEED = 48, 6, 2, 0.14, 20240131
@@ -54,9 +54,6 @@ class _Words(dict):
         return h
 
 
-_hashes = _Words()
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
@@ -68,7 +65,7 @@ def shingles(text: str | None, size: int) -> np.ndarray:
     w = words(text)
     if not w:
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_hashes.__getitem__, w), np.uint64, len(w))
+    h = np.fromiter(map(held("words", _Words).__getitem__, w), np.uint64, len(w))
     n = max(1, len(w) - size + 1)
     out = np.full(n, min(size, len(w)), np.uint64)
     for k in range(min(size, len(w))):
@@ -186,6 +183,11 @@ def spanning(near: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def shared(a: np.ndarray, b: np.ndarray) -> int:
+    """How many values two sorted sets have in common; the first may not be empty, nor the second."""
+    return int(np.count_nonzero(b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a))
+
+
 def _cluster_links(size: int, percent: int):
     """From rows sorted by unit (a cluster, or two blocks of one), verified links that connect what can be connected."""
     least = percent / 100 - MARGIN
@@ -207,11 +209,11 @@ def _cluster_links(size: int, percent: int):
                 continue
             for k in (x, y):
                 if k not in sets:
-                    sets[k] = frozenset(shingles(texts[k], size).tolist())
+                    sets[k] = shingles(texts[k], size)
             a, b = sets[x], sets[y]
             if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
                 continue
-            common = len(a & b)
+            common = shared(a, b)
             if 100 * common >= percent * (len(a) + len(b) - common):
                 forest.join(x, y)
                 out.append((int(ids[x]), int(ids[y])))
@@ -327,11 +329,20 @@ def near_copies(documents: DataFrame, size: int = 5, percent: int = 80) -> DataF
 def keep_first(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest id; columns as before.
 
-    Of rows that repeat a doc_id and its text, one stays.
+    Of rows that repeat a doc_id and its text, one stays; only such rows, and those of groups, are looked for, so that texts
+    are shuffled by key only where the keys to be found exceed the broadcast's bound.
     """
-    kept = judged(documents, size, percent).where("kept").select("doc_id", "copy").distinct()
-    same = documents["doc_id"].eqNullSafe(kept["doc_id"]) & (F.xxhash64(documents["text"]) == kept["copy"])
-    return documents.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    verdicts = stored(judged(documents, size, percent).select("doc_id", "copy", "kept"), "verdicts")
+    gone = small(verdicts.where("NOT kept").select("doc_id", "copy").distinct(), BROADCAST_ROWS)
+    repeated = verdicts.where("kept").groupBy("doc_id", "copy").agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "copy")
+    repeated = small(repeated, BROADCAST_ROWS)
+
+    def same(keys: DataFrame) -> Column:
+        return documents["doc_id"].eqNullSafe(keys["doc_id"]) & (F.xxhash64(documents["text"]) == keys["copy"])
+
+    left = documents.join(gone, same(gone), "left_anti")
+    single = left.join(repeated, same(repeated), "left_anti")
+    return single.unionByName(left.join(repeated, same(repeated), "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 #: near_copies(documents, 3, 85) by brute force: every pair that shares a shingle, then all that each document reaches.

@@ -21,6 +21,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .common import held
+
 END_ID = 2
 _WHOLE = "<\\||[\x1c-\x1f]"
 # The tokenizer's steps before its model, and its pattern on the characters that _SIMPLE allows (all
@@ -39,19 +41,18 @@ def _byte_letters() -> dict[int, str]:
     return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(256)}
 
 
-def _splits_words(path: str) -> bool:
-    """Whether the file has the steps for which words can be encoded apart."""
-    with open(path, encoding="utf-8") as f:
-        steps = json.load(f)
-    pre = (steps.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+def _splits_words(library) -> bool:
+    """Whether the tokenizer has the steps for which words can be encoded apart."""
+    normalizer, pre = (json.loads(step.__getstate__()) if step else {} for step in (library.normalizer, library.pre_tokenizer))
+    pre = pre.get("pretokenizers") or [{}]
     return (
-        (steps.get("normalizer") or {}).get("normalizers") == _NORMALIZERS
+        normalizer.get("normalizers") == _NORMALIZERS
         and len(pre) == 2
         and pre[0].get("pattern") == {"Regex": _SPLIT}
         and (pre[0].get("behavior"), pre[0].get("invert")) == ("Removed", True)
         and (pre[1].get("type"), pre[1].get("add_prefix_space"), pre[1].get("use_regex")) == ("ByteLevel", False, False)
-        and all(t["content"].startswith("<|") for t in steps.get("added_tokens", []))
-        and steps["model"]["type"] == "BPE"
+        and all(t.content.startswith("<|") for t in library.get_added_tokens_decoder().values())
+        and type(library.model).__name__ == "BPE"
     )
 
 
@@ -70,12 +71,12 @@ class Encoder:
     """Texts to ids.  Words live in two generations of at most ``most_words`` each: a full younger one becomes the older
     one, from which words that are seen again return."""
 
-    def __init__(self, path: str, most_words: int = 400_000):
+    def __init__(self, path: str, most_words: int = 150_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(path)
-        self._by_word, self._most, self._letters = _splits_words(path), most_words, _byte_letters()
+        self._by_word, self._most, self._letters = _splits_words(self._library), most_words, _byte_letters()
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
         self._tokenize = self._library.model.tokenize
@@ -156,14 +157,9 @@ def documents(batches: Iterator[pa.RecordBatch], tokens: Encoder, at_once: int =
             at = to
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """One encoder per worker process and file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    return held(("encoder", path), lambda: Encoder(path))
 
 
 def default_path() -> str:

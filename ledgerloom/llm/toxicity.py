@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import held
+
 ORDER, DECAY, COVER, TOP, RIDGE, MOST = 4, 0.5, 0.75, 1, 0.05, 1.2
 LANDMARKS, SAMPLE, LONGEST = 96, 3000, 40
 EVIDENCE, C, WEIGHT, CLEAN = 16.0, 30.0, 1000.0, 60.0
@@ -329,15 +331,9 @@ class Scorer:
         return self.model.probability(np.array([self.model.top(list(map(self.known.__getitem__, bag))) for bag in bags]).reshape(-1, TOP))
 
 
-_scorers: dict[int, Scorer] = {}
-
-
 def _scorer(shared) -> Scorer:
     """One per worker process and broadcast model."""
-    if shared.id not in _scorers:
-        _scorers.clear()
-        _scorers[shared.id] = Scorer(shared.value)
-    return _scorers[shared.id]
+    return held(("scorer", shared.id), lambda: Scorer(shared.value))
 
 
 class _Shared:
