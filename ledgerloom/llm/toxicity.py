@@ -93,7 +93,7 @@ def raw_kernel(a: list[str], b: list[str], order: int = ORDER, decay: float = DE
     return total
 
 
-def subsequence_kernel(a: list[str], b: list[str], pairs: tuple[np.ndarray, np.ndarray] | None = None, at_once: int = 8192) -> np.ndarray:
+def subsequence_kernel(a: list[str], b: list[str], pairs: tuple[np.ndarray, np.ndarray] | None = None, at_once: int = 2048) -> np.ndarray:
     """The normalised kernel of every a with every b; with pairs (positions in a and b), of those only, others 0."""
     i, j = pairs if pairs is not None else (np.repeat(np.arange(len(a)), len(b)), np.tile(np.arange(len(b)), len(a)))
     raw = np.zeros(len(i))
@@ -191,15 +191,21 @@ def variants(unit: str) -> list[str]:
     return [START + w + STOP for w in out]
 
 
-def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float, rounds: int = 30) -> np.ndarray:
+def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float, rounds: int = 30, at_once: int = 4096) -> np.ndarray:
     """Primal squared-hinge SVM by Newton steps; the last coefficient is the bias, which is hardly penalised."""
     x = np.hstack((x, np.ones((len(x), 1))))
     w, ridge = np.zeros(x.shape[1]), np.full(x.shape[1], 1.0)
     ridge[-1] = 1e-3
     active = np.ones(len(x), bool)
     for _ in range(rounds):
-        xa, wa = x[active], c * weight[active]
-        w = np.linalg.solve(np.diag(ridge) + (xa * wa[:, None]).T @ xa, (xa * (wa * y[active])[:, None]).sum(0))
+        gram, target = np.diag(ridge), np.zeros(x.shape[1])
+        rows = np.flatnonzero(active)
+        for k in range(0, len(rows), at_once):
+            some = rows[k : k + at_once]
+            xa, wa = x[some], c * weight[some]
+            gram += (xa * wa[:, None]).T @ xa
+            target += (wa * y[some]) @ xa
+        w = np.linalg.solve(gram, target)
         now = y * (x @ w) < 1
         if (now == active).all():
             break
@@ -250,10 +256,12 @@ def _choose(positive: Counter, negative: Counter, n_pos: int, n_neg: int, most:
 
 def fit(labelled: Iterable[tuple[str, int]], landmarks: int = LANDMARKS, c: float = C, rounds: int = 2) -> Model | None:
     """The model of (text, label) rows, or None where they don't tell toxic from clean.  Copies of a text count once."""
-    bags = [(units(t), int(y)) for t, y in sorted({(t or "", y) for t, y in labelled})]
+    one: dict[str, str] = {}  # a unit is held once, however many texts have it
+    bags = [(tuple(one.setdefault(u, u) for u in units(t)), int(y)) for t, y in sorted({(t or "", y) for t, y in labelled})]
     n_pos, n_neg = sum(y for _, y in bags), sum(1 - y for _, y in bags)
     if not n_pos or not n_neg:
         return None
+    one.clear()
     positive, negative = Counter(), Counter()
     for bag, y in bags:
         (positive if y else negative).update(bag)
@@ -266,6 +274,7 @@ def fit(labelled: Iterable[tuple[str, int]], landmarks: int = LANDMARKS, c: floa
     every = sorted(set(positive) | set(negative))
     where, rows = _features(every, chosen)
     near, x = [every[k] for k in where.tolist()], rows @ root
+    del rows
     number = {u: k for k, u in enumerate(near)}
     inside = [[number[u] for u in bag if u in number] for bag, _ in bags]
     clean = np.array([negative[u] for u in near], float)
@@ -283,9 +292,9 @@ def fit(labelled: Iterable[tuple[str, int]], landmarks: int = LANDMARKS, c: floa
         altered = [v for r in seen if len(near[r]) >= 6 and r in sure for v in variants(near[r])]
         got, more = _features(altered, chosen)
         own = np.array([witness[r] for r in seen], float)
-        sets = (x[seen], own / own.sum()), (more @ root, np.full(len(got), 0.5 / max(1, len(got)))), (x[held], CLEAN * np.log1p(clean[held]) / np.log1p(clean[held]).sum())
+        weights = (own / own.sum(), np.full(len(got), 0.5 / max(1, len(got))), CLEAN * np.log1p(clean[held]) / np.log1p(clean[held]).sum())
         y = np.concatenate((np.ones(len(seen) + len(got)), -np.ones(len(held))))
-        w = _svm(np.concatenate([f for f, _ in sets]), y, np.concatenate([v for _, v in sets]) * WEIGHT, c)
+        w = _svm(np.concatenate((x[seen], more @ root, x[held])), y, np.concatenate(weights) * WEIGHT, c)
         decision = x @ w[:-1] + w[-1]
     floor = float(w[-1])
     top = np.array([_top([decision[r] for r in found], floor) for found in inside])
