@@ -476,7 +476,7 @@ _FIXED = np.rint(_BASIS * 2048)
 
 
 def inverse_transform(coef: np.ndarray) -> np.ndarray:
-    """Samples (0..255) of dequantised blocks in row-major order, in integer arithmetic."""
+    """Samples (0..255) of dequantised blocks in row-major order, in whole numbers."""
     n = len(coef)
     # sums stay below 2**53, so that products of doubles are exact
     rows = np.floor((coef.reshape(n * 8, 8).astype(np.float64) @ _FIXED + 128) / 256)
