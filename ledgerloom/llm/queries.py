@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, decontaminate, grammar_store, near_copies, packing, progressive_jpeg, sanitise, style_tree, toxicity, warc
+from . import chat, decontaminate, digest_runs, filter_lattice, grammar_store, hard_negatives, near_copies, packing, progressive_jpeg, sanitise, style_tree, toxicity, warc
 from .common import table
 
 
@@ -51,6 +52,20 @@ def op10_repair_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grammar_store.read(grammar_store.write(table(spark, sf_dir, "documents")))
 
 
+def op11_digest_run_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_runs.exact_copies(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_lattice_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_lattice.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_voronoi_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(rows["vec_id"] % 7 == 0, (rows["label"] + 1) % 10).otherwise(rows["label"])
+    return hard_negatives.mine(hard_negatives.usable(rows, label), F.col("vec_id") % 50 == 0)
+
+
 QUERIES = (
     op1_string_kernel_toxicity,
     op2_prefix_target_chat,
@@ -62,6 +77,9 @@ QUERIES = (
     op8_warc_derivatives,
     op9_site_style_tree,
     op10_repair_token_store,
+    op11_digest_run_copies,
+    op12_filter_lattice_audit,
+    op13_voronoi_hard_negatives,
 )
 
 
@@ -70,4 +88,11 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_prefix_target_chat": chat.DIGEST_SQL, "op5_minhash_near_copies": near_copies.SQL, "op7_prefix_filtered_decontamination": decontaminate.SQL}
+    return {
+        "op2_prefix_target_chat": chat.DIGEST_SQL,
+        "op5_minhash_near_copies": near_copies.SQL,
+        "op7_prefix_filtered_decontamination": decontaminate.SQL,
+        "op11_digest_run_copies": digest_runs.SQL,
+        "op12_filter_lattice_audit": filter_lattice.SQL,
+        "op13_voronoi_hard_negatives": hard_negatives.SQL,
+    }
