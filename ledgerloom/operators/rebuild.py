@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import numbers
 from ledgerloom.functions import rows as R
+from ledgerloom.operators import headers
 
 # Margins of a page's body, rows that may be a header, numbers that make a page a table.
 TOP, BOTTOM, HEADER_TOP, HEADER_SHARE, HEADER_ROWS, LEAST_NUMBERS, LEAST_WIDTH = 45, 30, 180.0, 0.25, 12, 4, 4
@@ -20,22 +21,24 @@ RECOGNISED = "mineru_ocr_fallback"
 
 
 def table_lines(lines: DataFrame) -> DataFrame:
-    """lines (doc_id, page_number, line_no, y0, height, words) of each page's body that look like a table's, else all of it."""
-    words = F.filter(F.transform("words", numbers.strip), lambda w: w != "")
-    one = F.array_join("words", " ")
+    """lines (doc_id, page_number, line_no, y0, height, words) of each page's body that look like a table's, else all of it.
+
+    A section's name does, a short line of names near the top, and a line of several words with a number or a word of tables.
+    """
+    text = R.low(F.array_join("words", " "))
     number = F.exists("words", numbers.table_numeric)
-    top = (F.col("y0") <= F.least(F.lit(HEADER_TOP), F.col("height") * HEADER_SHARE)) & F.size(words).between(1, 6) & ~F.exists(words, numbers.table_numeric)
-    top = top & ~R._has(F.lower(F.array_join(words, " ")), R.NO_HEADER_LINE) & ~R.not_of_table(F.array(F.array_join(words, " "))) & F.array_join(words, " ").rlike("[A-Za-z]")
-    told = number | R.is_unit(one) | R.is_period(one) | R._has(F.lower(one), R.LINE_WORDS)
+    near_top = F.col("y0") <= F.least(F.lit(HEADER_TOP), F.col("height") * HEADER_SHARE)
+    names = text.rlike("[a-z]") & R.n_words(text).between(1, 6) & ~number & ~R.says(text, "no head line", "notice", "page number")
+    worded = (F.size("words") > 1) & (number | R.says(text, "unit", "period", "table words"))
     body = lines.where((F.col("y0") >= TOP) & (F.col("y0") <= F.col("height") - BOTTOM))
-    marked = body.withColumn("fits", R.is_section(one) | top | ((F.size("words") > 1) & told))
+    marked = body.withColumn("fits", R.says(text, "section") | (near_top & names) | worded)
     some = F.max("fits").over(W.partitionBy("doc_id", "page_number"))
     return marked.withColumn("some", some).where("fits OR NOT some").drop("fits", "some")
 
 
 def without_notices(rows: DataFrame) -> DataFrame:
     """rows without page numbers and the notices under statements."""
-    return rows.where(~R.not_of_table(F.col("cells")))
+    return rows.where(~R.tell(F.col("cells"))["notice"])
 
 
 def join_labels(rows: DataFrame) -> DataFrame:
@@ -44,7 +47,8 @@ def join_labels(rows: DataFrame) -> DataFrame:
     A row with amounts is never a label only, so no row takes part twice.
     """
     order = W.partitionBy("doc_id", "page_number").orderBy("row_idx")
-    marked = rows.withColumn("alone", R.is_label_only(F.col("cells"))).withColumn("amounts", R.has_amount(F.col("cells")))
+    told = rows.withColumn("told", R.tell(F.col("cells")))
+    marked = told.withColumn("alone", F.col("told.label_only")).withColumn("amounts", F.col("told.amounts") > 0)
     near = marked.withColumn("before", F.when(F.lag("alone").over(order), F.get(F.lag("cells").over(order), 0))).withColumn("after", F.lead("amounts").over(order))
     label = numbers.strip(F.concat_ws(" ", "before", F.coalesce(F.get("cells", 0), F.lit(""))))
     whole = F.when(F.col("before").isNotNull() & F.col("amounts"), F.concat(F.array(label), F.slice("cells", F.lit(2), F.greatest(F.size("cells") - 1, F.lit(0))))).otherwise(F.col("cells"))
@@ -57,9 +61,9 @@ def drop_repeated_headers(rows: DataFrame) -> DataFrame:
     page = W.partitionBy("doc_id", "page_number")
     first = F.min("page_number").over(W.partitionBy("doc_id"))
     nth = F.row_number().over(page.orderBy("row_idx"))
-    marked = rows.withColumn("first_page", first).withColumn("nth", nth)
-    body = F.min(F.when((F.col("nth") <= HEADER_ROWS) & R.starts_body(F.col("cells")), F.col("nth"))).over(page)
-    other = F.min(F.when(~R.repeats_header(F.col("cells")), F.col("nth"))).over(page)
+    marked = rows.withColumn("first_page", first).withColumn("nth", nth).withColumn("told", R.tell(F.col("cells")))
+    body = F.min(F.when((F.col("nth") <= HEADER_ROWS) & F.col("told.opens_body"), F.col("nth"))).over(page)
+    other = F.min(F.when(~F.col("told.repeats"), F.col("nth"))).over(page)
     cut = marked.withColumn("body", body).withColumn("other", other)
     start = F.when(F.col("body") > 1, F.col("body")).otherwise(F.coalesce("other", F.lit(1 << 30)))
     return cut.where((F.col("page_number") == F.col("first_page")) | (F.col("nth") >= start)).select(*rows.columns)
@@ -89,16 +93,26 @@ def align(rows: DataFrame) -> DataFrame:
     joined = rows.join(planned, ["doc_id", "page_number"], "left")
     narrow = F.when(F.col("helper").isNotNull() & (size == F.col("target") + 1), F.concat(F.slice("cells", F.lit(1), F.col("helper")), F.slice("cells", F.col("helper") + 2, size))).otherwise(F.col("cells"))
     out = joined.withColumn("cells", narrow)
-    short = (F.size("cells") == F.col("target") - 1) & R.misses_notes(F.col("cells"))
+    short = (F.size("cells") == F.col("target") - 1) & R.tell(F.col("cells"))["lacks_notes"]
     filled = F.when(short, F.concat(F.slice("cells", 1, 1), F.array(F.lit("")), F.slice("cells", F.lit(2), F.size("cells")))).otherwise(F.col("cells"))
     return out.withColumn("cells", filled).select(*rows.columns)
 
 
 def with_recognised(rows: DataFrame, recognised: DataFrame) -> DataFrame:
-    """Page rows, those of a page replaced by its recognised ones where there are any; method tells which they are."""
+    """Page rows, those of a page replaced by its recognised ones where there are any, their header bands merged; method tells
+    which they are."""
     pages = recognised.select("doc_id", "page_number").distinct()
     read = rows.join(pages, ["doc_id", "page_number"], "left_anti").withColumn("method", F.lit("embedded"))
-    return read.unionByName(recognised.select(*rows.columns).withColumn("method", F.lit(RECOGNISED)))
+    banded = headers.bands(recognised.select(*rows.columns))
+    return read.unionByName(banded.withColumn("method", F.lit(RECOGNISED)))
+
+
+def warned(densities: DataFrame, notes: DataFrame) -> DataFrame:
+    """doc_id and warnings (array): what was noted when pages were recognised (notes: doc_id, page_number, seq, message), in
+    order, then what the table's density gives rise to (densities: density())."""
+    noted = notes.groupBy("doc_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("page_number", "seq", "message"))), lambda n: n["message"]).alias("noted"))
+    own = F.when(F.col("warning").isNull(), F.array().cast("array<string>")).otherwise(F.array("warning"))
+    return densities.join(noted, "doc_id", "left").select("doc_id", F.concat(F.coalesce("noted", F.array().cast("array<string>")), own).alias("warnings"))
 
 
 def stacked(tables: DataFrame) -> DataFrame:

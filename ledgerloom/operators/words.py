@@ -1,31 +1,43 @@
-"""Page words to lines, column anchors and cells."""
+"""Page words to lines, column anchors, cells and rows."""
 
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import numbers
+from ledgerloom.functions import rows as R
+from ledgerloom.operators import headers, rebuild
+
 TOLERANCE, SPREAD, LEAST, MOST, BOUNDARY = 3.0, 24.0, 2, 8, 30.0
 
 
 def to_lines(words: DataFrame) -> DataFrame:
     """words with line_no: on a page, in order of height, a word opens a line if it is far from the line's mean height.
 
-    The mean moves with each word, so a page is one sequential scan; pages are bounded and independent.
+    The mean moves with each word, so a page is one sequential scan; pages are bounded and independent.  place is the word's
+    number in that scan, which breaks ties within a line.
     """
 
     def page(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.assign(band=(pdf["y0"] / TOLERANCE).round()).sort_values(["band", "x0"], kind="stable").drop(columns="band")
-        numbers, heights, line = [], [], -1
+        line_nos, heights, line = [], [], -1
         for y in pdf["y0"]:
             if not heights or abs(y - sum(heights) / len(heights)) > TOLERANCE:
                 line, heights = line + 1, []
             heights.append(y)
-            numbers.append(line)
-        return pdf.assign(line_no=numbers)[["doc_id", "page_number", "line_no", "x0", "y0", "x1", "text"]]
+            line_nos.append(line)
+        return pdf.assign(line_no=line_nos, place=range(len(pdf)))[["doc_id", "page_number", "line_no", "x0", "y0", "x1", "text", "place"]]
+
+    return words.groupBy("doc_id", "page_number").applyInPandas(page, "doc_id string, page_number int, line_no int, x0 double, y0 double, x1 double, text string, place int")
+
 
-    return words.groupBy("doc_id", "page_number").applyInPandas(page, "doc_id string, page_number int, line_no int, x0 double, y0 double, x1 double, text string")
+def gathered(lines: DataFrame) -> DataFrame:
+    """doc_id, page_number, line_no, y0 (the least of the line), parts (its words from left to right) and words (their texts)."""
+    parts = F.sort_array(F.collect_list(F.struct("x0", "place", "x1", "text")))
+    by_line = lines.groupBy("doc_id", "page_number", "line_no").agg(F.min("y0").alias("y0"), parts.alias("parts"))
+    return by_line.withColumn("words", F.col("parts.text"))
 
 
 def anchors(words: DataFrame, spread: float = SPREAD, least: int = LEAST, most: int = MOST) -> DataFrame:
@@ -48,6 +60,54 @@ def anchors(words: DataFrame, spread: float = SPREAD, least: int = LEAST, most:
     return pages.select("doc_id", "page_number", F.array_sort(F.transform(ranked, lambda c: c["mean"])).alias("anchors"))
 
 
+def number_anchors(lines: DataFrame) -> DataFrame:
+    """anchors() of the amounts and note words in lines with an amount that are no title or date; lines: gathered()."""
+    text = R.low(F.array_join("words", " "))
+    amount = F.exists("words", numbers.is_amount_token)
+    told = lines.where(amount & ~R.says(text, "dated line")).select("doc_id", "page_number", F.explode("parts").alias("w"))
+    kept = told.where(numbers.is_amount_token(F.col("w.text")) | R.says(R.low(F.col("w.text")), "anchor word"))
+    return anchors(kept.select("doc_id", "page_number", "w.x0", "w.x1"))
+
+
+def _column(a: Column, word: Column) -> Column:
+    """The column of a word among anchors a: 0 left of the first one (less a margin), else 1 + the number of midpoints passed."""
+    middle = (word["x0"] + word["x1"]) / 2
+    passed = F.size(F.filter(a, lambda x, i: (i > 0) & (middle > (F.get(a, F.greatest(i - 1, F.lit(0))) + x) / 2)))
+    return F.when(middle < F.get(a, 0) - BOUNDARY, 0).otherwise(1 + passed)
+
+
+def to_rows(lines: DataFrame, page_anchors: DataFrame) -> DataFrame:
+    """doc_id, page_number, row_idx (the line's number) and cells of the lines that have a word.
+
+    A title and a unit line (one that is no row of column headers) are one cell, as is every line of a page without anchors;
+    other words go to the columns of their places, currency marks that stand alone to none.  lines: gathered().
+    """
+    line = R.low(F.array_join("words", " "))
+    whole = R.says(line, "title") | (R.says(line, "unit") & ~F.exists("words", lambda w: R.says(R.low(w), *R.STRUCTURAL)))
+    joined = lines.join(page_anchors, ["doc_id", "page_number"], "left").withColumn("anchors", F.coalesce("anchors", F.array().cast("array<double>")))
+    words = F.transform(F.filter("parts", lambda w: ~w["text"].isin(*R.LONE_CURRENCY)), lambda w: F.struct(_column(F.col("anchors"), w).alias("col"), w["text"].alias("text")))
+
+    def cell(i: Column) -> Column:
+        mine = F.filter("placed", lambda w: w["col"] == i)
+        return numbers.strip(F.array_join(F.transform(mine, lambda w: w["text"]), " "))
+
+    cells = F.when(whole | (F.size("anchors") == 0), F.array(F.array_join("words", " "))).otherwise(F.transform(F.sequence(F.lit(0), F.size("anchors")), cell))
+    rows = joined.withColumn("placed", words).select("doc_id", "page_number", F.col("line_no").alias("row_idx"), cells.alias("cells"))
+    return rows.where(F.exists("cells", lambda c: numbers.strip(c) != ""))
+
+
+def statement_rows(words: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Page words to table rows: lines, those of a table's body, columns by the places of amounts, cells, labels put together,
+    header bands merged, labels that go on in the next row joined.
+
+    words: doc_id, page_number, x0, y0, x1, text; sizes: doc_id, page_number, height.  Pages meet only with themselves.
+    """
+    lines = gathered(to_lines(words)).join(sizes, ["doc_id", "page_number"])
+    kept = rebuild.table_lines(lines)
+    rows = to_rows(kept, number_anchors(kept))
+    return rebuild.join_labels(headers.bands(headers.join_fragments(rows)))
+
+
 def to_cells(lines: DataFrame, page_anchors: DataFrame) -> DataFrame:
     """Line cells: column 0 left of the first anchor (less a margin), else 1 + the number of midpoints passed."""
     a = F.col("anchors")

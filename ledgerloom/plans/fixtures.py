@@ -101,7 +101,7 @@ PAGE_ROWS = """(VALUES ('a', 3, 0, 'Consolidated statements of cash flows|||'),
  ('a', 4, 5, 'The accompanying notes are an integral part'), ('a', 4, 6, '- 4 -'), ('b', 1, 0, 'Notes|note'), ('b', 1, 1, 'Only words here'), ('c', 9, 0, 'Item|NOTE|2022'), ('c', 9, 1, 'Cash on hand|2|¥ 12'), ('c', 9, 2, 'Loans|3|7,000'),
  ('c', 10, 0, 'For the year ended|2022'), ('c', 10, 1, 'notes'), ('c', 11, 0, 'Further loans granted|8'), ('d', 1, 0, 'Tax and other|1|2'), ('d', 1, 1, 'Other items of the year|'), ('d', 1, 2, 'Other items of this year:|'), ('d', 1, 3, 'x|9')) AS t(doc_id, page_number, row_idx, line)"""
 
-RECOGNISED_ROWS = """(VALUES ('a', 4, 0, 0, 'Dividends|7'), ('a', 4, 0, 1, 'Fees|8'), ('a', 4, 2, 0, 'Other|9'), ('b', 2, 1, 0, 'New page|1')) AS t(doc_id, page_number, table_idx, row_idx, line)"""
+RECOGNISED_ROWS = """(VALUES ('a', 4, 0, 0, 'Dividends|7|6'), ('a', 4, 0, 1, 'Fees|8|-'), ('a', 4, 2, 0, 'Other|9'), ('b', 2, 1, 0, 'New page|1')) AS t(doc_id, page_number, table_idx, row_idx, line)"""
 
 MANIFESTS = """(VALUES ('a', '{"seen_hashes":["x","y"]}'), ('b', '{"seen_hashes":"x"}'), ('c', 'broken'), ('d', '[1]'), ('e', NULL), ('f', '{"other":1}')) AS t(company, text)"""
 

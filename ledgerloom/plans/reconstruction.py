@@ -54,19 +54,14 @@ def _is_amount(c: str) -> str:
     return f"({t} in ('-', '–') or (regexp_matches({t}, {_quoted(numbers.TOKEN)}) and {t} <> '-'))"
 
 
-def _period(c: str) -> str:
-    flat = rf"regexp_replace(regexp_replace(regexp_replace(lower({_strip(c)}), '\s+', ' ', 'g'), '\bperiod(s?)ended\b', 'period\1 ended', 'g'), '\)([0-9]{{4}}\b)', ') \1', 'g')"
-    return f"regexp_matches({flat}, {_quoted(R.PERIOD)})"
-
-
-def _unit(c: str) -> str:
-    return f"regexp_matches(lower({_strip(c)}), {_quoted(R.UNIT)})"
+def _like(c: str, *kinds: str) -> str:
+    """Whether a text is like a pattern of the kinds, white space as one blank."""
+    flat = f"regexp_replace(lower({_strip(c)}), '{numbers.SPACE}+', ' ', 'g')"
+    return f"regexp_matches({flat}, {_quoted('|'.join(v for k in kinds for v in R.values(k, 'like')))})"
 
 
 def _structural(c: str) -> str:
-    low = f"lower({_strip(c)})"
-    date = rf"regexp_matches(regexp_replace({low}, '\s+', ' ', 'g'), {_quoted(R.DATE_CELL)})"
-    return f"({_in(low, R.STRUCTURAL)} or {date} or {_period(c)} or regexp_matches({low}, {_quoted(R.YEAR_CELL)}))"
+    return f"({_in(f'lower({_strip(c)})', R.values('header cell'))} or {_like(c, 'date', 'period', 'year', 'year with unit')})"
 
 
 def _rows(spark, relation: str) -> DataFrame:
@@ -80,40 +75,41 @@ def _rows_sql(relation: str, name: str = "r") -> str:
 
 #: text, cells that are not empty, and the cells after the first
 _TEXT = f"lower({_strip("array_to_string(list_filter(cells, lambda x: x <> ''), ' ')")})"
-_NOTICE = f"({_TEXT} <> '' and (regexp_matches(translate({_TEXT}, '–—', '--'), {_quoted(R.PAGE_NUMBER)}) or {_any(_TEXT, R.BOILERPLATE)}))"
+_NOTICE = f"({_TEXT} <> '' and ({_like(_TEXT, 'page number')} or {_any(_TEXT, R.values('notice'))}))"
 _AMOUNTS = f"(len(list_filter(cells[2:], lambda c: c <> '' and {_is_amount('c')})) > 0)"
 _LABEL = f"lower({_strip('cells[1]')})"
 _ALONE = (
-    f"(len(list_filter(cells, lambda x: x <> '')) = 1 and cells[1] <> '' and not {_unit('cells[1]')} and not {_any(_LABEL, R.HEADER_WORDS)} and {_LABEL} not like '%:'"
-    rf" and not {_in(_LABEL, R.SECTIONS)} and len(regexp_split_to_array({_LABEL}, '\s+')) >= 3)"
+    f"(len(list_filter(cells, lambda x: x <> '')) = 1 and cells[1] <> '' and not {_like('cells[1]', 'unit')} and not {_any(_LABEL, R.values('header words'))} and {_LABEL} not like '%:'"
+    rf" and not {_in(_LABEL, R.values('section'))} and len(regexp_split_to_array({_LABEL}, '\s+')) >= 3)"
 )
 
 
-@_query(f"""with {_rows_sql(fixtures.ROWS)} select id, {_TEXT} as row_text, {_NOTICE} as not_of_table, {_AMOUNTS} as has_amount, coalesce({_ALONE}, false) as is_label_only, {_unit(_TEXT)} as is_unit,
- regexp_matches({_TEXT}, {_quoted(R.TITLE)}) as is_title, {_period(_TEXT)} as is_period, {_in(_TEXT, R.SECTIONS)} as is_section, {_structural('cells[1]')} as is_structural,
+@_query(f"""with {_rows_sql(fixtures.ROWS)} select id, {_TEXT} as row_text, {_NOTICE} as not_of_table, {_AMOUNTS} as has_amount, coalesce({_ALONE}, false) as is_label_only, {_like(_TEXT, 'unit')} as is_unit,
+ {_like(_TEXT, 'title')} as is_title, {_like(_TEXT, 'period')} as is_period, {_in(_TEXT, R.values('section'))} as is_section, {_structural('cells[1]')} as is_structural,
  len(list_filter(cells, lambda c: c <> '' and regexp_matches(replace(c, ',', ''), {_quoted(numbers.TABLE_NUMBER)}))) as n_numbers from r""")
 def row_predicates(spark, sf_dir) -> DataFrame:
     """What rows say by their cells."""
-    c, t = F.col("cells"), R.text(F.col("cells"))
-    return _rows(spark, fixtures.ROWS).select(
-        "id", t.alias("row_text"), R.not_of_table(c).alias("not_of_table"), R.has_amount(c).alias("has_amount"), F.coalesce(R.is_label_only(c), F.lit(False)).alias("is_label_only"), R.is_unit(t).alias("is_unit"),
-        R.is_title(t).alias("is_title"), R.is_period(t).alias("is_period"), R.is_section(t).alias("is_section"), R.is_structural(F.get(c, 0)).alias("is_structural"), numbers.numeric_cells(c).alias("n_numbers"),
+    told, text = _rows(spark, fixtures.ROWS).withColumn("told", R.tell(F.col("cells"))), F.col("told.text")
+    return told.select(
+        "id", text.alias("row_text"), F.col("told.notice").alias("not_of_table"), (F.col("told.amounts") > 0).alias("has_amount"), F.col("told.label_only").alias("is_label_only"), F.col("told.unit").alias("is_unit"),
+        F.col("told.title").alias("is_title"), F.col("told.period").alias("is_period"), R.says(text, "section").alias("is_section"), R.says(R.low(F.get("cells", 0)), *R.STRUCTURAL).alias("is_structural"), numbers.numeric_cells(F.col("cells")).alias("n_numbers"),
     )
 
 
 _LINE_CELLS = "l as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line from documents), r as (select doc_id, line, string_split(line, ' ') as cells from l)"
 
 
-@_query(f"""with {_LINE_CELLS} select doc_id, count(*) as n_lines, count(*) filter ({_NOTICE}) as n_notices, count(*) filter ({_AMOUNTS}) as n_amounts, count(*) filter ({_unit('line')}) as n_units,
- count(*) filter ({_in(f"lower({_strip('line')})", R.SECTIONS)}) as n_sections, sum(len(list_filter(cells, lambda c: c <> '' and regexp_matches(replace(c, ',', ''), {_quoted(numbers.TABLE_NUMBER)}))))::bigint as n_numbers
+@_query(f"""with {_LINE_CELLS} select doc_id, count(*) as n_lines, count(*) filter ({_NOTICE}) as n_notices, count(*) filter ({_AMOUNTS}) as n_amounts, count(*) filter ({_like('line', 'unit')}) as n_units,
+ count(*) filter ({_in(f"lower({_strip('line')})", R.values('section'))}) as n_sections, sum(len(list_filter(cells, lambda c: c <> '' and regexp_matches(replace(c, ',', ''), {_quoted(numbers.TABLE_NUMBER)}))))::bigint as n_numbers
  from r group by doc_id""")
 def document_line_kinds(spark, sf_dir) -> DataFrame:
     """The same over the lines of all documents, counted by document."""
     lines = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("line")).withColumn("cells", F.split("line", " ", -1))
-    c = F.col("cells")
-    return lines.groupBy("doc_id").agg(
-        F.count("*").alias("n_lines"), F.count_if(R.not_of_table(c)).alias("n_notices"), F.count_if(R.has_amount(c)).alias("n_amounts"), F.count_if(R.is_unit(F.col("line"))).alias("n_units"),
-        F.count_if(R.is_section(F.col("line"))).alias("n_sections"), F.sum(numbers.numeric_cells(c)).alias("n_numbers"),
+    told = lines.select("doc_id", "cells", R.low(F.col("line")).alias("line"), R.low(F.array_join(F.filter("cells", lambda c: c != ""), " ")).alias("text"))
+    notice = (F.col("text") != "") & R.says(F.col("text"), "notice", "page number")
+    return told.groupBy("doc_id").agg(
+        F.count("*").alias("n_lines"), F.count_if(notice).alias("n_notices"), F.count_if(R.amount_cells(F.col("cells")) > 0).alias("n_amounts"), F.count_if(R.says(F.col("line"), "unit")).alias("n_units"),
+        F.count_if(R.says(F.col("line"), "section")).alias("n_sections"), F.sum(numbers.numeric_cells(F.col("cells"))).alias("n_numbers"),
     )
 
 
