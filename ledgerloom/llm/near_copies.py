@@ -322,8 +322,11 @@ def judged(documents: DataFrame, size: int, percent: int) -> DataFrame:
 
 
 def near_copies(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept per document, for shingles of size words and a similarity of percent / 100."""
-    return judged(documents, size, percent).drop("copy")
+    """doc_id, n_shingles, component_id and kept per document, for shingles of size words and a similarity of percent / 100.
+
+    Each row whose doc_id is its component_id is kept, so rows that repeat that doc_id are as well; keep_first() takes one of them.
+    """
+    return judged(documents, size, percent).drop("copy").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def keep_first(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:

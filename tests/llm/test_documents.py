@@ -252,6 +252,8 @@ def test_near_copies_of_null_and_repeated_ids(spark):
     rows = [(None, other), (None, other + " end"), (None, near(1)), (3, near(2)), (7, near(3)), (7, "a text of its own here"), (8, "A text of its own here"), (None, None)]
     got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in near_copies.near_copies(frame(spark, rows), 3, 85).collect()), key=str)
     assert got == sorted(near_brute(rows, 3, 85), key=str)
+    repeated = near_copies.near_copies(frame(spark, [(5, near(1)), (5, near(2)), (7, near(3))]), 3, 85)
+    assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in repeated.collect()) == [(5, 5, True), (5, 5, True), (7, 5, False)]
     kept = [(r["doc_id"], r["text"]) for r in near_copies.keep_first(frame(spark, rows), 3, 85).collect()]
     assert len(kept) == 4 and {(3, near(2)), (7, "a text of its own here"), (None, None)} < set(kept)
     assert sum(t in (other, other + " end") for _, t in kept) == 1
