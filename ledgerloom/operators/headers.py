@@ -1,13 +1,12 @@
 """Header bands of page tables: the rows above the first amounts, put together into one header row.
 
-rows: doc_id, page_number, row_idx, cells (array<string>).  Rows of a band are few, so a band is worked on as arrays in the JVM;
-all windows and groups here are by page, or by a column of a page.
+rows: doc_id, page_number, row_idx, cells (array<string>).  A page's rows come together once, as one array, on which everything else
+is done in the JVM; a page is what a reader sees at once, so its array is small.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import numbers
@@ -67,18 +66,31 @@ def _spread(cells: Column) -> Column:
     return numbers._once(pairs, lambda p: F.transform(cells, lambda c, i: F.coalesce(F.get(p, i)["own"], F.when(i > 0, F.get(p, F.greatest(i - 1, F.lit(0)))["next"]), c)))
 
 
-def period_headers(rows: DataFrame) -> DataFrame:
-    """Rows of column headers (those of a page, in order) with each period header above the columns that it is about.
+def _padded(rows: Column) -> Column:
+    """Rows of column headers, each as wide as the widest one up to the next below it."""
+    sizes = F.transform(rows, F.size)
 
-    A row is as wide as the widest one up to the next below it.
-    """
-    order = W.partitionBy(*PAGE).orderBy("row_idx")
-    width = F.max(F.size("cells")).over(order.rowsBetween(W.unboundedPreceding, 1))
-    wide = rows.withColumn("width", width)
-    wide = wide.withColumn("cells", F.transform(F.sequence(F.lit(0), F.col("width") - 1), lambda i: _at(F.col("cells"), i)))
-    near = wide.withColumn("below", F.lead("cells").over(order))
-    moved = near.withColumn("cells", F.when(F.col("below").isNull(), F.col("cells")).otherwise(_out_of_notes(F.col("cells"), F.col("below"))))
-    return moved.withColumn("cells", _spread(F.col("cells"))).drop("width", "below")
+    def pad(cells: Column, i: Column) -> Column:
+        width = F.array_max(F.slice(sizes, F.lit(1), i + 2))
+        return F.transform(F.sequence(F.lit(0), width - 1), lambda c: _at(cells, c))
+
+    return F.transform(rows, pad)
+
+
+def _period_rows(rows: Column) -> Column:
+    """Rows of column headers (those of a page, in order) with each period header above the columns that it is about."""
+
+    def settle(padded: Column) -> Column:
+        moved = F.transform(padded, lambda cells, i: F.when(i + 1 < F.size(padded), _out_of_notes(cells, F.get(padded, i + 1))).otherwise(cells))
+        return F.transform(moved, _spread)
+
+    return numbers._once(_padded(rows), settle)
+
+
+def period_headers(rows: DataFrame) -> DataFrame:
+    """rows, being column headers, with each period header above the columns that it is about."""
+    pages = rows.groupBy(*PAGE).agg(F.sort_array(F.collect_list(F.struct("row_idx", "cells"))).alias("rows"))
+    return pages.select(*PAGE, F.inline(F.arrays_zip(F.col("rows.row_idx").alias("row_idx"), _period_rows(F.col("rows.cells")).alias("cells"))))
 
 
 def _clean(c: Column) -> Column:
@@ -88,61 +100,54 @@ def _clean(c: Column) -> Column:
     return F.regexp_replace(c, r"\)(?=[0-9]{4}\b)", ") ")
 
 
-def _stack(parts: Column) -> Column:
-    """The cells of a column from top to bottom as one cell: line by line, but the parts of a date in one line."""
+def _stack(rows: Column) -> Column:
+    """Rows as one: the cells of a column from top to bottom, line by line, but the parts of a date in one line."""
 
     def add(so_far: Column, cell: Column) -> Column:
         line = numbers.squeeze(F.concat_ws(" ", so_far, cell))
         return F.when(so_far == "", _clean(cell)).when(R.says(F.lower(line), "date"), line).otherwise(F.concat(so_far, F.lit("\n"), _clean(cell)))
 
-    return F.aggregate(parts, F.lit(""), add)
-
+    def column(i: Column) -> Column:
+        return F.aggregate(F.filter(F.transform(rows, lambda r: _at(r, i)), lambda c: c != ""), F.lit(""), add)
 
-def _stacked(columns: DataFrame) -> DataFrame:
-    """One row per page: the cells of its rows of column headers, stacked by column, in the place of the first of them."""
-    widths = columns.groupBy(*PAGE).agg(F.max(F.size("cells")).alias("width"), F.min("row_idx").alias("row_idx"))
-    each = columns.select(*PAGE, "row_idx", F.posexplode("cells").alias("col", "cell")).where("cell <> ''")
-    cells = each.groupBy(*PAGE, "col").agg(_stack(F.transform(F.sort_array(F.collect_list(F.struct("row_idx", "cell"))), lambda x: x["cell"])).alias("cell"))
-    found = cells.groupBy(*PAGE).agg(F.map_from_entries(F.collect_list(F.struct("col", "cell"))).alias("found"))
-    filled = F.transform(F.sequence(F.lit(0), F.col("width") - 1), lambda i: F.coalesce(F.try_element_at("found", i), F.lit("")))
-    return widths.join(found, PAGE).select(*PAGE, "row_idx", filled.alias("cells"))
+    return F.transform(F.sequence(F.lit(0), F.array_max(F.transform(rows, F.size)) - 1), column)
 
 
-def zones(rows: DataFrame) -> DataFrame:
-    """rows with told and zone: empty, leading, column or section within the band above a page's first amounts, else body.
+def _judged(rows: DataFrame) -> DataFrame:
+    """One row per page: rows, its rows in order, each with what a band needs to know of it.
 
-    The first amounts are two in one row whose label is no header's; a row of column headers has none.
+    amounts: two or more in a row that is no header, by its label or by all its cells; kind: empty, context, section, label or column.
     """
-    page = W.partitionBy(*PAGE)
-    told = rows.withColumn("told", R.tell(F.col("cells"))).withColumn("nth", F.row_number().over(page.orderBy("row_idx")) - 1)
+    told = rows.withColumn("told", R.tell(F.col("cells")))
+    context = R.says(F.col("told.text"), "context")
+    label = (F.col("told.full") == 1) & (_at(F.col("cells"), F.lit(0)) != "")
+    kind = F.when(F.col("told.full") == 0, "empty").when(context, "context").when(F.col("told.section"), "section").when(label, "label").otherwise("column")
     amounts = ~F.col("told.columns") & (F.col("told.amounts") >= LEAST_AMOUNTS) & ~R.says(F.col("told.first"), "header words")
-    n = F.count("*").over(page)
-    band = F.coalesce(F.min(F.when(amounts, F.col("nth"))).over(page), F.least(n, F.lit(BAND_WITHOUT_AMOUNTS)))
-    judged = told.withColumn("n", n).withColumn("band", band)
-    judged = judged.withColumn("in_band", (F.col("n") >= LEAST_ROWS) & (F.col("band") >= LEAST_BAND) & (F.col("nth") < F.col("band")))
-    # a band of empty rows is none
-    some = F.max(F.col("in_band") & (F.col("told.full") > 0)).over(page)
-    first = F.coalesce(F.get("cells", 0), F.lit("")) != ""
-    leading = R.says(F.col("told.text"), "context") | ((F.col("told.full") == 1) & first & ~F.col("told.section"))
-    zone = F.when(~F.col("in_band") | ~some, "body").when(F.col("told.full") == 0, "empty").when(F.col("told.section") & ~R.says(F.col("told.text"), "context"), "section").when(leading, "leading").otherwise("column")
-    return judged.withColumn("zone", zone).drop("nth", "n", "band", "in_band")
+    row = F.struct("row_idx", "cells", kind.alias("kind"), amounts.alias("amounts"))
+    return told.groupBy(*PAGE).agg(F.sort_array(F.collect_list(row)).alias("rows"))
 
 
 def bands(rows: DataFrame) -> DataFrame:
-    """rows, the band of each page as its leading rows, one row of stacked column headers, and its section rows.
+    """rows, the band of each page (its rows above the first amounts) as its leading rows, one row of stacked column headers, and its
+    section rows.
 
     Where a column is headed by a name, the rows of column headers are left one below the other.  Rows are numbered anew from 0.
     """
-    by_zone = zones(rows)
-    text = F.array_join(F.filter("cells", lambda c: c.isNotNull() & (c != "")), " ")
-    context = (F.col("zone") == "leading") & R.says(F.col("told.text"), "context")
-    plain = by_zone.where("zone IN ('leading', 'section', 'body')")
-    plain = plain.select(*PAGE, "row_idx", "zone", F.when(context, F.array(text)).otherwise(F.col("cells")).alias("cells"))
-    columns = period_headers(by_zone.where("zone = 'column'").select(*PAGE, "row_idx", "cells"))
-    named = F.exists(F.transform("cells", lambda c, i: (i > 0) & c.rlike("[A-Za-z]") & ~R.says(R.low(c), *R.STRUCTURAL)), lambda x: x)
-    columns = columns.withColumn("named", F.max(named).over(W.partitionBy(*PAGE)))
-    merged = _stacked(columns.where("NOT named")).unionByName(columns.where("named").drop("named"))
-    every = plain.unionByName(merged.withColumn("zone", F.lit("column")))
-    place = F.element_at(F.create_map(*[F.lit(x) for x in ("leading", 0, "column", 1, "section", 2, "body", 3)]), F.col("zone"))
-    number = F.row_number().over(W.partitionBy(*PAGE).orderBy(place, "row_idx")) - 1
-    return every.select(*PAGE, number.alias("row_idx"), "cells")
+    pages = _judged(rows)
+    first = F.array_position(F.transform("rows", lambda r: r["amounts"]), True).cast("int") - 1
+    size = F.size("rows")
+    height = F.when(first >= 0, first).otherwise(F.least(size, F.lit(BAND_WITHOUT_AMOUNTS)))
+    above = F.slice("rows", F.lit(1), F.col("height"))
+    some = F.exists(above, lambda r: r["kind"] != "empty")
+    pages = pages.withColumn("height", height).withColumn("height", F.when((size >= LEAST_ROWS) & (F.col("height") >= LEAST_BAND) & some, F.col("height")).otherwise(0))
+    pages = pages.withColumn("band", above)
+    cells = lambda keep: F.transform(F.filter("band", keep), lambda r: r["cells"])
+    whole = lambda r: F.array(F.array_join(F.filter(r["cells"], lambda c: c != ""), " "))
+    leading = F.transform(F.filter("band", lambda r: r["kind"].isin("context", "label")), lambda r: F.when(r["kind"] == "context", whole(r)).otherwise(r["cells"]))
+    columns = numbers._once(cells(lambda r: r["kind"] == "column"), lambda c: F.when(F.size(c) > 0, _period_rows(c)).otherwise(c))
+    pages = pages.select(*PAGE, "rows", "height", leading.alias("leading"), columns.alias("columns"), cells(lambda r: r["kind"] == "section").alias("sections"))
+    name = lambda c, i: (i > 0) & c.rlike("[A-Za-z]") & ~R.says(R.low(c), *R.STRUCTURAL)
+    named = F.exists("columns", lambda r: F.exists(F.transform(r, name), lambda x: x))
+    stacked = F.when((F.size("columns") == 0) | named, F.col("columns")).otherwise(F.array(_stack(F.col("columns"))))
+    below = F.transform(F.slice("rows", F.col("height") + 1, F.size("rows")), lambda r: r["cells"])
+    return pages.select(*PAGE, F.posexplode(F.concat("leading", stacked, "sections", below)).alias("row_idx", "cells"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,11 +25,25 @@ def facts(statements: DataFrame) -> DataFrame:
     return keyed.withColumn("key", F.concat("base", F.lit("#"), nth)).drop("base")
 
 
-def in_order(cells: DataFrame) -> DataFrame:
-    """cells with seq, the place of their report: reports go by their latest period, then by lower-case name."""
-    latest = F.max(periods.sort_key(periods.parse(F.col("period")))).over(W.partitionBy("company", "workbook"))
+def reports_in_order(cells: DataFrame, strict: bool = False) -> DataFrame:
+    """company, workbook, latest (its latest period) and seq, its place: reports go by their latest period, then by lower-case
+    name.  With strict, a report without any period is an error.
+
+    Periods are read once for each that a report has, and only reports are put in order.
+    """
+    seen = cells.select("company", "workbook", "period").distinct()
+    latest = F.max(periods.sort_key(periods.parse(F.col("period"))))
+    reports = seen.groupBy("company", "workbook").agg(latest.alias("latest"))
+    if strict:
+        wrong = F.concat(F.col("workbook").cast("string"), F.lit(" has no annual or quarterly period"))
+        reports = reports.withColumn("latest", F.when(F.col("latest")["year"].isNull(), F.raise_error(wrong)).otherwise(F.col("latest")))
     name = F.lower(F.col("workbook").cast("string"))
-    return cells.withColumn("latest", latest).withColumn("seq", F.dense_rank().over(W.partitionBy("company").orderBy("latest", name, "workbook"))).drop("latest")
+    return reports.withColumn("seq", F.dense_rank().over(W.partitionBy("company").orderBy("latest", name, "workbook")))
+
+
+def in_order(cells: DataFrame, strict: bool = False) -> DataFrame:
+    """cells with seq, the place of their report."""
+    return cells.join(reports_in_order(cells, strict).drop("latest"), ["company", "workbook"])
 
 
 def similarity(left: str, right: str, least: float) -> float:
@@ -42,6 +56,27 @@ def _base(key: str) -> str:
     return key.rsplit("#", 1)[0]
 
 
+class _Left:
+    """The keys of a report that no master row has taken, by the length of what is compared."""
+
+    def __init__(self, keys: list[str]):
+        self.by_length: dict[int, dict[int, str]] = {}
+        for i, key in enumerate(keys):
+            base = _base(key)
+            self.by_length.setdefault(len(base), {})[i] = base
+
+    def drop(self, i: int, key: str) -> None:
+        self.by_length[len(_base(key))].pop(i, None)
+
+    def most_like(self, base: str, threshold: float) -> int | None:
+        """The most similar key, the first of equals; only lengths at which the ratio can reach the threshold are looked at."""
+        best, n = (0.0, 0), len(base)
+        for m, keys in self.by_length.items():
+            if 2 * min(n, m) >= threshold * (n + m) - 1e-9:
+                best = max([best, *((similarity(base, other, threshold), -i) for i, other in keys.items())])
+        return -best[1] if best[0] >= threshold else None
+
+
 def resolve(sheets: list[list[str]], threshold: float = THRESHOLD) -> list[tuple[int, str, str, int]]:
     """(report, key, master key, master row) of a statement's keys, report by report, each in sheet order.
 
@@ -50,15 +85,15 @@ def resolve(sheets: list[list[str]], threshold: float = THRESHOLD) -> list[tuple
     """
     master, out = [], []
     for report, keys in enumerate(sheets):
-        place, taken = {k: i for i, k in enumerate(keys)}, set()
+        place, left = {k: i for i, k in enumerate(keys)}, _Left(keys)
+        taken = set()
         for row, key in enumerate(list(master)):
             i = place.get(key)
             if i is None:
-                scores = [(similarity(_base(key), _base(k), threshold), -i) for i, k in enumerate(keys) if i not in taken]
-                best = max(scores, default=(0.0, 0))
-                i = -best[1] if best[0] >= threshold else None
+                i = left.most_like(_base(key), threshold)
             if i is not None:
                 taken.add(i)
+                left.drop(i, keys[i])
                 out.append((report, keys[i], key, row))
         for i, key in enumerate(keys):
             if i not in taken:
@@ -67,46 +102,124 @@ def resolve(sheets: list[list[str]], threshold: float = THRESHOLD) -> list[tuple
     return out
 
 
-_CELLS = "company string, sheet string, workbook string, seq int, label string, period string, raw_text string, key string, position int"
-
+def closest_order(reports: list[list[str]]) -> list[str]:
+    """The keys of all reports (oldest first, each in its own order) in the order of the latest one.
 
-def with_rows(cells: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Ordered cells with the key and position of the master row that each belongs to.
-
-    One statement of one company (its labels and cells over all reports) is one group: it is what a person reads as one
-    table, and the order in which reports are folded into it matters.
+    Keys that only earlier reports have are put in report by report, the later ones first: a key goes next to the nearest key of its
+    report that is placed already, behind one before it or before one behind it (ties: behind); with no such key, to the end.
+    """
+    order: list[str] = []
+    for keys in reversed(reports):
+        placed = set(order)
+        known = [i for i, k in enumerate(keys) if k in placed]
+        if not known:
+            order += [k for k in dict.fromkeys(keys) if k not in placed]
+            continue
+        behind: dict[str, list[str]] = {}
+        before: dict[str, list[str]] = {}
+        at = 0
+        for i, key in enumerate(keys):
+            if key in placed:
+                continue
+            while at + 1 < len(known) and known[at + 1] < i:
+                at += 1
+            last = known[at] if known[at] < i else None
+            after = known[at + 1 if last is not None else at] if (last is None or at + 1 < len(known)) else None
+            if last is not None and (after is None or i - last <= after - i):
+                behind.setdefault(keys[last], []).append(key)
+            else:
+                before.setdefault(keys[after], []).append(key)
+            placed.add(key)
+        order = [x for k in order for x in (*before.get(k, ()), k, *behind.get(k, ()))]
+    return order
+
+
+def master_rows(cells: DataFrame, threshold: float = THRESHOLD, order: str = "first") -> DataFrame:
+    """company, sheet, seq and key of ordered cells, the key of the master row that each belongs to (master) and its position.
+
+    Only keys reach Python: those of one statement of one company over all reports are one group, as the order in which reports
+    are folded matters.  order: "first", rows as reports bring them in, or "latest", as in the latest report (closest_order).
     """
 
     def statement(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf[["seq", "row_idx", "key"]].drop_duplicates(["seq", "key"]).sort_values(["seq", "row_idx"], kind="stable")
-        reports = [(s, g["key"].tolist()) for s, g in rows.groupby("seq", sort=True)]
-        found = pd.DataFrame(resolve([k for _, k in reports], threshold), columns=["report", "key", "master", "position"])
-        found["seq"] = found["report"].map(dict(enumerate(s for s, _ in reports)))
-        placed = pdf.merge(found, on=["seq", "key"]).drop(columns="key").rename(columns={"master": "key"})
-        return placed[[c.split()[0] for c in _CELLS.split(", ")]]
+        rows = pdf.sort_values(["seq", "row_idx"], kind="stable")
+        numbers_, sheets = zip(*((s, g["key"].tolist()) for s, g in rows.groupby("seq", sort=True)))
+        found = pd.DataFrame(resolve(list(sheets), threshold), columns=["report", "key", "master", "position"])
+        if order == "latest":
+            place = {k: [] for k in range(len(sheets))}
+            by_key = {(r, k): m for r, k, m in zip(found["report"], found["key"], found["master"])}
+            for r, keys in enumerate(sheets):
+                place[r] = [by_key[r, k] for k in keys if (r, k) in by_key]
+            position = {k: i for i, k in enumerate(closest_order(list(place.values())))}
+            found["position"] = found["master"].map(position)
+        out = found.assign(seq=[numbers_[r] for r in found["report"]], company=pdf["company"].iloc[0], sheet=pdf["sheet"].iloc[0])
+        return out[["company", "sheet", "seq", "key", "master", "position"]]
+
+    keys = cells.groupBy("company", "sheet", "seq", "key").agg(F.min("row_idx").alias("row_idx"))
+    return keys.groupBy("company", "sheet").applyInPandas(statement, "company string, sheet string, seq int, key string, master string, position int")
+
+
+def with_rows(cells: DataFrame, threshold: float = THRESHOLD, order: str = "first") -> DataFrame:
+    """Ordered cells with the key and position of the master row that each belongs to."""
+    placed = master_rows(cells, threshold, order)
+    joined = cells.join(placed, ["company", "sheet", "seq", "key"])
+    return joined.drop("key").withColumnRenamed("master", "key")
 
-    texts = cells.select("company", "sheet", F.col("workbook").cast("string").alias("workbook"), "seq", "row_idx", "label", "period", "raw_text", "key")
-    return texts.groupBy("company", "sheet").applyInPandas(statement, _CELLS)
 
+def _since(cells: DataFrame) -> Column:
+    """Where a report first shows a period: its seq, then the column, where cells have one."""
+    return F.min(F.struct("seq", (F.col("col_idx") if "col_idx" in cells.columns else F.lit(0)).alias("col_idx")))
 
-def merged(cells: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """company, sheet, key, position, label, period, value and workbook: of each master row and period, the value of the
-    latest report that has it, null values too; the label is the latest one of the row.
 
-    cells: facts().
+def merged(cells: DataFrame, threshold: float = THRESHOLD, order: str = "first", strict: bool = False) -> DataFrame:
+    """company, sheet, key, position, label, period, since, value and workbook: of each master row and period, the value of the
+    latest report that has it, null values too; the label is the latest one of the row, since where its statement first shows the period.
+
+    cells: facts(); order as in master_rows, strict as in reports_in_order.
     """
     by = ["company", "sheet", "key", "position"]
-    rows = with_rows(in_order(cells), threshold)
-    latest = rows.groupBy(*by, "period").agg(F.max_by(F.struct("raw_text", "workbook"), "seq").alias("last"), F.max(F.struct("seq", "label")).alias("named"))
+    ordered = in_order(cells, strict)
+    rows = with_rows(ordered, threshold, order)
+    shown = ordered.groupBy("company", "sheet", "period").agg(_since(ordered).alias("since"))
+    last = F.max_by(F.struct("raw_text", F.col("workbook").cast("string").alias("workbook")), "seq")
+    latest = rows.groupBy(*by, "period").agg(last.alias("last"), F.max(F.struct("seq", "label")).alias("named"))
     label = F.max("named").over(W.partitionBy(*by))["label"]
-    return latest.select(*by, label.alias("label"), "period", numbers.amount(F.col("last.raw_text")).alias("value"), F.col("last.workbook").alias("workbook"))
+    told = latest.select(*by, label.alias("label"), "period", numbers.amount(F.col("last.raw_text")).alias("value"), F.col("last.workbook").alias("workbook"))
+    return told.join(shown, ["company", "sheet", "period"]).select(*by, "label", "period", "since", "value", "workbook")
 
 
 def ordered_periods(cells: DataFrame) -> DataFrame:
-    """company, sheet, period and place: annual periods first, then quarters, each in order; equal ones as their labels."""
+    """company, sheet, period and place: annual periods first, then quarters, each in order; equal ones as they were first
+    seen (since, where cells have it), then by their labels."""
     p = periods.parse(F.col("period"))
-    seen = cells.select("company", "sheet", "period").distinct().select("*", F.coalesce((p["kind"] == "quarter").cast("int"), F.lit(2)).alias("kind"), periods.sort_key(p).alias("at"))
-    return seen.select("company", "sheet", "period", F.row_number().over(W.partitionBy("company", "sheet").orderBy("kind", "at", "period")).alias("place"))
+    since = F.min("since") if "since" in cells.columns else F.min(F.lit(0))
+    seen = cells.groupBy("company", "sheet", "period").agg(since.alias("since"))
+    seen = seen.select("*", F.coalesce((p["kind"] == "quarter").cast("int"), F.lit(2)).alias("kind"), periods.sort_key(p).alias("at"))
+    return seen.select("company", "sheet", "period", F.row_number().over(W.partitionBy("company", "sheet").orderBy("kind", "at", "since", "period")).alias("place"))
+
+
+def laid_out(merged_cells: DataFrame) -> DataFrame:
+    """company, sheet, r, c (both from 1), text and value: merged statements as their sheets show them.
+
+    Row 1 is headed Item; annual periods come first, then, if there are quarters, an empty column and the quarters.  A cell without an
+    amount is an empty text.
+    """
+    placed = ordered_periods(merged_cells).withColumn("quarter", periods.parse(F.col("period"))["kind"] == "quarter")
+    by = W.partitionBy("company", "sheet")
+    c = F.col("place") + 1 + F.coalesce(F.col("quarter"), F.lit(False)).cast("int")
+    columns = placed.select("company", "sheet", "period", c.alias("c"), F.min(F.when(F.col("quarter"), c)).over(by).alias("first_quarter"))
+    gap = columns.where("first_quarter IS NOT NULL").select("company", "sheet", (F.col("first_quarter") - 1).alias("c")).distinct()
+    none = F.lit(None).cast("decimal(28,8)")
+    heads = columns.select("company", "sheet", "c", F.col("period").alias("text")).unionByName(gap.withColumn("text", F.lit("")))
+    heads = heads.unionByName(columns.select("company", "sheet", F.lit(1).alias("c"), F.lit("Item").alias("text")).distinct())
+    heads = heads.select("company", "sheet", F.lit(1).alias("r"), "c", "text", none.alias("value"))
+    rows = merged_cells.select("company", "sheet", "key", "position", "label").distinct()
+    rows = rows.withColumn("r", F.row_number().over(by.orderBy("position", "key")) + 1)
+    amounts = densified(merged_cells).select("company", "sheet", "key", "position", "period", "value").join(rows, ["company", "sheet", "key", "position"]).join(columns, ["company", "sheet", "period"])
+    body = amounts.select("company", "sheet", "r", "c", F.when(F.col("value").isNull(), "").alias("text"), F.col("value").cast("decimal(28,8)").alias("value"))
+    gaps = rows.join(gap, ["company", "sheet"]).select("company", "sheet", "r", "c", F.lit("").alias("text"), none.alias("value"))
+    names = rows.select("company", "sheet", "r", F.lit(1).alias("c"), F.col("label").alias("text"), none.alias("value"))
+    return heads.unionByName(names).unionByName(body).unionByName(gaps)
 
 
 def with_places(merged_cells: DataFrame) -> DataFrame:

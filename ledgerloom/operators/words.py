@@ -13,38 +13,41 @@ from ledgerloom.operators import headers, rebuild
 TOLERANCE, SPREAD, LEAST, MOST, BOUNDARY = 3.0, 24.0, 2, 8, 30.0
 
 
+def _numbered(pdf: pd.DataFrame) -> pd.DataFrame:
+    """A page's words in order of height, with line_no: a word opens a line if it is far from the line's mean height."""
+    pdf = pdf.assign(band=(pdf["y0"] / TOLERANCE).round()).sort_values(["band", "x0"], kind="stable").drop(columns="band")
+    line_nos, heights, line = [], [], -1
+    for y in pdf["y0"]:
+        if not heights or abs(y - sum(heights) / len(heights)) > TOLERANCE:
+            line, heights = line + 1, []
+        heights.append(y)
+        line_nos.append(line)
+    return pdf.assign(line_no=line_nos)
+
+
 def to_lines(words: DataFrame) -> DataFrame:
-    """words with line_no: on a page, in order of height, a word opens a line if it is far from the line's mean height.
+    """words with line_no.
 
-    The mean moves with each word, so a page is one sequential scan; pages are bounded and independent.  place is the word's
-    number in that scan, which breaks ties within a line.
+    The mean of a line moves with each word, so a page is one sequential scan; pages are bounded and independent.
     """
+    columns = ["doc_id", "page_number", "line_no", "x0", "y0", "x1", "text"]
+    return words.groupBy("doc_id", "page_number").applyInPandas(lambda pdf: _numbered(pdf)[columns], "doc_id string, page_number int, line_no int, x0 double, y0 double, x1 double, text string")
 
-    def page(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.assign(band=(pdf["y0"] / TOLERANCE).round()).sort_values(["band", "x0"], kind="stable").drop(columns="band")
-        line_nos, heights, line = [], [], -1
-        for y in pdf["y0"]:
-            if not heights or abs(y - sum(heights) / len(heights)) > TOLERANCE:
-                line, heights = line + 1, []
-            heights.append(y)
-            line_nos.append(line)
-        return pdf.assign(line_no=line_nos, place=range(len(pdf)))[["doc_id", "page_number", "line_no", "x0", "y0", "x1", "text", "place"]]
-
-    return words.groupBy("doc_id", "page_number").applyInPandas(page, "doc_id string, page_number int, line_no int, x0 double, y0 double, x1 double, text string, place int")
 
+def page_lines(words: DataFrame) -> DataFrame:
+    """doc_id, page_number, line_no, y0 (the least of the line), x0, x1 and words: to_lines() with the words of a line from left to
+    right in arrays, so that a line's words need not meet again."""
 
-def gathered(lines: DataFrame) -> DataFrame:
-    """doc_id, page_number, line_no, y0 (the least of the line), parts (its words from left to right) and words (their texts)."""
-    parts = F.sort_array(F.collect_list(F.struct("x0", "place", "x1", "text")))
-    by_line = lines.groupBy("doc_id", "page_number", "line_no").agg(F.min("y0").alias("y0"), parts.alias("parts"))
-    return by_line.withColumn("words", F.col("parts.text"))
+    def page(pdf: pd.DataFrame) -> pd.DataFrame:
+        lines = _numbered(pdf).sort_values(["line_no", "x0"], kind="stable").groupby("line_no")
+        found = lines.agg(y0=("y0", "min"), x0=("x0", list), x1=("x1", list), words=("text", list)).reset_index()
+        return found.assign(doc_id=pdf["doc_id"].iloc[0], page_number=pdf["page_number"].iloc[0])[["doc_id", "page_number", "line_no", "y0", "x0", "x1", "words"]]
 
+    return words.groupBy("doc_id", "page_number").applyInPandas(page, "doc_id string, page_number int, line_no int, y0 double, x0 array<double>, x1 array<double>, words array<string>")
 
-def anchors(words: DataFrame, spread: float = SPREAD, least: int = LEAST, most: int = MOST) -> DataFrame:
-    """doc_id, page_number and the sorted column anchors of a page's words: means of clusters along x.
 
-    A fold over the page's sorted positions; a position opens a cluster if it is further than spread from the last mean.
-    """
+def _anchors(xs: Column, spread: float = SPREAD, least: int = LEAST, most: int = MOST) -> Column:
+    """Sorted positions to column anchors: means of clusters; a position opens one if it is further than spread from the last mean."""
     cluster = "struct<total:double,n:int>"
     start = F.array().cast(f"array<{cluster}>")
 
@@ -54,45 +57,53 @@ def anchors(words: DataFrame, spread: float = SPREAD, least: int = LEAST, most:
         fresh = F.concat(acc, F.array(F.struct(x.alias("total"), F.lit(1).alias("n"))))
         return F.when(F.size(acc) == 0, fresh).when(F.abs(x - last["total"] / last["n"]) > spread, fresh).otherwise(grown)
 
-    pages = words.groupBy("doc_id", "page_number").agg(F.sort_array(F.collect_list((F.col("x0") + F.col("x1")) / 2)).alias("xs"))
-    found = F.filter(F.aggregate("xs", start, step), lambda c: c["n"] >= least)
+    found = F.filter(F.aggregate(xs, start, step), lambda c: c["n"] >= least)
     ranked = F.slice(F.array_sort(F.transform(found, lambda c: F.struct((-c["n"]).alias("n"), (c["total"] / c["n"]).alias("mean")))), 1, most)
-    return pages.select("doc_id", "page_number", F.array_sort(F.transform(ranked, lambda c: c["mean"])).alias("anchors"))
+    return F.array_sort(F.transform(ranked, lambda c: c["mean"]))
+
+
+def anchors(words: DataFrame, spread: float = SPREAD, least: int = LEAST, most: int = MOST) -> DataFrame:
+    """doc_id, page_number and the sorted column anchors of a page's words."""
+    pages = words.groupBy("doc_id", "page_number").agg(F.sort_array(F.collect_list((F.col("x0") + F.col("x1")) / 2)).alias("xs"))
+    return pages.select("doc_id", "page_number", _anchors(F.col("xs"), spread, least, most).alias("anchors"))
+
+
+def _anchor_places(lines: Column) -> Column:
+    """The middles of the amounts and note words in lines (x0, x1, words) with an amount that are no title or date."""
 
+    def line(one: Column) -> Column:
+        amount = F.transform(one["words"], numbers.is_amount_token)
+        kept = F.transform(one["words"], lambda w, i: F.when(F.get(amount, i) | R.says(R.low(w), "anchor word"), (F.get(one["x0"], i) + F.get(one["x1"], i)) / 2))
+        dated = R.says(R.low(F.array_join(one["words"], " ")), "dated line")
+        return F.when(F.exists(amount, lambda x: x) & ~dated, F.filter(kept, lambda x: x.isNotNull())).otherwise(F.array().cast("array<double>"))
 
-def number_anchors(lines: DataFrame) -> DataFrame:
-    """anchors() of the amounts and note words in lines with an amount that are no title or date; lines: gathered()."""
-    text = R.low(F.array_join("words", " "))
-    amount = F.exists("words", numbers.is_amount_token)
-    told = lines.where(amount & ~R.says(text, "dated line")).select("doc_id", "page_number", F.explode("parts").alias("w"))
-    kept = told.where(numbers.is_amount_token(F.col("w.text")) | R.says(R.low(F.col("w.text")), "anchor word"))
-    return anchors(kept.select("doc_id", "page_number", "w.x0", "w.x1"))
+    return F.sort_array(F.flatten(F.transform(lines, line)))
 
 
-def _column(a: Column, word: Column) -> Column:
-    """The column of a word among anchors a: 0 left of the first one (less a margin), else 1 + the number of midpoints passed."""
-    middle = (word["x0"] + word["x1"]) / 2
+def _column(a: Column, middle: Column) -> Column:
+    """The column of a place among anchors a: 0 left of the first one (less a margin), else 1 + the number of midpoints passed."""
     passed = F.size(F.filter(a, lambda x, i: (i > 0) & (middle > (F.get(a, F.greatest(i - 1, F.lit(0))) + x) / 2)))
     return F.when(middle < F.get(a, 0) - BOUNDARY, 0).otherwise(1 + passed)
 
 
-def to_rows(lines: DataFrame, page_anchors: DataFrame) -> DataFrame:
-    """doc_id, page_number, row_idx (the line's number) and cells of the lines that have a word.
+def to_rows(lines: DataFrame) -> DataFrame:
+    """doc_id, page_number, row_idx (the line's number) and cells of the lines that have a word; lines: page_lines().
 
-    A title and a unit line (one that is no row of column headers) are one cell, as is every line of a page without anchors;
-    other words go to the columns of their places, currency marks that stand alone to none.  lines: gathered().
+    Columns are told from the places of a page's amounts.  A title and a unit line (one that is no row of column headers) are
+    one cell, as is every line of a page without columns; other words go to the columns of their places, currency marks that stand
+    alone to none.  A page's lines meet once, as one array.
     """
+    pages = lines.groupBy("doc_id", "page_number").agg(F.sort_array(F.collect_list(F.struct("line_no", "x0", "x1", "words"))).alias("lines"))
+    each = pages.withColumn("anchors", _anchors(_anchor_places(F.col("lines")))).select("doc_id", "page_number", "anchors", F.inline("lines"))
     line = R.low(F.array_join("words", " "))
     whole = R.says(line, "title") | (R.says(line, "unit") & ~F.exists("words", lambda w: R.says(R.low(w), *R.STRUCTURAL)))
-    joined = lines.join(page_anchors, ["doc_id", "page_number"], "left").withColumn("anchors", F.coalesce("anchors", F.array().cast("array<double>")))
-    words = F.transform(F.filter("parts", lambda w: ~w["text"].isin(*R.LONE_CURRENCY)), lambda w: F.struct(_column(F.col("anchors"), w).alias("col"), w["text"].alias("text")))
+    place = lambda w, i: F.when(~w.isin(*R.LONE_CURRENCY), _column(F.col("anchors"), (F.get("x0", i) + F.get("x1", i)) / 2))
 
     def cell(i: Column) -> Column:
-        mine = F.filter("placed", lambda w: w["col"] == i)
-        return numbers.strip(F.array_join(F.transform(mine, lambda w: w["text"]), " "))
+        return numbers.strip(F.array_join(F.filter("words", lambda w, k: F.coalesce(F.get("place", k) == i, F.lit(False))), " "))
 
     cells = F.when(whole | (F.size("anchors") == 0), F.array(F.array_join("words", " "))).otherwise(F.transform(F.sequence(F.lit(0), F.size("anchors")), cell))
-    rows = joined.withColumn("placed", words).select("doc_id", "page_number", F.col("line_no").alias("row_idx"), cells.alias("cells"))
+    rows = each.withColumn("place", F.transform("words", place)).select("doc_id", "page_number", F.col("line_no").alias("row_idx"), cells.alias("cells"))
     return rows.where(F.exists("cells", lambda c: numbers.strip(c) != ""))
 
 
@@ -100,12 +111,12 @@ def statement_rows(words: DataFrame, sizes: DataFrame) -> DataFrame:
     """Page words to table rows: lines, those of a table's body, columns by the places of amounts, cells, labels put together,
     header bands merged, labels that go on in the next row joined.
 
-    words: doc_id, page_number, x0, y0, x1, text; sizes: doc_id, page_number, height.  Pages meet only with themselves.
+    words: doc_id, page_number, x0, y0, x1, text; sizes: doc_id, page_number, height.  Pages meet only with themselves: once to be cut into
+    lines, and once for all that follows.
     """
-    lines = gathered(to_lines(words)).join(sizes, ["doc_id", "page_number"])
-    kept = rebuild.table_lines(lines)
-    rows = to_rows(kept, number_anchors(kept))
-    return rebuild.join_labels(headers.bands(headers.join_fragments(rows)))
+    lines = page_lines(words).join(sizes, ["doc_id", "page_number"])
+    rows = headers.join_fragments(to_rows(rebuild.table_lines(lines)))
+    return rebuild.join_labels(headers.bands(rows))
 
 
 def to_cells(lines: DataFrame, page_anchors: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import labels, numbers, periods
 from ledgerloom.operators import locate, merge, reconcile, registry, reports, sheets, words
-from ledgerloom.plans import fixtures, reconstruction
+from ledgerloom.plans import fixtures, pages, reconstruction
 from ledgerloom.sources import markup_tables
 from ledgerloom.sources.star import STATEMENTS_SQL, statements, table, values
 
@@ -28,11 +28,11 @@ def _query(sql: str | None = None):
 
 
 def queries() -> dict:
-    return _QUERIES | reconstruction.QUERIES
+    return _QUERIES | reconstruction.QUERIES | pages.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return _SQL | reconstruction.SQL | {"coerced_cells": reconstruction._coerced_sql()}
+    return _SQL | reconstruction.SQL | pages.SQL | {"coerced_cells": reconstruction._coerced_sql(), "merged_fuzzy_rows": pages._merged_fuzzy_sql()}
 
 
 # --- DuckDB pieces that several queries use; a macro for each scalar rule

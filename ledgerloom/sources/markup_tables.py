@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import numbers
+
 
 class _Tables(HTMLParser):
     """Rows of (text, rowspan, colspan) of each table; a cell that is not closed is lost."""
@@ -87,17 +89,20 @@ def markdown_tables(texts: DataFrame) -> DataFrame:
     filled = F.filter(F.transform(F.split("text", "\n"), lambda x: F.trim(x)), lambda x: x != "")
     piped = lambda x: x.startswith("|") & x.endswith("|")
     first = F.array_position(F.transform("filled", piped), True).cast("int")
-    rest = F.slice("filled", F.col("first"), F.size("filled"))
+    # where no line is piped, first is 0, which slice does not take even if the row is to be dropped
+    rest = F.slice("filled", F.greatest(F.col("first"), F.lit(1)), F.size("filled"))
     length = F.coalesce(F.nullif(F.array_position(F.transform("rest", lambda x: ~piped(x)), True), F.lit(0)) - 1, F.size("rest")).cast("int")
     block = texts.withColumn("filled", filled).withColumn("first", first).where("first > 0").withColumn("rest", rest).withColumn("block", F.slice("rest", F.lit(1), length)).where(F.size("block") >= 2)
     cells = lambda x: F.transform(F.split(F.regexp_replace(x, r"^\|+|\|+$", ""), r"\|"), lambda y: F.trim(y))
     rows = block.withColumn("rows", F.transform("block", cells))
     dashes = F.forall(F.get("rows", 1), lambda y: y.rlike("^:?-{3,}:?$"))
-    kept = rows.withColumn("rows", F.when(dashes, F.concat(F.slice("rows", 1, 1), F.slice("rows", F.lit(3), F.size("rows")))).otherwise(F.col("rows")))
+    kept = rows.withColumn("rows", F.when(dashes, F.concat(F.slice("rows", 1, 1), F.slice("rows", 3, 1 << 30))).otherwise(F.col("rows")))
     return kept.select("doc_id", F.posexplode("rows").alias("row_idx", "row")).select("doc_id", "row_idx", F.posexplode("row").alias("col_idx", "text"))
 
 
-DOCUMENT = "struct<sheets:array<struct<name:string,cells:array<struct<r:int,c:int,v:string>>>>>"
+DOCUMENT = "struct<sheets:array<struct<name:string,cells:array<struct<r:int,c:int,v:string>>>>,meta:struct<notes:string>>"
+#: What the one cell of a document without sheets says, where its notes say nothing; fixed values.
+SHEET, NO_SHEETS = "Sheet1", "(empty sheets)"
 
 
 def first_object(text: Column) -> Column:
@@ -121,11 +126,17 @@ def first_object(text: Column) -> Column:
 
 
 def json_tables(texts: DataFrame) -> DataFrame:
-    """doc_id, sheet, r, c, v of table documents in models' answers; cells below row or column 1 are dropped."""
-    found = F.from_json(first_object(F.col("text")), DOCUMENT)["sheets"]
-    sheets = texts.select("doc_id", F.explode(found).alias("s"))
-    cells = sheets.select("doc_id", F.col("s.name").alias("sheet"), F.explode("s.cells").alias("x")).select("doc_id", "sheet", "x.*")
-    return cells.where("r > 0 AND c > 0")
+    """doc_id, sheet, r, c, v of table documents in models' answers; cells below row or column 1 are dropped.
+
+    A document without sheets is one cell with its notes.
+    """
+    json = first_object(F.col("text"))
+    found = texts.select("doc_id", F.from_json(json, DOCUMENT).alias("d")).where("d IS NOT NULL")
+    sheets = found.select("doc_id", F.explode("d.sheets").alias("s"))
+    cells = sheets.select("doc_id", F.coalesce(F.nullif("s.name", F.lit("")), F.lit(SHEET)).alias("sheet"), F.explode("s.cells").alias("x")).select("doc_id", "sheet", "x.*")
+    notes = F.coalesce(F.nullif(numbers.strip(F.coalesce("d.meta.notes", F.lit(""))), F.lit("")), F.lit(NO_SHEETS))
+    empty = found.where(F.coalesce(F.size("d.sheets"), F.lit(0)) <= 0).select("doc_id", F.lit(SHEET).alias("sheet"), F.lit(1).alias("r"), F.lit(1).alias("c"), notes.alias("v"))
+    return cells.where("r > 0 AND c > 0").unionByName(empty)
 
 
 #: So much of a text that is no table goes into its one cell.
@@ -138,5 +149,5 @@ def answer_tables(texts: DataFrame) -> DataFrame:
     plain = kept.where("json IS NULL").select("doc_id", "text")
     rows = markdown_tables(plain)
     grid = rows.select("doc_id", F.lit("Sheet1").alias("sheet"), (F.col("row_idx") + 1).alias("r"), (F.col("col_idx") + 1).alias("c"), F.col("text").alias("v"))
-    raw = plain.join(rows.select("doc_id").distinct(), "doc_id", "left_anti").select("doc_id", F.lit("Sheet1").alias("sheet"), F.lit(1).alias("r"), F.lit(1).alias("c"), F.substr(F.trim("text"), F.lit(1), F.lit(RAW_CHARS)).alias("v"))
+    raw = plain.join(rows.select("doc_id").distinct(), "doc_id", "left_anti").select("doc_id", F.lit("Sheet1").alias("sheet"), F.lit(1).alias("r"), F.lit(1).alias("c"), F.substr(numbers.strip(F.col("text")), F.lit(1), F.lit(RAW_CHARS)).alias("v"))
     return json_tables(kept.where("json IS NOT NULL").select("doc_id", "text")).unionByName(grid).unionByName(raw)

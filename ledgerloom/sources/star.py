@@ -72,3 +72,51 @@ statements as (
     case when year < workbook and item like 'STANDARD%' then ''
       when v < 0 then '(' || format('{:,}', cast(abs(round(v, 0)) as bigint)) || ')' else format('{:,}', cast(abs(round(v, 0)) as bigint)) end as raw_text
   from both_years)"""
+
+# --- the reports' pages
+
+#: The titles of the sheets' pages and the words under them.
+PAGE_TITLES = {"Balance Sheet": "Consolidated statements of financial position", "Income Statement": "Consolidated statements of comprehensive income", "Cash Flow Statement": "Consolidated statements of cash flows"}
+UNIT_LINE, PERIOD_LINE = "(US dollars in thousands)", "Years ended December 31"
+
+
+def page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, page_number, n, label, amounts (latest year first) and years: each report's sheets as printed pages, rows by label,
+    a dash for what is not there."""
+    cells = statements(spark, sf_dir)
+    by = ["company", "workbook", "sheet"]
+    shown = cells.groupBy(*by).agg(F.sort_array(F.collect_set("period"), False).alias("years"))
+    rows = cells.groupBy(*by, "label").agg(F.map_from_entries(F.collect_list(F.struct("period", "raw_text"))).alias("found")).join(shown, by)
+    amounts = F.transform("years", lambda y: F.coalesce(F.nullif(F.try_element_at("found", y), F.lit("")), F.lit("-")))
+    n = F.row_number().over(W.partitionBy(*by).orderBy("label"))
+    page = F.array_position(F.array(*map(F.lit, PAGE_TITLES)), F.col("sheet")).cast("int")
+    return rows.select(F.concat_ws("/", "company", "workbook").alias("doc_id"), page.alias("page_number"), n.alias("n"), "label", amounts.alias("amounts"), "years")
+
+
+def _lines(rows: DataFrame) -> DataFrame:
+    """The lines of page_rows' pages as arrays of (text, middle of its place, or null for words that follow each other from the left)."""
+    place = lambda texts: F.transform(texts, lambda t, i: F.struct(t.alias("text"), (430 + 100 * i).cast("double").alias("middle")))
+    free = lambda text: F.transform(F.split(text, " "), lambda t: F.struct(t.alias("text"), F.lit(None).cast("double").alias("middle")))
+    titles = F.element_at(F.array(*map(F.lit, PAGE_TITLES.values())), F.col("page_number"))
+    heads = rows.where("n = 1").select("doc_id", "page_number", F.posexplode(F.array(free(titles), free(F.lit(UNIT_LINE)), F.concat(F.array(F.struct(F.lit("Notes").alias("text"), F.lit(330.0).alias("middle"))), place(F.col("years"))))).alias("line", "words"))
+    body = rows.select("doc_id", "page_number", (F.col("n") + 2).alias("line"), F.concat(free(F.col("label")), place(F.col("amounts"))).alias("words"))
+    return heads.unionByName(body)
+
+
+def page_words(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The words of the reports' pages (doc_id, page_number, x0, y0, x1, text) and the pages' sizes (doc_id, page_number, height)."""
+    lines = _lines(page_rows(spark, sf_dir))
+    before = F.aggregate(F.slice("words", F.lit(1), F.col("at")), F.lit(50.0), lambda x, w: x + 6 * (F.length(w["text"]) + 1))
+    each = lines.select("doc_id", "page_number", "line", "words", F.posexplode("words").alias("at", "w")).withColumn("x0", F.coalesce(F.col("w.middle") - 3 * F.length("w.text"), before))
+    y = (60 + 20 * F.col("line")).cast("double")
+    words = each.select("doc_id", "page_number", "x0", y.alias("y0"), (F.col("x0") + 6 * F.length("w.text")).alias("x1"), F.col("w.text").alias("text"))
+    sizes = lines.groupBy("doc_id", "page_number").agg((F.max("line") * 20 + 200).cast("double").alias("height"))
+    return words, sizes
+
+
+#: page_rows in DuckDB, as lists of cells.
+PAGE_ROWS_SQL = f"""{STATEMENTS_SQL},
+years as (select company, workbook, sheet, list_sort(list(distinct period), 'desc') as years from statements group by all),
+items as (select company, workbook, sheet, label, map_from_entries(list((period, raw_text))) as found from statements group by all),
+page_rows as (select company || '/' || workbook as doc_id, case sheet when 'Balance Sheet' then 1 when 'Income Statement' then 2 else 3 end as page_number,
+  row_number() over (partition by company, workbook, sheet order by label) as n, label, years, list_transform(years, lambda y: coalesce(nullif(found[y], ''), '-')) as amounts from items join years using (company, workbook, sheet))"""
