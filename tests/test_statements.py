@@ -12,7 +12,6 @@ from ledgerloom.operators import locate, merge, reconcile, registry, sheets
 from ledgerloom.plans import fixtures
 from ledgerloom.sources.markup_tables import grid
 from ledgerloom.sources.star import values
-from ledgerloom.streaming import incremental
 
 
 def one(spark, column, *texts):
@@ -196,13 +195,3 @@ def test_registry(spark):
 def test_grid_is_rectangular(rows):
     laid = grid(rows)
     assert len({len(r) for r in laid}) <= 1 and len(laid) == len(rows)
-
-
-def test_stream_runs_once(spark, tmp_path):
-    source, target, check = (str(tmp_path / x) for x in ("in", "out", "check"))
-    schema = "sha256 string, v int"
-    for n in range(2):
-        spark.createDataFrame([("a", 1), (f"b{n}", 2)], schema).write.mode("append").parquet(source)
-        for _ in range(2):
-            incremental.run_once(incremental.reports(spark, source, schema), target, check).awaitTermination()
-    assert sorted(r["sha256"] for r in spark.read.parquet(target).collect()) == ["a", "b0", "b1"]
