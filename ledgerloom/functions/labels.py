@@ -44,7 +44,7 @@ def checked_label(label: Column) -> Column:
 
 
 def is_note(c: Column) -> Column:
-    return F.trim(c).rlike(NOTE_CELL)
+    return numbers.strip(c).rlike(NOTE_CELL)
 
 
 def lines(text: Column) -> Column:

@@ -83,8 +83,8 @@ def amount(c: Column, scale: Column | None = None) -> Column:
 
 def checked_amount(c: Column) -> Column:
     """The reading that reconciliation uses: a dash is missing, four digits are a number."""
-    text = F.trim(c)
-    bare = F.trim(F.translate(F.regexp_replace(text, r"^[()]+|[()]+$", ""), ",$₩W", ""))
+    text = strip(c)
+    bare = strip(F.translate(F.regexp_replace(text, r"^[()]+|[()]+$", ""), ",$₩W", ""))
     return F.when(bare.rlike(STRICT), _signed(text, bare))
 
 
@@ -111,7 +111,7 @@ def in_millions(c: Column) -> Column:
 
 
 def not_monetary(label: Column) -> Column:
-    return F.lower(F.trim(label)).rlike(PER_SHARE)
+    return F.lower(strip(label)).rlike(PER_SHARE)
 
 
 def is_amount_token(c: Column) -> Column:
@@ -121,7 +121,7 @@ def is_amount_token(c: Column) -> Column:
 
 
 def sheet_numeric(c: Column) -> Column:
-    return F.regexp_replace(c, "[, ]", "").rlike(SHEET_NUMBER)
+    return F.translate(strip(c), ", ", "").rlike(SHEET_NUMBER)
 
 
 def table_numeric(c: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerloom.functions import labels
+from ledgerloom.functions import labels, numbers
 
 # Scores and distances.
 CONFIGURED, TITLED, INFERRED, NOTES_PENALTY, GATE = 0.92, 0.85, 0.72, 0.35, 0.55
@@ -40,7 +40,7 @@ def hits(pages: DataFrame, keywords: DataFrame | None = None) -> DataFrame:
     found = titled.select("doc_id", "page_number", "hit.*", "line_no", (TITLED - penalty).alias("score"), F.concat(F.lit("title_match_in_page_head"), F.when(F.col("notes"), ";notes_page_penalty").otherwise("")).alias("reason"))
     found = found.withColumn("configured", F.lit(False))
     if keywords is not None:
-        low = lambda c: F.regexp_replace(F.lower(F.trim(c)), r"\s+", " ")
+        low = lambda c: F.regexp_replace(F.lower(numbers.strip(c)), f"{numbers.SPACE}+", " ")
         own = [c for c in ("company",) if c in keywords.columns and c in pages.columns]
         words = keywords.select("statement_type", F.col("keyword").alias("title"), *[F.col(c).alias(f"of_{c}") for c in own])
         rank = F.array_position(F.array(*[F.lit(k) for k in labels.TYPES]), F.col("statement_type")).cast("int") * 10

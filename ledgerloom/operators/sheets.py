@@ -18,7 +18,7 @@ def header_cells(cells: DataFrame) -> DataFrame:
 
     cells: doc_id, row_idx, col_idx (from 1), raw_text.
     """
-    text = F.trim(F.coalesce("raw_text", F.lit("")))
+    text = numbers.strip(F.coalesce("raw_text", F.lit("")))
     some = cells.withColumn("text", text).where("text <> ''")
     rows = some.where(F.col("row_idx") <= HEADER_ROWS).groupBy("doc_id", "row_idx").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("col_idx", "text"))), lambda x: x["text"]), " ").alias("line"))
     above = W.partitionBy("doc_id").orderBy("row_idx").rangeBetween(-2, 0)
@@ -34,8 +34,8 @@ def header_cells(cells: DataFrame) -> DataFrame:
 
 def with_entities(cells: DataFrame, heads: DataFrame) -> DataFrame:
     """heads with the nearest entity name above put before labels that occur twice: same column first, then leftwards."""
-    text = F.trim(F.coalesce("raw_text", F.lit("")))
-    low = F.regexp_replace(F.lower(text), r"\s+", " ")
+    text = numbers.strip(F.coalesce("raw_text", F.lit("")))
+    low = F.regexp_replace(F.lower(text), f"{numbers.SPACE}+", " ")
     period_words = low.rlike(r"\bfor\s+(each\s+of\s+)?the\b") & low.rlike(r"\b(three|six|nine|twelve)[-\s]months?\b") & low.rlike(r"\bperiods?\b")
     entity = text.rlike("[A-Za-z]") & periods.parse(text).isNull() & ~low.rlike(_TITLE) & ~period_words & ~low.isin(*UNIT_WORDS) & ~numbers.sheet_numeric(text)
     names = cells.where(entity).select("doc_id", F.col("row_idx").alias("r"), F.col("col_idx").alias("c"), text.alias("entity"))
@@ -51,7 +51,7 @@ def facts(cells: DataFrame) -> DataFrame:
     """doc_id, row_idx, label, key, period and raw_text: the first value of a period in each labelled row below the header."""
     heads = with_entities(cells, header_cells(cells))
     bounds = heads.groupBy("doc_id").agg(F.min("row_idx").alias("header"), F.min("col_idx").alias("first"))
-    text = F.trim(F.coalesce("raw_text", F.lit("")))
+    text = numbers.strip(F.coalesce("raw_text", F.lit("")))
     body = cells.withColumn("text", text).join(bounds, "doc_id").where("row_idx > header")
     period_cols = heads.select("doc_id", "col_idx", F.col("label").alias("period"))
     marked = body.join(period_cols, ["doc_id", "col_idx"], "left")

@@ -271,7 +271,7 @@ def _recon_sql() -> str:
     name = "(operating|investing|financing)"
     return rf"""with cells as (select * from {fixtures.STATEMENTS}),
 labels as (select doc_id, statement_type, row_idx, {checked('raw_text')} as label from cells where col_idx = 0),
-bare as (select c.*, label, trim(raw_text) as t, trim(translate(regexp_replace(trim(raw_text), '^[()]+|[()]+$', '', 'g'), ',$₩W', '')) as bare from cells c join labels using (doc_id, statement_type, row_idx) where col_idx > 0),
+bare as (select c.*, label, {_strip_sql('raw_text')} as t, {_strip_sql(f"translate(regexp_replace({_strip_sql('raw_text')}, '^[()]+|[()]+$', '', 'g'), ',$₩W', '')")} as bare from cells c join labels using (doc_id, statement_type, row_idx) where col_idx > 0),
 vals as (select doc_id, statement_type, row_idx, col_idx, label, case when regexp_matches(bare, '{numbers.STRICT}') then case when t like '(%' and t like '%)' then -1 else 1 end * bare::decimal(28,8) end as value from bare),
 roles as ({roles}),
 found as (select *, dense_rank() over (partition by doc_id, statement_type, role order by row_idx) as k from vals join roles using (statement_type) where regexp_matches(label, pattern)),

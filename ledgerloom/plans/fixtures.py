@@ -4,20 +4,20 @@ AMOUNTS = """(VALUES ('1,234'), ('(1,234.50)'), ('(-5)'), ('(5'), ('1234'), ('-'
  ('1,23'), ('Revenue'), (''), (NULL), ('777.9'), ('-42'), ('$1,000,000'), ('krw 7'), ('2,000 W'), ('0'), ('(0.5)'),
  ('¥ 12'), ('¥123'), ('￦7'), ('₩ 7'), ('1,234	'), ('  5,000　'), ('鈧? 3'), ('2.5 锟?'), ('� 40'), ('$ (1,000)'), ('8 usd'), ('US$ 9')) AS t(raw_text)"""
 
-HEADERS = """(VALUES (1, '(in millions of Won) Notes 2024'), (2, '(expressed in Australian dollars) Note 2025 $M 2024 $M'), (3, 'Amounts in thousands of U.S. dollars'),
+HEADERS = """(VALUES (1, '(won in millions) Note 2021'), (2, '(expressed in Singapore dollars) 2019 $M 2018 $M'), (3, 'Amounts in thousands of U.S. dollars'),
  (4, 'Expressed in Korean won'), (5, 'Amounts in billions of won'), (6, 'Note 2024 $000'), (7, 'Revenue 2024 2023'), (8, 'in thousand shares; amounts in won'), (9, 'US$ 000 2023')) AS t(id, header)"""
 
 LABELS = """(VALUES ('Basic earnings per share'), ('Revenue'), ('Weighted average number of shares'), ('Number of shares'), ('Total assets'), ('Diluted earning per unit'), ('12, 13'),
  ('12 (a)'), ('note 3'), ('Cash & cash equivalents (net)'), ('Trade – receivables'), ('  Non-current   Assets ')) AS t(label)"""
 
 PERIODS = """(VALUES ('2024'), ('FY24 3Q'), ('Q3 2024'), ('9-Month Q3 2024'), ('2023Q1'), ('September 30, 2024'), ('30 June 2025'), ('June 30, 2025'), ('December 31, 2024'), ('Mar 31 2024'),
- ('March 31, 2022'), ('For the three-month period ended September 30 (unaudited) 2024'), ('1999'), ('Note'), (''), (NULL), ('three and nine months ended September 30, 2023'), ('as at 31 March 2021'), ('9-Month Q3 2024'), ('Six months ended June 30, 2022'), ('(12-months) Sept 30 2020')) AS t(raw_text)"""
+ ('March 31, 2022'), ('For the six-month period ended June 30 (unaudited) 2021'), ('1999'), ('Note'), (''), (NULL), ('three and nine months ended September 30, 2023'), ('as at 31 March 2021'), ('9-Month Q3 2024'), ('Six months ended June 30, 2022'), ('(12-months) Sept 30 2020')) AS t(raw_text)"""
 
 #: doc_id, row_idx, col_idx (from 1), raw_text
 SHEETS = """(VALUES ('two', 1, 1, 'Consolidated statements of financial position'), ('two', 2, 2, 'Alpha'), ('two', 2, 4, 'Beta'), ('two', 3, 2, '2022'), ('two', 3, 3, '2021'), ('two', 3, 4, '2022'),
  ('two', 3, 5, '2021'), ('two', 4, 2, '$000'), ('two', 4, 3, '$000'), ('two', 4, 4, '$000'), ('two', 4, 5, '$000'), ('two', 5, 1, 'Inventories'), ('two', 5, 2, '812'), ('two', 5, 3, '640'),
- ('two', 5, 4, '95'), ('two', 5, 5, '71'), ('two', 6, 1, 'Goodwill'), ('two', 6, 2, '30'), ('two', 6, 3, '30'), ('two', 6, 4, '-'), ('two', 6, 5, '4'), ('dup', 1, 1, 'Consolidated income statements'), ('dup', 2, 1, 'For the three-month and nine-month periods ended September 30'), ('dup', 3, 2, '2023'), ('dup', 3, 3, '2023'),
- ('dup', 4, 1, 'Revenue'), ('dup', 4, 2, '100'), ('dup', 4, 3, '300'), ('dup', 5, 1, 'Revenue'), ('dup', 5, 2, '-'), ('dup', 5, 3, '4'), ('one', 1, 1, 'Item'), ('one', 1, 2, '2024'), ('one', 1, 3, '2023'), ('one', 2, 1, 'Assets & rights (net)'),
+ ('two', 5, 4, '95'), ('two', 5, 5, '71'), ('two', 6, 1, 'Goodwill'), ('two', 6, 2, '30'), ('two', 6, 3, '30'), ('two', 6, 4, '-'), ('two', 6, 5, '4'), ('twin', 1, 1, 'Consolidated income statements'), ('twin', 2, 1, 'For the three-month and six-month periods ended June 30'), ('twin', 3, 2, '2019	'), ('twin', 3, 3, ' 2019'),
+ ('twin', 4, 1, 'Sales '), ('twin', 4, 2, '58	'), ('twin', 4, 3, '131'), ('twin', 5, 1, 'Sales'), ('twin', 5, 2, '-'), ('twin', 5, 3, '4 '), ('one', 1, 1, 'Item'), ('one', 1, 2, '2024'), ('one', 1, 3, '2023'), ('one', 2, 1, 'Assets & rights (net)'),
  ('one', 2, 2, '5'), ('one', 2, 3, '(6)'), ('one', 3, 1, '(none)'), ('one', 3, 2, '1')) AS t(doc_id, row_idx, col_idx, raw_text)"""
 
 
@@ -34,7 +34,15 @@ _STATEMENTS = (
     + statement("F11", "cash_flow", [["Net cash provided by operating activities", "10"], ["Net cash used in investing activities", "(3)"], ["Net cash provided by financing activities", "2"], ["Effect of exchange rate changes", "1"], ["Net increase in cash", "10"], ["Cash and cash equivalents at beginning", "90"], ["Cash and cash equivalents at end", "100"]])
     + statement("F12", "cash_flow", [["Cash flows from investing activities", ""], *[[f"Item {k}", v] for k, v in enumerate(_INVESTING)], ["Net cash used in investing activities", "(1,286.0)"]])
     + statement("F13", "cash_flow", [["Cash flows from investing activities", ""], *[[f"Item {k}", v] for k, v in enumerate(_INVESTING) if v != "-"], ["Net cash used in investing activities", "(1,200.0)"]])
-    + statement("F14", "cash_flow", [["Cash flows from investing activities", ""], ["Purchases", "(100)"], ["Net cash used in investing activities", "(100)"], ["Net increase in cash", "50"]])
+    + statement("F14", "cash_flow", [["Cash flows from investing activities", ""], ["Land bought", "(64)"], ["Net cash used in investing activities", "(64)"], ["Net increase in cash", "31"]])
+    + statement("Q1", "balance_sheet", [["Total assets", "210\t"], ["Total liabilities and equity", "\u00a0205"]])
+    + statement("Q1b", "balance_sheet", [["Total assets", "1,210\t", "\u00a0(7)\u00a0"], ["Total liabilities and equity", "\u00a01,210", "(7)"]])
+    + statement("Q3", "balance_sheet", [["Total current assets", "50"], ["Total non-current assets", "70"], ["Total assets", "131"]])
+    + statement("Q4", "balance_sheet", [["Total current liabilities", "20"], ["Total non-current liabilities", "30"], ["Total liabilities", "44"]])
+    + statement("Q6", "cash_flow", [["Cash flows from operating activities", ""], ["Received from buyers", "90\u2003"], ["Paid out", "(20)"], ["Net cash provided by operating activities", "75"]])
+    + statement("Q8", "cash_flow", [["Cash flows from financing activities", ""], ["New loans", "40"], ["Repaid", "(15)"], ["Net cash provided by financing activities", "20"]])
+    + statement("Q9", "cash_flow", [["Net cash provided by operating activities", "10"], ["Net cash used in investing activities", "(3)"], ["Net cash provided by financing activities", "2"], ["Net increase in cash", "12"]])
+    + statement("Q10", "cash_flow", [["Net increase in cash", "5"], ["Cash and cash equivalents at beginning", "50"], ["Changes in cash classified as assets held for sale", "(2)"], ["Cash and cash equivalents at end", "60"]])
 )
 #: doc_id, statement_type, row_idx, col_idx (from 0), raw_text
 STATEMENTS = "(VALUES " + ", ".join(_STATEMENTS) + ") AS t(doc_id, statement_type, row_idx, col_idx, raw_text)"

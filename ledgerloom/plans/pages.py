@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import numbers
 from ledgerloom.operators import headers, merge, tracking, words
 from ledgerloom.sources import markup_tables
 from ledgerloom.sources.star import PAGE_ROWS_SQL, PAGE_TITLES, PERIOD_LINE, STATEMENTS_SQL, UNIT_LINE, page_rows, page_words, statements, table
@@ -61,16 +62,23 @@ def _tabular(spark, sf_dir) -> DataFrame:
     return d.withColumn("text", F.when(F.col("doc_id") % 2 == 0, F.concat("text", block)).otherwise(F.col("text")))
 
 
-_TABULAR_SQL = """d as (select doc_id, coalesce(text, '') as text, list_filter(regexp_split_to_array(coalesce(text, ''), '[^A-Za-z0-9]+'), lambda x: x <> '')[1:6] as w from documents),
+_END = "\r\n|[\n\r\x0b\f\x1c\x1d\x1e\u0085\u2028\u2029]"
+
+
+def _strip(c: str) -> str:
+    return f"regexp_replace({c}, '^{numbers.SPACE}+|{numbers.SPACE}+$', '', 'g')"
+
+
+_TABULAR_SQL = f"""d as (select doc_id, coalesce(text, '') as text, list_filter(regexp_split_to_array(coalesce(text, ''), '[^A-Za-z0-9]+'), lambda x: x <> '')[1:6] as w from documents),
 t as (select doc_id, case when doc_id % 2 = 0 then text || chr(10) || '| word | length |' || chr(10) || '|---|:---:|' || chr(10) || coalesce(array_to_string(list_transform(w, lambda x: '| ' || x || ' | ' || len(x) || ' |'), chr(10)), '') || chr(10) || 'end' else text end as text from d),
-l as (select doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> '') as l from t),
+l as (select doc_id, list_filter(list_transform(regexp_split_to_array(text, '{_END}'), lambda x: {_strip('x')}), lambda x: x <> '') as l from t),
 p as (select doc_id, unnest(l) as line, generate_subscripts(l, 1) as i from l),
 f as (select *, line like '|%' and line like '%|' as piped from p),
 s as (select doc_id, min(i) filter (piped) as first from f group by 1),
 e as (select f.doc_id, min(i) filter (not piped and i > first) as stop from f join s using (doc_id) group by 1),
 b as (select doc_id, line, i - first as k from f join s using (doc_id) join e using (doc_id) where i >= first and i < coalesce(stop, 1000000000)),
-c as (select doc_id, k, list_transform(string_split(regexp_replace(line, '^\\|+|\\|+$', '', 'g'), '|'), lambda y: trim(y)) as row, count(*) over (partition by doc_id) as n from b),
-r as (select doc_id, row, row_number() over (partition by doc_id order by k) - 1 as row_idx from c where n >= 2 and not (k = 1 and len(list_filter(row, lambda y: not regexp_matches(y, '^:?-{3,}:?$'))) = 0))"""
+c as (select doc_id, k, list_transform(string_split(regexp_replace(line, '^\\|+|\\|+$', '', 'g'), '|'), lambda y: {_strip('y')}) as row, count(*) over (partition by doc_id) as n from b),
+r as (select doc_id, row, row_number() over (partition by doc_id order by k) - 1 as row_idx from c where n >= 2 and not (k = 1 and len(list_filter(row, lambda y: not regexp_matches(y, '^:?-{{3,}}:?$'))) = 0))"""
 
 
 @_query(f"with {_TABULAR_SQL} select doc_id, row_idx, generate_subscripts(row, 1) - 1 as col_idx, unnest(row) as text from r")
@@ -80,7 +88,7 @@ def document_markdown_tables(spark, sf_dir) -> DataFrame:
 
 
 @_query(f"""with {_TABULAR_SQL} select doc_id, 'Sheet1' as sheet, row_idx + 1 as r, generate_subscripts(row, 1) as c, unnest(row) as v from r
- union all select doc_id, 'Sheet1', 1, 1, left(regexp_replace(text, '^\\s+|\\s+$', '', 'g'), {markup_tables.RAW_CHARS}) from t where doc_id not in (select doc_id from r)""")
+ union all select doc_id, 'Sheet1', 1, 1, left({_strip('text')}, {markup_tables.RAW_CHARS}) from t where doc_id not in (select doc_id from r)""")
 def document_answer_tables(spark, sf_dir) -> DataFrame:
     """Documents read as models' answers: their tables, or the whole text in one cell."""
     return markup_tables.answer_tables(_tabular(spark, sf_dir))

@@ -86,20 +86,22 @@ def table_blocks(text: Column) -> Column:
 
 def markdown_tables(texts: DataFrame) -> DataFrame:
     """doc_id, row_idx, col_idx, text of the first block of pipe lines; a second line of dashes only is no row."""
-    filled = F.filter(F.transform(F.split("text", "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    filled = F.filter(F.transform(F.split("text", LINE_END), numbers.strip), lambda x: x != "")
     piped = lambda x: x.startswith("|") & x.endswith("|")
     first = F.array_position(F.transform("filled", piped), True).cast("int")
     # where no line is piped, first is 0, which slice does not take even if the row is to be dropped
     rest = F.slice("filled", F.greatest(F.col("first"), F.lit(1)), F.size("filled"))
     length = F.coalesce(F.nullif(F.array_position(F.transform("rest", lambda x: ~piped(x)), True), F.lit(0)) - 1, F.size("rest")).cast("int")
     block = texts.withColumn("filled", filled).withColumn("first", first).where("first > 0").withColumn("rest", rest).withColumn("block", F.slice("rest", F.lit(1), length)).where(F.size("block") >= 2)
-    cells = lambda x: F.transform(F.split(F.regexp_replace(x, r"^\|+|\|+$", ""), r"\|"), lambda y: F.trim(y))
+    cells = lambda x: F.transform(F.split(F.regexp_replace(x, r"^\|+|\|+$", ""), r"\|"), numbers.strip)
     rows = block.withColumn("rows", F.transform("block", cells))
     dashes = F.forall(F.get("rows", 1), lambda y: y.rlike("^:?-{3,}:?$"))
     kept = rows.withColumn("rows", F.when(dashes, F.concat(F.slice("rows", 1, 1), F.slice("rows", 3, 1 << 30))).otherwise(F.col("rows")))
     return kept.select("doc_id", F.posexplode("rows").alias("row_idx", "row")).select("doc_id", "row_idx", F.posexplode("row").alias("col_idx", "text"))
 
 
+#: Where a line ends, as Python knows it.
+LINE_END = "\r\n|[\n\r\x0b\f\x1c\x1d\x1e\x85\u2028\u2029]"
 DOCUMENT = "struct<sheets:array<struct<name:string,cells:array<struct<r:int,c:int,v:string>>>>,meta:struct<notes:string>>"
 #: What the one cell of a document without sheets says, where its notes say nothing; fixed values.
 SHEET, NO_SHEETS = "Sheet1", "(empty sheets)"
@@ -109,7 +111,7 @@ def first_object(text: Column) -> Column:
     """The JSON that a model's answer holds: its first fenced part or all of it, or of that the first {...} whose braces
     balance; null where there is none."""
     fence = r"(?is)```(?:json)?\s*(.*?)\s*```"
-    bare = F.when(text.rlike(fence), F.trim(F.regexp_extract(text, fence, 1))).otherwise(F.trim(text))
+    bare = F.when(text.rlike(fence), numbers.strip(F.regexp_extract(text, fence, 1))).otherwise(numbers.strip(text))
     inner = F.substr(bare, F.instr(bare, F.lit("{")))
     # the k-th closing brace balances where the pieces before it hold k opening ones
     pieces = F.split(inner, "[}]", -1)
