@@ -28,6 +28,20 @@ TITLES = {
     ),
     "cash_flow": (r"\bconsolidated\s+cash\s+flow\s+statements?\b", r"\bconsolidated\s+statements?\s+of\s+cash\s+flows?\b"),
 }
+#: By what is looked for, groups of terms, of each of which a page has to have one.
+TERMS = {
+    "balance_sheet": (("current assets",), ("total assets",), ("current liabilities",), ("total liabilities",), ("equity", "net assets")),
+    "income_statement": (("revenue",), ("profit for the year", "profit for the period", "loss for the year", "loss for the period"), ("expenses", "income tax")),
+    "cash_flow": (("cash flows from operating activities",), ("cash flows from investing activities", "cash flows from financing activities", "net cash")),
+    "equity table": (
+        ("balance at 1 july", "balance at the beginning"), ("issued capital", "retained earnings", "total reserves"),
+        ("attributable to securityholders", "attributable to unitholders", "attributable to owners")),
+    "more balance_sheet": (("total assets", "total liabilities", "current assets", "non-current assets", "current liabilities", "non-current liabilities", "total equity"),),
+    "more income_statement": (("profit for the", "loss for the", "income tax", "total comprehensive income", "earnings per"),),
+    "more cash_flow": (("cash flows from", "net cash", "cash and cash equivalents"),),
+}
+#: The numbers of a page, and how many a page has that goes on with a statement.
+PAGE_NUMBERS, LEAST_PAGE_NUMBERS = r"(\(?-?[0-9][0-9,]*\.?[0-9]*\)?)", 12
 TYPES = list(TITLES)
 
 
@@ -71,56 +85,26 @@ def is_reference_page(text: Column) -> Column:
     return F.lower(F.array_join(head(text, 10), " ")).rlike(REFERENCE_HEAD)
 
 
-def _any(text: Column, *terms: str) -> Column:
-    out = F.lit(False)
-    for t in terms:
-        out = out | F.contains(text, F.lit(t))
-    return out
-
-
-def _all(text: Column, *terms: str) -> Column:
-    out = F.lit(True)
-    for t in terms:
-        out = out & F.contains(text, F.lit(t))
-    return out
-
-
-def is_equity_table(one_line: Column) -> Column:
-    return (
-        _any(one_line, "balance at 1 july", "balance at the beginning")
-        & _any(one_line, "issued capital", "retained earnings", "total reserves")
-        & _any(one_line, "attributable to securityholders", "attributable to unitholders", "attributable to owners")
-    )
+def fits(one_line: Column, what: str) -> Column:
+    """Whether a page's line has a term of every group of TERMS[what]."""
+    return F.forall(F.array(*[F.array(*map(F.lit, group)) for group in TERMS[what]]), lambda group: F.exists(group, lambda term: F.contains(one_line, term)))
 
 
 def not_a_target(text: Column) -> Column:
-    return F.lower(F.array_join(head(text, 8), " ")).rlike(EQUITY_TITLE) | is_equity_table(flat(text))
+    return F.lower(F.array_join(head(text, 8), " ")).rlike(EQUITY_TITLE) | fits(flat(text), "equity table")
 
 
 def inferred_type(text: Column) -> Column:
-    """The statement that a page without a title holds by its words, or null."""
-    t = flat(text)
-    balance = _all(t, "current assets", "total assets", "current liabilities", "total liabilities") & _any(t, "equity", "net assets")
-    income = (
-        _all(t, "revenue")
-        & _any(t, "profit for the year", "profit for the period", "loss for the year", "loss for the period")
-        & _any(t, "expenses", "income tax")
-    )
-    cash = _all(t, "cash flows from operating activities") & _any(t, "cash flows from investing activities", "cash flows from financing activities", "net cash")
-    return F.when(balance, "balance_sheet").when(income, "income_statement").when(cash, "cash_flow")
+    """The statement that a page without a title holds by its words, or null; the first of TYPES if it fits several."""
+    line = flat(text)
+    return F.coalesce(*[F.when(fits(line, kind), kind) for kind in TYPES])
 
 
 def continues(text: Column, kind: Column) -> Column:
     """Whether a page goes on with a statement of that kind: enough numbers, and a term of it."""
-    low = F.lower(text)
-    numbers = F.size(F.regexp_extract_all(text, F.lit(r"(\(?-?[0-9][0-9,]*\.?[0-9]*\)?)"), F.lit(1)))
-    terms = (
-        F.when(kind == "balance_sheet", _any(low, "total assets", "total liabilities", "current assets", "non-current assets", "current liabilities", "non-current liabilities", "total equity"))
-        .when(kind == "income_statement", _any(low, "profit for the", "loss for the", "income tax", "total comprehensive income", "earnings per"))
-        .when(kind == "cash_flow", _any(low, "cash flows from", "net cash", "cash and cash equivalents"))
-        .otherwise(False)
-    )
-    return (numbers >= 12) & ~is_equity_table(flat(text)) & terms
+    count = F.size(F.regexp_extract_all(text, F.lit(PAGE_NUMBERS), F.lit(1)))
+    term = F.coalesce(*[F.when(kind == k, fits(F.lower(text), f"more {k}")) for k in TYPES], F.lit(False))
+    return (count >= LEAST_PAGE_NUMBERS) & ~fits(flat(text), "equity table") & term
 
 
 def stands_alone(line: Column, title: Column) -> Column:

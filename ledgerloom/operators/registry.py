@@ -67,12 +67,13 @@ def selected(reports: DataFrame, seen: DataFrame, explicit: DataFrame | None = N
 
 
 def workbooks(files: DataFrame) -> DataFrame:
-    """The distinct statement workbooks (path) that are there, no extraction records, with place by lower-case name."""
+    """The distinct statement workbooks (company, path) that are there, no extraction records, with place by lower-case name
+    among those of their company."""
     from pyspark.sql import Window as W
 
     name = F.lower(F.element_at(F.split("path", "/"), -1))
-    kept = files.where(name.endswith(".xlsx") & ~name.endswith(RECORD_ENDING)).select("path").distinct().withColumn("name", name)
-    return kept.withColumn("place", F.row_number().over(W.orderBy("name", "path"))).drop("name")
+    kept = files.where(name.endswith(".xlsx") & ~name.endswith(RECORD_ENDING)).select("company", "path").distinct().withColumn("name", name)
+    return kept.withColumn("place", F.row_number().over(W.partitionBy("company").orderBy("name", "path"))).drop("name")
 
 
 def backfilled(reports: DataFrame, processed: DataFrame, files: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from ledgerloom.functions import labels, numbers, periods
 from ledgerloom.operators import locate, merge, reconcile, registry, reports, sheets, words
 from ledgerloom.plans import fixtures, pages, reconstruction
 from ledgerloom.sources import markup_tables
-from ledgerloom.sources.star import STATEMENTS_SQL, statements, table, values
+from ledgerloom.sources.star import STATEMENTS_SQL, given, statements, table
 
 YEARS = [str(y) for y in range(2005, 2013)]
 _QUERIES: dict = {}
@@ -132,10 +132,10 @@ def fuzzy_label_match(spark, sf_dir) -> DataFrame:
 # --- amounts, units, labels
 
 
-@_query(f"select raw_text, ({amount_sql('raw_text')})::decimal(28,8) as value from {fixtures.AMOUNTS}")
+@_query(f"select raw_text, ({amount_sql('raw_text')})::decimal(28,8) as value from {fixtures.OVER.AMOUNTS}")
 def parse_amounts(spark, sf_dir) -> DataFrame:
     """Cell texts to amounts."""
-    return values(spark, fixtures.AMOUNTS).withColumn("value", numbers.amount(F.col("raw_text")))
+    return given(spark, sf_dir, fixtures.OVER.AMOUNTS).withColumn("value", numbers.amount(F.col("raw_text")))
 
 
 @_query(f"select l_orderkey, l_linenumber, ({amount_sql('raw')})::decimal(28,8) as value from (select l_orderkey, l_linenumber, 'US$ (' || format('{{:,}}', cast(round(l_extendedprice::decimal(18,4), 0) as bigint)) || ')' as raw from lineitem)")
@@ -148,10 +148,10 @@ def parse_line_amounts(spark, sf_dir) -> DataFrame:
 SCALE_SQL = "case " + " ".join(rf"when regexp_matches(h, '{p.replace(chr(39), chr(39) * 2)}') then {s}" for p, s in numbers.SCALES) + " else 1 end"
 
 
-@_query(rf"select id, ({SCALE_SQL})::decimal(11,6) as scale from (select id, regexp_replace(lower(header), '\s+', ' ', 'g') as h from {fixtures.HEADERS})")
+@_query(rf"select id, ({SCALE_SQL})::decimal(11,6) as scale from (select id, regexp_replace(lower(header), '\s+', ' ', 'g') as h from {fixtures.OVER.HEADERS})")
 def unit_scale_detect(spark, sf_dir) -> DataFrame:
     """The scale to millions that header texts ask for."""
-    return values(spark, fixtures.HEADERS).select("id", numbers.scale_of(F.col("header")).alias("scale"))
+    return given(spark, sf_dir, fixtures.OVER.HEADERS).select("id", numbers.scale_of(F.col("header")).alias("scale"))
 
 
 def in_millions_sql(c: str) -> str:
@@ -159,18 +159,18 @@ def in_millions_sql(c: str) -> str:
  '\b(expressed|amounts?)\s+in\s+((?:korean\s+)?won|krw|(?:u\.s\.\s+)?dollars?|usd)\b', '\1 in millions of \2', 'gi'), '\$000\b', '$m', 'gi')"""
 
 
-@_query(f"select id, {in_millions_sql('header')} as header from {fixtures.HEADERS}")
+@_query(f"select id, {in_millions_sql('header')} as header from {fixtures.OVER.HEADERS}")
 def unit_text_rewrite(spark, sf_dir) -> DataFrame:
     """Header texts with their units rewritten to millions."""
-    return values(spark, fixtures.HEADERS).select("id", numbers.in_millions(F.col("header")).alias("header"))
+    return given(spark, sf_dir, fixtures.OVER.HEADERS).select("id", numbers.in_millions(F.col("header")).alias("header"))
 
 
 @_query(rf"""select label, regexp_matches(lower(trim(label)), '{numbers.PER_SHARE}') as not_monetary, regexp_matches(trim(label), '{labels.NOTE_CELL}') as is_note,
- {_key_sql("label")} as item_key, regexp_replace(regexp_replace(trim(lower(label)), '\s+', ' ', 'g'), '[–—]', '-', 'g') as checked from {fixtures.LABELS}""")
+ {_key_sql("label")} as item_key, regexp_replace(regexp_replace(trim(lower(label)), '\s+', ' ', 'g'), '[–—]', '-', 'g') as checked from {fixtures.OVER.LABELS}""")
 def label_predicates(spark, sf_dir) -> DataFrame:
     """Labels with the predicates and normal forms that other operators use."""
     c = F.col("label")
-    return values(spark, fixtures.LABELS).select(c, numbers.not_monetary(c).alias("not_monetary"), labels.is_note(c).alias("is_note"), labels.item_key(c).alias("item_key"), labels.checked_label(c).alias("checked"))
+    return given(spark, sf_dir, fixtures.OVER.LABELS).select(c, numbers.not_monetary(c).alias("not_monetary"), labels.is_note(c).alias("is_note"), labels.item_key(c).alias("item_key"), labels.checked_label(c).alias("checked"))
 
 
 @_query(f"select p_partkey, {_key_sql('p_name || ' + chr(39) + ' & ' + chr(39) + ' || p_type || ' + chr(39) + ' (net)' + chr(39))} as item_key from part")
@@ -198,7 +198,7 @@ def _period_sql() -> str:
     part = lambda c, p, k: f"nullif(regexp_extract({c}, '{p}', {k}), '')::int"
     lengths = {"three": 3, "six": 6, "nine": 9, "twelve": 12}
     named = ", ".join(rf"case when regexp_matches(low, '\b{w}[-\s]months?\b') then {n} end" for w, n in lengths.items())
-    return rf"""with t as (select raw_text, regexp_replace({_strip_sql('raw_text')}, '{numbers.SPACE}+', ' ', 'g') as t from {fixtures.PERIODS}),
+    return rf"""with t as (select raw_text, regexp_replace({_strip_sql('raw_text')}, '{numbers.SPACE}+', ' ', 'g') as t from {fixtures.OVER.PERIODS}),
 s as (select *, regexp_replace(replace(t, '(', ' ('), '\s+', ' ', 'g') as s, lower(regexp_replace({_strip_sql("regexp_replace(replace(t, '(', ' ('), ' +', ' ', 'g')")}, '\s+', ' ', 'g')) as low from t),
 m as (select *, list_distinct(list_concat(list_filter([{named}], lambda x: x is not null), list_transform(regexp_extract_all(low, '\b(3|6|9|12)[-\s]months?\b', 1), lambda x: x::int))) as found,
   lower(regexp_extract(s, '{DATE}', 1)) as month, {part('s', DATE, 2)} as day from s),
@@ -214,7 +214,7 @@ select raw_text, case when form = 5 then year::varchar else case when months > 0
 @_query(_period_sql())
 def parse_periods(spark, sf_dir) -> DataFrame:
     """Header texts to periods."""
-    return values(spark, fixtures.PERIODS).select("raw_text", periods.parse(F.col("raw_text")).alias("p")).select("raw_text", "p.*")
+    return given(spark, sf_dir, fixtures.OVER.PERIODS).select("raw_text", periods.parse(F.col("raw_text")).alias("p")).select("raw_text", "p.*")
 
 
 @_query("""select o_orderkey, case o_orderkey % 4 when 0 then 'Q' || quarter(o_orderdate) || ' ' || y when 1 then 'Q' || quarter(o_orderdate) || ' ' || y when 2 then y::varchar
@@ -239,13 +239,13 @@ def parse_order_periods(spark, sf_dir) -> DataFrame:
 @_query()
 def sheet_to_facts(spark, sf_dir) -> DataFrame:
     """Statement sheets to facts."""
-    return sheets.facts(values(spark, fixtures.SHEETS))
+    return sheets.facts(given(spark, sf_dir, fixtures.OVER.SHEETS))
 
 
 @_query()
 def entity_period_labels(spark, sf_dir) -> DataFrame:
     """Header periods, with entity names where labels would be equal."""
-    cells = values(spark, fixtures.SHEETS)
+    cells = given(spark, sf_dir, fixtures.OVER.SHEETS)
     return sheets.with_entities(cells, sheets.header_cells(cells)).select("doc_id", "row_idx", "col_idx", "label")
 
 
@@ -269,7 +269,7 @@ def _recon_sql() -> str:
         for rule, (s, target, addends, extra) in r.SUMS.items() for role, sign, optional in ((target, 0, False), *((a, 1, False) for a in addends), *((a, 1, True) for a in extra))
     )
     name = "(operating|investing|financing)"
-    return rf"""with cells as (select * from {fixtures.STATEMENTS}),
+    return rf"""with cells as (select * from {fixtures.OVER.STATEMENTS}),
 labels as (select doc_id, statement_type, row_idx, {checked('raw_text')} as label from cells where col_idx = 0),
 bare as (select c.*, label, {_strip_sql('raw_text')} as t, {_strip_sql(f"translate(regexp_replace({_strip_sql('raw_text')}, '^[()]+|[()]+$', '', 'g'), ',$₩W', '')")} as bare from cells c join labels using (doc_id, statement_type, row_idx) where col_idx > 0),
 vals as (select doc_id, statement_type, row_idx, col_idx, label, case when regexp_matches(bare, '{numbers.STRICT}') then case when t like '(%' and t like '%)' then -1 else 1 end * bare::decimal(28,8) end as value from bare),
@@ -295,7 +295,7 @@ issues as (select rule, doc_id, statement_type, col_idx, reported::decimal(28,8)
 @_query(_recon_sql() + " select * from issues")
 def recon_issues(spark, sf_dir) -> DataFrame:
     """Identities that fail on fixture statements."""
-    return reconcile.issues(values(spark, fixtures.STATEMENTS))
+    return reconcile.issues(given(spark, sf_dir, fixtures.OVER.STATEMENTS))
 
 
 @_query(_recon_sql() + """, rules as (select rule, role from sums union select 'RC5', unnest(['gross', 'revenue', 'cost'])),
@@ -303,7 +303,7 @@ def recon_issues(spark, sf_dir) -> DataFrame:
  select distinct doc_id, statement_type, row_idx, col_idx from taking semi join issues using (doc_id, statement_type, col_idx, rule)""")
 def failed_cells(spark, sf_dir) -> DataFrame:
     """The cells that take part in failures."""
-    return reconcile.failed_cells(values(spark, fixtures.STATEMENTS))
+    return reconcile.failed_cells(given(spark, sf_dir, fixtures.OVER.STATEMENTS))
 
 
 @_query("""select o_orderkey, o_totalprice::decimal(18,2) as reported, t.calculated, (o_totalprice::decimal(18,2) - t.calculated)::decimal(20,2) as difference
@@ -323,7 +323,7 @@ def recon_order_totals(spark, sf_dir) -> DataFrame:
 @_query()
 def locate_candidates(spark, sf_dir) -> DataFrame:
     """Statement candidates of fixture documents."""
-    return locate.candidates(values(spark, fixtures.PAGES))
+    return locate.candidates(given(spark, sf_dir, fixtures.OVER.PAGES))
 
 
 @_query(r"""select doc_id, array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(x, '[ \t]+', ' ', 'g'))), lambda x: x <> '')[1:8], ' ') as head from documents""")
@@ -343,7 +343,7 @@ def event_islands(spark, sf_dir) -> DataFrame:
     return marked.groupBy("user_id", "island").agg(F.min("event_type").alias("event_type"), F.count("*").alias("n"), F.min("event_id").alias("first_id"), F.sum(F.col("value").cast("decimal(18,6)")).cast("decimal(28,6)").alias("total"))
 
 
-_WORDS_SQL = f"""with recursive w as (select doc_id, page_number, x0::double as x0, y0::double as y0, x1::double as x1, text from {fixtures.WORDS}),
+_WORDS_SQL = f"""with recursive w as (select doc_id, page_number, x0::double as x0, y0::double as y0, x1::double as x1, text from {fixtures.OVER.WORDS}),
 o as (select *, row_number() over (partition by doc_id, page_number order by round_even(y0 / {words.TOLERANCE}, 0), x0) as k from w),
 lines as (select *, 0 as line_no, y0 as total, 1 as n from o where k = 1
   union all select o.*, l.line_no + (abs(o.y0 - total / n) > {words.TOLERANCE})::int, case when abs(o.y0 - total / n) > {words.TOLERANCE} then o.y0 else total + o.y0 end, case when abs(o.y0 - total / n) > {words.TOLERANCE} then 1 else n + 1 end
@@ -361,14 +361,14 @@ anchors as (select p.doc_id, p.page_number, coalesce(list(mean order by mean) fi
  select doc_id, page_number, line_no, case when len(a) = 0 or x < a[1] - {words.BOUNDARY} then 0 else 1 + len(list_filter(range(1, len(a)), lambda i: x > (a[i] + a[i + 1]) / 2)) end as col_idx, string_agg(text, ' ' order by x0, text) as text from placed group by all""")
 def words_to_cells(spark, sf_dir) -> DataFrame:
     """Page words to lines, anchors and cells."""
-    found = values(spark, fixtures.WORDS).select("doc_id", "page_number", *[F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1")], "text")
+    found = given(spark, sf_dir, fixtures.OVER.WORDS).select("doc_id", "page_number", *[F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1")], "text")
     return words.to_cells(words.to_lines(found), words.anchors(found))
 
 
 @_query(_WORDS_SQL + " select doc_id, page_number, array_to_string(list_transform(anchors, lambda x: printf('%.3f', x)), ' ') as anchors from anchors")
 def cluster_anchors(spark, sf_dir) -> DataFrame:
     """Column anchors of pages."""
-    found = words.anchors(values(spark, fixtures.WORDS).select("doc_id", "page_number", *[F.col(c).cast("double").alias(c) for c in ("x0", "x1")]))
+    found = words.anchors(given(spark, sf_dir, fixtures.OVER.WORDS).select("doc_id", "page_number", *[F.col(c).cast("double").alias(c) for c in ("x0", "x1")]))
     return found.select("doc_id", "page_number", F.array_join(F.transform("anchors", lambda x: F.format_string("%.3f", x)), " ").alias("anchors"))
 
 
@@ -378,10 +378,10 @@ def cluster_anchors(spark, sf_dir) -> DataFrame:
 @_query()
 def html_tables(spark, sf_dir) -> DataFrame:
     """Cells of HTML tables, spans laid out."""
-    return markup_tables.html_tables(values(spark, fixtures.HTML))
+    return markup_tables.html_tables(given(spark, sf_dir, fixtures.OVER.HTML))
 
 
-_MARKDOWN_SQL = rf"""with l as (select doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> '') as lines from {fixtures.MARKDOWN}),
+_MARKDOWN_SQL = rf"""with l as (select doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> '') as lines from {fixtures.OVER.MARKDOWN}),
  e as (select doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as i from l),
  p as (select *, line like '|%' and line like '%|' as piped from e),
  f as (select doc_id, min(i) filter (piped) as first from p group by 1), g as (select p.*, first, min(case when not piped and i > first then i end) over (partition by doc_id) as stop from p join f using (doc_id)),
@@ -394,13 +394,13 @@ _MARKDOWN_SQL = rf"""with l as (select doc_id, list_filter(list_transform(string
 @_query(_MARKDOWN_SQL)
 def markdown_tables(spark, sf_dir) -> DataFrame:
     """Cells of markdown tables."""
-    return markup_tables.markdown_tables(values(spark, fixtures.MARKDOWN))
+    return markup_tables.markdown_tables(given(spark, sf_dir, fixtures.OVER.MARKDOWN))
 
 
 @_query()
 def json_tables(spark, sf_dir) -> DataFrame:
     """Cells of JSON table documents."""
-    return markup_tables.json_tables(values(spark, fixtures.JSON))
+    return markup_tables.json_tables(given(spark, sf_dir, fixtures.OVER.JSON))
 
 
 # --- the registry
@@ -453,59 +453,59 @@ _NAMES = "case statement_type when 'balance_sheet' then 'Balance Sheet' when 'in
 
 
 @_query(rf"""select doc_id, position, statement_type, substr(regexp_replace({_NAMES} || case when count(*) over w > 1 then ' ' || lpad(row_number() over (w order by position)::varchar, 2, '0') else '' end, '[\[\]:*?/\\]', '_', 'g'), 1, 31) as sheet
- from {fixtures.RESULTS} window w as (partition by doc_id, statement_type)""")
+ from {fixtures.OVER.RESULTS} window w as (partition by doc_id, statement_type)""")
 def sheet_names(spark, sf_dir) -> DataFrame:
     """Sheet names of a report's results."""
-    return reports.sheet_names(values(spark, fixtures.RESULTS)).select("doc_id", "position", "statement_type", "sheet")
+    return reports.sheet_names(given(spark, sf_dir, fixtures.OVER.RESULTS)).select("doc_id", "position", "statement_type", "sheet")
 
 
 @_query(f"""select c.doc_id, c.statement_type, page_start || '-' || page_end as pages, title, coalesce(string_agg(message, '; ' order by seq), '') as warnings
- from {fixtures.RESULTS.replace(" AS t(", " AS c(")} left join {fixtures.WARNINGS.replace(" AS t(", " AS w(")} on c.doc_id = w.doc_id and c.statement_type = w.statement_type group by all""")
+ from {fixtures.OVER.RESULTS.sql("c")} left join {fixtures.OVER.WARNINGS.sql("w")} on c.doc_id = w.doc_id and c.statement_type = w.statement_type group by all""")
 def lineage_record(spark, sf_dir) -> DataFrame:
     """The extraction record of each result."""
-    return reports.lineage(values(spark, fixtures.RESULTS), values(spark, fixtures.WARNINGS))
+    return reports.lineage(given(spark, sf_dir, fixtures.OVER.RESULTS), given(spark, sf_dir, fixtures.OVER.WARNINGS))
 
 
-@_query(f"""with p as (select * from {fixtures.REPORT_PAGES}), t as (select doc_id, string_agg(text, chr(10) order by page_number) filter (page_number <= 40) as t, string_agg(text, chr(10) order by page_number) filter (page_number <= 12) as c,
+@_query(f"""with p as (select * from {fixtures.OVER.REPORT_PAGES}), t as (select doc_id, string_agg(text, chr(10) order by page_number) filter (page_number <= 40) as t, string_agg(text, chr(10) order by page_number) filter (page_number <= 12) as c,
   count(*) as page_count, count(*) filter (has_embedded_text) as embedded_text_pages from p group by 1)
  select doc_id, case when regexp_matches(c, '(?i)annual report') then 'annual' else 'quarterly/interim_or_unknown' end as report_type, regexp_extract(t, '{reports.PERIOD_END}', 1) as period_end, regexp_extract(t, '{reports.AS_AT}', 1) as as_at_date,
  regexp_extract(t, '{reports.CURRENCY}', 1) as currency, regexp_extract(t, '{reports.UNIT}', 0) as unit, page_count, embedded_text_pages from t""")
 def report_metadata(spark, sf_dir) -> DataFrame:
     """Report type, dates, currency and unit from a report's first pages."""
-    return reports.metadata(values(spark, fixtures.REPORT_PAGES))
+    return reports.metadata(given(spark, sf_dir, fixtures.OVER.REPORT_PAGES))
 
 
-@_query(r"""select path, case when regexp_matches(path, '(^|/)companies/[^/]+') then regexp_extract(path, '(?:^|/)companies/([^/]+)', 1) else regexp_replace(regexp_extract(path, '([^/]*)$', 1), '(.)\.[^.]*$', '\1') end as company from """ + fixtures.PATHS)
+@_query(r"""select path, case when regexp_matches(path, '(^|/)companies/[^/]+') then regexp_extract(path, '(?:^|/)companies/([^/]+)', 1) else regexp_replace(regexp_extract(path, '([^/]*)$', 1), '(.)\.[^.]*$', '\1') end as company from """ + str(fixtures.OVER.PATHS))
 def company_from_path(spark, sf_dir) -> DataFrame:
     """Companies from paths."""
-    return values(spark, fixtures.PATHS).select("path", reports.company_of(F.col("path")).alias("company"))
+    return given(spark, sf_dir, fixtures.OVER.PATHS).select("path", reports.company_of(F.col("path")).alias("company"))
 
 
-@_query(f"""with c as (select company, case when current is not null and not json_valid(current) then '{{}}' when trim(current) like '{{%' then current when trim(legacy) like '{{%' then legacy else '{{}}' end as j from {fixtures.CONFIGS}),
+@_query(f"""with c as (select company, case when current is not null and not json_valid(current) then '{{}}' when trim(current) like '{{%' then current when trim(legacy) like '{{%' then legacy else '{{}}' end as j from {fixtures.OVER.CONFIGS}),
  k as (select company, unnest(json_keys(j, '$.statement_keywords')) as statement_type, j from c),
  w as (select company, statement_type, unnest(from_json(json_extract(j, '$.statement_keywords.' || statement_type), '["VARCHAR"]')) as keyword from k)
  select * from w where trim(keyword) <> ''""")
 def keyword_config(spark, sf_dir) -> DataFrame:
     """Locator keywords from configuration files, current or legacy."""
-    return reports.keywords(reports.configurations(values(spark, fixtures.CONFIGS)))
+    return reports.keywords(reports.configurations(given(spark, sf_dir, fixtures.OVER.CONFIGS)))
 
 
-@_query(f"""with r as (select * from {fixtures.RESULTS}), m as (select *, contains(lower(title), 'comprehensive income') and statement_type = 'income_statement' and lag(statement_type) over w = 'income_statement'
+@_query(f"""with r as (select * from {fixtures.OVER.RESULTS}), m as (select *, contains(lower(title), 'comprehensive income') and statement_type = 'income_statement' and lag(statement_type) over w = 'income_statement'
   and page_start <= max(page_end) over (partition by doc_id order by position rows between unbounded preceding and 1 preceding) + 2 as fold from r window w as (partition by doc_id order by position)),
  g as (select *, sum(case when coalesce(fold, false) then 0 else 1 end) over (partition by doc_id order by position) as kept from m)
  select doc_id, kept, arg_min(title, position) as title, min(page_start) as page_start, max(page_end) as page_end, count(*) as n from g group by doc_id, kept""")
 def comprehensive_income_fold(spark, sf_dir) -> DataFrame:
     """Comprehensive income folded into income statements."""
-    return reports.fold_comprehensive(values(spark, fixtures.RESULTS))
+    return reports.fold_comprehensive(given(spark, sf_dir, fixtures.OVER.RESULTS))
 
 
-@_query(rf"""with l as (select id, line, regexp_replace(lower(trim(line)), '\s+', ' ', 'g') as low, 'consolidated income statements' as want from {fixtures.LINES}),
+@_query(rf"""with l as (select id, line, regexp_replace(lower(trim(line)), '\s+', ' ', 'g') as low, 'consolidated income statements' as want from {fixtures.OVER.LINES}),
  r as (select *, regexp_replace(case when starts_with(low, want) then substr(low, length(want) + 1) else low end, '^[ :\-–—]+|[ :\-–—]+$', '', 'g') as rest,
    regexp_replace(regexp_replace(low, '\s*,?\s*continued$', ''), '^(interim\s+)?(condensed\s+)?', '') as before from l)
  select id, line, low = want or before = want or rest = '' or regexp_matches(rest, '^(as at|as of|for the years? ended|for the periods? ended).+$') as heading from r""")
 def heading_tests(spark, sf_dir) -> DataFrame:
     """Which lines are headings of their own."""
-    return values(spark, fixtures.LINES).withColumn("heading", labels.stands_alone(F.col("line"), F.lit("Consolidated income statements")))
+    return given(spark, sf_dir, fixtures.OVER.LINES).withColumn("heading", labels.stands_alone(F.col("line"), F.lit("Consolidated income statements")))
 
 
 @_query(_FACTS_SQL + """, shown as (select company, sheet, label, key, max(value) filter (period = '2008') as a, max(value) filter (period = '2009') as b from merged join named using (company, sheet, key) group by all)

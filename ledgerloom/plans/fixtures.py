@@ -116,3 +116,62 @@ MANIFESTS = """(VALUES ('a', '{"seen_hashes":["x","y"]}'), ('b', '{"seen_hashes"
 COLORS = """(VALUES ('#1f4e78'), ('D9EAF7'), ('#80ffFFff'), ('#fff'), (''), (NULL)) AS t(color)"""
 
 OUTCOMES = """(VALUES ('A', 'base/in/1.pdf', 'base/out/1.xlsx', NULL), ('A', 'base/in/2.pdf', 'other/2.xlsx', NULL), ('B', 'base/in/3.pdf', 'base/out/3.xlsx', NULL), ('B', 'base/in/4.pdf', NULL, 'no table')) AS t(company, source_path, output_path, error)"""
+
+
+# --- the same cases, dealt over a given table
+
+
+class Given:
+    """A relation of cases over the rows of documents, in SQL that both engines read: each document has the cases of one key.
+
+    Keys are told apart by the document's id; what else a document says goes into the texts where more says so (column: expression of the
+    case's column and the document d).
+    """
+
+    def __init__(self, relation: str, key: str | None = None, **more: str):
+        rows, columns = relation.rsplit(" AS t(", 1)
+        self.columns = columns.rstrip(")").split(", ")
+        self.rows, self.key, self.more = relation, key, more
+
+    def sql(self, name: str = "t") -> str:
+        order = ", ".join(f"{c} nulls first" for c in ([self.key] if self.key else self.columns))
+        number = f"dense_rank() over (order by {order}) - 1"
+        many = f"(select count(*) from (select distinct {self.key or ', '.join(self.columns)} from {self.rows}))"
+        ids = {"id": "d.doc_id"} | ({self.key: f"concat(f.{self.key}, '/', cast(d.doc_id as string))"} if self.key not in (None, "id") else {})
+        shown = ", ".join(f"{(ids | self.more).get(c, f'f.{c}')} as {c}" for c in self.columns)
+        return f"(select {shown} from (select *, doc_id % {many} as at from documents) d join (select *, {number} as nth from {self.rows}) f on d.at = f.nth) AS {name}"
+
+    def __str__(self) -> str:
+        return self.sql()
+
+
+_DIGIT = "cast(coalesce(d.n_chars, 0) % 10 as string)"
+_HALF = "case when d.doc_id % 2 = 0 then f.{0} else concat(f.{0}, ' ', d.source) end"
+
+
+class OVER:
+    """The cases above over documents."""
+
+    AMOUNTS = Given(AMOUNTS, raw_text=f"translate(f.raw_text, '2', {_DIGIT})")
+    HEADERS = Given(HEADERS, "id", header=_HALF.format("header"))
+    LABELS = Given(LABELS, label=_HALF.format("label"))
+    PERIODS = Given(PERIODS, raw_text=f"case when d.doc_id % 2 = 0 then f.raw_text else translate(f.raw_text, '2', {_DIGIT}) end")
+    SHEETS = Given(SHEETS, "doc_id")
+    STATEMENTS = Given(STATEMENTS, "doc_id")
+    PAGES = Given(PAGES, "doc_id")
+    WORDS = Given(WORDS, "doc_id", text="case when d.doc_id % 2 = 0 then f.text else concat(f.text, d.source) end")
+    HTML = Given(HTML, "doc_id", text="replace(f.text, 'x</p>', concat(d.source, '</p>'))")
+    MARKDOWN = Given(MARKDOWN, "doc_id", text="replace(f.text, 'Cost', d.source)")
+    JSON = Given(JSON, "doc_id", text="replace(f.text, 'Here', d.source)")
+    RESULTS = Given(RESULTS, "doc_id")
+    WARNINGS = Given(WARNINGS, "doc_id", message="concat(f.message, ' of ', d.source)")
+    REPORT_PAGES = Given(REPORT_PAGES, "doc_id")
+    CONFIGS = Given(CONFIGS, "company", current="replace(f.current, 'flows', concat(d.source, ' flows'))")
+    PATHS = Given(PATHS, path="replace(replace(f.path, 'ACME', concat('ACME', d.source)), 'q3', concat('q', cast(d.doc_id as string)))")
+    LINES = Given(LINES, "id", line=_HALF.format("line"))
+    ROWS = Given(ROWS, "id", line=_HALF.format("line"))
+    PAGE_ROWS = Given(PAGE_ROWS, "doc_id")
+    RECOGNISED_ROWS = Given(RECOGNISED_ROWS, "doc_id", line="replace(f.line, 'Fees', d.source)")
+    MANIFESTS = Given(MANIFESTS, "company", text="replace(f.text, 'x', d.source)")
+    COLORS = Given(COLORS, color=f"replace(f.color, '7', {_DIGIT})")
+    OUTCOMES = Given(OUTCOMES, "company", source_path="replace(f.source_path, 'in/', concat('in/', cast(d.doc_id as string), '_'))")

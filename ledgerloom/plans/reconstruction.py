@@ -10,7 +10,7 @@ from ledgerloom.functions import rows as R
 from ledgerloom.operators import rebuild, registry
 from ledgerloom.plans import fixtures
 from ledgerloom.sources import markup_tables
-from ledgerloom.sources.star import table, values
+from ledgerloom.sources.star import given, table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -64,12 +64,12 @@ def _structural(c: str) -> str:
     return f"({_in(f'lower({_strip(c)})', R.values('header cell'))} or {_like(c, 'date', 'period', 'year', 'year with unit')})"
 
 
-def _rows(spark, relation: str) -> DataFrame:
-    found = values(spark, relation)
+def _rows(spark, sf_dir, relation: fixtures.Given) -> DataFrame:
+    found = given(spark, sf_dir, relation)
     return found.withColumn("cells", F.split("line", "[|]")).drop("line")
 
 
-def _rows_sql(relation: str, name: str = "r") -> str:
+def _rows_sql(relation: fixtures.Given, name: str = "r") -> str:
     return f"{name} as (select * exclude (line), string_split(line, '|') as cells from {relation})"
 
 
@@ -84,12 +84,12 @@ _ALONE = (
 )
 
 
-@_query(f"""with {_rows_sql(fixtures.ROWS)} select id, {_TEXT} as row_text, {_NOTICE} as not_of_table, {_AMOUNTS} as has_amount, coalesce({_ALONE}, false) as is_label_only, {_like(_TEXT, 'unit')} as is_unit,
+@_query(f"""with {_rows_sql(fixtures.OVER.ROWS)} select id, {_TEXT} as row_text, {_NOTICE} as not_of_table, {_AMOUNTS} as has_amount, coalesce({_ALONE}, false) as is_label_only, {_like(_TEXT, 'unit')} as is_unit,
  {_like(_TEXT, 'title')} as is_title, {_like(_TEXT, 'period')} as is_period, {_in(_TEXT, R.values('section'))} as is_section, {_structural('cells[1]')} as is_structural,
  len(list_filter(cells, lambda c: c <> '' and regexp_matches(replace(c, ',', ''), {_quoted(numbers.TABLE_NUMBER)}))) as n_numbers from r""")
 def row_predicates(spark, sf_dir) -> DataFrame:
     """What rows say by their cells."""
-    told, text = _rows(spark, fixtures.ROWS).withColumn("told", R.tell(F.col("cells"))), F.col("told.text")
+    told, text = _rows(spark, sf_dir, fixtures.OVER.ROWS).withColumn("told", R.tell(F.col("cells"))), F.col("told.text")
     return told.select(
         "id", text.alias("row_text"), F.col("told.notice").alias("not_of_table"), (F.col("told.amounts") > 0).alias("has_amount"), F.col("told.label_only").alias("is_label_only"), F.col("told.unit").alias("is_unit"),
         F.col("told.title").alias("is_title"), F.col("told.period").alias("is_period"), R.says(text, "section").alias("is_section"), R.says(R.low(F.get("cells", 0)), *R.STRUCTURAL).alias("is_structural"), numbers.numeric_cells(F.col("cells")).alias("n_numbers"),
@@ -119,52 +119,52 @@ n as (select *, case when lag(alone) over (w) then lag(cells[1]) over (w) end as
 joined as (select doc_id, page_number, row_idx, case when before is not null and amounts then list_prepend({_strip("before || ' ' || cells[1]")}, cells[2:]) else cells end as cells from n where not (alone and after))"""
 
 
-@_query(f"with {_rows_sql(fixtures.PAGE_ROWS)}, {_JOINED} select doc_id, page_number, row_idx, array_to_string(cells, '|') as line from joined")
+@_query(f"with {_rows_sql(fixtures.OVER.PAGE_ROWS)}, {_JOINED} select doc_id, page_number, row_idx, array_to_string(cells, '|') as line from joined")
 def label_continuations(spark, sf_dir) -> DataFrame:
     """Labels that go on in the next row, joined."""
-    return rebuild.join_labels(_rows(spark, fixtures.PAGE_ROWS)).select("doc_id", "page_number", "row_idx", F.array_join("cells", "|").alias("line"))
+    return rebuild.join_labels(_rows(spark, sf_dir, fixtures.OVER.PAGE_ROWS)).select("doc_id", "page_number", "row_idx", F.array_join("cells", "|").alias("line"))
 
 
 @_query()
 def continuation_pages(spark, sf_dir) -> DataFrame:
     """Continuation pages without repeated headers, aligned to the pages before, without notices."""
-    rows = rebuild.align(rebuild.drop_repeated_headers(_rows(spark, fixtures.PAGE_ROWS)))
+    rows = rebuild.align(rebuild.drop_repeated_headers(_rows(spark, sf_dir, fixtures.OVER.PAGE_ROWS)))
     return rebuild.without_notices(rows).select("doc_id", "page_number", "row_idx", F.array_join("cells", "|").alias("line"))
 
 
-@_query(f"""with {_rows_sql(fixtures.PAGE_ROWS)}, p as (select distinct doc_id, page_number, min(page_number) over (partition by doc_id) as least from r),
+@_query(f"""with {_rows_sql(fixtures.OVER.PAGE_ROWS)}, p as (select distinct doc_id, page_number, min(page_number) over (partition by doc_id) as least from r),
  e as (select doc_id, page_number, row_idx, array_to_string(cells, '|') as line from r union all select doc_id, page_number, -2, '' from p where page_number > least union all select doc_id, page_number, -1, 'continue' from p where page_number > least)
  select doc_id, row_number() over (partition by doc_id order by page_number, row_idx) - 1 as place, line from e""")
 def continued_pages(spark, sf_dir) -> DataFrame:
     """A document's pages as one table, with separators."""
-    return rebuild.continued(_rows(spark, fixtures.PAGE_ROWS)).select("doc_id", "place", F.array_join("cells", "|").alias("line"))
+    return rebuild.continued(_rows(spark, sf_dir, fixtures.OVER.PAGE_ROWS)).select("doc_id", "place", F.array_join("cells", "|").alias("line"))
 
 
-_STACKED = f"""{_rows_sql(fixtures.RECOGNISED_ROWS, "o")}, seams as (select distinct doc_id, page_number, table_idx, min(table_idx) over (partition by doc_id, page_number) as least from o),
+_STACKED = f"""{_rows_sql(fixtures.OVER.RECOGNISED_ROWS, "o")}, seams as (select distinct doc_id, page_number, table_idx, min(table_idx) over (partition by doc_id, page_number) as least from o),
 stacked as (select doc_id, page_number, row_number() over (partition by doc_id, page_number order by table_idx, row_idx) - 1 as row_idx, array_to_string(cells, '|') as line
   from (select doc_id, page_number, table_idx, row_idx, cells from o union all select doc_id, page_number, table_idx, -1, []::varchar[] from seams where table_idx > least))"""
 
 
-@_query(f"""with {_rows_sql(fixtures.PAGE_ROWS)}, {_STACKED} select doc_id, page_number, row_idx, array_to_string(cells, '|') as line, 'embedded' as method from r where (doc_id, page_number) not in (select doc_id, page_number from stacked)
+@_query(f"""with {_rows_sql(fixtures.OVER.PAGE_ROWS)}, {_STACKED} select doc_id, page_number, row_idx, array_to_string(cells, '|') as line, 'embedded' as method from r where (doc_id, page_number) not in (select doc_id, page_number from stacked)
  union all select doc_id, page_number, row_idx, line, '{rebuild.RECOGNISED}' from stacked""")
 def recognised_pages(spark, sf_dir) -> DataFrame:
     """Pages whose rows were recognised in their image take those, tables one below the other."""
-    return rebuild.with_recognised(_rows(spark, fixtures.PAGE_ROWS), rebuild.stacked(_rows(spark, fixtures.RECOGNISED_ROWS))).select("doc_id", "page_number", "row_idx", F.array_join("cells", "|").alias("line"), "method")
+    return rebuild.with_recognised(_rows(spark, sf_dir, fixtures.OVER.PAGE_ROWS), rebuild.stacked(_rows(spark, sf_dir, fixtures.OVER.RECOGNISED_ROWS))).select("doc_id", "page_number", "row_idx", F.array_join("cells", "|").alias("line"), "method")
 
 
-@_query(f"""with {_rows_sql(fixtures.PAGE_ROWS)}, d as (select 'zz' as doc_id union select doc_id from r),
+@_query(f"""with {_rows_sql(fixtures.OVER.PAGE_ROWS)}, d as (select 'zz' as doc_id union select doc_id from r),
  c as (select doc_id, count(*) as n_rows, sum(len(list_filter(cells, lambda c: c <> '' and regexp_matches(replace(c, ',', ''), {_quoted(numbers.TABLE_NUMBER)}))))::bigint as n_numbers from r where not {_NOTICE} group by 1),
  a as (select doc_id, coalesce(n_rows, 0) as n_rows, coalesce(n_numbers, 0) as n_numbers from d left join c using (doc_id))
  select *, case when n_rows = 0 then '{rebuild.NO_ROWS}' when n_numbers < {rebuild.LEAST_NUMBERS} then '{rebuild.FEW_NUMBERS}' end as warning from a""")
 def table_density(spark, sf_dir) -> DataFrame:
     """Documents whose tables hold hardly a number."""
-    rows = _rows(spark, fixtures.PAGE_ROWS)
+    rows = _rows(spark, sf_dir, fixtures.OVER.PAGE_ROWS)
     documents = rows.select("doc_id").union(spark.sql("SELECT 'zz' AS doc_id")).distinct()
     return rebuild.density(documents, rebuild.without_notices(rows))
 
 
-def _sheet(spark) -> DataFrame:
-    return _rows(spark, fixtures.PAGE_ROWS).where("page_number <> 4").drop("page_number")
+def _sheet(spark, sf_dir) -> DataFrame:
+    return _rows(spark, sf_dir, fixtures.OVER.PAGE_ROWS).where("page_number <> 4").drop("page_number")
 
 
 def _coerced_sql() -> str:
@@ -173,7 +173,7 @@ def _coerced_sql() -> str:
     glyph = numbers.GLYPH_NUMBER.replace("SPACE", numbers.SPACE)
     text = f"case when regexp_matches({_strip('cell')}, '{glyph}') then {_strip('cell')} else {_strip("translate(cell, '¥￦₩', '')")} end"
     million = catalogue.in_millions_sql("shown")
-    return f"""with {_rows_sql(fixtures.PAGE_ROWS, "a")}, r as (select * exclude (page_number) from a where page_number <> 4),
+    return f"""with {_rows_sql(fixtures.OVER.PAGE_ROWS, "a")}, r as (select * exclude (page_number) from a where page_number <> 4),
 e as (select doc_id, row_idx, unnest(cells) as cell, generate_subscripts(cells, 1) - 1 as col_idx, cells[1] as label from r),
 h as (select doc_id, regexp_replace(lower(string_agg(cell, ' ' order by row_idx, col_idx)), '\\s+', ' ', 'g') as h from e where row_idx < 12 and {_strip('cell')} <> '' group by 1),
 s as (select doc_id, ({catalogue.SCALE_SQL})::decimal(11,6) as scale from h),
@@ -187,14 +187,14 @@ select doc_id, row_idx, col_idx, case when value is null then {million} end as t
 @_query()
 def coerced_cells(spark, sf_dir) -> DataFrame:
     """Every cell of a sheet as text or as an amount in millions."""
-    return rebuild.coerced(_sheet(spark))
+    return rebuild.coerced(_sheet(spark, sf_dir))
 
 
-@_query(f"""with {_rows_sql(fixtures.PAGE_ROWS, "a")}, e as (select doc_id, unnest(cells) as cell, generate_subscripts(cells, 1) - 1 as col_idx from a where page_number <> 4 and row_idx < 8)
+@_query(f"""with {_rows_sql(fixtures.OVER.PAGE_ROWS, "a")}, e as (select doc_id, unnest(cells) as cell, generate_subscripts(cells, 1) - 1 as col_idx from a where page_number <> 4 and row_idx < 8)
  select distinct doc_id, col_idx::int as col_idx from e where lower({_strip('cell')}) in ('note', 'notes')""")
 def note_columns(spark, sf_dir) -> DataFrame:
     """Columns of note numbers."""
-    return rebuild.note_columns(_sheet(spark))
+    return rebuild.note_columns(_sheet(spark, sf_dir))
 
 
 # --- texts of models
@@ -203,14 +203,14 @@ def note_columns(spark, sf_dir) -> DataFrame:
 @_query()
 def answer_tables(spark, sf_dir) -> DataFrame:
     """Tables in models' answers, whatever their form."""
-    texts = values(spark, fixtures.JSON).unionByName(values(spark, fixtures.MARKDOWN))
+    texts = given(spark, sf_dir, fixtures.OVER.JSON).unionByName(given(spark, sf_dir, fixtures.OVER.MARKDOWN))
     return markup_tables.answer_tables(texts)
 
 
-@_query(f"select color, case length(c) when 6 then 'FF' || c when 8 then c end as argb from (select color, upper(regexp_replace(trim(color), '^#', '')) as c from {fixtures.COLORS})")
+@_query(f"select color, case length(c) when 6 then 'FF' || c when 8 then c end as argb from (select color, upper(regexp_replace(trim(color), '^#', '')) as c from {fixtures.OVER.COLORS})")
 def colors(spark, sf_dir) -> DataFrame:
     """Colours as spreadsheets write them."""
-    return values(spark, fixtures.COLORS).select("color", labels.argb(F.col("color")).alias("argb"))
+    return given(spark, sf_dir, fixtures.OVER.COLORS).select("color", labels.argb(F.col("color")).alias("argb"))
 
 
 @_query("select p_partkey, (p_partkey % 11) / 10.0 between 0.6 and 0.9 as grey, p_name || ' Conflict - ' || p_type as conflict from part")
@@ -239,10 +239,10 @@ def file_registry(spark, sf_dir) -> DataFrame:
     return registry.discovered(_files(spark, sf_dir)).drop("mtime")
 
 
-@_query(rf"""select company, case when json_valid(text) and json_type(text) = 'OBJECT' and json_type(text, '$.seen_hashes') = 'ARRAY' then array_to_string(from_json(json_extract(text, '$.seen_hashes'), '["VARCHAR"]'), ',') else '' end as seen from {fixtures.MANIFESTS}""")
+@_query(rf"""select company, case when json_valid(text) and json_type(text) = 'OBJECT' and json_type(text, '$.seen_hashes') = 'ARRAY' then array_to_string(from_json(json_extract(text, '$.seen_hashes'), '["VARCHAR"]'), ',') else '' end as seen from {fixtures.OVER.MANIFESTS}""")
 def manifest_hashes(spark, sf_dir) -> DataFrame:
     """Hashes of legacy manifests, whatever their shape."""
-    return registry.manifests(values(spark, fixtures.MANIFESTS)).select("company", F.array_join("seen", ",").alias("seen"))
+    return registry.manifests(given(spark, sf_dir, fixtures.OVER.MANIFESTS)).select("company", F.array_join("seen", ",").alias("seen"))
 
 
 @_query(f"with {_FILES_SQL} select file_name, sha256, false as explicit from r where sha256 not in (select sha256(text) from documents where doc_id % 5 = 0) union all select file_name, sha256, true from r where doc_id % 7 = 0")
@@ -266,7 +266,7 @@ def _books(spark, sf_dir) -> DataFrame:
     return first.unionByName(d.where("doc_id % 6 = 0").select(F.col("source").alias("company"), F.concat(start, F.lit("_A.xlsx")).alias("path")))
 
 
-@_query(f"with {_BOOKS_SQL} select path, row_number() over (order by lower(regexp_extract(path, '([^/]*)$', 1)), path) as place from (select distinct path from b where path not like '%\\_extraction\\_record.xlsx' escape '\\')")
+@_query(f"with {_BOOKS_SQL} select company, path, row_number() over (partition by company order by lower(regexp_extract(path, '([^/]*)$', 1)), path) as place from (select distinct company, path from b where path not like '%\\_extraction\\_record.xlsx' escape '\\')")
 def existing_workbooks(spark, sf_dir) -> DataFrame:
     """Statement workbooks that are there, in order."""
     return registry.workbooks(_books(spark, sf_dir))
@@ -282,21 +282,21 @@ def registry_backfill(spark, sf_dir) -> DataFrame:
     return registry.backfilled(reports, done, _books(spark, sf_dir))
 
 
-def _outcomes(spark) -> tuple[DataFrame, DataFrame]:
-    outcomes = values(spark, fixtures.OUTCOMES)
+def _outcomes(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    outcomes = given(spark, sf_dir, fixtures.OVER.OUTCOMES)
     name = F.element_at(F.split("source_path", "/"), -1)
     return outcomes, outcomes.select("company", name.alias("file_name"), "source_path", F.sha2(name.cast("binary"), 256).alias("sha256"), F.lit(1.5).alias("mtime"))
 
 
 @_query(f"""select company, regexp_extract(source_path, '([^/]*)$', 1) as file_name, regexp_replace(source_path, '^base/', '') as source_path, sha256(regexp_extract(source_path, '([^/]*)$', 1)) as sha256, regexp_replace(output_path, '^base/', '') as output_workbook
- from {fixtures.OUTCOMES} where company not in (select company from {fixtures.OUTCOMES} where error is not null)""")
+ from {fixtures.OVER.OUTCOMES} where company not in (select company from {fixtures.OVER.OUTCOMES} where error is not null)""")
 def processed_records(spark, sf_dir) -> DataFrame:
     """Records of a run, of companies of which every report succeeded."""
-    outcomes, reports = _outcomes(spark)
+    outcomes, reports = _outcomes(spark, sf_dir)
     return registry.records(reports, outcomes, "base", "2024-01-01 00:00:00").drop("mtime", "processed_at")
 
 
-@_query(f"select company, count(*) filter (error is null) as succeeded, count(*) filter (error is not null) as failed from {fixtures.OUTCOMES} group by 1")
+@_query(f"select company, count(*) filter (error is null) as succeeded, count(*) filter (error is not null) as failed from {fixtures.OVER.OUTCOMES} group by 1")
 def run_summary(spark, sf_dir) -> DataFrame:
     """What became of a run."""
-    return registry.summary(_outcomes(spark)[0])
+    return registry.summary(_outcomes(spark, sf_dir)[0])

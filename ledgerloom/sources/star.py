@@ -18,6 +18,11 @@ def values(spark: SparkSession, rows: str) -> DataFrame:
     return spark.sql(f"SELECT * FROM {rows}")
 
 
+def given(spark: SparkSession, sf_dir: str, relation) -> DataFrame:
+    """A relation of cases over the documents of sf_dir (fixtures.Given)."""
+    return spark.sql("SELECT * FROM " + str(relation).replace("from documents)", f"from parquet.`{sf_dir}/documents.parquet`)"))
+
+
 def shown(v):
     """An amount as a report prints it: thousands separators, parentheses for negative."""
     whole = F.format_number(F.abs(F.round(v, 0)), 0)
