@@ -236,14 +236,14 @@ def densified(merged_cells: DataFrame) -> DataFrame:
     return every.withColumn("value", F.try_element_at("found", F.col("period"))).drop("found")
 
 
-def wide(merged_cells: DataFrame, shown: list[str] | None = None, prefix: str = "y") -> DataFrame:
+def wide(merged_cells: DataFrame, shown: list[str] | None = None, prefix: str = "y", strict: bool = True) -> DataFrame:
     """One row per item and a column per period, in the order given, or annual ones and then quarters; a column name is
     prefix and period.  Without a list, the distinct periods come to the driver, as column names must; with one, any other period is an
-    error."""
+    error, unless strict is off: then only what is listed is shown."""
     if shown is None:
         names = ordered_periods(merged_cells.select(F.lit("").alias("company"), F.lit("").alias("sheet"), "period"))
         shown = [r["period"] for r in names.orderBy("place").collect()]
-    else:
+    elif strict:
         # a period without a column would be lost without a word
         lost = F.concat(F.lit("no column for period "), "period")
         merged_cells = merged_cells.withColumn("period", F.when(F.col("period").isin(*shown), F.col("period")).otherwise(F.raise_error(lost).cast("string")))

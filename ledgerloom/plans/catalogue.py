@@ -512,7 +512,7 @@ def heading_tests(spark, sf_dir) -> DataFrame:
  select company, sheet, label, key, a is null and b is null as is_section, regexp_matches(lower(trim(label)), '^(total |net |gross profit|operating profit|profit for|profit before|cash and cash equivalents at end)') as is_total from shown""")
 def master_sheet_layout(spark, sf_dir) -> DataFrame:
     """Row classes of merged sheets as they are laid out."""
-    laid = merge.wide(merge.merged(merge.facts(statements(spark, sf_dir))), ["2008", "2009"])
+    laid = merge.wide(merge.merged(merge.facts(statements(spark, sf_dir))), ["2008", "2009"], strict=False)
     rows = laid.select("company", "sheet", "label", "key", F.array(*[F.coalesce(F.col(f"y{y}").cast("string"), F.lit("")) for y in (2008, 2009)]).alias("cells"))
     return reports.row_classes(rows).drop("cells")
 
