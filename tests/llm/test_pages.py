@@ -70,34 +70,69 @@ def test_deep_and_stray_tags():
 
 
 def brute_importance(rows, least):
-    """Content and style of each branch, from page to page in plain Python."""
+    """Content and style of each branch and place, from page to page in plain Python."""
     hosts = {}
     for _, url, body in rows:
-        found = tuple((b.path, b.text) for b in markup.blocks(body) if not b.noise)
-        hosts.setdefault(re.sub("^http://|/.*$", "", url), set()).add(found)
+        found = list(markup.blocks(body))
+        sign = tuple((b.path, b.text) for b in found if not b.noise) or tuple((b.path, b.text) for b in found)
+        # pages with the same sign are one; which blocks that are noise by name they show besides differs
+        hosts.setdefault(re.sub("^http://|/.*$", "", url), {}).setdefault(sign, []).append(tuple((f"{b.path}#{min(sum(x.path == b.path for x in found[:i]), style_tree.SLOTS - 1)}", b.text) for i, b in enumerate(found)))
     out = {}
     for host, pages in hosts.items():
-        above = lambda p: ["/".join(p.split("/")[:k]) for k in range(2, p.count("/") + 2)]
-        for branch in {a for found in pages for p, _ in found for a in above(p)}:
-            under = [[(p, t) for p, t in found if (p + "/").startswith(branch + "/")] for found in pages]
-            shown = Counter(tuple(p for p, _ in u) for u in under if u)
-            m = sum(shown.values())
+        above = lambda p: ["/".join(p.split("#")[0].split("/")[:k]) for k in range(2, p.count("/") + 2)] + [p]
+        for branch in {a for shown in pages.values() for found in shown for p, _ in found for a in above(p)}:
+            under = {s: [[(p, t) for p, t in found if branch in above(p)] for found in shown] for s, shown in pages.items()}
+            under = {s: [u for u in many if u] for s, many in under.items() if any(many)}
+            m = len(under)
             if m < least:
                 continue
-            style = -sum(k / m * math.log(k / m, m) for k in shown.values())
-            leaves = Counter((p, t) for u in under for p, t in set(u))
+            shown = Counter(x for many in under.values() for x in {tuple(p.split("#")[0] for p, _ in u) for u in many})
+            style = 0 if "#" in branch else -sum(k / m * math.log(k / m, m) for k in shown.values())
+            leaves = Counter(x for many in under.values() for x in {(p, t) for u in many for p, t in u})
             weight = {x: k * len(x[1]) for x, k in leaves.items()}
             content = sum(max(0, 1 - math.log(k, m)) * weight[x] for x, k in leaves.items()) / sum(weight.values())
             out[host, branch] = (content, style)
     return out
 
 
+def test_the_tree_alone_tells_menus_from_stories(spark):
+    """Without names: menus, adverts and footers that pages share go, the article's paragraphs stay."""
+    rng = random.Random(4)
+    templates = [(f"<ul><li>{a}<li>{b}</ul>", f"<div class=x>Buy {a} now</div>", f"<div class=y>Made by {b}</div>") for a, b in (rng.sample("alpha beta gamma delta epsilon zeta".split(), 2) for _ in range(4))]
+    rows = []
+    for k in range(60):
+        menu, advert, last = templates[k % 4]
+        story = "".join(f"<p>Sentence {j} of story {k}" for j in range(k % 5 + 1))
+        rows.append((k, f"http://h.example/{k}", page(f"{menu}{advert}<article><h1>Story {k}</h1>{story}</article>{last}")))
+    got = {r["page_id"]: r["text"].split("\n") for r in style_tree.main_text(spark.createDataFrame(rows, SCHEMA), names=False).collect()}
+    assert all(got[k] == [f"Story {k}", *(f"Sentence {j} of story {k}" for j in range(k % 5 + 1))] for k in range(60))
+
+
+def test_small_hosts_keep_their_bodies(spark):
+    body = lambda k: page(f"<article><p>Teaser {k}</p></article><div class=story>The body of page {k}, which is longer</div>")
+    for n in (5, 12):
+        df = spark.createDataFrame([(k, f"http://h.example/{k}", body(k)) for k in range(n)], SCHEMA)
+        assert {r["text"] for r in style_tree.main_text(df).collect()} == {f"Teaser {k}\nThe body of page {k}, which is longer" for k in range(n)}
+
+
+def test_hash_of_what_is_shown():
+    def of(body):
+        return style_tree.shown(list(markup.blocks(page(body))))
+
+    a, b = of("<div><p>x<p>y</div><ul><li>1</ul>"), of("<div><p>other<p>words</div><ul><li>2</ul>")
+    assert a == b and set(a) == {"/html", "/html/body", "/html/body/div", "/html/body/div/p", "/html/body/ul", "/html/body/ul/li"}
+    c = of("<div><p>x</div><ul><li>1</ul>")
+    assert c["/html/body/ul"] == a["/html/body/ul"] and c["/html/body/div"] != a["/html/body/div"] and c["/html"] != a["/html"]
+    junk = "<div>x" * 200_000
+    assert len(style_tree.shown(list(markup.blocks(junk)))) <= markup.DEPTH
+
+
 def test_importance_is_that_of_brute_force(spark):
     rng = random.Random(9)
     rows = []
     for k in range(90):
         parts = [f"<div class={rng.choice(['a', 'b', 'c'])}><p>{rng.choice(['same', 'text ' + str(rng.randrange(4)), 'own ' + str(k)])}</p>{'<ul><li>x<li>y</ul>' * rng.randrange(2)}</div>" for _ in range(rng.randrange(1, 5))]
-        rows.append((k, f"http://h{k % 4}.example/{k}", page("".join(parts) + rng.choice(["", "<article><p>art</p></article>"]))))
+        rows.append((k, f"http://h{k % 4}.example/{k}", page("".join(parts) + rng.choice(["", "<article><p>art</p></article>"]) + rng.choice(["", f"<nav><a>{rng.randrange(3)}</a></nav>"]))))
     got = {(r["host"], r["path"]): (r["content"], r["style"]) for r in style_tree.importance(spark.createDataFrame(rows, SCHEMA), least_pages=3).collect()}
     want = brute_importance(rows, 3)
     assert set(got) == set(want) and len(got) > 20
