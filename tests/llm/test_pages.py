@@ -7,8 +7,10 @@ import hashlib
 import math
 import random
 import re
+import zlib
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import markup, style_tree, warc
@@ -168,6 +170,65 @@ def test_odd_records():
         assert warc.derive(odd) == []
 
 
+def made(name, block=b"hello", version=b"WARC/1.1", length=None, more=b""):
+    return version + b"\r\nWARC-Type: resource\r\nwarc-record-id: <urn:%s>\r\n%sContent-Length: %d\r\n\r\n" % (name, more, len(block) if length is None else length) + block + b"\r\n\r\n"
+
+
+def told(data, step):
+    """Names of the readable records and how many stretches cannot be read, with the file coming in pieces of step bytes."""
+    records = [warc._parsed(x) for x in warc.split(data[i : i + step] for i in range(0, len(data), step))]
+    return [r[0]["WARC-Record-ID"][5:-1] for r in records if r], sum(r is None for r in records)
+
+
+@pytest.mark.parametrize("step", [1, 7, 1000, 1 << 20])
+def test_what_cannot_be_read_ends_at_the_next_record(step):
+    good = [made(b"%d" % k, b"block %d \r\nWARC is no record here\r\n" % k) for k in range(4)]
+    odd = [made(b"x", version=b"WARC/0.18"), b"junk\r\nmore junk\r\n", made(b"x", length=10_000), made(b"x").replace(b"Content-Length", b"Content-Lost")]
+    for bad in odd:
+        data = good[0] + good[1] + bad + good[2] + good[3]
+        assert told(data, step) == (["0", "1", "2", "3"], 1)
+        members = b"".join(map(gzip.compress, [good[0], good[1], bad, good[2], good[3]]))
+        assert told(members, step) == (["0", "1", "2", "3"], 1)
+    broken = bytearray(gzip.compress(good[1] * 50))
+    broken[len(broken) // 2 :] = b"\x00" * 9
+    names, lost = told(gzip.compress(good[0]) + bytes(broken) + gzip.compress(good[2]), step)
+    assert names[0] == "0" and names[-1] == "2"
+    assert told(good[0] + good[1][:-30], step) == (["0"], 1) and told(b"", step) == ([], 0) and told(gzip.compress(good[0])[:-9], step)[1] <= 1
+
+
+def test_headers_stay_as_sent():
+    data = made(b"a", more=b"WARC-Concurrent-To: <urn:1>\r\nWARC-Concurrent-To: <urn:2>\r\nX-Case: Kept\r\n")
+    (back,) = warc.split(iter([data]))
+    assert back == data
+    headers, _ = warc.parse(back)
+    assert headers.every("warc-concurrent-to") == ["<urn:1>", "<urn:2>"] and ("X-Case", "Kept") in headers.fields
+
+
+def test_bodies_in_codings():
+    import time
+
+    import zstandard
+
+    head = lambda coding: warc.Headers([b"Content-Encoding: " + coding])
+    two = gzip.compress(b"first ") + gzip.compress(b"second")
+    assert warc.body_of(head(b"gzip"), two) == ("first second", "")
+    assert warc.body_of(head(b"gzip, gzip"), gzip.compress(two)) == ("first second", "")
+    assert warc.body_of(head(b"identity"), b"plain") == ("plain", "") and warc.body_of(head(b"gzip"), b"plain") == ("plain", "")
+    assert warc.body_of(head(b"zstd, deflate"), zlib.compress(zstandard.compress(b"text"))) == ("text", "")
+    assert warc.body_of(head(b"gzip, br"), b"\x0b\x02") == ("", "gzip, br")
+    chunked = warc.Headers([b"Transfer-Encoding: chunked"])
+    began = time.perf_counter()
+    assert warc.body_of(chunked, b"1\r\nx\r\n" * 400_000 + b"0\r\n\r\n")[0] == "x" * 400_000
+    assert time.perf_counter() - began < 5
+
+
+def test_large_files_are_streamed(spark, tmp_path):
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(gzip.compress(made(b"%d" % k)) for k in range(30)))
+    (tmp_path / "b.warc").write_bytes(b"".join(made(b"b%d" % k) for k in range(5)))
+    both = [sorted(r["record_id"] for r in warc.index(warc.read(spark, f"file://{tmp_path}", whole=n)).collect()) for n in (0, 1 << 20)]
+    assert both[0] == both[1] and len(both[0]) == 35
+
+
 def test_warc_files(spark, tmp_path):
     rows = [(k, f"http://a.example/{k}", f"<p>text {k}</p>" * (k % 3)) for k in range(40)] + [(40, None, None)]
     derived = warc.derivatives(warc.responses(spark.createDataFrame(rows, SCHEMA).repartition(3))).persist()
