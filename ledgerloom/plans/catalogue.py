@@ -32,7 +32,7 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return _SQL | reconstruction.SQL | pages.SQL | {"coerced_cells": reconstruction._coerced_sql(), "merged_fuzzy_rows": pages._merged_fuzzy_sql()}
+    return _SQL | reconstruction.SQL | pages.SQL | {"coerced_cells": reconstruction._coerced_sql(), "merged_fuzzy_rows": pages._merged_fuzzy_sql(), "statement_sheets_to_facts": pages.SQL["statement_sheets_to_facts"].replace("{KEY}", _key_sql("label"))}
 
 
 # --- DuckDB pieces that several queries use; a macro for each scalar rule
@@ -122,7 +122,8 @@ def densify_rows(spark, sf_dir) -> DataFrame:
     return dense.select("company", "sheet", "key", "period", F.col("value").cast("decimal(28,8)").alias("value"))
 
 
-@_query()
+@_query(f"""with n as (select distinct {_key_sql("p_type || ' ' || p_name || ' receivable from related parties'")} as key from part)
+ select key, key || 's' as other, round(2.0 * len(key) / (2 * len(key) + 1), 6)::double as score from n""")
 def fuzzy_label_match(spark, sf_dir) -> DataFrame:
     """Part names against edited ones: nearest label, similarity 0.96 or more."""
     names = table(spark, sf_dir, "part").select(F.lit(1).alias("g"), labels.item_key(F.concat("p_type", F.lit(" "), "p_name", F.lit(" receivable from related parties"))).alias("key")).distinct()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import numbers
-from ledgerloom.operators import headers, merge, tracking, words
+from ledgerloom.operators import headers, locate, merge, sheets, tracking, words
 from ledgerloom.sources import markup_tables
 from ledgerloom.sources.star import PAGE_ROWS_SQL, PAGE_TITLES, PERIOD_LINE, STATEMENTS_SQL, UNIT_LINE, page_rows, page_words, statements, table
 
@@ -155,3 +155,78 @@ def conflict_columns(spark, sf_dir) -> DataFrame:
     found = tracking.conflicts(tracking.versions(merge.facts(statements(spark, sf_dir))))
     return found.select("company", "sheet", "key", "column", F.col("existing").cast("decimal(28,8)").alias("existing"), F.col("value").cast("decimal(28,8)").alias("value"))
 
+
+
+# --- the reports' pages in other forms, read back
+
+
+@_query(f"""with {PAGE_ROWS_SQL}, e as (select doc_id || '/' || page_number as doc_id, n + 4 as row_idx, label, years[1] as y, amounts[1] as a, n from page_rows),
+ k as (select *, {{KEY}} || '#1' as key from e)
+ select doc_id, row_idx, label, key, 'Group ' || y as period, a as raw_text from k union all select doc_id, row_idx, label, key, 'Parent ' || y, n::varchar from k""")
+def statement_sheets_to_facts(spark, sf_dir) -> DataFrame:
+    """Every report's sheets with two columns of one year, told apart by the names above them: labels, keys, periods and amounts."""
+    rows = page_rows(spark, sf_dir)
+    title = F.element_at(F.array(*map(F.lit, PAGE_TITLES.values())), F.col("page_number"))
+    year = F.get("years", 0)
+    top = [(1, 1, title), (2, 2, F.lit("Group")), (2, 3, F.lit("Parent")), (3, 2, year), (3, 3, F.concat(year, F.lit("\t"))), (4, 2, F.lit("$m")), (4, 3, F.lit("$m"))]
+    cell = lambda r, c, t: F.struct(F.lit(r).alias("row_idx"), F.lit(c).alias("col_idx"), t.alias("raw_text"))
+    page = F.concat_ws("/", "doc_id", "page_number").alias("doc_id")
+    heads = rows.where("n = 1").select(page, F.inline(F.array(*[cell(*x) for x in top])))
+    body = rows.select(page, (F.col("n") + 4).alias("row_idx"), F.posexplode(F.array(F.col("label"), F.get("amounts", 0), F.col("n").cast("string"))).alias("c", "raw_text"))
+    cells = heads.unionByName(body.select("doc_id", "row_idx", (F.col("c") + 1).alias("col_idx"), "raw_text"))
+    return sheets.facts(cells).select("doc_id", "row_idx", "label", "key", "period", "raw_text")
+
+
+@_query(f"""with {PAGE_ROWS_SQL}, d as (select doc_id, page_number from page_rows where n = 1 and page_number in (1, 2, 3)), many as (select doc_id from page_rows where page_number = 3 group by 1)
+ select doc_id, ['balance_sheet', 'income_statement', 'cash_flow'][page_number] as statement_type, page_number as page_start, case page_number when 3 then 4 else page_number end as page_end,
+  {_TITLE_SQL} as title, 0.85 as score, 'title_match_in_page_head' as reason from d""")
+def statement_pages_located(spark, sf_dir) -> DataFrame:
+    """The texts of every report's pages, the cash flow statement on two of them: which pages hold which statement."""
+    rows = page_rows(spark, sf_dir)
+    title = F.element_at(F.array(*map(F.lit, PAGE_TITLES.values())), F.col("page_number"))
+    line = F.concat_ws(" ", "label", F.array_join("amounts", " "))
+    texts = rows.groupBy("doc_id", "page_number").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("n", line.alias("line")))), lambda x: x["line"]), "\n").alias("lines"))
+    pages = texts.select("doc_id", "page_number", F.concat_ws("\n", title, F.lit(UNIT_LINE), "lines").alias("text"))
+    more = texts.where("page_number = 3").select("doc_id", F.lit(4).alias("page_number"), F.lit("Net cash used in investing activities " + " ".join(map(str, range(101, 120)))).alias("text"))
+    found = locate.candidates(pages.unionByName(more))
+    return found.select("doc_id", "statement_type", "page_start", "page_end", "title", F.col("score").cast("double").alias("score"), "reason")
+
+
+_CELLS_SQL = f"""{PAGE_ROWS_SQL}, cells as (
+  select doc_id || '/' || page_number as doc_id, 0 as r, 0 as c, label as text from page_rows where false
+  union all select doc_id || '/' || page_number, 0, 0, 'Item' from page_rows where n = 1
+  union all select doc_id || '/' || page_number, 0, 1, 'Years' from page_rows where n = 1
+  union all select doc_id || '/' || page_number, 1, 0, '' from page_rows where n = 1
+  union all select doc_id || '/' || page_number, n + 1, 0, label from page_rows
+  union all select doc_id || '/' || page_number, n + 1, unnest(range(1, len(amounts) + 1))::int, unnest(amounts) from page_rows
+  union all select doc_id || '/' || page_number, 1, unnest(range(1, len(years) + 1))::int, unnest(years) from page_rows where n = 1
+  union all select doc_id || '/' || page_number, 0, unnest(range(2, len(years) + 1))::int, '' from page_rows where n = 1)"""
+
+
+def _whole_pages(rows: DataFrame) -> DataFrame:
+    """doc_id, years and rows (label and amounts, in order) of each page."""
+    page = F.concat_ws("/", "doc_id", "page_number").alias("doc_id")
+    return rows.groupBy(page).agg(F.first("years").alias("years"), F.sort_array(F.collect_list(F.struct("n", "label", "amounts"))).alias("rows"))
+
+
+@_query(f"with {_CELLS_SQL} select doc_id, 0 as table_idx, r as row_idx, c as col_idx, text from cells")
+def statement_html_cells(spark, sf_dir) -> DataFrame:
+    """Every report's pages as HTML tables with a header of spans, back to cells."""
+    esc = lambda c: F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit(" "), F.lit(" &#32; "))
+    td = lambda many: F.array_join(F.transform(many, lambda t: F.concat(F.lit("<td>"), esc(t), F.lit("</td>"))), "")
+    head = F.concat(F.lit('<table border=1><tr><th rowspan="2">Item</th><th colspan='), F.size("years").cast("string"), F.lit(">Years</th></tr><tr>"), td(F.col("years")), F.lit("</tr>"))
+    body = F.array_join(F.transform("rows", lambda r: F.concat(F.lit("<TR>"), td(F.concat(F.array(r["label"]), r["amounts"])), F.lit("</TR>"))), "\n")
+    texts = _whole_pages(page_rows(spark, sf_dir)).select("doc_id", F.concat(F.lit("<p>Page</p>"), head, body, F.lit("</table> end")).alias("text"))
+    return markup_tables.html_tables(texts)
+
+
+@_query(f"with {_CELLS_SQL} select doc_id, 'Page' as sheet, r + 1 as r, c + 1 as c, text as v from cells where r >= 1")
+def statement_json_cells(spark, sf_dir) -> DataFrame:
+    """Every report's pages as table documents within a model's words, back to cells."""
+    cell = lambda r, c, v: F.struct(r.cast("int").alias("r"), c.cast("int").alias("c"), v.alias("v"))
+    row = lambda r, many: F.transform(many, lambda v, i: cell(r, i + 1, v))
+    whole = F.concat(F.array(F.concat(F.array(F.lit("")), F.col("years"))), F.transform("rows", lambda r: F.concat(F.array(r["label"]), r["amounts"])))
+    pages = _whole_pages(page_rows(spark, sf_dir)).withColumn("cells", F.flatten(F.transform(whole, lambda many, i: row(i + 2, many))))
+    odd = F.array(cell(F.lit(0), F.lit(1), F.lit("dropped")))
+    document = F.to_json(F.struct(F.array(F.struct(F.lit("Page").alias("name"), F.concat("cells", odd).alias("cells"))).alias("sheets")))
+    return markup_tables.json_tables(pages.select("doc_id", F.concat(F.lit("Here is {the} table: ```json\n"), document, F.lit("\n``` as asked")).alias("text")))
