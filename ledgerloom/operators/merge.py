@@ -178,24 +178,37 @@ def merged(cells: DataFrame, threshold: float = THRESHOLD, order: str = "first",
     cells: facts(); order as in master_rows, strict as in reports_in_order.
     """
     by = ["company", "sheet", "key", "position"]
-    ordered = in_order(cells, strict)
-    rows = with_rows(ordered, threshold, order)
-    shown = ordered.groupBy("company", "sheet", "period").agg(_since(ordered).alias("since"))
+    rows = with_rows(in_order(cells, strict), threshold, order)
     last = F.max_by(F.struct("raw_text", F.col("workbook").cast("string").alias("workbook")), "seq")
-    latest = rows.groupBy(*by, "period").agg(last.alias("last"), F.max(F.struct("seq", "label")).alias("named"))
+    latest = rows.groupBy(*by, "period").agg(last.alias("last"), F.max(F.struct("seq", "label")).alias("named"), _since(rows).alias("since"))
     label = F.max("named").over(W.partitionBy(*by))["label"]
-    told = latest.select(*by, label.alias("label"), "period", numbers.amount(F.col("last.raw_text")).alias("value"), F.col("last.workbook").alias("workbook"))
-    return told.join(shown, ["company", "sheet", "period"]).select(*by, "label", "period", "since", "value", "workbook")
+    since = F.min("since").over(W.partitionBy("company", "sheet", "period"))
+    return latest.select(*by, label.alias("label"), "period", since.alias("since"), numbers.amount(F.col("last.raw_text")).alias("value"), F.col("last.workbook").alias("workbook"))
+
+
+def _rank(since: Column) -> Column:
+    """What periods are put in order by: annual ones first, then quarters, then others, each by time, then as they were first seen."""
+    p = periods.parse(F.col("period"))
+    return F.struct(F.coalesce((p["kind"] == "quarter").cast("int"), F.lit(2)).alias("kind"), periods.sort_key(p).alias("at"), since.alias("since"), F.col("period").alias("period"))
 
 
 def ordered_periods(cells: DataFrame) -> DataFrame:
     """company, sheet, period and place: annual periods first, then quarters, each in order; equal ones as they were first
     seen (since, where cells have it), then by their labels."""
-    p = periods.parse(F.col("period"))
     since = F.min("since") if "since" in cells.columns else F.min(F.lit(0))
-    seen = cells.groupBy("company", "sheet", "period").agg(since.alias("since"))
-    seen = seen.select("*", F.coalesce((p["kind"] == "quarter").cast("int"), F.lit(2)).alias("kind"), periods.sort_key(p).alias("at"))
-    return seen.select("company", "sheet", "period", F.row_number().over(W.partitionBy("company", "sheet").orderBy("kind", "at", "since", "period")).alias("place"))
+    seen = cells.groupBy("company", "sheet", "period").agg(since.alias("since")).select("company", "sheet", "period", _rank(F.col("since")).alias("rank"))
+    return seen.select("company", "sheet", "period", F.row_number().over(W.partitionBy("company", "sheet").orderBy("rank")).alias("place"))
+
+
+def _with_all_periods(merged_cells: DataFrame) -> DataFrame:
+    """One row for each master row: company, sheet, key, position, label, found (period to value) and periods, those of its statement in
+    order (_rank).  merged_cells are read once; a statement's rows meet in one window."""
+    since = F.col("since") if "since" in merged_cells.columns else F.lit(0)
+    row = ["company", "sheet", "key", "position", "label"]
+    told = merged_cells.withColumn("rank", _rank(since))
+    rows = told.groupBy(*row).agg(F.map_from_entries(F.collect_list(F.struct("period", "value"))).alias("found"), F.collect_set("rank").alias("own"))
+    every = F.array_sort(F.array_distinct(F.flatten(F.collect_set("own").over(W.partitionBy("company", "sheet")))))
+    return rows.withColumn("periods", every).drop("own")
 
 
 def laid_out(merged_cells: DataFrame) -> DataFrame:
@@ -204,35 +217,33 @@ def laid_out(merged_cells: DataFrame) -> DataFrame:
     Row 1 is headed Item; annual periods come first, then, if there are quarters, an empty column and the quarters.  A cell without an
     amount is an empty text.
     """
-    placed = ordered_periods(merged_cells).withColumn("quarter", periods.parse(F.col("period"))["kind"] == "quarter")
     by = W.partitionBy("company", "sheet")
-    c = F.col("place") + 1 + F.coalesce(F.col("quarter"), F.lit(False)).cast("int")
-    columns = placed.select("company", "sheet", "period", c.alias("c"), F.min(F.when(F.col("quarter"), c)).over(by).alias("first_quarter"))
-    gap = columns.where("first_quarter IS NOT NULL").select("company", "sheet", (F.col("first_quarter") - 1).alias("c")).distinct()
-    none = F.lit(None).cast("decimal(28,8)")
-    heads = columns.select("company", "sheet", "c", F.col("period").alias("text")).unionByName(gap.withColumn("text", F.lit("")))
-    heads = heads.unionByName(columns.select("company", "sheet", F.lit(1).alias("c"), F.lit("Item").alias("text")).distinct())
-    heads = heads.select("company", "sheet", F.lit(1).alias("r"), "c", "text", none.alias("value"))
-    rows = merged_cells.select("company", "sheet", "key", "position", "label").distinct()
-    rows = rows.withColumn("r", F.row_number().over(by.orderBy("position", "key")) + 1)
-    amounts = densified(merged_cells).select("company", "sheet", "key", "position", "period", "value").join(rows, ["company", "sheet", "key", "position"]).join(columns, ["company", "sheet", "period"])
-    body = amounts.select("company", "sheet", "r", "c", F.when(F.col("value").isNull(), "").alias("text"), F.col("value").cast("decimal(28,8)").alias("value"))
-    gaps = rows.join(gap, ["company", "sheet"]).select("company", "sheet", "r", "c", F.lit("").alias("text"), none.alias("value"))
-    names = rows.select("company", "sheet", "r", F.lit(1).alias("c"), F.col("label").alias("text"), none.alias("value"))
-    return heads.unionByName(names).unionByName(body).unionByName(gaps)
+    rows = _with_all_periods(merged_cells).withColumn("r", F.row_number().over(by.orderBy("position", "key")) + 1)
+    annual = F.size(F.filter("periods", lambda p: p["kind"] != 1))
+    # quarters stand right of the periods that are none, and of an empty column
+    shown = F.filter("periods", lambda p: p["kind"] == 0), F.filter("periods", lambda p: p["kind"] == 1), F.filter("periods", lambda p: p["kind"] == 2)
+    cell = lambda r, c, text, value: F.struct(r.alias("r"), c.cast("int").alias("c"), text.alias("text"), value.cast("decimal(28,8)").alias("value"))
+    none, blank = F.lit(None), F.lit("")
+    place = lambda i: i + 2 + F.when(i >= annual, 1).otherwise(0)
+    ordered = rows.withColumn("periods", F.concat(shown[0], shown[2], shown[1]))
+    amount = lambda p, i: F.try_element_at("found", p["period"])
+    body = F.transform("periods", lambda p, i: cell(F.col("r"), place(i), F.when(amount(p, i).isNull(), blank), amount(p, i)))
+    heads = F.transform("periods", lambda p, i: cell(F.lit(1), place(i), p["period"], none))
+    gap = lambda r: F.when(annual < F.size("periods"), F.array(cell(r, annual + 2, blank, none))).otherwise(F.array())
+    line = F.concat(F.array(cell(F.col("r"), F.lit(1), F.col("label"), none)), body, gap(F.col("r")))
+    top = F.concat(F.array(cell(F.lit(1), F.lit(1), F.lit("Item"), none)), heads, gap(F.lit(1)))
+    return ordered.select("company", "sheet", F.inline(F.when(F.col("r") == 2, F.concat(top, line)).otherwise(line)))
 
 
 def with_places(merged_cells: DataFrame) -> DataFrame:
     """merged cells with the place of their period among their statement's columns."""
-    return merged_cells.join(ordered_periods(merged_cells), ["company", "sheet", "period"])
+    order = W.partitionBy("company", "sheet").orderBy(_rank(F.col("since") if "since" in merged_cells.columns else F.lit(0)))
+    return merged_cells.withColumn("place", F.dense_rank().over(order))
 
 
 def densified(merged_cells: DataFrame) -> DataFrame:
     """Every master row of a statement with every period of it; null where no report has an amount."""
-    by = ["company", "sheet"]
-    shown = merged_cells.groupBy(*by).agg(F.collect_set("period").alias("periods"))
-    rows = merged_cells.groupBy(*by, "key", "position", "label").agg(F.map_from_entries(F.collect_list(F.struct("period", "value"))).alias("found"))
-    every = rows.join(shown, by).select(*by, "key", "position", "label", "found", F.explode("periods").alias("period"))
+    every = _with_all_periods(merged_cells).select("company", "sheet", "key", "position", "label", "found", F.explode("periods.period").alias("period"))
     return every.withColumn("value", F.try_element_at("found", F.col("period"))).drop("found")
 
 

@@ -32,7 +32,11 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return _SQL | reconstruction.SQL | pages.SQL | {"coerced_cells": reconstruction._coerced_sql(), "merged_fuzzy_rows": pages._merged_fuzzy_sql(), "statement_sheets_to_facts": pages.SQL["statement_sheets_to_facts"].replace("{KEY}", _key_sql("label"))}
+    late = {
+        "coerced_cells": reconstruction._coerced_sql(), "merged_fuzzy_rows": pages._merged_fuzzy_sql(), "statement_grid": pages._grid_sql(),
+        "statement_sheets_to_facts": pages.SQL["statement_sheets_to_facts"].replace("{KEY}", _key_sql("label")),
+    }
+    return _SQL | reconstruction.SQL | pages.SQL | late
 
 
 # --- DuckDB pieces that several queries use; a macro for each scalar rule

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import numbers
-from ledgerloom.operators import headers, locate, merge, sheets, tracking, words
+from ledgerloom.operators import headers, locate, merge, reports, sheets, tracking, words
+from ledgerloom.plans import fixtures
 from ledgerloom.sources import markup_tables
-from ledgerloom.sources.star import PAGE_ROWS_SQL, PAGE_TITLES, PERIOD_LINE, STATEMENTS_SQL, UNIT_LINE, page_rows, page_words, statements, table
+from ledgerloom.sources.star import PAGE_ROWS_SQL, PAGE_TITLES, PERIOD_LINE, STATEMENTS_SQL, UNIT_LINE, given, page_rows, page_words, statements, table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -230,3 +231,86 @@ def statement_json_cells(spark, sf_dir) -> DataFrame:
     odd = F.array(cell(F.lit(0), F.lit(1), F.lit("dropped")))
     document = F.to_json(F.struct(F.array(F.struct(F.lit("Page").alias("name"), F.concat("cells", odd).alias("cells"))).alias("sheets")))
     return markup_tables.json_tables(pages.select("doc_id", F.concat(F.lit("Here is {the} table: ```json\n"), document, F.lit("\n``` as asked")).alias("text")))
+
+
+# --- small outputs
+
+
+@_query("select o_orderkey, case when o_totalprice::decimal(18,2) = floor(o_totalprice::decimal(18,2)) then '#,##0;(#,##0);\"-\"' else '#,##0.0;(#,##0.0);\"-\"' end as shown from orders")
+def number_formats(spark, sf_dir) -> DataFrame:
+    """How the cell of each order's total is shown."""
+    return table(spark, sf_dir, "orders").select("o_orderkey", reports.number_format(F.col("o_totalprice").cast("decimal(18,2)")).alias("shown"))
+
+
+@_query(r"select c_custkey, try_cast(regexp_replace(c_name || ' ' || n, '[^0-9.\-]', '', 'g') as double) as value from (select c_custkey, c_name, case c_custkey % 4 when 0 then '1.5 m' when 1 then 'none' when 2 then '-' else '' end as n from customer)")
+def lenient_numbers(spark, sf_dir) -> DataFrame:
+    """Whatever number is left of a text."""
+    k = F.col("c_custkey") % 4
+    more = F.when(k == 0, "1.5 m").when(k == 1, "none").when(k == 2, "-").otherwise("")
+    return table(spark, sf_dir, "customer").select("c_custkey", numbers.lenient_number(F.concat_ws(" ", "c_name", more)).alias("value"))
+
+
+_SOURCE = "concat('see <TABLE id=a>', coalesce(source, ''), '\n<tr></table> and <table>', cast(doc_id as string), '</Table> <table> lost')"
+
+
+@_query(f"select doc_id, len(b) as n, array_to_string(b, '|') as blocks from (select doc_id, regexp_extract_all({_SOURCE}, '(?is)(<table\\b.*?</table>)', 1) as b from documents)")
+def table_sources(spark, sf_dir) -> DataFrame:
+    """The source of each table within texts."""
+    found = table(spark, sf_dir, "documents").select("doc_id", markup_tables.table_blocks(F.expr(_SOURCE.replace("\n", "\\n"))).alias("b"))
+    return found.select("doc_id", F.size("b").alias("n"), F.array_join("b", "|").alias("blocks"))
+
+
+@_query(f"with {STATEMENTS_SQL} select company, workbook::varchar as source, 'Annual' as report_type, max(period::int) over (partition by company, workbook) as year, sheet as statement, min(row_idx) || '-' || max(row_idx) as pages from statements group by company, workbook, sheet, period qualify row_number() over (partition by company, workbook, sheet order by period) = 1")
+def report_tracking(spark, sf_dir) -> DataFrame:
+    """One row for every statement of every report, with the report's type and year."""
+    cells = statements(spark, sf_dir)
+    results = cells.groupBy("company", "workbook", "sheet", F.col("period").alias("p")).agg(F.min("row_idx").alias("page_start"), F.max("row_idx").alias("page_end"))
+    first = results.groupBy("company", "workbook", "sheet").agg(F.min_by(F.struct("page_start", "page_end"), "p").alias("x")).select("company", "workbook", "sheet", "x.*")
+    told = first.withColumn("method", F.lit("embedded")).withColumn("warnings", F.array().cast("array<string>"))
+    return tracking.tracked(merge.reports_in_order(cells), told).select("company", "source", "report_type", "year", "statement", "pages")
+
+
+_FOLDED_SQL = f"""r as (select * from {fixtures.OVER.RESULTS}), m as (select *, contains(lower(title), 'comprehensive income') and statement_type = 'income_statement' and lag(statement_type) over w = 'income_statement'
+  and page_start <= max(page_end) over (partition by doc_id order by position rows between unbounded preceding and 1 preceding) + 2 as fold from r window w as (partition by doc_id order by position)),
+ g as (select *, sum(case when coalesce(fold, false) then 0 else 1 end) over (partition by doc_id order by position) as kept from m)"""
+
+
+@_query(f"""with {_FOLDED_SQL}, e as (select doc_id, kept, position, unnest([0, 1]) as row_idx, unnest(['Item|' || (2000 + page_start), title || '|' || page_end]) as line from g
+  union all select doc_id, kept, position, -1, '' from g where coalesce(fold, false))
+ select doc_id, kept, row_number() over (partition by doc_id, kept order by position, row_idx) - 1 as row_idx, line from e""")
+def comprehensive_income_rows(spark, sf_dir) -> DataFrame:
+    """The rows of folded statements, one run after another."""
+    results = given(spark, sf_dir, fixtures.OVER.RESULTS)
+    lines = F.array(F.array(F.lit("Item"), (2000 + F.col("page_start")).cast("string")), F.array(F.col("title"), F.col("page_end").cast("string")))
+    rows = results.select("doc_id", "position", F.posexplode(lines).alias("row_idx", "cells"))
+    return reports.folded_rows(results, rows).select("doc_id", "kept", "row_idx", F.array_join("cells", "|").alias("line"))
+
+
+@_query(f"""select r.doc_id, r.position, 'out/' || r.doc_id || '.xlsx' as output_workbook, r.doc_id || '.pdf' as source_pdf, page_start || ', ' || page_end as source_pages, page_start::varchar as page_start, page_end::varchar as page_end,
+  'embedded' as extraction_method, title, '0.85' as score, coalesce(string_agg(message, '; ' order by seq), '') as warnings
+ from {fixtures.OVER.RESULTS.sql("r")} left join {fixtures.OVER.WARNINGS.sql("w")} on r.doc_id = w.doc_id and r.position = w.seq group by all""")
+def extraction_records(spark, sf_dir) -> DataFrame:
+    """The eleven columns of every report's extraction record, but for names that other queries check."""
+    results = given(spark, sf_dir, fixtures.OVER.RESULTS).select(
+        "doc_id", "position", F.concat(F.lit("out/"), "doc_id", F.lit(".xlsx")).alias("output_workbook"), F.concat("doc_id", F.lit(".pdf")).alias("source_pdf"), "statement_type", "title",
+        F.array("page_start", "page_end").alias("pages"), F.lit("embedded").alias("method"), F.lit(0.85).alias("score"),
+    )
+    notes = given(spark, sf_dir, fixtures.OVER.WARNINGS).select("doc_id", F.col("seq").alias("position"), "seq", "message")
+    return reports.extraction_record(results, notes).drop("sheet_name", "statement_type")
+
+
+@_query()
+def statement_grid(spark, sf_dir) -> DataFrame:
+    """Merged statements as their sheets show them, cell by cell."""
+    cells = merge.laid_out(merge.merged(merge.facts(statements(spark, sf_dir))))
+    return cells.select("company", "sheet", "r", "c", "text", F.col("value").cast("decimal(28,8)").alias("value"))
+
+
+def _grid_sql() -> str:
+    from ledgerloom.plans import catalogue
+
+    return f"""{catalogue._FACTS_SQL}, spans as (select company, sheet, period, row_number() over (partition by company, sheet order by period::int) + 1 as c from (select distinct company, sheet, period from merged)),
+ lines as (select company, sheet, key, label, row_number() over (partition by company, sheet order by position) + 1 as r from named)
+ select company, sheet, 1 as r, 1 as c, 'Item' as text, null::decimal(28,8) as value from (select distinct company, sheet from spans) union all select company, sheet, 1, c, period, null from spans
+ union all select company, sheet, r, 1, label, null from lines
+ union all select company, sheet, r, c, case when value is null then '' end, value from lines join spans using (company, sheet) left join merged using (company, sheet, key, period)"""
