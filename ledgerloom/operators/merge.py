@@ -188,8 +188,9 @@ def merged(cells: DataFrame, threshold: float = THRESHOLD, order: str = "first",
 
 def _rank(since: Column) -> Column:
     """What periods are put in order by: annual ones first, then quarters, then others, each by time, then as they were first seen."""
-    p = periods.parse(F.col("period"))
-    return F.struct(F.coalesce((p["kind"] == "quarter").cast("int"), F.lit(2)).alias("kind"), periods.sort_key(p).alias("at"), since.alias("since"), F.col("period").alias("period"))
+    kind = lambda p: F.coalesce((p["kind"] == "quarter").cast("int"), F.lit(2)).alias("kind")
+    told = numbers._once(periods.parse(F.col("period")), lambda p: F.struct(kind(p), periods.sort_key(p).alias("at")))
+    return numbers._once(told, lambda t: F.struct(t["kind"].alias("kind"), t["at"].alias("at"), since.alias("since"), F.col("period").alias("period")))
 
 
 def ordered_periods(cells: DataFrame) -> DataFrame:

@@ -89,7 +89,7 @@ def warnings(found: DataFrame, statements: DataFrame | None = None, issues: Data
     shown = F.concat_ws(" ", F.lit("has"), F.col("value").cast("string"), F.lit("where"), F.col("existing").cast("string"), F.lit("was:"), F.col("key"))
     out = _warning(conflicts(found), "Warning", "conflict", shown, "compare the reports", source=F.col("workbook"), statement=F.col("sheet"), period=F.col("period"), page_number=F.col("page_number"))
     twice = found.select("company", "sheet", "workbook", "seq", "period").distinct().withColumn("at", periods.sort_key(periods.parse(F.col("period"))))
-    twice = twice.where("at IS NOT NULL").groupBy("company", "sheet", "workbook", "at").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("period")), ", ").alias("period")).where("n > 1")
+    twice = twice.where("at.year IS NOT NULL").groupBy("company", "sheet", "workbook", "at").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("period")), ", ").alias("period")).where("n > 1")
     out = out.unionByName(_warning(twice, "Info", "duplicate period", F.col("period"), "check the columns", source=F.col("workbook"), statement=F.col("sheet"), period=F.col("period")))
     if statements is not None:
         kept = {"source": F.col("source"), "statement": F.col("statement")}
