@@ -57,7 +57,8 @@ def header_bands(spark, sf_dir) -> DataFrame:
 def _tabular(spark, sf_dir) -> DataFrame:
     """documents, every second one with its first words as a pipe table after them."""
     d = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    w = F.slice(F.filter(F.split("text", r"[^A-Za-z0-9]+"), lambda x: x != ""), 1, 6)
+    # six words are among the first seven pieces, as only the first can be empty; the eighth is the rest of the text
+    w = F.slice(F.filter(F.split("text", r"[^A-Za-z0-9]+", 8), lambda x: x != ""), 1, 6)
     rows = F.transform(w, lambda x: F.concat(F.lit("| "), x, F.lit(" | "), F.length(x).cast("string"), F.lit(" |")))
     block = F.concat(F.lit("\n| word | length |\n|---|:---:|\n"), F.array_join(rows, "\n"), F.lit("\nend"))
     return d.withColumn("text", F.when(F.col("doc_id") % 2 == 0, F.concat("text", block)).otherwise(F.col("text")))

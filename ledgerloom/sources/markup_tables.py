@@ -84,20 +84,30 @@ def table_blocks(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(r"(?is)(<table\b.*?</table>)"), F.lit(1))
 
 
+def _markdown_rows(text: Column) -> Column:
+    """The first block of pipe lines as rows of cells; null where there is none of two lines or more.
+
+    All that is used more than once is an argument, so that a text is cut into lines once, whatever the optimizer pushes down.
+    """
+    once, piped = numbers._once, lambda x: x.startswith("|") & x.endswith("|")
+    cells = lambda x: F.transform(F.split(F.regexp_replace(x, r"^\|+|\|+$", ""), r"\|"), numbers.strip)
+    first = lambda lines: F.nullif(F.array_position(F.transform(lines, piped), True), F.lit(0)).cast("int")
+    length = lambda rest: F.coalesce(F.nullif(F.array_position(F.transform(rest, lambda x: ~piped(x)), True), F.lit(0)) - 1, F.size(rest)).cast("int")
+
+    def kept(rows: Column) -> Column:
+        dashes = F.forall(F.get(rows, 1), lambda y: y.rlike("^:?-{3,}:?$"))
+        return F.when(dashes, F.concat(F.slice(rows, 1, 1), F.slice(rows, 3, 1 << 30))).otherwise(rows)
+
+    def whole(block: Column) -> Column:
+        return F.when(F.size(block) >= 2, once(F.transform(block, cells), kept))
+
+    lines = F.filter(F.transform(F.split(text, LINE_END), numbers.strip), lambda x: x != "")
+    return once(once(once(lines, lambda x: F.slice(x, first(x), F.size(x))), lambda rest: F.slice(rest, F.lit(1), length(rest))), whole)
+
+
 def markdown_tables(texts: DataFrame) -> DataFrame:
     """doc_id, row_idx, col_idx, text of the first block of pipe lines; a second line of dashes only is no row."""
-    filled = F.filter(F.transform(F.split("text", LINE_END), numbers.strip), lambda x: x != "")
-    piped = lambda x: x.startswith("|") & x.endswith("|")
-    first = F.array_position(F.transform("filled", piped), True).cast("int")
-    # where no line is piped, first is 0, which slice does not take even if the row is to be dropped
-    rest = F.slice("filled", F.greatest(F.col("first"), F.lit(1)), F.size("filled"))
-    length = F.coalesce(F.nullif(F.array_position(F.transform("rest", lambda x: ~piped(x)), True), F.lit(0)) - 1, F.size("rest")).cast("int")
-    block = texts.withColumn("filled", filled).withColumn("first", first).where("first > 0").withColumn("rest", rest).withColumn("block", F.slice("rest", F.lit(1), length)).where(F.size("block") >= 2)
-    cells = lambda x: F.transform(F.split(F.regexp_replace(x, r"^\|+|\|+$", ""), r"\|"), numbers.strip)
-    rows = block.withColumn("rows", F.transform("block", cells))
-    dashes = F.forall(F.get("rows", 1), lambda y: y.rlike("^:?-{3,}:?$"))
-    kept = rows.withColumn("rows", F.when(dashes, F.concat(F.slice("rows", 1, 1), F.slice("rows", 3, 1 << 30))).otherwise(F.col("rows")))
-    return kept.select("doc_id", F.posexplode("rows").alias("row_idx", "row")).select("doc_id", "row_idx", F.posexplode("row").alias("col_idx", "text"))
+    return texts.select("doc_id", F.posexplode(_markdown_rows(F.col("text"))).alias("row_idx", "row")).select("doc_id", "row_idx", F.posexplode("row").alias("col_idx", "text"))
 
 
 #: Where a line ends, as Python knows it.
