@@ -117,24 +117,56 @@ DOCUMENT = "struct<sheets:array<struct<name:string,cells:array<struct<r:int,c:in
 SHEET, NO_SHEETS = "Sheet1", "(empty sheets)"
 
 
+def _is_json(c: Column) -> Column:
+    """Whether all of c is one JSON value: the parser stops behind the first one, but what is an array's only item and an
+    object's only value holds nothing after it."""
+    return F.try_parse_json(F.concat(F.lit("["), c, F.lit("]"))).isNotNull() & F.try_parse_json(F.concat(F.lit('{"x":'), c, F.lit("}"))).isNotNull()
+
+
 def first_object(text: Column) -> Column:
     """The JSON that a model's answer holds: its first fenced part or all of it, or of that the first {...} whose braces
     balance; null where there is none."""
-    fence = r"(?is)```(?:json)?\s*(.*?)\s*```"
-    bare = F.when(text.rlike(fence), numbers.strip(F.regexp_extract(text, fence, 1))).otherwise(numbers.strip(text))
-    inner = F.substr(bare, F.instr(bare, F.lit("{")))
-    # the k-th closing brace balances where the pieces before it hold k opening ones
-    pieces = F.split(inner, "[}]", -1)
+    once, fence = numbers._once, r"(?is)```(?:json)?\s*(.*?)\s*```"
+    bare = F.when(F.contains(text, F.lit("```")) & text.rlike(fence), numbers.strip(F.regexp_extract(text, fence, 1))).otherwise(numbers.strip(text))
     start = F.struct(F.lit(0).alias("opened"), F.lit(0).alias("k"), F.lit(0).alias("end"))
 
     def step(a: Column, piece: Column) -> Column:
         opened, k = a["opened"] + F.length(piece) - F.length(F.replace(piece, F.lit("{"), F.lit(""))), a["k"] + 1
         return F.struct(opened.alias("opened"), k.alias("k"), F.when((a["end"] == 0) & (opened == k), k).otherwise(a["end"]).alias("end"))
 
-    end = F.aggregate(F.slice(pieces, F.lit(1), F.greatest(F.size(pieces) - 1, F.lit(0))), start, step)["end"]
-    cut = F.concat(F.array_join(F.slice(pieces, F.lit(1), end), "}"), F.lit("}"))
-    whole = F.try_parse_json(bare).isNotNull()
-    return F.when(whole, bare).when(F.contains(bare, F.lit("{")) & (end > 0) & F.try_parse_json(cut).isNotNull(), cut)
+    def balanced(pieces: Column) -> Column:
+        # the k-th closing brace balances where the pieces before it hold k opening ones
+        end = F.aggregate(F.slice(pieces, F.lit(1), F.greatest(F.size(pieces) - 1, F.lit(0))), start, step)["end"]
+        return once(end, lambda k: F.when(k > 0, F.concat(F.array_join(F.slice(pieces, F.lit(1), k), "}"), F.lit("}"))))
+
+    def whole_or_cut(bare: Column) -> Column:
+        cut = once(F.split(F.substr(bare, F.instr(bare, F.lit("{"))), "[}]", -1), balanced)
+        return F.when(_is_json(bare), bare).when(F.contains(bare, F.lit("{")), once(cut, lambda c: F.when(_is_json(c), c)))
+
+    return once(bare, whole_or_cut)
+
+
+_CELLS = "array<struct<sheet:string,r:int,c:int,v:string>>"
+
+
+def _cell(sheet: Column, r: Column, c: Column, v: Column) -> Column:
+    return F.struct(sheet.alias("sheet"), r.cast("int").alias("r"), c.cast("int").alias("c"), v.alias("v"))
+
+
+def _document_cells(json: Column) -> Column:
+    """The cells of a table document, those below row or column 1 dropped; one with its notes if it has no sheets."""
+    none = F.array().cast(_CELLS)
+
+    def sheet(s: Column) -> Column:
+        name = F.coalesce(F.nullif(s["name"], F.lit("")), F.lit(SHEET))
+        return F.coalesce(F.transform(F.filter(s["cells"], lambda x: (x["r"] > 0) & (x["c"] > 0)), lambda x: _cell(name, x["r"], x["c"], x["v"])), none)
+
+    def cells(d: Column) -> Column:
+        notes = F.coalesce(F.nullif(numbers.strip(F.coalesce(d["meta"]["notes"], F.lit(""))), F.lit("")), F.lit(NO_SHEETS))
+        found = F.when(F.coalesce(F.size(d["sheets"]), F.lit(0)) > 0, F.flatten(F.transform(d["sheets"], sheet))).otherwise(F.array(_cell(F.lit(SHEET), F.lit(1), F.lit(1), notes)))
+        return F.when(d.isNotNull(), found)
+
+    return numbers._once(F.from_json(json, DOCUMENT), cells)
 
 
 def json_tables(texts: DataFrame) -> DataFrame:
@@ -142,13 +174,7 @@ def json_tables(texts: DataFrame) -> DataFrame:
 
     A document without sheets is one cell with its notes.
     """
-    json = first_object(F.col("text"))
-    found = texts.select("doc_id", F.from_json(json, DOCUMENT).alias("d")).where("d IS NOT NULL")
-    sheets = found.select("doc_id", F.explode("d.sheets").alias("s"))
-    cells = sheets.select("doc_id", F.coalesce(F.nullif("s.name", F.lit("")), F.lit(SHEET)).alias("sheet"), F.explode("s.cells").alias("x")).select("doc_id", "sheet", "x.*")
-    notes = F.coalesce(F.nullif(numbers.strip(F.coalesce("d.meta.notes", F.lit(""))), F.lit("")), F.lit(NO_SHEETS))
-    empty = found.where(F.coalesce(F.size("d.sheets"), F.lit(0)) <= 0).select("doc_id", F.lit(SHEET).alias("sheet"), F.lit(1).alias("r"), F.lit(1).alias("c"), notes.alias("v"))
-    return cells.where("r > 0 AND c > 0").unionByName(empty)
+    return texts.select("doc_id", F.inline(_document_cells(first_object(F.col("text")))))
 
 
 #: So much of a text that is no table goes into its one cell.
@@ -156,10 +182,18 @@ RAW_CHARS = 32_000
 
 
 def answer_tables(texts: DataFrame) -> DataFrame:
-    """doc_id, sheet, r, c, v of models' answers: JSON if there is any, else a markdown table, else the text in one cell."""
-    kept = texts.withColumn("json", first_object(F.col("text")))
-    plain = kept.where("json IS NULL").select("doc_id", "text")
-    rows = markdown_tables(plain)
-    grid = rows.select("doc_id", F.lit("Sheet1").alias("sheet"), (F.col("row_idx") + 1).alias("r"), (F.col("col_idx") + 1).alias("c"), F.col("text").alias("v"))
-    raw = plain.join(rows.select("doc_id").distinct(), "doc_id", "left_anti").select("doc_id", F.lit("Sheet1").alias("sheet"), F.lit(1).alias("r"), F.lit(1).alias("c"), F.substr(numbers.strip(F.col("text")), F.lit(1), F.lit(RAW_CHARS)).alias("v"))
-    return json_tables(kept.where("json IS NOT NULL").select("doc_id", "text")).unionByName(grid).unionByName(raw)
+    """doc_id, sheet, r, c, v of models' answers: JSON if there is any, else a markdown table, else the text in one cell.
+
+    Each text is told on its own, in one pass.
+    """
+    text = F.col("text")
+    raw = F.array(_cell(F.lit(SHEET), F.lit(1), F.lit(1), F.substr(numbers.strip(text), F.lit(1), F.lit(RAW_CHARS))))
+
+    def laid(rows: Column) -> Column:
+        cells = F.flatten(F.transform(rows, lambda row, r: F.transform(row, lambda v, c: _cell(F.lit(SHEET), r + 1, c + 1, v))))
+        return F.when(rows.isNotNull(), cells).otherwise(raw)
+
+    def told(json: Column) -> Column:
+        return F.when(json.isNotNull(), _document_cells(json)).otherwise(numbers._once(_markdown_rows(text), laid))
+
+    return texts.select("doc_id", F.inline(numbers._once(first_object(text), told)))

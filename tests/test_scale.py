@@ -20,3 +20,19 @@ def test_markdown_tables_of_odd_texts(spark):
     df = spark.createDataFrame(list(texts.items()), "doc_id int, text string")
     found = sorted(tuple(r) for r in markup_tables.markdown_tables(df).collect())
     assert found == [(3, 0, 0, "--"), (3, 1, 0, ""), (4, 0, 0, "h"), (4, 1, 0, "1"), (4, 2, 0, "2"), (7, 0, 0, "a"), (7, 1, 0, "b"), (7, 1, 1, "c")]
+
+
+def test_answers_are_told_in_one_pass(spark):
+    text = plan(entry.queries()["document_answer_tables"](spark, SF))
+    assert "Join" not in text and text.count("Relation [") == 1 and text.count("split(") == 4
+
+
+def test_answers_of_odd_texts(spark):
+    texts = {
+        1: "4397110767823743 +1 (654) 555 and words", 2: "12 apples\n| a | b |\n|---|---|\n| 1 | 2 |", 3: '{"sheets":[{"name":"","cells":[{"r":1,"c":2,"v":"x"},{"r":1,"c":0,"v":"gone"},null]},null,{"name":"n"}]}',
+        4: 'so {"sheets":[],"meta":{"notes":" why "}} it is', 5: None, 6: '{"a":"{"} x }', 7: "[1], [2]", 8: '1, "y": 2',
+    }
+    df = spark.createDataFrame(list(texts.items()), "doc_id int, text string")
+    raw = [(k, "Sheet1", 1, 1, texts[k]) for k in (1, 5, 6, 7, 8)]
+    tables = [(2, "Sheet1", r, c, v) for r, c, v in ((1, 1, "a"), (1, 2, "b"), (2, 1, "1"), (2, 2, "2"))]
+    assert sorted(map(tuple, markup_tables.answer_tables(df).collect()), key=str) == sorted([*raw, *tables, (3, "Sheet1", 1, 2, "x"), (4, "Sheet1", 1, 1, "why")], key=str)
