@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,37 +12,46 @@ from ledgerloom.operators import headers, rebuild
 TOLERANCE, SPREAD, LEAST, MOST, BOUNDARY = 3.0, 24.0, 2, 8, 30.0
 
 
-def _numbered(pdf: pd.DataFrame) -> pd.DataFrame:
-    """A page's words in order of height, with line_no: a word opens a line if it is far from the line's mean height."""
-    pdf = pdf.assign(band=(pdf["y0"] / TOLERANCE).round()).sort_values(["band", "x0"], kind="stable").drop(columns="band")
-    line_nos, heights, line = [], [], -1
-    for y in pdf["y0"]:
-        if not heights or abs(y - sum(heights) / len(heights)) > TOLERANCE:
-            line, heights = line + 1, []
-        heights.append(y)
-        line_nos.append(line)
-    return pdf.assign(line_no=line_nos)
+def _pages(words: DataFrame) -> DataFrame:
+    """doc_id, page_number and lines: a page's words in order of height, cut into lines; a word opens a line if it is far from the
+    line's mean height.
 
+    The mean of a line moves with each word, so a page is one sequential fold; pages are bounded and independent.  Only where lines
+    begin is kept along it.  Words without a height go to the last line.
+    """
+    number = lambda name: F.when(~F.isnan(name), F.col(name))
+    y, x = number("y0"), number("x0")
+    word = F.struct(y.isNull().alias("low"), F.rint(y / TOLERANCE).alias("band"), x.isNull().alias("right"), x.alias("x0"), y.alias("y0"), number("x1").alias("x1"), "text")
+    start = F.struct(F.lit(0.0).alias("total"), F.lit(0).alias("n"), F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
 
-def to_lines(words: DataFrame) -> DataFrame:
-    """words with line_no.
+    def step(a: Column, w: Column) -> Column:
+        far = F.when(a["n"] == 0, F.lit(True)).otherwise(F.coalesce(F.abs(w["y0"] - a["total"] / a["n"]) > TOLERANCE, F.lit(False)))
 
-    The mean of a line moves with each word, so a page is one sequential scan; pages are bounded and independent.
-    """
-    columns = ["doc_id", "page_number", "line_no", "x0", "y0", "x1", "text"]
-    return words.groupBy("doc_id", "page_number").applyInPandas(lambda pdf: _numbered(pdf)[columns], "doc_id string, page_number int, line_no int, x0 double, y0 double, x1 double, text string")
+        def grown(opens: Column) -> Column:
+            total, n = F.when(opens, w["y0"]).otherwise(a["total"] + w["y0"]), F.when(opens, F.lit(1)).otherwise(a["n"] + 1)
+            return F.struct(total.alias("total"), n.alias("n"), (a["at"] + 1).alias("at"), F.when(opens, F.concat(a["starts"], F.array(a["at"]))).otherwise(a["starts"]).alias("starts"))
+
+        return numbers._once(far, grown)
+
+    def cut(starts: Column) -> Column:
+        return F.transform(starts, lambda at, i: F.slice("words", at + 1, F.coalesce(F.get(starts, i + 1), F.size("words")) - at))
+
+    pages = words.groupBy(F.col("doc_id").cast("string").alias("doc_id"), F.col("page_number").cast("int").alias("page_number")).agg(F.sort_array(F.collect_list(word)).alias("words"))
+    return pages.select("doc_id", "page_number", numbers._once(F.aggregate("words", start, step)["starts"], cut).alias("lines"))
+
+
+def to_lines(words: DataFrame) -> DataFrame:
+    """words with line_no."""
+    lines = _pages(words).select("doc_id", "page_number", F.posexplode("lines").alias("line_no", "line"))
+    return lines.select("doc_id", "page_number", "line_no", F.inline("line")).select("doc_id", "page_number", "line_no", "x0", "y0", "x1", "text")
 
 
 def page_lines(words: DataFrame) -> DataFrame:
     """doc_id, page_number, line_no, y0 (the least of the line), x0, x1 and words: to_lines() with the words of a line from left to
     right in arrays, so that a line's words need not meet again."""
-
-    def page(pdf: pd.DataFrame) -> pd.DataFrame:
-        lines = _numbered(pdf).sort_values(["line_no", "x0"], kind="stable").groupby("line_no")
-        found = lines.agg(y0=("y0", "min"), x0=("x0", list), x1=("x1", list), words=("text", list)).reset_index()
-        return found.assign(doc_id=pdf["doc_id"].iloc[0], page_number=pdf["page_number"].iloc[0])[["doc_id", "page_number", "line_no", "y0", "x0", "x1", "words"]]
-
-    return words.groupBy("doc_id", "page_number").applyInPandas(page, "doc_id string, page_number int, line_no int, y0 double, x0 array<double>, x1 array<double>, words array<string>")
+    lines = _pages(words).select("doc_id", "page_number", F.posexplode("lines").alias("line_no", "line"))
+    across = F.sort_array(F.transform("line", lambda w, i: F.struct(w["right"].alias("right"), w["x0"].alias("x0"), i.alias("at"), w["y0"].alias("y0"), w["x1"].alias("x1"), w["text"].alias("text"))))
+    return lines.withColumn("line", across).select("doc_id", "page_number", "line_no", F.array_min("line.y0").alias("y0"), F.col("line.x0").alias("x0"), F.col("line.x1").alias("x1"), F.col("line.text").alias("words"))
 
 
 def _anchors(xs: Column, spread: float = SPREAD, least: int = LEAST, most: int = MOST) -> Column:

@@ -3,6 +3,7 @@
 from oracle import SF
 
 import __spark_entry__ as entry
+from ledgerloom.operators import words
 from ledgerloom.sources import markup_tables
 
 
@@ -36,3 +37,28 @@ def test_answers_of_odd_texts(spark):
     raw = [(k, "Sheet1", 1, 1, texts[k]) for k in (1, 5, 6, 7, 8)]
     tables = [(2, "Sheet1", r, c, v) for r, c, v in ((1, 1, "a"), (1, 2, "b"), (2, 1, "1"), (2, 2, "2"))]
     assert sorted(map(tuple, markup_tables.answer_tables(df).collect()), key=str) == sorted([*raw, *tables, (3, "Sheet1", 1, 2, "x"), (4, "Sheet1", 1, 1, "why")], key=str)
+
+
+def test_lines_are_cut_in_the_jvm(spark):
+    assert "Pandas" not in plan(entry.queries()["words_to_cells"](spark, SF)) and "Pandas" not in plan(entry.queries()["statement_pages_to_rows"](spark, SF))
+
+
+def test_lines_by_their_moving_means(spark):
+    from random import Random
+
+    r = Random(3)
+    places = [(p, r.uniform(0, 90), round(r.uniform(0, 40 * p), 1), str(k)) for k, p in enumerate(r.choices(range(1, 6), k=400))] + [(9, 1.0, None, "a"), (9, 2.0, 5.0, "b"), (9, None, 5.5, "c"), (9, float("nan"), float("nan"), "d")]
+    want = {}
+    for page in {p for p, *_ in places}:
+        found, line, heights = [w[1:] for w in places if w[0] == page], -1, []
+        known = lambda v: v is not None and v == v
+        for x, y, t in sorted(found, key=lambda w: (not known(w[1]), round(w[1] / 3) if known(w[1]) else 0, not known(w[0]), w[0] if known(w[0]) else 0)):
+            if not heights or known(y) and abs(y - sum(heights) / len(heights)) > 3:
+                line, heights = line + 1, []
+            heights += [y] if known(y) else []
+            want[t] = line
+    df = spark.createDataFrame([("d", p, x, y, x, t) for p, x, y, t in places], "doc_id string, page_number int, x0 double, y0 double, x1 double, text string")
+    assert {w["text"]: w["line_no"] for w in words.to_lines(df).collect()} == want
+    lines = {(l["page_number"], l["line_no"]): l for l in words.page_lines(df).collect()}
+    assert {t: n for (_, n), l in lines.items() for t in l["words"]} == want and lines[9, 0]["words"] == ["a", "b", "c", "d"]
+    assert all(l["x0"] == sorted(l["x0"]) and l["y0"] == min(y for p, x, y, t in places if t in l["words"]) for (p, _), l in lines.items() if p < 9)
