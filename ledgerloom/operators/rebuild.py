@@ -38,7 +38,7 @@ def table_lines(lines: DataFrame) -> DataFrame:
 
 def without_notices(rows: DataFrame) -> DataFrame:
     """rows without page numbers and the notices under statements."""
-    return rows.where(~R.tell(F.col("cells"))["notice"])
+    return rows.where(~R.is_notice(F.col("cells")))
 
 
 def join_labels(rows: DataFrame) -> DataFrame:
@@ -93,7 +93,7 @@ def align(rows: DataFrame) -> DataFrame:
     joined = rows.join(planned, ["doc_id", "page_number"], "left")
     narrow = F.when(F.col("helper").isNotNull() & (size == F.col("target") + 1), F.concat(F.slice("cells", F.lit(1), F.col("helper")), F.slice("cells", F.col("helper") + 2, size))).otherwise(F.col("cells"))
     out = joined.withColumn("cells", narrow)
-    short = (F.size("cells") == F.col("target") - 1) & R.tell(F.col("cells"))["lacks_notes"]
+    short = F.coalesce(F.size("cells") == F.col("target") - 1, F.lit(False)) & R.lacks_notes(F.col("cells"))
     filled = F.when(short, F.concat(F.slice("cells", 1, 1), F.array(F.lit("")), F.slice("cells", F.lit(2), F.size("cells")))).otherwise(F.col("cells"))
     return out.withColumn("cells", filled).select(*rows.columns)
 
