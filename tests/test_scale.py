@@ -62,3 +62,12 @@ def test_lines_by_their_moving_means(spark):
     lines = {(l["page_number"], l["line_no"]): l for l in words.page_lines(df).collect()}
     assert {t: n for (_, n), l in lines.items() for t in l["words"]} == want and lines[9, 0]["words"] == ["a", "b", "c", "d"]
     assert all(l["x0"] == sorted(l["x0"]) and l["y0"] == min(y for p, x, y, t in places if t in l["words"]) for (p, _), l in lines.items() if p < 9)
+
+
+def test_rows_are_judged_once(spark):
+    assert plan(entry.queries()["continuation_pages"](spark, SF)).count("integral part of the consolidated") <= 3
+
+
+def test_period_patterns_are_not_repeated(spark):
+    # characters of the plans; 2,097,472 and 709,160 when every use of a period worked it out anew
+    assert len(plan(entry.queries()["sheet_to_facts"](spark, SF))) < 400_000 and len(plan(entry.queries()["entity_period_labels"](spark, SF))) < 150_000
