@@ -1,8 +1,15 @@
 """Work that has to grow with the input only: what a plan repeats, and pages that meet in the JVM."""
 
-from oracle import SF
+from random import Random
+
+import duckdb
+import pandas as pd
+from oracle import SF, rows
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from ledgerloom.functions import numbers
+from ledgerloom.functions import rows as R
 from ledgerloom.operators import words
 from ledgerloom.sources import markup_tables
 
@@ -44,8 +51,6 @@ def test_lines_are_cut_in_the_jvm(spark):
 
 
 def test_lines_by_their_moving_means(spark):
-    from random import Random
-
     r = Random(3)
     places = [(p, r.uniform(0, 90), round(r.uniform(0, 40 * p), 1), str(k)) for k, p in enumerate(r.choices(range(1, 6), k=400))] + [(9, 1.0, None, "a"), (9, 2.0, 5.0, "b"), (9, None, 5.5, "c"), (9, float("nan"), float("nan"), "d")]
     want = {}
@@ -71,3 +76,36 @@ def test_rows_are_judged_once(spark):
 def test_period_patterns_are_not_repeated(spark):
     # characters of the plans; 2,097,472 and 709,160 when every use of a period worked it out anew
     assert len(plan(entry.queries()["sheet_to_facts"](spark, SF))) < 400_000 and len(plan(entry.queries()["entity_period_labels"](spark, SF))) < 150_000
+
+
+def test_lines_are_cut_into_cells_for_their_digits_only(spark):
+    # every line was cut, twice over, and every pattern tried on all of it
+    text = plan(entry.queries()["document_line_kinds"](spark, SF))
+    assert "CASE WHEN RLIKE(line" in text and text.count("split(line") == 1 and text.count("[millions,thousands]") == 1
+
+
+def test_needed_words_leave_no_pattern_out(spark):
+    r = Random(7)
+    pieces = [
+        "- 5 -", "–12–", "—3 —", "-", "(korean won in millions)", "won\xa0in\tthousands)", "(us dollars in  thousands)", "in", "millions", "thousands", "consolidated", "statements", "of", "cash flows", "income statement",
+        "financial\nposition", "for each of the", "for the six-month period", "for the", "nine months period", "three-month period", "years ended", "year", "period ended", "periods", "ended march", "ended june 30,", "december 31", "july 1, 2024",
+        "2024", "2019 (unaudited)", "1999\n$m", "2001  m", "inc.", "ltd", "corporation", "holdings", "a group", "subsidiary", "limited", "company", "x", "7", "é",
+    ]
+    texts = pieces + ["".join(r.choice(pieces) + r.choice([" ", " ", "  ", "\t", "", "\xa0"]) for _ in range(r.randrange(1, 5))) for _ in range(3000)]
+    kinds = {rule.kind: "|".join(rule.values) for rule in R.RULES if rule.kind in R.NEEDS}
+    assert set(kinds) == set(R.NEEDS)
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(R.low(F.col("t")).alias("t"))
+    flat = F.regexp_replace("t", f"{numbers.SPACE}+", " ")
+    found = df.select([F.struct(F.count_if(R.says(F.col("t"), k)).alias("said"), F.count_if(flat.rlike(p)).alias("like"), F.count_if(R.says(F.col("t"), k) != flat.rlike(p)).alias("other")).alias(k) for k, p in kinds.items()]).head()
+    assert all(found[k]["said"] == found[k]["like"] > 0 == found[k]["other"] for k in kinds), found
+
+
+def test_line_kinds_of_odd_documents(spark, tmp_path):
+    r = Random(5)
+    pieces = ["12", "1,234", "(5)", "-", "–", "- 5 -", "— 7 —", "$1.50", "US$ 3", "W 12", "in", "millions", "(won in  millions)", "Assets", "current assets", "the accompanying notes are", "statements.", "form part of  these consolidated financial statements", "x1", "2-3", "1,", "\x1c", "\x85", "\xa0", "\u3000", "中文", "é"]
+    seps = [" ", " ", "  ", "\t", "\n", "\n\n", " \n", "\n "]
+    texts = [None, "", "\n", " ", *("".join(r.choice(pieces) + r.choice(seps) for _ in range(r.randrange(1, 30))) for _ in range(500))]
+    pd.DataFrame({"doc_id": [k // 2 for k in range(len(texts))], "text": texts}).to_parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet')")
+    assert rows(entry.queries()["document_line_kinds"](spark, str(tmp_path)).toPandas()) == rows(con.sql(entry.oracle_sql()["document_line_kinds"]).df())
