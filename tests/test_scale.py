@@ -109,3 +109,13 @@ def test_line_kinds_of_odd_documents(spark, tmp_path):
     con = duckdb.connect()
     con.sql(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet')")
     assert rows(entry.queries()["document_line_kinds"](spark, str(tmp_path)).toPandas()) == rows(con.sql(entry.oracle_sql()["document_line_kinds"]).df())
+
+
+def test_numbers_before_carriage_returns(spark, tmp_path):
+    # a cell is all of what stands between blanks, as in the SQL
+    pd.DataFrame({"doc_id": [1, 2], "text": ["Cash 12\r\n-\r\nx 5 7\x85", "Cash 12\n- 3 "]}).to_parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet')")
+    found = entry.queries()["document_line_kinds"](spark, str(tmp_path)).toPandas()
+    assert dict(zip(found["doc_id"], found["n_numbers"])) == {1: 1, 2: 2}
+    assert rows(found) == rows(con.sql(entry.oracle_sql()["document_line_kinds"]).df())
