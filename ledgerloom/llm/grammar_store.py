@@ -40,28 +40,29 @@ _END = np.uint32(1 << 31)
 
 
 def _frequent(seq: np.ndarray, heavy: np.ndarray, place: np.ndarray, places: int, least: int):
-    """Positions of pairs that occur least times or more, the number of each one's pair, and where each pair is first met.
+    """Positions of pairs that occur least times or more, the number of each one's pair, and the pairs (left << 32 | right).
 
     While many positions are left, pairs are told apart by their place in a hash table; of pairs that share a place, the
     others wait for a later round.  Few positions are sorted, which leaves out none.
     """
+    pairs = (seq[heavy].astype(np.uint64) << np.uint64(32)) | seq[heavy + 1]
     for exact in (False, True) if len(heavy) * 8 > len(seq) else (True,):
         if exact:
-            _, where, group = np.unique((seq[heavy].astype(np.uint64) << np.uint64(32)) | seq[heavy + 1], return_index=True, return_inverse=True)
-            where, at, groups = heavy[where], heavy, len(where)
+            met, group = np.unique(pairs, return_inverse=True)
+            at = heavy
         else:
-            where, groups = np.zeros(places, np.int64), places
-            where[place[heavy]] = heavy
-            other = where[place[heavy]]
-            at = heavy[(seq[other] == seq[heavy]) & (seq[other + 1] == seq[heavy + 1])]
-            group = place[at]
-        often = np.flatnonzero(np.bincount(group, minlength=groups) >= least)
+            met, group = np.zeros(places, np.uint64), place[heavy]
+            met[group] = pairs
+            same = met[group] == pairs
+            at, group = heavy[same], group[same]
+        often = np.flatnonzero(np.bincount(group, minlength=len(met)) >= least)
         if len(often):
             break
-    number = np.full(groups, -1, np.int64)
+    number = np.full(len(met), -1, np.int64)
     number[often] = np.arange(len(often))
     number = number[group]
-    return at[number >= 0], number[number >= 0], where[often]
+    kept = number >= 0
+    return at[kept], number[kept], met[often]
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, least: int = LEAST):
@@ -81,16 +82,16 @@ def compress(ids: np.ndarray, ends: np.ndarray, least: int = LEAST):
         p[:] = h
         heavy = np.flatnonzero((np.bincount(p, minlength=1 << bits) >= least)[p])
         heavy = heavy[seq[heavy] < _END]
-        at, number, where = _frequent(seq, heavy, p, 1 << bits, least)
+        at, number, pairs = _frequent(seq, heavy, p, 1 << bits, least)
         if not len(at):
             break
         # of matches that overlap (neighbours in the sequence), every second one from the left is replaced
         k = np.arange(len(at))
         even = (k - np.maximum.accumulate(np.where(np.diff(at, prepend=-2) > 1, k, 0))) % 2 == 0
         at, number = at[even], number[even]
-        rules.append(np.stack((seq[where], seq[where + 1] & ~_END), 1))
+        rules.append(np.stack((pairs >> np.uint64(32), pairs & np.uint64(_END - 1)), 1).astype(np.uint32))
         seq[at] = (first + following + number).astype(np.uint32) | (seq[at + 1] & _END)
-        following += len(where)
+        following += len(pairs)
         if first + following >= _END:
             raise ValueError("ids and nonterminals have to stay below 2 ** 31")
         keep = np.ones(len(seq), bool)
@@ -101,7 +102,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, least: int = LEAST):
 
 def pack(values: np.ndarray, bits: int) -> bytes:
     """Values in so many bits each, lowest bit first."""
-    return np.packbits(np.unpackbits(values.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :bits], bitorder="little").tobytes()
+    return np.packbits(np.unpackbits(values.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, count=bits, bitorder="little"), bitorder="little").tobytes()
 
 
 def unpack(data: bytes, bits: int, n: int) -> np.ndarray:

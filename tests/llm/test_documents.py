@@ -1,6 +1,7 @@
 """Operators on documents: edge cases, round trips and brute force."""
 
 import hashlib
+import re
 import zlib
 from collections import Counter
 
@@ -91,6 +92,27 @@ def test_encoder_is_the_tokenizer():
         assert all(LIBRARY.encode(t or "", add_special_tokens=False).ids == ids[a:b].tolist() for t, a, b in zip(texts, at, at[1:]))
 
 
+def test_encoder_asks_the_model_once_a_piece():
+    encoder = tokens.Encoder(tokens.default_path())
+    tokenize, asked = encoder._tokenize, []
+    encoder._tokenize = lambda piece: asked.append(piece) or tokenize(piece)
+    texts = ["Word word. WORD, word### (word) it's It we've, 7word7", "word 've \u0130 word\u0130"]
+    for _ in range(2):
+        ids, counts = encoder.encode(pa.array(texts))
+        assert ids.tolist() == [i for t in texts for i in ids_of(t)[:-1]] and counts.tolist() == [len(ids_of(t)) - 1 for t in texts]
+    assert sorted(asked) == sorted(["word", ".", ",", "###", "(", ")", "it", "'s", "we", "'ve", "7"])
+
+
+def test_pieces_are_cut_by_the_files_pattern():
+    rng = np.random.default_rng(4)
+    pattern = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+    words = ["".join(rng.choice(list("abstmdrevlSTMDREVLÀÖØÞßöøÿé09.-_!~") + ["'"] * 4, rng.integers(0, 9))) for _ in range(20_000)] + ["a×", "÷", "漢", "'S", "x'LL"]
+    pieces, counts, other = tokens.pieces(pa.array(words))
+    pieces, at = pieces.to_pylist(), tokens.cuts(counts)
+    assert other.tolist() == [20_000, 20_001, 20_002]
+    assert all(pieces[a:b] == pattern.findall(w.lower()) for k, (w, a, b) in enumerate(zip(words, at, at[1:])) if k not in other)
+
+
 def test_encoder_takes_other_files():
     import public_tokenizers
 
